@@ -1,0 +1,20 @@
+"""Numeric expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def ratio_pct(num, den) -> Column:
+    """``100 * num / den``; null when the denominator is zero."""
+    return F.lit(100.0) * _col(num).cast("double") / F.nullif(_col(den).cast("double"), F.lit(0.0))
+
+
+def zero_if_null(c) -> Column:
+    """Null becomes 0 of the same type (P23); longs stay longs."""
+    return F.coalesce(_col(c), F.lit(0).cast("bigint"))
