@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import recon
+from . import netsales, recon
+from .oracle_netsales import SQL as NETSALES_SQL
 from .oracle_recon import SQL as RECON_SQL
 
 QUERIES = {
@@ -20,6 +21,12 @@ QUERIES = {
     "missing_keys": recon.missing_keys,
     "completeness": recon.completeness,
     "agreement_lineage": recon.agreement_lineage,
+    "net_sales_global": netsales.net_sales_global,
+    "net_sales_region": netsales.net_sales_region,
+    "net_sales_nation": netsales.net_sales_nation,
+    "net_sales_location": netsales.net_sales_location,
+    "net_zero_transfers": netsales.net_zero_transfers,
+    "transfer_locations": netsales.transfer_locations,
 }
 
-ORACLE = {**RECON_SQL}
+ORACLE = {**RECON_SQL, **NETSALES_SQL}
