@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import netsales, recon
+from . import logs, netsales, recon
+from .oracle_logs import SQL as LOGS_SQL
 from .oracle_netsales import SQL as NETSALES_SQL
 from .oracle_recon import SQL as RECON_SQL
 
@@ -27,6 +28,12 @@ QUERIES = {
     "net_sales_location": netsales.net_sales_location,
     "net_zero_transfers": netsales.net_zero_transfers,
     "transfer_locations": netsales.transfer_locations,
+    "exceptions": logs.exceptions,
+    "exception_texts": logs.exception_texts,
+    "failed_events": logs.failed_events,
+    "failed_event_keys": logs.failed_event_keys,
+    "error_rate": logs.error_rate,
+    "clean_text": logs.clean_text,
 }
 
-ORACLE = {**RECON_SQL, **NETSALES_SQL}
+ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL}
