@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import logs, netsales, recon
+from . import logs, netsales, recon, reports
+from .oracle_reports import SQL as REPORTS_SQL
 from .oracle_logs import SQL as LOGS_SQL
 from .oracle_netsales import SQL as NETSALES_SQL
 from .oracle_recon import SQL as RECON_SQL
@@ -34,6 +35,22 @@ QUERIES = {
     "failed_event_keys": logs.failed_event_keys,
     "error_rate": logs.error_rate,
     "clean_text": logs.clean_text,
+    "funnel": reports.funnel,
+    "compare_counts": reports.compare_counts,
+    "note_share": reports.note_share,
+    "durations": reports.durations,
+    "segment_volumes": reports.segment_volumes,
+    "reuse_conflicts": reports.reuse_conflicts,
+    "tag_effort": reports.tag_effort,
+    "tag_effort_monthly": reports.tag_effort_monthly,
+    "in_list": reports.in_list,
+    "or_precedence": reports.or_precedence,
+    "distinct_rows": reports.distinct_rows,
+    "payment_counts": reports.payment_counts,
+    "semi_flag": reports.semi_flag,
+    "both_status": reports.both_status,
+    "status_by_month": reports.status_by_month,
+    "monthly_accounts": reports.monthly_accounts,
 }
 
-ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL}
+ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL, **REPORTS_SQL}
