@@ -6,8 +6,8 @@ from .oracle_recon import with_
 
 NZ = """nzf AS (
   SELECT l.l_orderkey AS reservation_id, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS period,
-         SUM(CAST(l.l_quantity AS BIGINT)) AS net_zero_upgrades,
-         -SUM(CAST(l.l_quantity AS BIGINT)) AS net_zero_downgrades
+         CAST(SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS net_zero_upgrades,
+         CAST(-SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS net_zero_downgrades
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE date_trunc('month', o.o_orderdate) = date_trunc('month', l.l_shipdate)
     AND (CASE WHEN l.l_returnflag = 'A' THEN 'Desk Transfer' ELSE 'New' END) ILIKE '%transfer'
