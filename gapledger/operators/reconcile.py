@@ -108,22 +108,31 @@ def summarize(
 
     ``accounts_total`` counts distinct keys over all rows (what the source
     report printed as "affected"); ``accounts_with_gap`` only those with a
-    non-zero gap (B16). A single global aggregate: partial sums per task, one
-    tiny final merge.
+    non-zero gap (B16). Two steps: totals per key (one shuffle on the key,
+    partial-aggregated), then a global merge of those per-key rows. No
+    distinct-count expansion of the input, and a hot key is folded map-side.
     """
     net_name, abs_name = names
+    per_key = [
+        F.sum(right_total).alias("_r"), F.sum(left_total).alias("_l"),
+        F.sum(net_name).alias("_n"), F.sum(abs_name).alias("_a"),
+        F.max(F.col(net_name) != 0).alias("_gap"),
+    ]
+    if period:
+        per_key += [F.min(period).alias("_p0"), F.max(period).alias("_p1")]
+    k = recon.groupBy(key).agg(*per_key)
     aggs = []
     if period:
-        aggs += [F.min(period).alias("period_from"), F.max(period).alias("period_to")]
+        aggs += [F.min("_p0").alias("period_from"), F.max("_p1").alias("period_to")]
     aggs += [
-        F.sum(right_total).cast("bigint").alias(f"{right_total}_sum"),
-        F.sum(left_total).cast("bigint").alias(f"{left_total}_sum"),
-        F.sum(net_name).cast("bigint").alias(f"{net_name}_sum"),
-        F.sum(abs_name).cast("bigint").alias(f"{abs_name}_sum"),
-        F.count_distinct(key).alias("accounts_total"),
-        F.count_distinct(F.when(F.col(net_name) != 0, F.col(key))).alias("accounts_with_gap"),
+        F.sum("_r").cast("bigint").alias(f"{right_total}_sum"),
+        F.sum("_l").cast("bigint").alias(f"{left_total}_sum"),
+        F.sum("_n").cast("bigint").alias(f"{net_name}_sum"),
+        F.sum("_a").cast("bigint").alias(f"{abs_name}_sum"),
+        F.count(F.col(key)).alias("accounts_total"),
+        F.count_if(F.col(key).isNotNull() & F.col("_gap")).alias("accounts_with_gap"),
     ]
-    return recon.agg(*aggs)
+    return k.agg(*aggs)
 
 
 def enrich_gaps(gaps: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:
@@ -139,8 +148,12 @@ def enrich_gaps(gaps: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]]
 
 def missing_keys(a: DataFrame, b: DataFrame, key: str, b_key: str | None = None) -> DataFrame:
     """Distinct keys of ``a`` absent from ``b`` (D16, U1): ``EXCEPT``
-    (distinct, nulls equal), planned by Spark as an anti join."""
-    return a.select(F.col(key)).subtract(b.select(F.col(b_key or key).alias(key)))
+    semantics (distinct, nulls equal). Both sides are reduced to distinct
+    keys first (partial aggregation folds a hot key map-side), then a
+    null-safe anti join on the shared key partitioning."""
+    left = a.select(F.col(key)).distinct()
+    right = b.select(F.col(b_key or key).alias("__k")).distinct()
+    return left.join(right, left[key].eqNullSafe(right["__k"]), "left_anti")
 
 
 def completeness(df: DataFrame, cols: Sequence[str]) -> DataFrame:

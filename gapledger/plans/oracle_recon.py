@@ -30,13 +30,14 @@ CTE = {
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)""",
     "loc": """loc AS (
   SELECT s.s_suppkey AS location_id, s.s_name AS location_name, n.n_name AS city, n.n_name AS market,
-         r.r_name AS territory, r.r_name AS region, n.n_name AS country,
+         r.r_name AS territory, r.r_name AS region, n.n_name AS country, n.n_nationkey AS country_key,
          'L' || CAST(s.s_suppkey AS VARCHAR) AS code,
          CAST(DATE '1994-01-01' + to_months(n.n_nationkey) AS DATE) AS opened_on,
          s.s_acctbal < 0 AS is_joint_venture
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)""",
     "acc": """acc AS (
-  SELECT c.c_custkey AS account_id, c.c_name AS account_name, c.c_mktsegment AS segment, n.n_name AS country
+  SELECT c.c_custkey AS account_id, c.c_name AS account_name, c.c_mktsegment AS segment, n.n_name AS country,
+         n.n_nationkey AS country_key
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
     "reuse": """reuse AS (
   SELECT event_id AS record_id, user_id AS company_id, 'C-' || CAST(event_id AS VARCHAR) AS agreement_uuid,
@@ -54,7 +55,7 @@ CTE = {
          bool_or(l_linestatus = 'F') AS has_start, bool_or(l_returnflag = 'R') AS has_end
   FROM lineitem GROUP BY 1, 2),
 rled AS (
-  SELECT v.*, ma.agreement_uuid, loc.country,
+  SELECT v.*, ma.agreement_uuid, loc.country, loc.country_key,
          CASE WHEN v.reservable_type = 'HotDesk' AND loc.country NOT IN
                    ('NATION_1','NATION_4','NATION_7','NATION_10','NATION_13','NATION_16','NATION_19','NATION_22')
               THEN 'R-' || CAST(v.account_id AS VARCHAR) ELSE ma.agreement_uuid END AS attributed_key
@@ -66,7 +67,7 @@ rled AS (
        ON cr.agreement_id = ma.agreement_id
   LEFT JOIN loc ON v.location_id = loc.location_id)""",
     "copp": """copp AS (
-  SELECT opp.*, acc.country,
+  SELECT opp.*, acc.country, acc.country_key,
          CASE WHEN opp.type_c = '1-URGENT' AND (acc.country NOT IN
                    ('NATION_1','NATION_4','NATION_7','NATION_10','NATION_13','NATION_16','NATION_19','NATION_22')
                    OR acc.country IS NULL)
@@ -74,19 +75,19 @@ rled AS (
   FROM opp LEFT JOIN acc ON opp.account_id = acc.account_id)""",
     "cgaps": """crm_c AS (
   SELECT account_id, attributed_key, CAST(date_trunc('month', close_date) AS DATE) AS period,
-         min(country) AS country,
+         min(country_key) AS country_key,
          COALESCE(SUM(CASE WHEN status_code = 'F' THEN desks END), 0)
            + COALESCE(SUM(CASE WHEN status_code = 'O' THEN total_desks_net END), 0) AS crm_total
   FROM copp WHERE status_code IN ('F', 'O') GROUP BY 1, 2, 3),
 led_c AS (
   SELECT account_id, attributed_key, CAST(date_trunc('month', date_reserved) AS DATE) AS period,
-         min(country) AS country, SUM(desks_changed) AS ledger_total
+         min(country_key) AS country_key, SUM(desks_changed) AS ledger_total
   FROM rled GROUP BY 1, 2, 3),
 cj AS (
   SELECT COALESCE(c.account_id, l.account_id) AS account_id,
          COALESCE(c.attributed_key, l.attributed_key) AS attributed_key,
          COALESCE(c.period, l.period) AS period,
-         COALESCE(l.country, c.country) AS country,
+         (SELECT n_name FROM nation WHERE n_nationkey = COALESCE(l.country_key, c.country_key)) AS country,
          CAST(COALESCE(c.crm_total, 0) AS BIGINT) AS crm_total,
          CAST(COALESCE(l.ledger_total, 0) AS BIGINT) AS ledger_total
   FROM crm_c c FULL JOIN led_c l

@@ -72,7 +72,7 @@ def crm_contract_keys(spark: SparkSession, base: str) -> DataFrame:
     deals outside the excluded nations by reservation, else by contract; a
     null country goes by reservation."""
     opp = av.opportunities(spark, base)
-    acc = av.accounts(spark, base).select("account_id", "country")
+    acc = av.accounts(spark, base).select("account_id", "country", "country_key")
     o = opp.join(acc, "account_id", "left")
     key = att.attribution_key(F.col("type_c") == av.HOT_DESK_PRIORITY, F.col("country"),
                               av.EXCLUDED_NATIONS, F.col("reservation_key"),
@@ -90,7 +90,7 @@ def resolved_ledger(spark: SparkSession, base: str, start=None, end=None) -> Dat
     ledger side: a null country goes by contract)."""
     v = att.resolve_contracts(av.ledger(spark, base), av.change_requests(spark, base),
                               av.agreements(spark, base), start, end)
-    loc = av.locations(spark, base).select("location_id", "country")
+    loc = av.locations(spark, base).select("location_id", "country", "country_key")
     v = v.join(loc, "location_id", "left")
     key = att.attribution_key(F.col("reservable_type") == av.HOT_DESK_LEDGER, F.col("country"),
                               av.EXCLUDED_NATIONS,
@@ -108,13 +108,16 @@ def resolve_contracts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def contract_sides(spark: SparkSession, base: str):
+    """Both sides at (account, attribution key, month) grain. The country is
+    carried as its integer key (a fixed-width buffer keeps the aggregate
+    hash-based); names are attached after the join."""
     key = ["account_id", "attributed_key", "period"]
     crm = crm_contract_keys(spark, base).withColumn("period", period("close_date"))
     crm = rec.net_outcomes(crm, key, _won(), _lost(), F.col("desks"), F.col("total_desks_net"),
-                           attrs=["country"], names=("won", "lost", "crm_total"))
-    crm = crm.select(*key, "country", "crm_total")
+                           attrs=["country_key"], names=("won", "lost", "crm_total"))
+    crm = crm.select(*key, "country_key", "crm_total")
     led = resolved_ledger(spark, base).withColumn("period", period("date_reserved"))
-    led = rec.totals_by_key(led, key, "desks_changed", "ledger_total", attrs=["country"])
+    led = rec.totals_by_key(led, key, "desks_changed", "ledger_total", attrs=["country_key"])
     return key, crm, led
 
 
@@ -122,7 +125,9 @@ def reconcile_contracts(spark: SparkSession, base: str) -> DataFrame:
     """D1 at contract grain: CRM vs resolved ledger per (account,
     attribution key, month), country from the ledger side first."""
     key, crm, led = contract_sides(spark, base)
-    return rec.reconcile(crm, led, key, "crm_total", "ledger_total", attrs=["country"], prefer="right")
+    g = rec.reconcile(crm, led, key, "crm_total", "ledger_total", attrs=["country_key"], prefer="right")
+    g = g.join(F.broadcast(av.countries(spark, base)), "country_key", "left")
+    return g.select(*key, "country", "crm_total", "ledger_total", "net_gap", "abs_gap")
 
 
 def late_moveouts(spark: SparkSession, base: str) -> DataFrame:

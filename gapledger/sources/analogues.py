@@ -101,6 +101,12 @@ def nations(spark: SparkSession, base: str) -> DataFrame:
         "n_nationkey", "n_name", "r_name")
 
 
+def countries(spark: SparkSession, base: str) -> DataFrame:
+    """country_key -> country name (25 rows)."""
+    return read_table(spark, base, "nation").select(
+        F.col("n_nationkey").alias("country_key"), F.col("n_name").alias("country"))
+
+
 def locations(spark: SparkSession, base: str) -> DataFrame:
     """Location dimension: supplier x nation x region.
 
@@ -118,6 +124,7 @@ def locations(spark: SparkSession, base: str) -> DataFrame:
         F.col("r_name").alias("territory"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("country"),
+        F.col("n_nationkey").alias("country_key"),
         F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("code"),
         F.add_months(F.lit("1994-01-01").cast("date"), F.col("n_nationkey")).alias("opened_on"),
         (F.col("s_acctbal") < 0).alias("is_joint_venture"),
@@ -133,6 +140,7 @@ def accounts(spark: SparkSession, base: str) -> DataFrame:
         F.col("c_name").alias("account_name"),
         F.col("c_mktsegment").alias("segment"),
         F.col("n_name").alias("country"),
+        F.col("n_nationkey").alias("country_key"),
     )
 
 
