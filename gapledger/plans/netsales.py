@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import netsales as ns
+from ..operators import ordering as od
 from ..sources import analogues as av
 
 
@@ -15,8 +16,16 @@ def detail(spark: SparkSession, base: str, level: str, unit: str = "month") -> D
 
 
 def net_sales_global(spark: SparkSession, base: str) -> DataFrame:
-    """The report the source printed: net sales per account and month."""
-    return ns.net_sales_report(detail(spark, base, "Global"), av.accounts(spark, base))
+    """The report the source printed: net sales per account and month,
+    latest period first (ORDER BY 3 DESC)."""
+    return od.sort_report(ns.net_sales_report(detail(spark, base, "Global"), av.accounts(spark, base)),
+                          ("close_date", "desc"))
+
+
+def net_sales_with_id(spark: SparkSession, base: str) -> DataFrame:
+    """The report with a consecutive surrogate id by (period, account)."""
+    rep = ns.net_sales_report(detail(spark, base, "Global"), av.accounts(spark, base))
+    return od.surrogate_id(rep, ["close_date", "account_id"])
 
 
 def net_sales_region(spark: SparkSession, base: str) -> DataFrame:

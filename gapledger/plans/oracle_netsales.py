@@ -79,6 +79,12 @@ SELECT reservation_id, period, net_zero_upgrades, net_zero_downgrades FROM nzf""
 SELECT a.account_name, d.account_id, d.period AS close_date,
        CAST(COALESCE(SUM(d.upgrades + d.new_sales), 0) AS BIGINT) AS net_sales
 FROM d LEFT JOIN (SELECT c_custkey, c_name AS account_name FROM customer) a ON d.account_id = a.c_custkey
+GROUP BY a.account_name, d.account_id, d.period""",
+    "net_sales_with_id": "WITH d AS (" + detail_sql("Global") + """)
+SELECT a.account_name, d.account_id, d.period AS close_date,
+       CAST(COALESCE(SUM(d.upgrades + d.new_sales), 0) AS BIGINT) AS net_sales,
+       row_number() OVER (ORDER BY d.period, d.account_id) AS id
+FROM d LEFT JOIN (SELECT c_custkey, c_name AS account_name FROM customer) a ON d.account_id = a.c_custkey
 GROUP BY a.account_name, d.account_id, d.period""",
     "transfer_locations": "WITH d AS (" + detail_sql("Global") + """)
 SELECT period, account_id, transfer_in_locations, transfer_out_locations, last_date_physical_move FROM d""",

@@ -84,6 +84,15 @@ SELECT CAST(date_part('month', ma.o_orderdate) AS INTEGER) AS datepart, ma.o_ord
 FROM part r JOIN lineitem cr ON cr.l_partkey = r.p_partkey JOIN orders ma ON ma.o_orderkey = cr.l_orderkey
 WHERE r.p_type = 'ECONOMY'
 GROUP BY datepart, status""",
+    "month_of_year_compare": with_("opp", "led") + """,
+looker AS (SELECT CAST(date_part('month', date_reserved) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
+           FROM led WHERE desks_changed > 0 GROUP BY 1),
+salesforce AS (SELECT CAST(date_part('month', close_date) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
+               FROM opp WHERE status_code = 'F' GROUP BY 1)
+SELECT salesforce.month, salesforce.cnt AS sf, looker.cnt AS looker, salesforce.cnt - looker.cnt AS diff
+FROM salesforce JOIN looker ON looker.month = salesforce.month""",
+    "execution_errors": """
+SELECT count(o_orderkey) AS n FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL""",
     "monthly_accounts": with_("opp") + f"""
 SELECT {_M.format(c='close_date')} AS period, count(DISTINCT account_id) AS accounts
 FROM opp WHERE status_code = 'F' GROUP BY 1""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import logs, netsales, recon, reports
+from . import logs, netsales, recon, reports, statements
 from .oracle_reports import SQL as REPORTS_SQL
 from .oracle_logs import SQL as LOGS_SQL
 from .oracle_netsales import SQL as NETSALES_SQL
@@ -29,6 +29,7 @@ QUERIES = {
     "net_sales_location": netsales.net_sales_location,
     "net_zero_transfers": netsales.net_zero_transfers,
     "transfer_locations": netsales.transfer_locations,
+    "net_sales_with_id": netsales.net_sales_with_id,
     "exceptions": logs.exceptions,
     "exception_texts": logs.exception_texts,
     "failed_events": logs.failed_events,
@@ -51,6 +52,8 @@ QUERIES = {
     "both_status": reports.both_status,
     "status_by_month": reports.status_by_month,
     "monthly_accounts": reports.monthly_accounts,
+    "month_of_year_compare": statements.month_of_year_compare,
+    "execution_errors": statements.execution_errors,
 }
 
 ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL, **REPORTS_SQL}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of_year, open_range, period
+from ..operators import ordering as od
 from ..operators import reports as rp
 from ..sources import analogues as av
 from ..sources.tables import read_table
@@ -41,7 +42,7 @@ def compare_counts(spark: SparkSession, base: str) -> DataFrame:
 def note_share(spark: SparkSession, base: str) -> DataFrame:
     """Events per day and those whose props match a note pattern."""
     e = read_table(spark, base, "events")
-    return rp.share(e, F.col("props").like(NOTE_PATTERN), "ts", unit="day")
+    return od.sort_report(rp.share(e, F.col("props").like(NOTE_PATTERN), "ts", unit="day"), ("period", "asc"))
 
 
 def durations(spark: SparkSession, base: str) -> DataFrame:
@@ -54,7 +55,8 @@ def durations(spark: SparkSession, base: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
     j = j.select(F.col("o_orderdate").alias("created_date"), F.col("l_shipdate").alias("close_date"),
                  F.col("o_orderpriority").alias("product_type"), F.col("c_mktsegment").alias("deal_type"))
-    return rp.durations(j, "created_date", "close_date", ["product_type", "deal_type"])
+    return od.sort_report(rp.durations(j, "created_date", "close_date", ["product_type", "deal_type"]),
+                          ("year", "asc"), ("month", "asc"))
 
 
 def segment_volumes(spark: SparkSession, base: str) -> DataFrame:
@@ -90,7 +92,7 @@ def _tag_pred():
 
 def tag_effort(spark: SparkSession, base: str) -> DataFrame:
     """Tickets and mean hour component per tag (tags by pattern)."""
-    return rp.tag_effort(_tickets(spark, base), _tag_pred())
+    return od.sort_report(rp.tag_effort(_tickets(spark, base), _tag_pred()), ("n", "desc"))
 
 
 def tag_effort_monthly(spark: SparkSession, base: str) -> DataFrame:
@@ -110,7 +112,8 @@ def or_precedence(spark: SparkSession, base: str) -> DataFrame:
     e = read_table(spark, base, "events")
     t = F.lower(F.col("event_type"))
     pred = (open_range("ts", OR_CUTOFF) & t.like("%click%")) | t.like("%sign%")
-    return e.where(pred).groupBy(F.to_date("ts").alias("date")).agg(F.count("event_id").alias("n"))
+    out = e.where(pred).groupBy(F.to_date("ts").alias("date")).agg(F.count("event_id").alias("n"))
+    return od.sort_report(out, ("date", "asc"))
 
 
 def distinct_rows(spark: SparkSession, base: str) -> DataFrame:
@@ -149,8 +152,9 @@ def status_by_month(spark: SparkSession, base: str) -> DataFrame:
     cr = read_table(spark, base, "lineitem").select("l_partkey", "l_orderkey")
     ma = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     j = r.join(cr, r.p_partkey == cr.l_partkey).join(ma, F.col("l_orderkey") == ma.o_orderkey)
-    return j.groupBy(month_of_year("o_orderdate").alias("datepart"), F.col("o_orderstatus").alias("status")).agg(
+    out = j.groupBy(month_of_year("o_orderdate").alias("datepart"), F.col("o_orderstatus").alias("status")).agg(
         F.count("o_orderkey").alias("n"))
+    return od.sort_report(out, ("datepart", "asc"))
 
 
 def monthly_accounts(spark: SparkSession, base: str) -> DataFrame:
