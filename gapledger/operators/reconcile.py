@@ -27,28 +27,46 @@ def net_outcomes(
     lost_measure: Column,
     attrs: Sequence[str] = (),
     names: tuple[str, str, str] = ("won", "lost", "net"),
+    drop_null_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Signed net of two outcomes per key in one grouped pass.
 
     Rows matching neither predicate are dropped before the shuffle. ``attrs``
-    are carried as their smallest value per key (deterministic).
+    are carried as their smallest value per key (deterministic). Rows whose
+    ``drop_null_keys`` are null are left out, as a pandas group-by does (A12).
     """
     won, lost, net = names
     agg = [
         F.sum(F.when(won_pred, won_measure)).alias(won),
         F.sum(F.when(lost_pred, lost_measure)).alias(lost),
     ] + [F.min(a).alias(a) for a in attrs]
-    out = df.where(won_pred | lost_pred).groupBy(*_cols(key)).agg(*agg)
+    cond = won_pred | lost_pred
+    for k in drop_null_keys:
+        cond = cond & F.col(k).isNotNull()
+    out = df.where(cond).groupBy(*_cols(key)).agg(*agg)
     return out.withColumn(
         net, F.coalesce(F.col(won), F.lit(0)) + F.coalesce(F.col(lost), F.lit(0)))
 
 
-def totals_by_key(df: DataFrame, key, measure: Column | str, name: str, attrs: Sequence[str] = ()) -> DataFrame:
-    """One side's total per key, with attributes carried by ``min``."""
+def totals_by_key(df: DataFrame, key, measure: Column | str, name: str, attrs: Sequence[str] = (),
+                  drop_null_keys: Sequence[str] = ()) -> DataFrame:
+    """One side's total per key, with attributes carried by ``min``; rows
+    with a null in ``drop_null_keys`` are left out (A12)."""
     m = F.col(measure) if isinstance(measure, str) else measure
+    for k in drop_null_keys:
+        df = df.where(F.col(k).isNotNull())
     return df.groupBy(*_cols(key)).agg(F.sum(m).alias(name), *[F.min(a).alias(a) for a in attrs])
 
 
+def remap_keys(df: DataFrame, key: str, key_map: DataFrame, from_col: str, to_col: str) -> DataFrame:
+    """Replace ``key`` by its mapped value (J13, e.g. billing account ->
+    organisation). Inner join as in the source: unmapped rows drop out. The
+    map is reduced to distinct pairs; Spark/AQE broadcast it when its
+    measured size allows, else shuffle-join it."""
+    m = key_map.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to")).distinct()
+    return df.join(m, df[key] == m["__from"]).withColumn(key, F.col("__to")).drop("__from", "__to")
+
+
 def reconcile(
     left: DataFrame,
     right: DataFrame,

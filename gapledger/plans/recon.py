@@ -114,7 +114,8 @@ def contract_sides(spark: SparkSession, base: str):
     key = ["account_id", "attributed_key", "period"]
     crm = crm_contract_keys(spark, base).withColumn("period", period("close_date"))
     crm = rec.net_outcomes(crm, key, _won(), _lost(), F.col("desks"), F.col("total_desks_net"),
-                           attrs=["country_key"], names=("won", "lost", "crm_total"))
+                           attrs=["country_key"], names=("won", "lost", "crm_total"),
+                           drop_null_keys=["account_id"])
     crm = crm.select(*key, "country_key", "crm_total")
     led = resolved_ledger(spark, base).withColumn("period", period("date_reserved"))
     led = rec.totals_by_key(led, key, "desks_changed", "ledger_total", attrs=["country_key"])

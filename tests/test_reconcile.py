@@ -62,3 +62,13 @@ def test_completeness(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, 4)], "a long, b long")
     r = rec.completeness(df, ["a", "b"]).first()
     assert (r.n_rows, r.missing_a, r.missing_b) == (3, 1, 2)
+
+
+def test_drop_null_keys_and_remap(spark):
+    df = spark.createDataFrame([("x", "W", 3), (None, "W", 5)], "k string, s string, q long")
+    out = rec.net_outcomes(df, "k", F.col("s") == "W", F.col("s") == "L", F.col("q"), F.col("q"),
+                           drop_null_keys=["k"])
+    assert [r.k for r in out.collect()] == ["x"]
+    m = spark.createDataFrame([("x", "org1"), ("x", "org1")], "b string, o string")
+    got = rec.remap_keys(df, "k", m, "b", "o").collect()
+    assert [(r.k, r.q) for r in got] == [("org1", 3)]
