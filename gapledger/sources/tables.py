@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -13,13 +14,25 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+# path -> schema. Reading parquet without a schema runs a footer-reading job
+# per call; a plan that reads the same table many times pays it once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, base: str, name: str, schema: StructType | None = None) -> DataFrame:
     """Parquet scan of ``base/name.parquet``.
 
     Callers select the columns they need right after the scan, so Catalyst
-    prunes the read schema and pushes their filters into the reader.
+    prunes the read schema and pushes their filters into the reader. The
+    schema is inferred once per path (or given) and passed explicitly after.
     """
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    schema = schema or _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def register_views(spark: SparkSession, base: str, names=TABLES) -> None:
