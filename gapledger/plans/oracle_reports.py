@@ -93,6 +93,14 @@ SELECT salesforce.month, salesforce.cnt AS sf, looker.cnt AS looker, salesforce.
 FROM salesforce JOIN looker ON looker.month = salesforce.month""",
     "execution_errors": """
 SELECT count(o_orderkey) AS n FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL""",
+    "close_durations": """
+SELECT o.o_orderkey AS agreement_id, o.o_orderdate AS created_at, o.o_orderdate AS signed_at,
+       c.c_name AS account_name, c.c_mktsegment AS segment
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE o.o_orderstatus = 'F'""",
+    "ticket_tags": """
+SELECT user_id AS ticket_id, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS tags
+FROM events GROUP BY user_id""",
     "monthly_accounts": with_("opp") + f"""
 SELECT {_M.format(c='close_date')} AS period, count(DISTINCT account_id) AS accounts
 FROM opp WHERE status_code = 'F' GROUP BY 1""",

@@ -52,6 +52,8 @@ QUERIES = {
     "both_status": reports.both_status,
     "status_by_month": reports.status_by_month,
     "monthly_accounts": reports.monthly_accounts,
+    "close_durations": reports.close_durations,
+    "ticket_tags": reports.ticket_tags,
     "month_of_year_compare": statements.month_of_year_compare,
     "execution_errors": statements.execution_errors,
 }

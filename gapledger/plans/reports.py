@@ -161,3 +161,20 @@ def monthly_accounts(spark: SparkSession, base: str) -> DataFrame:
     """A3: distinct accounts with won deals per month."""
     opp = av.opportunities(spark, base).where(F.col("status_code") == "F")
     return rp.distinct_per_period(opp, "account_id", "close_date", "accounts")
+
+
+def close_durations(spark: SparkSession, base: str) -> DataFrame:
+    """Statement 5 (J1, P15): created and signed dates of signed agreements
+    with the account's name and segment (record type)."""
+    ma = av.agreements(spark, base).where(F.col("signed_at").isNotNull())
+    acc = av.accounts(spark, base).select("account_id", "account_name", "segment")
+    return ma.join(acc, "account_id").select("agreement_id", "created_at", "signed_at", "account_name", "segment")
+
+
+def ticket_tags(spark: SparkSession, base: str) -> DataFrame:
+    """Statement 30 for every ticket (A9): its tags as one string. A ticket's
+    tags are distinct, so the string is bounded by the tag vocabulary."""
+    from ..operators.netsales import listagg_distinct
+
+    t = read_table(spark, base, "events").select(F.col("user_id").alias("ticket_id"), F.col("event_type").alias("tag"))
+    return t.groupBy("ticket_id").agg(listagg_distinct(F.col("tag")).alias("tags"))
