@@ -108,17 +108,15 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
     nulls = {"location_name": "string", "location_id": "bigint", "opened_on": "date", "month_no": "bigint",
              "building_short_code": "string", "city": "string", "market": "string",
              "territory": "string", "region": "string"}
-    sel = F.lit("Global") if lv == "Global" else loc_cols[SELECTION[lv]]
-    keys = [
-        F.lit(unit).alias("time_grouping"),
-        F.lit("yes" if include_jv else "no").alias("include_jv_markets"),
-        F.lit(lv).alias("select_grouping"),
-        F.col("v.period").alias("period"),
-        F.col("v.account_id").alias("account_id"),
-        sel.alias("user_selection"),
-    ] + [(loc_cols[c] if shown(c, lv) else F.lit(None).cast(nulls[c])).alias(c) for c in COLUMN_GRAIN]
-
-    j = j.select(*keys, F.col("v.desks_changed").alias("desks"), act.alias("action_type"), F.col("v.transfer_type").alias("transfer_type"),
+    # Group only by what varies; constant and hidden-level columns are added
+    # after the aggregate, so the output stays partitioned by the real keys
+    # (period, account[, location columns]) and a re-aggregation by
+    # (account, period) needs no new shuffle.
+    shown_cols = [c for c in COLUMN_GRAIN if shown(c, lv)]
+    keys = [F.col("v.period").alias("period"), F.col("v.account_id").alias("account_id")] + [
+        loc_cols[c].alias(c) for c in shown_cols]
+    j = j.select(*keys, F.col("v.desks_changed").alias("desks"), act.alias("action_type"),
+                 F.col("v.transfer_type").alias("transfer_type"),
                  F.col("v.date_physical_move").alias("date_physical_move"),
                  F.col("t.location_name").alias("t_location_name"),
                  F.when(act == "Transfer In", F.col("nz.net_zero_upgrades")).alias("nz_up"),
@@ -128,9 +126,7 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
     transfer = F.sum(F.when(F.col("transfer_type").isNotNull(), desks).otherwise(0))
     nz_up = F.sum(F.coalesce(F.col("nz_up"), F.lit(0)))
     nz_down = F.sum(F.coalesce(F.col("nz_down"), F.lit(0)))
-    group = ["time_grouping", "include_jv_markets", "select_grouping", "period", "account_id",
-             "user_selection", *COLUMN_GRAIN]
-    out = j.groupBy(*group).agg(
+    out = j.groupBy("period", "account_id", *shown_cols).agg(
         F.when(transfer > 0, transfer + nz_up).otherwise(nz_up).alias("upgrades"),
         F.when(transfer < 0, transfer + nz_down).otherwise(nz_down).alias("downgrades"),
         F.sum(F.when(act == "Move In", desks).otherwise(0)).alias("new_sales"),
@@ -142,7 +138,16 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
         listagg_distinct(F.when(act == "Transfer In", F.col("t_location_name")))
          .alias("transfer_in_locations"),
     )
-    return out
+    sel = F.lit("Global") if lv == "Global" else F.col(SELECTION[lv])
+    return out.select(
+        F.lit(unit).alias("time_grouping"),
+        F.lit("yes" if include_jv else "no").alias("include_jv_markets"),
+        F.lit(lv).alias("select_grouping"),
+        "period", "account_id", sel.alias("user_selection"),
+        *[(F.col(c) if c in shown_cols else F.lit(None).cast(nulls[c])).alias(c) for c in COLUMN_GRAIN],
+        "upgrades", "downgrades", "new_sales", "churn_notice", "last_date_physical_move",
+        "transfer_out_locations", "transfer_in_locations",
+    )
 
 
 def net_sales_report(detail: DataFrame, accounts: DataFrame) -> DataFrame:
