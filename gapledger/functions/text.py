@@ -44,6 +44,15 @@ def cleanup_map(replace_extras: dict[str, str] | None = None) -> dict[str, str]:
     return m
 
 
+def _strip_ends(e: Column, strip_chars: str) -> Column:
+    """Trim whitespace and ``strip_chars`` from both ends in one anchored
+    match: skip the leading run, then capture up to the last character
+    outside the set. (An unanchored ``[...]+$`` would be retried at every
+    whitespace run of the text.)"""
+    cls = STRIP_WHITESPACE + _class_escape(strip_chars)
+    return F.regexp_extract(e, f"(?s)^[{cls}]*(.*[^{cls}])?", 1)
+
+
 def clean_text(c, strip_chars: str | list[str] = "", replace_extras: dict[str, str] | None = None) -> Column:
     """Text clean-up to a fixed point.
 
@@ -58,19 +67,22 @@ def clean_text(c, strip_chars: str | list[str] = "", replace_extras: dict[str, s
         strip_chars = "".join(strip_chars)
     m = cleanup_map(replace_extras)
     e = _col(c)
-    deletions = [(k, v) for k, v in m.items() if v == ""]
-    others = [(k, v) for k, v in m.items() if v != "" and not (k == "  " and v == " ")]
-    for k, _ in deletions:
-        e = F.replace(e, F.lit(k), F.lit(""))
-    ws = {"\n", "\r", "\t"}
-    if all(m.get(k) == " " for k in ws) and not any(k in ws for k, _ in deletions):
-        e = F.regexp_replace(e, r"[\n\r\t]", " ")
-        others = [(k, v) for k, v in others if k not in ws]
+    for k in [k for k, v in m.items() if v == ""]:
+        e = F.replace(e, F.lit(k), F.lit(""))  # byte search, no per-character map
+    ws_to_space = all(m.get(k) == " " for k in ("\n", "\r", "\t"))
+    collapse = m.get("  ") == " "
+    others = [(k, v) for k, v in m.items() if v != "" and k != "  " and not (ws_to_space and k in ("\n", "\r", "\t"))]
     for k, v in others:
         e = F.replace(e, F.lit(k), F.lit(v))
-    if m.get("  ") == " ":
-        e = F.regexp_replace(e, " {2,}", " ")
-    return F.regexp_replace(e, strip_pattern(strip_chars), "")
+    if ws_to_space and collapse:
+        # CR/LF/TAB to a space and space runs to one space, in one pass
+        e = F.regexp_replace(e, "[\\n\\r\\t ]{2,}|[\\n\\r\\t]", " ")
+    else:
+        if ws_to_space:
+            e = F.regexp_replace(e, "[\\n\\r\\t]", " ")
+        if collapse:
+            e = F.regexp_replace(e, " {2,}", " ")
+    return _strip_ends(e, strip_chars)
 
 
 def clean_text_sql(expr: str) -> str:
