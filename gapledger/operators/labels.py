@@ -87,3 +87,22 @@ def key_flag(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], n
     j = rows.join(t, cond, "left")
     return j.withColumn(name, F.coalesce(F.col(f"__{name}"), F.lit(False))).drop(
         f"__{name}", *[f"__{name}_{i}" for i in range(len(on))])
+
+
+def key_flags(rows: DataFrame, row_key: str, tables: dict[str, DataFrame], key: str = "key") -> DataFrame:
+    """One boolean column per key table: does ``row_key`` appear in it.
+
+    The key tables go through one union and one grouped pass (a key that
+    fills a third of one table is folded map-side), giving one row per key
+    with every flag; the rows then need a single left join on the key
+    instead of one join per table.
+    """
+    names = list(tables)
+    u = None
+    for n in names:
+        part = tables[n].select(F.col(key).alias("__k"), F.lit(n).alias("__t")).where(F.col("__k").isNotNull())
+        u = part if u is None else u.unionByName(part)
+    flags = u.groupBy("__k").agg(*[F.max(F.col("__t") == n).alias(f"__{n}") for n in names])
+    j = rows.join(flags, rows[row_key] == flags["__k"], "left")
+    return j.select(*[F.col(c) for c in rows.columns],
+                    *[F.coalesce(F.col(f"__{n}"), F.lit(False)).alias(n) for n in names])

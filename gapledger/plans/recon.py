@@ -157,9 +157,11 @@ def label_gaps(spark: SparkSession, base: str) -> DataFrame:
     names = av.accounts(spark, base).select("account_id", "account_name")
     g = gaps.join(names, "account_id", "left")
     g = lab.key_flag(g, late_moveouts(spark, base), [("attributed_key", "key"), ("period", "period")], "late_moveout")
-    g = lab.key_flag(g, same_day_pairs(spark, base), [("attributed_key", "key")], "same_day")
-    g = lab.key_flag(g, legacy_keys(spark, base), [("attributed_key", "key")], "legacy")
-    g = lab.key_flag(g, av.reuse_records(spark, base), [("attributed_key", "agreement_uuid")], "reused")
+    g = lab.key_flags(g, "attributed_key", {
+        "same_day": same_day_pairs(spark, base),
+        "legacy": legacy_keys(spark, base),
+        "reused": av.reuse_records(spark, base).select(F.col("agreement_uuid").alias("key")),
+    })
     crm, led, key = F.col("crm_total"), F.col("ledger_total"), F.col("attributed_key")
     rules = [
         (F.contains(F.col("account_name"), F.lit(OWN_ACCOUNT_TEXT)), lab.LABEL_OWN_ACCOUNT),

@@ -73,3 +73,12 @@ def test_resolve_contracts_by_action(spark):
     out = att.resolve_contracts(ledger, reqs, ags, "2018-08-01", "2018-09-01")
     got = sorted((r.reservation_id, r.action_type, r.agreement_uuid) for r in out.collect())
     assert got == [(1, "Move In", "MA-10"), (1, "Move Out", None), (2, "Move In", None)]
+
+
+def test_key_flags_one_join(spark):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    t1 = spark.createDataFrame([("a",), ("a",)], "key string")
+    t2 = spark.createDataFrame([("b",), (None,)], "key string")
+    out = lab.key_flags(rows, "k", {"x": t1, "y": t2}).collect()
+    got = sorted(((r.k or "~"), r.x, r.y) for r in out)
+    assert got == [("a", True, False), ("b", False, True), ("~", False, False)]
