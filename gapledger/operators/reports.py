@@ -51,7 +51,7 @@ def distinct_per_period(df: DataFrame, key: str, ts: str, name: str, unit: str =
 
 
 def compare_counts(a: DataFrame, a_key: str, a_ts: str, b: DataFrame, b_key: str, b_ts: str,
-                   names: tuple[str, str] = ("sf", "looker"), unit: str = "month",
+                   names: tuple[str, str] = ("crm", "ledger"), unit: str = "month",
                    month_of_year_only: bool = False) -> DataFrame:
     """Distinct keys per period in two systems and their difference.
     Inner join on period, as the source did: a period missing on one side
@@ -85,7 +85,7 @@ def segment_volumes(df: DataFrame, ts: str, segment: str, count_col: str, measur
         F.sum(F.when(won_pred, measure)).alias("desks_won"))
 
 
-def reuse_conflicts(df: DataFrame, response: str = "sf_response", found: str = "opportunity_id_found") -> DataFrame:
+def reuse_conflicts(df: DataFrame, response: str = "crm_response", found: str = "opportunity_id_found") -> DataFrame:
     """Classify reuse records (D23): 1 = the CRM created a new opportunity
     where we found one; 2 = it updated one where we found none; 3 = both
     updated, different ids. Rows in no class are dropped."""

@@ -42,7 +42,7 @@ def row_level_reconciliation(spark: SparkSession, base: str, out: str) -> dict[s
     paths = {k: os.path.join(out, k) for k in ("output", "fulloutput", "summary")}
     sinks.write_csv(labelled, paths["output"])
     rr = av.reuse_records(spark, base).select("agreement_uuid", "company_id", "contract_event_type",
-                                              "sf_response")
+                                              "crm_response")
     lineage = recon.agreement_lineage(spark, base).select(
         F.col("ma_uuid"), F.col("ma_created"), F.col("reservation_id"), F.col("reservable"))
     full = rec.enrich_gaps(labelled, rr, [("attributed_key", "agreement_uuid"), ("account_id", "company_id")])

@@ -45,7 +45,7 @@ CTE = {
          CASE WHEN event_type = 'signup' THEN 'New Opportunity : OPP-' || CAST(user_id AS VARCHAR)
               WHEN event_type = 'view' THEN 'Update Opportunity : OPP-' || CAST(user_id AS VARCHAR)
               WHEN event_type = 'click' THEN 'Update Opportunity : OPP-' || CAST(user_id + 1 AS VARCHAR)
-              ELSE 'No Action' END AS sf_response,
+              ELSE 'No Action' END AS crm_response,
          CASE WHEN value >= 50 THEN 'OPP-' || CAST(user_id AS VARCHAR) END AS opportunity_id_found,
          ts AS created_at
   FROM events)""",
@@ -207,7 +207,7 @@ SELECT g.account_id, a.account_name, g.attributed_key, g.period, g.country, g.cr
             ELSE '' END AS reason
 FROM cgaps g LEFT JOIN acc a ON g.account_id = a.account_id""",
     "enrich_gaps": with_("cgaps", "reuse") + """
-SELECT g.account_id, g.attributed_key, g.period, g.net_gap, r.contract_event_type, r.sf_response, r.record_id
+SELECT g.account_id, g.attributed_key, g.period, g.net_gap, r.contract_event_type, r.crm_response, r.record_id
 FROM cgaps g LEFT JOIN reuse r ON g.attributed_key = r.agreement_uuid AND g.account_id = r.company_id""",
     "missing_keys": """
 SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem""",

@@ -21,11 +21,11 @@ d AS (SELECT period, count(*) AS signed FROM s WHERE stage = 'signed' GROUP BY 1
 SELECT a.period, a.opps_open, b.won, c.agreements, d.signed
 FROM a JOIN b ON a.period = b.period JOIN c ON a.period = c.period JOIN d ON a.period = d.period""",
     "compare_counts": with_("opp", "led") + f""",
-sf AS (SELECT {_M.format(c='close_date')} AS period, count(DISTINCT account_id) AS sf
+c AS (SELECT {_M.format(c='close_date')} AS period, count(DISTINCT account_id) AS crm
        FROM opp WHERE status_code = 'F' GROUP BY 1),
-lk AS (SELECT {_M.format(c='date_reserved')} AS period, count(DISTINCT account_id) AS looker
+l AS (SELECT {_M.format(c='date_reserved')} AS period, count(DISTINCT account_id) AS ledger
        FROM led WHERE desks_changed > 0 GROUP BY 1)
-SELECT sf.period, sf.sf, lk.looker, sf - looker AS diff FROM sf JOIN lk ON lk.period = sf.period""",
+SELECT c.period, c.crm, l.ledger, crm - ledger AS diff FROM c JOIN l ON l.period = c.period""",
     "note_share": """
 SELECT period, total, matching, round(100.0 * matching / total, 6) AS share_pct FROM (
   SELECT CAST(ts AS DATE) AS period, count(*) AS total,
@@ -44,11 +44,11 @@ SELECT {_M.format(c='opp.close_date')} AS period, acc.segment AS segment, count(
        CAST(SUM(CASE WHEN opp.status_code = 'F' THEN opp.desks END) AS BIGINT) AS desks_won
 FROM opp JOIN acc ON opp.account_id = acc.account_id GROUP BY 1, 2""",
     "reuse_conflicts": with_("reuse") + """
-SELECT record_id, company_id, sf_response, opportunity_id_found, conflict FROM (
-  SELECT *, CASE WHEN sf_response LIKE '%New Opportunity :%' AND opportunity_id_found IS NOT NULL THEN 1
-                 WHEN sf_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NULL THEN 2
-                 WHEN sf_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NOT NULL
-                      AND sf_response NOT LIKE '%' || opportunity_id_found || '%' THEN 3 END AS conflict
+SELECT record_id, company_id, crm_response, opportunity_id_found, conflict FROM (
+  SELECT *, CASE WHEN crm_response LIKE '%New Opportunity :%' AND opportunity_id_found IS NOT NULL THEN 1
+                 WHEN crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NULL THEN 2
+                 WHEN crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NOT NULL
+                      AND crm_response NOT LIKE '%' || opportunity_id_found || '%' THEN 3 END AS conflict
   FROM reuse) t
 WHERE conflict IS NOT NULL""",
     "tag_effort": """
@@ -85,12 +85,12 @@ FROM part r JOIN lineitem cr ON cr.l_partkey = r.p_partkey JOIN orders ma ON ma.
 WHERE r.p_type = 'ECONOMY'
 GROUP BY datepart, status""",
     "month_of_year_compare": with_("opp", "led") + """,
-looker AS (SELECT CAST(date_part('month', date_reserved) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
+ledger_m AS (SELECT CAST(date_part('month', date_reserved) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
            FROM led WHERE desks_changed > 0 GROUP BY 1),
-salesforce AS (SELECT CAST(date_part('month', close_date) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
+crm_m AS (SELECT CAST(date_part('month', close_date) AS INTEGER) AS month, count(DISTINCT account_id) AS cnt
                FROM opp WHERE status_code = 'F' GROUP BY 1)
-SELECT salesforce.month, salesforce.cnt AS sf, looker.cnt AS looker, salesforce.cnt - looker.cnt AS diff
-FROM salesforce JOIN looker ON looker.month = salesforce.month""",
+SELECT crm_m.month, crm_m.cnt AS crm, ledger_m.cnt AS ledger, crm_m.cnt - ledger_m.cnt AS diff
+FROM crm_m JOIN ledger_m ON ledger_m.month = crm_m.month""",
     "execution_errors": """
 SELECT count(o_orderkey) AS n FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL""",
     "close_durations": """

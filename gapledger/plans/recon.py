@@ -182,11 +182,11 @@ def enrich_gaps(spark: SparkSession, base: str) -> DataFrame:
     agreement and company (left join keeps every gap row)."""
     gaps = reconcile_contracts(spark, base)
     rr = av.reuse_records(spark, base).select(
-        "agreement_uuid", "company_id", "contract_event_type", "sf_response", "record_id")
+        "agreement_uuid", "company_id", "contract_event_type", "crm_response", "record_id")
     out = rec.enrich_gaps(gaps, rr, [("attributed_key", "agreement_uuid"), ("account_id", "company_id")],
                           salt_by=["record_id"])
     return out.select("account_id", "attributed_key", "period", "net_gap",
-                      "contract_event_type", "sf_response", "record_id")
+                      "contract_event_type", "crm_response", "record_id")
 
 
 def missing_keys(spark: SparkSession, base: str) -> DataFrame:

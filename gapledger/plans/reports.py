@@ -71,7 +71,7 @@ def segment_volumes(spark: SparkSession, base: str) -> DataFrame:
 def reuse_conflicts(spark: SparkSession, base: str) -> DataFrame:
     """D23 over the reuse records built from events."""
     rr = av.reuse_records(spark, base)
-    return rp.reuse_conflicts(rr).select("record_id", "company_id", "sf_response",
+    return rp.reuse_conflicts(rr).select("record_id", "company_id", "crm_response",
                                          "opportunity_id_found", "conflict")
 
 

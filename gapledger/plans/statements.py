@@ -25,14 +25,14 @@ def month_of_year_compare(spark: SparkSession, base: str) -> DataFrame:
     alias (A13) and a difference written with the select-list aliases (P7)."""
     _views(spark, base)
     return spark.sql("""
-WITH looker AS (
+WITH ledger_m AS (
   SELECT CAST(date_part('MONTH', t.date_reserved) AS INT) AS month, count(DISTINCT t.account_id) AS cnt
   FROM gl_transaction t WHERE t.desks_changed > 0 GROUP BY month),
-salesforce AS (
+crm_m AS (
   SELECT CAST(date_part('MONTH', o.close_date) AS INT) AS month, count(DISTINCT o.account_id) AS cnt
   FROM gl_opportunity o WHERE o.stage_name = 'Closed Won' GROUP BY month)
-SELECT salesforce.month, salesforce.cnt AS sf, looker.cnt AS looker, sf - looker AS diff
-FROM salesforce JOIN looker ON looker.month = salesforce.month""")
+SELECT crm_m.month, crm_m.cnt AS crm, ledger_m.cnt AS ledger, crm - ledger AS diff
+FROM crm_m JOIN ledger_m ON ledger_m.month = crm_m.month""")
 
 
 def execution_errors(spark: SparkSession, base: str) -> DataFrame:

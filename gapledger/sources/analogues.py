@@ -216,7 +216,7 @@ def reuse_records(spark: SparkSession, base: str) -> DataFrame:
         F.concat(F.lit("C-"), F.col("event_id").cast("string")).alias("agreement_uuid"),
         F.col("event_type").alias("contract_event_type"),
         F.col("props").alias("contract_event_params"),
-        resp.alias("sf_response"),
+        resp.alias("crm_response"),
         F.when(F.col("value") >= 50, own).alias("opportunity_id_found"),
         F.col("ts").alias("created_at"),
     )
