@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, top: int = 1000) -> DataFrame:
     """Keys with at least ``min_rows`` rows, at most ``top`` of them (the
     largest). A grouped count (partial-aggregated) and a top-k: the result
-    has at most ``top`` rows, so it may be broadcast."""
+    has at most ``top`` rows, so it may be broadcast. Ties are broken by the
+    key, so every evaluation (both sides of the join, a retried stage)
+    picks the same keys."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    return counts.where(F.col("__rows") >= min_rows).orderBy(F.col("__rows").desc()).limit(top).drop("__rows")
+    order = [F.col("__rows").desc()] + [F.col(k).asc_nulls_last() for k in keys]
+    return counts.where(F.col("__rows") >= min_rows).orderBy(*order).limit(top).drop("__rows")
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],

@@ -180,6 +180,16 @@ def missing_keys(a: DataFrame, b: DataFrame, key: str, b_key: str | None = None)
     return left.join(right, left[key].eqNullSafe(right["__k"]), "left_anti")
 
 
+def incomplete_rows(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The rows lacking any of ``cols`` (P16, D17), with one flag per column."""
+    flags = [F.col(c).isNull().alias(f"lacks_{c}") for c in cols]
+    any_null = None
+    for c in cols:
+        x = F.col(c).isNull()
+        any_null = x if any_null is None else any_null | x
+    return df.where(any_null).select(*keep, *flags)
+
+
 def completeness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Row count and, per column, the rows where it is null."""
     return df.agg(

@@ -222,6 +222,16 @@ SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE contract_id IS NULL) AS missing_contract_id,
        count(*) FILTER (WHERE contract_signed_on IS NULL) AS missing_contract_signed_on
 FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey""",
+    "incomplete_rows": """
+WITH li AS (
+  SELECT l_orderkey, min(l_shipdate) AS contract_sent_date,
+         min(CASE WHEN l_returnflag = 'R' THEN l_orderkey END) AS contract_id,
+         min(CASE WHEN l_linestatus = 'F' THEN l_shipdate END) AS contract_signed_on
+  FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey, contract_sent_date IS NULL AS lacks_contract_sent_date,
+       contract_id IS NULL AS lacks_contract_id, contract_signed_on IS NULL AS lacks_contract_signed_on
+FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey
+WHERE contract_sent_date IS NULL OR contract_id IS NULL OR contract_signed_on IS NULL""",
     "agreement_lineage": """
 SELECT ma.o_custkey AS account_id, ma.o_orderdate AS ma_created, cr.l_shipdate AS cr_created,
        r.p_partkey AS reservation_id, 'C-' || CAST(ma.o_orderkey AS VARCHAR) AS ma_uuid,

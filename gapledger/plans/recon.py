@@ -196,17 +196,30 @@ def missing_keys(spark: SparkSession, base: str) -> DataFrame:
                             "o_orderkey", "l_orderkey")
 
 
-def completeness(spark: SparkSession, base: str) -> DataFrame:
-    """Opportunities lacking a sent date (first ship date of the order),
-    a contract (a returned line) or a signed date (a shipped F line)."""
+COMPLETENESS_COLS = ["contract_sent_date", "contract_id", "contract_signed_on"]
+
+
+def _opportunity_contract_dates(spark: SparkSession, base: str) -> DataFrame:
+    """Opportunities with sent date (first ship date of the order), contract
+    (a returned line) and signed date (a shipped F line); null when absent.
+    Lines are reduced per order before the join, so orders never repeat."""
     from ..sources.tables import read_table
     li = read_table(spark, base, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("contract_sent_date"),
         F.min(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey"))).alias("contract_id"),
         F.min(F.when(F.col("l_linestatus") == "F", F.col("l_shipdate"))).alias("contract_signed_on"))
     o = read_table(spark, base, "orders").select("o_orderkey")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
-    return rec.completeness(j, ["contract_sent_date", "contract_id", "contract_signed_on"])
+    return o.join(li, o.o_orderkey == li.l_orderkey, "left")
+
+
+def completeness(spark: SparkSession, base: str) -> DataFrame:
+    """Counts of opportunities lacking each value."""
+    return rec.completeness(_opportunity_contract_dates(spark, base), COMPLETENESS_COLS)
+
+
+def incomplete_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The opportunities lacking any of the values, with flags."""
+    return rec.incomplete_rows(_opportunity_contract_dates(spark, base), COMPLETENESS_COLS, keep=["o_orderkey"])
 
 
 def agreement_lineage(spark: SparkSession, base: str) -> DataFrame:

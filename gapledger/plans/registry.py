@@ -22,6 +22,7 @@ QUERIES = {
     "enrich_gaps": recon.enrich_gaps,
     "missing_keys": recon.missing_keys,
     "completeness": recon.completeness,
+    "incomplete_rows": recon.incomplete_rows,
     "agreement_lineage": recon.agreement_lineage,
     "net_sales_global": netsales.net_sales_global,
     "net_sales_region": netsales.net_sales_region,

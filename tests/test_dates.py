@@ -58,3 +58,13 @@ def test_r1_filter_reaches_parquet(spark, base):
     plan = li.where(period_in_range("l_shipdate", "month", "1996-01-01", "1996-03-01")) \
              ._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+
+
+def test_impossible_date_literal_raises(spark):
+    import pytest
+    from gapledger.functions.dates import ts_lit
+    df = spark.range(1)
+    with pytest.raises(Exception):
+        df.select(ts_lit("2018-04-31")).collect()
+    with pytest.raises(Exception):
+        df.select(ts_lit("2018-04-3-")).collect()
