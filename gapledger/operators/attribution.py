@@ -65,16 +65,17 @@ def resolve_contracts(ledger: DataFrame, requests: DataFrame, agreements: DataFr
     v = ledger
     if start is not None or end is not None:
         v = v.where(half_open("date_reserved", start, end))
-    flags = request_flags(requests, start, end).alias("cr")
+    # The agreement uuid is attached to the (small) flag table first, so the
+    # ledger is joined once, on the reservation key it is already partitioned
+    # by, instead of being shuffled again by agreement id.
+    ma = agreements.select("agreement_id", "agreement_uuid")
+    flags = request_flags(requests, start, end).join(ma, "agreement_id", "left").alias("cr")
     v = v.alias("v")
     is_in = F.col("v.action_type").isin(*IN_ACTIONS)
     is_out = F.col("v.action_type").isin(*OUT_ACTIONS)
     cond = (F.col("v.reservation_id") == F.col("cr.reservation_id")) & (
         (is_in & F.col("cr.has_start")) | (is_out & F.col("cr.has_end")))
-    ma = agreements.select("agreement_id", "agreement_uuid").alias("ma")
-    return (v.join(flags, cond, "left")
-             .join(ma, F.col("cr.agreement_id") == F.col("ma.agreement_id"), "left")
-             .select("v.*", F.col("ma.agreement_uuid")))
+    return v.join(flags, cond, "left").select("v.*", F.col("cr.agreement_uuid"))
 
 
 def agreement_lineage(requests: DataFrame, agreements: DataFrame, reservations: DataFrame,
