@@ -86,13 +86,17 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
     v = v.withColumn("period", period("date_reserved", unit)).alias("v")
     t = locations.alias("t")
     nz = net_zero_transfers(facts, unit).alias("nz")
-    j = v.join(t, F.col("v.location_id") == F.col("t.location_id"), "left")
-    if not include_jv:
-        j = j.where(~F.col("t.is_joint_venture"))
     act = F.col("v.action_type")
-    j = j.join(nz, (F.col("v.reservation_id") == F.col("nz.reservation_id"))
-               & (F.col("v.period") == F.col("nz.period"))
+    # Net-zero rows first, keyed by the reservation alone: the ledger is
+    # still partitioned by it from its own join, so this join moves only the
+    # (small) net-zero table. The period is a residual test; a reservation
+    # has at most one net-zero row per period.
+    j = v.join(nz, (F.col("v.reservation_id") == F.col("nz.reservation_id"))
+               & (F.datediff(F.col("v.period"), F.col("nz.period")) == 0)
                & act.isin("Transfer In", "Transfer Out"), "left")
+    j = j.join(t, F.col("v.location_id") == F.col("t.location_id"), "left")
+    if not include_jv:
+        j = j.where(~F.col("t.is_joint_venture"))
 
     loc_cols = {
         "location_name": F.col("t.location_name"),
