@@ -23,21 +23,48 @@ _DEFAULTS = {
 }
 
 
+def shuffle_sizing(input_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle settings for a run over ``input_bytes`` of parquet on
+    ``total_cores`` executor cores.
+
+    The widest shuffles here (ledger joins and aggregates) move about as many
+    bytes as the ledger scan reads, so the partition count is the input
+    divided by the target partition size (128 MB keeps a partition well inside
+    one core's share of executor memory, with room to spill), never fewer
+    than two waves of cores. AQE then coalesces partitions of small stages
+    towards the same advisory size and splits skewed ones above five times
+    the median.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def get_session(
     app: str = "gapledger",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Return the active session, or build one with the defaults above.
 
     ``master`` and ``shuffle_partitions`` are only applied when given; on a
-    cluster leave them out and size partitions with spark-submit.
+    cluster pass ``input_bytes`` and ``total_cores`` (or size partitions with
+    spark-submit).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULTS)
+    if input_bytes and total_cores:
+        conf.update(shuffle_sizing(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -30,3 +30,11 @@ def test_checkpoint_uses_configured_dir(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = cut_lineage(spark.range(5))
     assert df.count() == 5
+
+
+def test_shuffle_sizing():
+    from gapledger.session import shuffle_sizing
+    big = shuffle_sizing(100 * 2**40, 8000)          # 100 TB on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    small = shuffle_sizing(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
