@@ -23,25 +23,25 @@ _DEFAULTS = {
 }
 
 
-def shuffle_sizing(input_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+def shuffle_sizing(input_bytes: int, total_cores: int, scan_bytes: int = 256 << 20,
+                   input_per_partition: int = 512 << 20, max_partitions: int = 100_000) -> dict[str, str]:
     """Shuffle settings for a run over ``input_bytes`` of parquet on
     ``total_cores`` executor cores.
 
-    The widest shuffles here (ledger joins and aggregates) move about as many
-    bytes as the ledger scan reads, so the partition count is the input
-    divided by the target partition size (128 MB keeps a partition well inside
-    one core's share of executor memory, with room to spill), never fewer
-    than two waves of cores. AQE then coalesces partitions of small stages
-    towards the same advisory size and splits skewed ones above five times
-    the median.
+    One shuffle partition per ``input_per_partition`` of input: the shuffles
+    here carry pruned columns and partial aggregates, a fraction of the input
+    bytes, so a partition stays a few hundred MB and spills gracefully. At
+    least two waves of cores; at most ``max_partitions``, because map tasks x
+    reduce partitions is the number of shuffle blocks. AQE coalesces small
+    stages towards the advisory size and splits skewed partitions.
     """
-    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    parts = min(max_partitions, max(2 * total_cores, -(-input_bytes // input_per_partition)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
     }
 
 

@@ -34,7 +34,9 @@ def test_checkpoint_uses_configured_dir(spark):
 
 def test_shuffle_sizing():
     from gapledger.session import shuffle_sizing
-    big = shuffle_sizing(100 * 2**40, 8000)          # 100 TB on 8,000 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    big = shuffle_sizing(100 * 2**40, 8000)          # 100 TB on 8,000 cores: capped
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    mid = shuffle_sizing(2**40, 8000)                # 1 TB: 2,048 by size, 16,000 by cores
+    assert mid["spark.sql.shuffle.partitions"] == "16000"
     small = shuffle_sizing(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
