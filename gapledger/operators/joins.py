@@ -62,3 +62,19 @@ def salted_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str,
     for lc, rc in on:
         cond = cond & (lt[lc] == r[rc])
     return lt.join(r, cond, "left").drop(lt["__salt"]).drop(r["__salt"])
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
+                   max_rows: int = 10_000_000) -> DataFrame:
+    """Join a fact table to a dimension, broadcasting the dimension only
+    after checking its size.
+
+    The dimension (already projected to the columns needed) is counted -- a
+    job over the dimension alone. Up to ``max_rows`` rows it is broadcast,
+    so the fact side is not shuffled at all; beyond that the join is left to
+    the planner (shuffle join, AQE). The planner alone would decide from a
+    file-size estimate before the job, or only after the fact side had
+    already been shuffled.
+    """
+    small = dim.count() <= max_rows
+    return fact.join(F.broadcast(dim) if small else dim, on, how)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_diff, month_diff, period, period_in_range
+from .joins import dimension_join
 
 # The selectable levels, finest first. A location column is
 # shown at its own level and every finer one, null at coarser levels.
@@ -94,7 +95,7 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
     j = v.join(nz, (F.col("v.reservation_id") == F.col("nz.reservation_id"))
                & (F.datediff(F.col("v.period"), F.col("nz.period")) == 0)
                & act.isin("Transfer In", "Transfer Out"), "left")
-    j = j.join(t, F.col("v.location_id") == F.col("t.location_id"), "left")
+    j = dimension_join(j, t, F.col("v.location_id") == F.col("t.location_id"), "left")
     if not include_jv:
         j = j.where(~F.col("t.is_joint_venture"))
 

@@ -13,6 +13,7 @@ from ..functions.dates import period
 from ..operators import attribution as att
 from ..operators import labels as lab
 from ..operators import reconcile as rec
+from ..operators.joins import dimension_join
 from ..sources import analogues as av
 from ..sources.tables import read_table
 
@@ -92,7 +93,7 @@ def resolved_ledger(spark: SparkSession, base: str, start=None, end=None) -> Dat
     v = att.resolve_contracts(av.ledger(spark, base), av.change_requests(spark, base),
                               av.agreements(spark, base), start, end)
     loc = av.locations(spark, base).select("location_id", "country", "country_key")
-    v = v.join(loc, "location_id", "left")
+    v = dimension_join(v, loc, "location_id", "left")
     key = att.attribution_key(F.col("reservable_type") == av.HOT_DESK_LEDGER, F.col("country"),
                               av.EXCLUDED_NATIONS,
                               F.concat(F.lit("R-"), F.col("account_id").cast("string")),

@@ -17,3 +17,13 @@ def test_salted_left_join_same_rows(spark):
     b = sorted((tuple(r) for r in salted.select("lid", "k", "rk", "rid").collect()), key=lambda t: (t[0], t[3] or -1))
     assert a == b and len(a) == 2 * 450 + 49 + 2
     assert [r.rk for r in hot_keys(right, ["rk"], 100).collect()] == ["hot"]
+
+
+def test_dimension_join_checks_size(spark):
+    from gapledger.operators.joins import dimension_join
+    fact = spark.range(100).withColumn("k", F.col("id") % 10)
+    dim = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = dimension_join(fact, dim, "k", "left", max_rows=10)
+    big = dimension_join(fact, dim, "k", "left", max_rows=5)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
