@@ -156,3 +156,63 @@ def status_by_month(reservations: DataFrame, change_requests: DataFrame, agreeme
     j = r.join(cr, F.col("r_id") == cr.reservation_id).join(ma, "ma_id")
     out = j.groupBy(month_of_year("created_at").alias("datepart"), "status").agg(F.count("ma_id").alias("n"))
     return od.sort_report(out, ("datepart", "asc"))
+
+
+def close_durations(agreements: DataFrame, account: DataFrame, record_type: DataFrame, after) -> DataFrame:
+    """Created and signed dates of signed agreements with the account's name
+    and record type (statement 5, J1, P15)."""
+    a = account.select(F.col("uuid_c").alias("a_uuid"), F.col("name").alias("account_name"), "record_type_id")
+    t = record_type.select(F.col("id").alias("rt_id"), F.col("name").alias("record_type"))
+    ma = agreements.where((F.col("created_at") >= F.lit(str(after)).cast("timestamp_ntz"))
+                          & F.col("signed_at").isNotNull())
+    return (ma.join(a, ma.account_uuid == F.col("a_uuid")).join(t, F.col("record_type_id") == F.col("rt_id"))
+              .select("created_at", "signed_at", "account_name", "record_type_id", "record_type"))
+
+
+def requests_with_notes(change_requests: DataFrame, after) -> DataFrame:
+    """Requests with notes created after a date (statement 12, P1, P15)."""
+    return change_requests.where(open_range("created_at", after) & F.col("notes").isNotNull()).select(
+        "id", "created_at", "uuid", "executed_at", "membership_agreement_id", "sf_opportunity_id",
+        "account_uuid", "notes")
+
+
+def primary_requests_with_notes(change_requests: DataFrame, start, end) -> DataFrame:
+    """Count of primary requests with notes in [start, end) (statement 14)."""
+    return change_requests.where(half_open("created_at", start, end) & (F.col("reservation_type") == PRIMARY)
+                                 & F.col("notes").isNotNull()).agg(F.count("id").alias("n"))
+
+
+def reuse_records_with_segment(records: DataFrame, account: DataFrame, record_type: DataFrame,
+                               start, end) -> DataFrame:
+    """Reuse records of a closed date range with the company's record type
+    (statement 15, J1, P9)."""
+    a = account.select(F.col("uuid_c").alias("a_uuid"), "record_type_id")
+    t = record_type.select(F.col("id").alias("rt_id"), F.col("name").alias("record_type"))
+    r = records.where(closed_range("created_at", start, end))
+    return (r.join(a, r.company_uuid == F.col("a_uuid")).join(t, F.col("record_type_id") == F.col("rt_id"))
+              .drop("a_uuid", "rt_id", "record_type_id"))
+
+
+def merge_tickets_per_day(ticket: DataFrame, after) -> DataFrame:
+    """Tickets per day: created after the date with "merge" in the subject,
+    or any ticket with "merging" in it -- the OR arm is not bound by the
+    date, as in the source (statement 22, P21)."""
+    subj = F.lower(F.col("subject"))
+    pred = (open_range("created_at", after) & subj.like("%merge%")) | subj.like("%merging%")
+    out = ticket.where(pred).groupBy(F.to_date("created_at").alias("date")).agg(F.count("id").alias("n"))
+    return od.sort_report(out, ("date", "asc"))
+
+
+def tickets_matching_per_month(ticket: DataFrame, pattern: str, after) -> DataFrame:
+    """Tickets whose subject matches ``pattern`` per month of year
+    (statement 25, F9, P17; case-sensitive, as the source's LIKE)."""
+    t = ticket.where(open_range("created_at", after) & F.col("subject").like(pattern))
+    return t.groupBy(month_of_year("created_at").alias("month_created")).agg(F.count("id").alias("n"))
+
+
+def solved_tickets(ticket: DataFrame, category: str, after, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct solved tickets of a category created from a date (statements
+    26-27, P25): all columns, or the given ones."""
+    t = ticket.where((F.col("created_at") >= F.lit(str(after)).cast("timestamp_ntz"))
+                     & (F.col("custom_digital_category") == category) & (F.col("status") == "solved"))
+    return (t.select(*columns) if columns else t).distinct()

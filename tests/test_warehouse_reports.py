@@ -60,3 +60,17 @@ def test_tickets_and_misc(spark):
     assert wr.ids_in_both_statuses(r, cr, ag, "Global Access", "2018-01-01").count() == 0
     sbm = [tuple(x) for x in wr.status_by_month(r, cr, ag, "Global Access", "2018-01-01").collect()]
     assert sorted(sbm) == [(2, "executed", 2), (3, "sent", 1)]
+
+
+def test_ticket_statements(spark):
+    t = spark.createDataFrame([
+        (1, "Please merge", D(2018, 2, 1), D(2018, 2, 2), "c", "solved"),
+        (2, "merging accounts", D(2016, 1, 1), D(2016, 1, 2), "c", "solved"),
+        (3, "merge old", D(2016, 1, 1), D(2016, 1, 2), "c", "open"),
+        (4, "missing desk", D(2018, 3, 1), D(2018, 3, 2), "d", "solved"),
+    ], "id long, subject string, created_at timestamp_ntz, updated_at timestamp_ntz, "
+       "custom_digital_category string, status string")
+    assert [(str(r.date), r.n) for r in wr.merge_tickets_per_day(t, "2017-01-01").collect()] == [
+        ("2016-01-01", 1), ("2018-02-01", 1)]
+    assert [tuple(r) for r in wr.tickets_matching_per_month(t, "%missing%", "2018-01-01").collect()] == [(3, 1)]
+    assert wr.solved_tickets(t, "c", "2017-01-01", ["created_at", "updated_at"]).count() == 1
