@@ -56,3 +56,7 @@ def test_flags_with_hot_key(spark):
 def test_skew_join_setting_on(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_force_skew_split_on(spark):
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
