@@ -60,3 +60,33 @@ def test_skew_join_setting_on(spark):
 
 def test_force_skew_split_on(spark):
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_hot_key_join_under_aggregate_is_split(spark):
+    """A join on a hot key with an aggregate on the same key above it: AQE
+    splits the hot partition (the session forces it) and results stay exact."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = spark.range(200000).select(
+            F.when(F.col("id") < 100000, F.lit(0)).otherwise(F.col("id") % 1000).alias("k"),
+            F.col("id").alias("v"), (F.col("id") % 7).alias("g"))
+        dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("attr"))
+        out = fact.join(dim, "k", "left").groupBy("k", "g").agg(F.sum("v").alias("s"), F.min("attr").alias("a"))
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isSkew=true" in plan or "skew=true" in plan
+        hot = {r.g: r.s for r in rows if r.k == 0}
+        assert sum(hot.values()) == sum(range(100000)) + sum(i for i in range(100000, 200000) if i % 1000 == 0)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
