@@ -74,19 +74,26 @@ def legacy_keys(opps: DataFrame, key: str, won_pred: Column, date_col: str, cuto
                 .where(F.col("first_close") < F.lit(cutoff).cast("timestamp_ntz")))
 
 
-def key_flag(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], name: str) -> DataFrame:
+def key_flag(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], name: str,
+             same_date: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Left-join a key table (unique on its keys) and set a boolean flag
     (J15). The key table is distinct by construction, so rows never
-    multiply."""
-    t = table.select(*[F.col(tc).alias(f"__{name}_{i}") for i, (_, tc) in enumerate(on)]).distinct()
+    multiply. ``same_date`` pairs are date columns compared as a residual
+    test rather than as join keys, so the join is keyed by ``on`` alone and
+    can reuse a partitioning of ``rows`` by those columns."""
+    cols = list(on) + list(same_date)
+    t = table.select(*[F.col(tc).alias(f"__{name}_{i}") for i, (_, tc) in enumerate(cols)]).distinct()
     t = t.withColumn(f"__{name}", F.lit(True))
     cond = None
-    for i, (rc, _) in enumerate(on):
-        c = rows[rc] == t[f"__{name}_{i}"]
+    for i, (rc, _) in enumerate(cols):
+        if i < len(on):
+            c = rows[rc] == t[f"__{name}_{i}"]
+        else:
+            c = F.datediff(rows[rc], t[f"__{name}_{i}"]) == 0
         cond = c if cond is None else cond & c
     j = rows.join(t, cond, "left")
     return j.withColumn(name, F.coalesce(F.col(f"__{name}"), F.lit(False))).drop(
-        f"__{name}", *[f"__{name}_{i}" for i in range(len(on))])
+        f"__{name}", *[f"__{name}_{i}" for i in range(len(cols))])
 
 
 def key_flags(rows: DataFrame, row_key: str, tables: dict[str, DataFrame], key: str = "key") -> DataFrame:

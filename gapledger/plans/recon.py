@@ -158,12 +158,15 @@ def label_gaps(spark: SparkSession, base: str) -> DataFrame:
     gaps = reconcile_contracts(spark, base)
     names = av.accounts(spark, base).select("account_id", "account_name")
     g = gaps.join(names, "account_id", "left")
-    g = lab.key_flag(g, late_moveouts(spark, base), [("attributed_key", "key"), ("period", "period")], "late_moveout")
+    # Both lookups are keyed by the attribution key alone (the period of the
+    # late move-outs is a residual test), so the gap rows are shuffled once.
     g = lab.key_flags(g, "attributed_key", {
         "same_day": same_day_pairs(spark, base),
         "legacy": legacy_keys(spark, base),
         "reused": av.reuse_records(spark, base).select(F.col("agreement_uuid").alias("key")),
     })
+    g = lab.key_flag(g, late_moveouts(spark, base), [("attributed_key", "key")], "late_moveout",
+                     same_date=[("period", "period")])
     crm, led, key = F.col("crm_total"), F.col("ledger_total"), F.col("attributed_key")
     rules = [
         (F.contains(F.col("account_name"), F.lit(OWN_ACCOUNT_TEXT)), lab.LABEL_OWN_ACCOUNT),
