@@ -75,7 +75,7 @@ def crm_contract_keys(spark: SparkSession, base: str) -> DataFrame:
     null country goes by reservation."""
     opp = av.opportunities(spark, base)
     acc = av.accounts(spark, base).select("account_id", "country", "country_key")
-    o = opp.join(acc, "account_id", "left")
+    o = dimension_join(opp, acc, "account_id", "left")
     key = att.attribution_key(F.col("type_c") == av.HOT_DESK_PRIORITY, F.col("country"),
                               av.EXCLUDED_NATIONS, F.col("reservation_key"),
                               F.col("contract_key"), null_country="a")
@@ -157,7 +157,7 @@ def label_gaps(spark: SparkSession, base: str) -> DataFrame:
     """Every contract-grain gap row with its first matching reason."""
     gaps = reconcile_contracts(spark, base)
     names = av.accounts(spark, base).select("account_id", "account_name")
-    g = gaps.join(names, "account_id", "left")
+    g = dimension_join(gaps, names, "account_id", "left")
     # Both lookups are keyed by the attribution key alone (the period of the
     # late move-outs is a residual test), so the gap rows are shuffled once.
     g = lab.key_flags(g, "attributed_key", {
