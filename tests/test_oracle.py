@@ -8,10 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gapledger.plans.registry import ORACLE as SQL, QUERIES
 from gapledger.sources.tables import TABLES
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
 
 
 def _norm(v):
