@@ -89,7 +89,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
                       F.lit("").alias("host"), "path", F.lit(0).alias("kind"), "stack"))
     sweep = Window.partitionBy("key", "salt").orderBy("path", "kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    swept = (salted.unionByName(starts)
+    # by key alone the window would be satisfied with all of a host in one task
+    swept = (salted.unionByName(starts).repartition("key", "salt")
              .withColumn("stack", F.last("stack", ignorenulls=True).over(sweep))
              .where("kind = 1"))
     active = F.filter("stack", lambda s: F.startswith(F.col("path"), s["path"]))
