@@ -91,3 +91,86 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+class WordCache:
+    """Rows of numbers that depend on a word alone, computed once per distinct
+    word and kept while the Python worker lives; emptied beyond ``limit``
+    words, so its memory is bounded whatever the corpus holds."""
+
+    def __init__(self, compute, limit: int = 400_000):
+        self.compute, self.limit = compute, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.vocab, self.rows = Vocabulary(), None
+
+    def rows_of(self, documents: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each word of all documents, first word of each document and
+        the end): rows[starts[i]:starts[i + 1]] belong to document i."""
+        if len(self.vocab) > self.limit:
+            self.clear()
+        ids = [self.vocab.ids(ws) for ws in documents]
+        starts = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum([len(x) for x in ids], out=starts[1:])
+        have = 0 if self.rows is None else len(self.rows)
+        if len(self.vocab) > have or self.rows is None:
+            from itertools import islice
+
+            new = self.compute(list(islice(self.vocab, have, None)))
+            self.rows = new if self.rows is None else np.concatenate([self.rows, new])
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        return flat, starts
+
+
+_CACHES: dict[str, WordCache] = {}
+
+
+def worker_cache(key: str, make) -> WordCache:
+    """The cache of this Python worker for a model; only the last model's stays."""
+    if key not in _CACHES:
+        _CACHES.clear()
+        _CACHES[key] = make()
+    return _CACHES[key]
+
+
+def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` (rows) between consecutive ``starts``; empty runs are 0."""
+    total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
+    np.cumsum(values, axis=0, out=total[1:])
+    return total[starts[1:]] - total[starts[:-1]]
+
+
+def output_columns(df: DataFrame, made: dict[str, str], drop: tuple[str, ...] = ()) -> str:
+    """Schema of ``df`` without columns that bear a result's name, then ``made``."""
+    kept = [f for f in df.schema.fields if f.name not in made and f.name not in drop]
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{k} {v}" for k, v in made.items()])
+
+
+def with_columns(part: pa.RecordBatch, made: dict[str, np.ndarray], drop: tuple[str, ...] = ()) -> pa.RecordBatch:
+    names = [n for n in part.schema.names if n not in made and n not in drop]
+    return pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(v) for v in made.values()],
+                                      names=names + list(made))
+
+
+def smallest(df: DataFrame, column: str, n: int) -> DataFrame:
+    """``n`` rows, those with the smallest hash of ``column``: a bounded sample
+    that does not depend on the order of the rows."""
+    return df.orderBy(F.xxhash64(column), column).limit(n)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 300) -> np.ndarray:
+    """Weights (last: bias) of a lightly regularised logistic regression, by Newton."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    for _ in range(min(steps, 50)):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        g = x.T @ (p - y) + 1e-2 * w
+        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+        step = np.linalg.solve(h, g)
+        w -= step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
+    return w
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -35, 35)))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, line_quality, url_rules
-from .common import table
+from . import chat_format, ctw, decontam, language, line_quality, packing, parity_join, pu_quality, toxicity, url_rules
+from .common import crc_remainder, table
 from .oracle import SQL
 
 #: (action, host, path)
@@ -20,22 +21,75 @@ def op1_chat_format(spark: SparkSession, base: str) -> DataFrame:
     return chat_format.format_conversations(spark, rows.unionByName(extra))
 
 
+def op2_language(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op3_line_quality(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "source", "text")
     return line_quality.quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    labels = table(spark, base, "labels").select("doc_id", "toxic")
+    held_out = crc_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+def op5_packing(spark: SparkSession, base: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    return packing.pack_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_pu_quality(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    labels = table(spark, base, "labels").select("doc_id", "quality")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = pu_quality.fit(docs.where(~held_out), labels.where(~held_out))
+    return pu_quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+def op7_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    return decontam.contaminated(docs, table(spark, base, "benchmark"))
+
+
+def op8_parity_join(spark: SparkSession, base: str) -> DataFrame:
+    return parity_join.jaccard_components(table(spark, base, "documents").select("doc_id", "text"))
+
+
 def op9_url_rules(spark: SparkSession, base: str) -> DataFrame:
     pages = table(spark, base, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_ctw(spark: SparkSession, base: str) -> DataFrame:
+    held_out = crc_remainder("doc_id", 5) == 1
+    docs = table(spark, base, "documents").select("doc_id", "text", (~held_out).alias("training"))
+    return ctw.score_texts(docs).select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_language": op2_language,
     "op3_line_quality": op3_line_quality,
+    "op4_toxicity": op4_toxicity,
+    "op5_packing": op5_packing,
+    "op6_pu_quality": op6_pu_quality,
+    "op7_decontamination": op7_decontamination,
+    "op8_parity_join": op8_parity_join,
     "op9_url_rules": op9_url_rules,
+    "op10_ctw": op10_ctw,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
