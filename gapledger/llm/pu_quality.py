@@ -205,3 +205,17 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
             yield with_columns(part, {"score": s, "predicted": (s >= threshold).astype(np.int32)}, (text,))
 
     return docs.mapInArrow(run, output_columns(docs, made, (text,)))
+
+
+def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that ``score`` would predict as 1, as they are;
+    with no model all of them."""
+    if model is None:
+        return docs
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def run(batches):
+        for part, x in _feature_batches(batches, text):
+            yield part.filter(pa.array(model.score(x) >= threshold))
+
+    return docs.mapInArrow(run, columns)

@@ -14,6 +14,7 @@ sample is bounded; every text is scored whole, in tasks.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -201,24 +202,39 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
     return train([bytes(r._text).lower().split() for r in got], np.array([r.label == 1 for r in got]), shape)
 
 
+def _scored(batches, shared, name: str, text: str):
+    """(rows, score of each) in slices of bounded size."""
+    m = shared.value
+    cache = worker_cache(name, lambda: WordCache(m.word_rows if m else lambda ws: np.zeros((len(ws), 2))))
+    for batch in batches:
+        for part, found in slices(batch, text):
+            ids, starts = cache.rows_of([t.lower().split() for t in found])
+            rows = cache.rows[ids] if len(ids) else np.zeros((0, 2))
+            best, _ = worst_windows(rows[:, 0], rows[:, 1], ids, starts, m.shape if m else Shape())
+            yield part, m.score(best, np.diff(starts)) if m else np.zeros(len(best))
+
+
 def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the text column, with score and predicted. Null and
     empty texts are scored as a window without words; with no model every score
     is 0. Rows stay as they are, repeated ones too."""
-    import uuid
-
     made, name = {"score": "double", "predicted": "int"}, uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
-        cache = worker_cache(name, lambda: WordCache(m.word_rows if m else lambda ws: np.zeros((len(ws), 2))))
-        for batch in batches:
-            for part, found in slices(batch, text):
-                ids, starts = cache.rows_of([t.lower().split() for t in found])
-                rows = cache.rows[ids] if len(ids) else np.zeros((0, 2))
-                best, _ = worst_windows(rows[:, 0], rows[:, 1], ids, starts, m.shape if m else Shape())
-                s = m.score(best, np.diff(starts)) if m else np.zeros(len(best))
-                yield with_columns(part, {"score": s, "predicted": (s >= threshold).astype(np.int32)}, (text,))
+        for part, s in _scored(batches, shared, name, text):
+            yield with_columns(part, {"score": s, "predicted": (s >= threshold).astype(np.int32)}, (text,))
 
     return docs.mapInArrow(run, output_columns(docs, made, (text,)))
+
+
+def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that ``score`` would predict as 0, as they are."""
+    name, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(model)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def run(batches):
+        for part, s in _scored(batches, shared, name, text):
+            yield part.filter(pa.array(s < threshold))
+
+    return docs.mapInArrow(run, columns)
