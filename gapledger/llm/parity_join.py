@@ -433,28 +433,26 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
 
     Null and empty texts have no shingle and stand alone. A row whose id is
     null is not linked and has a null component. Rows that repeat an id stay
-    repeated and share its component, whatever their texts. Other columns of
-    ``docs`` are left out.
+    repeated; with one text they are equal, with several each has the component
+    of its text. Other columns of ``docs`` are left out.
     """
     docs = docs.select(doc, text)
     sets = written(sets_of(docs, doc, text), "parity-sets")
     total = int(sets.agg(F.sum("n")).first()[0] or 0)
     parts = total // PART + 1
-    classes = (sets.where("n > 0 AND doc IS NOT NULL").groupBy("set", "check")
-               .agg(F.min("doc").alias("doc")))
-    reps = sets.select("doc", "n", "set", "check", "sketch").join(classes, ["set", "check", "doc"]).dropDuplicates(["set", "check"])
+    classes = written(sets.where("n > 0 AND doc IS NOT NULL").groupBy("set", "check")
+                      .agg(F.min(F.struct("doc", "n", "sketch")).alias("first")).select("set", "check", "first.*"), "parity-classes")
     known = docs.where(F.col(doc).isNotNull())
     rows = written(buckets(rarest(shared_contents(segment_rows(known, text, parts), parts))), "parity-pairs")
-    links = written(verified(similar(rows.select("a", "b"), reps), known, doc, text), "parity-links")
+    links = written(verified(similar(rows.select("a", "b"), classes), known, doc, text), "parity-links")
     first = components(links)
     large = rows.where("bucket IS NOT NULL").select("bucket", "a", "size").dropDuplicates(["bucket", "a"])
-    rest = written(residual(large, reps, first), "parity-rest")
+    rest = written(residual(large, classes, first), "parity-rest")
     if not rest.isEmpty():
         first = components(first.select(F.col("node").alias("x"), F.col("component").alias("y"))
                            .union(verified(rest, known, doc, text)))
-    by_class = (classes.join(first.withColumnRenamed("node", "doc"), "doc", "left")
+    by_class = (classes.select("set", "check", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left")
                 .select("set", "check", F.coalesce("component", "doc").alias("component")))
-    # an id with several texts joins their components
     ids = sets.where("doc IS NOT NULL").join(by_class, ["set", "check"], "left")
     out = ids.select("doc", "n", F.coalesce("component", "doc").alias("component"))
     return out.unionByName(sets.where("doc IS NULL").select("doc", "n", F.col("doc").alias("component"))).select(
