@@ -16,9 +16,9 @@ Steps, each between shuffles by a hash: sketch; count each segment's content
 over all documents; keep each document's ``d + 1`` rarest; form candidate pairs
 per shared content; compare sizes and bit sketches; verify on whole texts.
 Small buckets give all pairs. A larger one first pairs all members with one of
-them; after the links so far have merged, the pairs that are still in different
-components are compared, block by block, so that no link is lost and no task
-holds a bucket. Segment contents travel as packed arrays, many per row.
+them; after the links so far have merged, the members that are still in
+different components are compared, block by block, so that no link between
+them is lost and no task holds a bucket. Segment contents travel as packed arrays, many per row.
 
 A doubly hashed shingle, or a document whose shingles fill no more than ``d``
 segments (chance below 1e-12), could be missed; otherwise the join is exact.
@@ -41,9 +41,9 @@ SHINGLE = 5
 PERCENT = 80
 #: Buckets up to this size give all pairs.
 SMALL = 8
-BLOCK = 512
+BLOCK = 256
 #: Segment contents in one task of a shuffle, about.
-PART = 4_000_000
+PART = 3_000_000
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -141,7 +141,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _cache() -> WordCache:
-    return worker_cache("parity_join", lambda: WordCache(word_hashes))
+    return worker_cache("parity_join", lambda: WordCache(word_hashes, 250_000))
 
 
 def sets_of(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -180,7 +180,7 @@ def _unpacked(blobs: list[bytes], extras: bool = False) -> tuple[np.ndarray, np.
         heads.append(h)
         keys.append(k)
     heads, keys, extra = np.concatenate(heads), np.concatenate(keys), np.concatenate(extra)
-    return heads, keys, extra, np.repeat(np.arange(len(heads)), heads["count"])
+    return heads, keys, extra, np.repeat(np.arange(len(heads), dtype=np.int32), heads["count"])
 
 
 def _rows(part: list[int], blobs: list[bytes]) -> pa.RecordBatch:
@@ -190,10 +190,12 @@ def _rows(part: list[int], blobs: list[bytes]) -> pa.RecordBatch:
 def _dealt(head: np.ndarray, keys: np.ndarray, extra: np.ndarray | None, heads: np.ndarray, part: np.ndarray
            ) -> Iterator[tuple[int, bytes]]:
     """Blobs by ``part`` of each key; keys of one head stay together in each."""
+    if not len(part):
+        return
     order = np.lexsort((head, part))
     head, keys, part = head[order], keys[order], part[order]
     extra = None if extra is None else extra[order]
-    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     for a, b in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
         own = head[a:b]
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
@@ -389,41 +391,47 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def residual(members: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (x, y) within large buckets that lie in different components so
-    far and whose sizes and bit sketches allow a link. Buckets are compared in
-    blocks of about BLOCK x BLOCK members."""
-    own = sets.select(F.col("set").alias("a"), F.col("doc").alias("x"), "n", "sketch")
+def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame:
+    """Links (x, y) within large buckets between members that lie in different
+    components so far. Buckets are compared in blocks of about BLOCK x BLOCK
+    members, by sizes, bit sketches and then whole sets. Within a block a link
+    between components that an earlier one has joined is left out, so a task
+    gives fewer links than it has members."""
+    own = classes.select(F.col("set").alias("a"), F.col("doc").alias("x"))
     rows = (members.join(own, "a").join(labels.withColumnRenamed("node", "x"), "x", "left")
             .withColumn("component", F.coalesce("component", "x")))
     mixed = rows.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p != q").select("bucket")
     blocks = F.floor((F.col("size") + BLOCK - 1) / BLOCK)
-    rows = (rows.join(mixed, "bucket").withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("a"), "blocks"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = written(rows.join(mixed, "bucket").withColumn("blocks", blocks)
+                   .withColumn("block", F.pmod(F.xxhash64("a"), "blocks"))
+                   .select("bucket", "blocks", "block", "x", "component"), "parity-mixed")
+    found = docs.select(F.col(doc).alias("x"), F.col(text).alias("text")).join(rows.select("x").distinct(), "x", "left_semi")
+    found = found.groupBy("x").agg(F.min("text").alias("text"))
+    rows = (rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
             .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "x", "n", "sketch", "component"))
-    kind = sets.schema["doc"].dataType.simpleString()
+                    "block", "x", "component").join(found, "x"))
+    kind = classes.schema["doc"].dataType.simpleString()
 
     def run(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block = table.column("block").to_numpy()
-        n = table.column("n").to_numpy()
-        _, label = np.unique(np.array(table.column("component").to_pylist()), return_inverse=True)
+        sets = shingle_sets([t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()], _cache())
+        n = np.array([len(s) for s in sets])
         size = min(sketch_bits(int(k)) // 8 for k in set(n.tolist()))
-        bits = np.array([folded(np.frombuffer(s, np.uint8), size) for s in table.column("sketch").to_pylist()]).view(np.uint64)
+        bits = np.array([folded(np.frombuffer(bit_sketch(s), np.uint8), size) for s in sets]).view(np.uint64)
+        _, label = np.unique(np.array(table.column("component").to_pylist()), return_inverse=True)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out_l, out_r = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out = []
         for a in left:
-            b = right[(label[right] != label[a]) & ((right > a) | (i != j))]
-            b = b[100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a])]
-            if len(b):
-                apart = np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1, dtype=np.int64)
-                b = b[apart <= np.minimum(n[b], n[a]) // 4]
-                out_l.append(np.full(len(b), a))
-                out_r.append(b)
-        x = table.column("x")
-        return pa.table({"x": x.take(pa.array(np.concatenate(out_l))), "y": x.take(pa.array(np.concatenate(out_r)))})
+            b = right[(right > a) | (i != j)]
+            b = b[(label[b] != label[a]) & (100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a]))]
+            apart = np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1, dtype=np.int64)
+            for c in b[apart <= np.minimum(n[b], n[a]) // 4]:
+                if label[c] != label[a] and linked(sets[a], sets[c]):
+                    label[label == label[c]] = label[a]
+                    out.append((a, c))
+        x, pairs = table.column("x"), np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"x": x.take(pa.array(pairs[:, 0])), "y": x.take(pa.array(pairs[:, 1]))})
 
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, f"x {kind}, y {kind}").where("x != y").distinct()
 
@@ -447,10 +455,9 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     links = written(verified(similar(rows.select("a", "b"), classes), known, doc, text), "parity-links")
     first = components(links)
     large = rows.where("bucket IS NOT NULL").select("bucket", "a", "size").dropDuplicates(["bucket", "a"])
-    rest = written(residual(large, classes, first), "parity-rest")
+    rest = written(residual(large, classes, first, known, doc, text), "parity-rest")
     if not rest.isEmpty():
-        first = components(first.select(F.col("node").alias("x"), F.col("component").alias("y"))
-                           .union(verified(rest, known, doc, text)))
+        first = components(first.select(F.col("node").alias("x"), F.col("component").alias("y")).union(rest))
     by_class = (classes.select("set", "check", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left")
                 .select("set", "check", F.coalesce("component", "doc").alias("component")))
     ids = sets.where("doc IS NOT NULL").join(by_class, ["set", "check"], "left")
