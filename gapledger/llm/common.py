@@ -36,7 +36,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     several consumers need runs once and survives lost executors."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

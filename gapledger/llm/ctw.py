@@ -310,7 +310,10 @@ def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id"
     """
     made = written(blocks(docs, doc, text, training, block_bytes), "ctw-blocks")
     in_blocks = made.where("word IS NOT NULL").select("block", "lid", "word", "n_train")
-    counted = written(cells(in_blocks.groupBy("word").agg(F.sum("n_train").alias("c")), depth, cell_words), "ctw-cells")
+    # the vocabulary grows no faster than the blocks; fewer, fuller cells repeat fewer grams
+    tasks = made.agg(F.countDistinct("block")).first()[0] // 2 + 1
+    vocabulary = in_blocks.groupBy("word").agg(F.sum("n_train").alias("c")).coalesce(tasks)
+    counted = written(cells(vocabulary, depth, cell_words), "ctw-cells")
     words = counted.where("word IS NOT NULL").select("cell", "word", "c")
     in_cells = counted.where("word IS NULL").select("cell", "gram", "n")
     total = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
