@@ -1 +1 @@
-"""Column expressions: dates and ranges, text, arithmetic."""
+"""Column expressions: dates and ranges, text."""

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# With extra pairs: rounds over all pairs, and steps of one pair in a round.
+MOST_ROUNDS = 8
+MOST_STEPS = 64
+
 # The characters Python's str.strip() treats as whitespace.
 # clean_text trims exactly these, so results equal a Python strip().
 STRIP_WHITESPACE = (
@@ -60,20 +66,20 @@ def clean_text(c, strip_chars: str | list[str] = "", replace_extras: dict[str, s
     spaces, runs of spaces become one, and whitespace plus ``strip_chars`` are
     trimmed from both ends. Deletions run first so that removing a character
     can never leave a double space behind; the space collapse runs last.
-    With only the default map this equals replacing until nothing changes.
-    Extra pairs are applied once each, in map order.
+    With only the default map this equals replacing until nothing changes, in
+    one pass; with extra pairs the passes are really repeated
+    (``_until_settled``).
     """
     if isinstance(strip_chars, (list, tuple)):
         strip_chars = "".join(strip_chars)
     m = cleanup_map(replace_extras)
     e = _col(c)
+    if m != DEFAULT_CLEANUP:
+        return _until_settled(e, m, strip_chars)
     for k in [k for k, v in m.items() if v == ""]:
         e = F.replace(e, F.lit(k), F.lit(""))  # byte search, no per-character map
     ws_to_space = all(m.get(k) == " " for k in ("\n", "\r", "\t"))
     collapse = m.get("  ") == " "
-    others = [(k, v) for k, v in m.items() if v != "" and k != "  " and not (ws_to_space and k in ("\n", "\r", "\t"))]
-    for k, v in others:
-        e = F.replace(e, F.lit(k), F.lit(v))
     if ws_to_space and collapse:
         # CR/LF/TAB to a space and space runs to one space, in one pass
         e = F.regexp_replace(e, "[\\n\\r\\t ]{2,}|[\\n\\r\\t]", " ")
@@ -85,6 +91,35 @@ def clean_text(c, strip_chars: str | list[str] = "", replace_extras: dict[str, s
     return _strip_ends(e, strip_chars)
 
 
+def _gone(e: Column, k: str, v: str) -> Column:
+    """``k`` replaced by ``v`` until the text holds no ``k``."""
+    if len(set(k)) == 1 and v == k[0] * len(v) and len(k) > 1:  # a run shrinks, by the same steps whatever its place
+        c, step = re.escape(k[0]), len(k) - len(v)
+        return F.regexp_replace(e, f"(?<!{c})({c}{{{len(v)},{len(k) - 1}}}?)(?:{c}{{{step}}})+(?!{c})", "$1")
+    once = F.replace(e, F.lit(k), F.lit(v))
+    if len(k) == 1 or (v and not set(k) & set(v)):  # no new one can arise
+        return once
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), e, lambda t, _: F.replace(t, F.lit(k), F.lit(v)))
+    return F.when(F.contains(done, F.lit(k)), F.raise_error(F.lit(f"clean_text: {k!r} is still there after {MOST_STEPS} steps"))
+                  ).otherwise(done)
+
+
+def _until_settled(e: Column, m: dict[str, str], strip_chars: str) -> Column:
+    """Rounds of trimming and of all pairs in map order, until a round changes
+    nothing. A text that has not settled after MOST_ROUNDS raises an error; it
+    is never returned half done."""
+    def one_round(t: Column) -> Column:
+        t = _strip_ends(t, strip_chars)
+        for k, v in m.items():
+            t = _gone(t, k, v)
+        return t
+
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_ROUNDS)), e, lambda t, _: one_round(t))
+    settled = F.transform(F.array(done), lambda t: F.when(t.isNull() | (one_round(t) == t), _strip_ends(t, "")).otherwise(
+        F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds"))))
+    return F.element_at(settled, 1)
+
+
 def clean_text_sql(expr: str) -> str:
     """The same default clean-up as ANSI/DuckDB SQL text (for oracles)."""
     return (

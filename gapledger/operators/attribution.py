@@ -28,13 +28,15 @@ def attribution_key(kind_pred: Column, country: Column, excluded: Sequence[str],
     return F.when(kind_pred & outside, a).otherwise(b)
 
 
-def request_flags(requests: DataFrame, start=None, end=None) -> DataFrame:
-    """Change requests reduced to one row per (reservation, agreement): did
-    any request executed near the window set a start date, an end date.
-
-    The window widens the run window by one day on each side (B3). Reducing
-    to flags before the join keeps the join at most one row per agreement,
-    whatever the number of requests (no pair explosion, no double counting).
+def request_choices(requests: DataFrame, start=None, end=None) -> DataFrame:
+    """(reservation_id, side, agreement_id): per reservation the agreement of
+    the latest request executed near the window that set a start date (side
+    ``in``) and of the latest that set an end date (``out``); of requests
+    executed at one time the larger agreement id.
+
+    The window widens the run window by one day on each side (B3). At most one
+    row per reservation and side, however many requests and agreements it has,
+    so the join below neither repeats a ledger row nor counts it twice.
     """
     lo = None if start is None else F.date_sub(F.lit(str(start)).cast("date"), 1)
     hi = None if end is None else F.date_add(F.lit(str(end)).cast("date"), 1)
@@ -43,20 +45,25 @@ def request_flags(requests: DataFrame, start=None, end=None) -> DataFrame:
         r = r.where(F.col("executed_at") >= lo.cast("timestamp_ntz"))
     if hi is not None:
         r = r.where(F.col("executed_at") < hi.cast("timestamp_ntz"))
-    return r.groupBy("reservation_id", "agreement_id").agg(
-        F.max(F.col("started_on").isNotNull()).alias("has_start"),
-        F.max(F.col("ended_on").isNotNull()).alias("has_end"),
-    )
+    latest = F.struct("executed_at", "agreement_id")
+    per = r.groupBy("reservation_id").agg(
+        F.max(F.when(F.col("started_on").isNotNull(), latest)).alias("in"),
+        F.max(F.when(F.col("ended_on").isNotNull(), latest)).alias("out"))
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}.agreement_id").alias("agreement_id"))
+                                for s in ("in", "out")]))
+    return per.select("reservation_id", sides.alias("c")).select(
+        "reservation_id", "c.side", "c.agreement_id").where(F.col("agreement_id").isNotNull())
 
 
 def resolve_contracts(ledger: DataFrame, requests: DataFrame, agreements: DataFrame,
                       start=None, end=None) -> DataFrame:
     """Each ledger row with the agreement it belongs to.
 
-    reservation -> a request executed near the window -> agreement. Moves in
-    need a request with a start date, moves out one with an end date. Rows
-    that resolve to nothing keep a null ``agreement_uuid``. ``start``/``end``
-    also bound the ledger rows (half open), when given.
+    reservation -> the latest request executed near the window -> agreement.
+    Moves in need a request with a start date, moves out one with an end date.
+    Rows that resolve to nothing keep a null ``agreement_uuid``; no row is
+    repeated. ``start``/``end`` also bound the ledger rows (half open), when
+    given.
 
     Every join here is on the reservation (= order) key, the key the ledger
     is already partitioned by after its own join, so Spark keeps one
@@ -65,17 +72,17 @@ def resolve_contracts(ledger: DataFrame, requests: DataFrame, agreements: DataFr
     v = ledger
     if start is not None or end is not None:
         v = v.where(half_open("date_reserved", start, end))
-    # The agreement uuid is attached to the (small) flag table first, so the
+    # The agreement uuid is attached to the (small) choice table first, so the
     # ledger is joined once, on the reservation key it is already partitioned
     # by, instead of being shuffled again by agreement id.
     ma = agreements.select("agreement_id", "agreement_uuid")
-    flags = request_flags(requests, start, end).join(ma, "agreement_id", "left").alias("cr")
+    choices = request_choices(requests, start, end).join(ma, "agreement_id", "left").alias("cr")
     v = v.alias("v")
     is_in = F.col("v.action_type").isin(*IN_ACTIONS)
     is_out = F.col("v.action_type").isin(*OUT_ACTIONS)
     cond = (F.col("v.reservation_id") == F.col("cr.reservation_id")) & (
-        (is_in & F.col("cr.has_start")) | (is_out & F.col("cr.has_end")))
-    return v.join(flags, cond, "left").select("v.*", F.col("cr.agreement_uuid"))
+        (is_in & (F.col("cr.side") == "in")) | (is_out & (F.col("cr.side") == "out")))
+    return v.join(choices, cond, "left").select("v.*", F.col("cr.agreement_uuid"))
 
 
 def agreement_lineage(requests: DataFrame, agreements: DataFrame, reservations: DataFrame,

@@ -1,4 +1,4 @@
-"""Join helpers for skewed inputs.
+"""Join helper for a skewed right side.
 
 AQE splits a skewed partition only on the side whose rows may be
 duplicated: for a left outer join that is the left side. When the right
@@ -14,67 +14,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, top: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, at most ``top`` of them (the
-    largest). A grouped count (partial-aggregated) and a top-k: the result
-    has at most ``top`` rows, so it may be broadcast. Ties are broken by the
-    key, so every evaluation (both sides of the join, a retried stage)
-    picks the same keys."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    order = [F.col("__rows").desc()] + [F.col(k).asc_nulls_last() for k in keys]
-    return counts.where(F.col("__rows") >= min_rows).orderBy(*order).limit(top).drop("__rows")
-
-
 def salted_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                     salt_by: Sequence[str], buckets: int = 32, min_rows: int = 1_000_000,
-                     top: int = 1000) -> DataFrame:
-    """``left LEFT JOIN right ON left.a = right.b AND ...`` with hot right
-    keys spread over ``buckets`` tasks. Same rows as the plain join.
-
-    Right rows of a hot key get a salt from a hash of ``salt_by`` (columns
-    of ``right``; deterministic, so a retried task sees the same salt);
-    left rows of a hot key are repeated once per salt. Every other key keeps
-    salt 0 and joins as usual. Keys that are not hot are handled exactly by
-    the plain path, so limiting hot keys to ``top`` never changes results.
+                     salt_by: Sequence[str], rows_per_salt: int = 100_000) -> DataFrame:
+    """``left LEFT JOIN right ON left.a = right.b AND ...`` with every right
+    key spread over as many salts as its row count asks for. Same rows as the
+    plain join.
+
+    The rows of each right key are counted (partial-aggregated); a key with
+    more than ``rows_per_salt`` rows gets one salt per ``rows_per_salt``, its
+    right rows a salt from a hash of ``salt_by`` (columns of ``right``;
+    deterministic, so a retried task sees the same salt), its left rows one
+    copy per salt. Other keys, and left rows without a match, keep salt 0.
+    The number of hot keys is not limited, and how the counts are joined is
+    Spark's choice by size.
     """
     lcols = [lc for lc, _ in on]
     rcols = [rc for _, rc in on]
-    hot = hot_keys(right, rcols, min_rows, top)
-    hot_r = hot.select(*[F.col(rc).alias(f"__h{i}") for i, rc in enumerate(rcols)]).withColumn("__hot", F.lit(True))
+    counts = right.groupBy(*rcols).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_salt)
+    hot = counts.select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(rcols)],
+                        F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts"))
 
-    def mark(df, cols):
+    def with_salts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         cond = None
         for i, c in enumerate(cols):
-            x = df[c] == hot_r[f"__h{i}"]
+            x = df[c] == hot[f"__h{i}"]
             cond = x if cond is None else cond & x
-        j = df.join(F.broadcast(hot_r), cond, "left")
-        return j.withColumn("__hot", F.coalesce(F.col("__hot"), F.lit(False))).drop(
-            *[f"__h{i}" for i in range(len(cols))])
+        j = df.join(hot, cond, "left")
+        return j.withColumn("__salts", F.coalesce("__salts", F.lit(1))).drop(*[f"__h{i}" for i in range(len(cols))])
 
-    r = mark(right, rcols)
-    r = r.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*salt_by), F.lit(buckets)))
-                     .otherwise(F.lit(0))).drop("__hot")
-    lt = mark(left, lcols)
-    lt = lt.withColumn("__salt", F.explode(
-        F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("__hot")
+    r = with_salts(right, rcols)
+    r = r.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.col("__salts")).cast("int")).drop("__salts")
+    lt = with_salts(left, lcols)
+    lt = lt.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
     cond = lt["__salt"] == r["__salt"]
     for lc, rc in on:
         cond = cond & (lt[lc] == r[rc])
-    return lt.join(r, cond, "left").drop(lt["__salt"]).drop(r["__salt"])
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = 10_000_000) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension only
-    after checking its size.
-
-    The dimension (already projected to the columns needed) is counted -- a
-    job over the dimension alone. Up to ``max_rows`` rows it is broadcast,
-    so the fact side is not shuffled at all; beyond that the join is left to
-    the planner (shuffle join, AQE). The planner alone would decide from a
-    file-size estimate before the job, or only after the fact side had
-    already been shuffled.
-    """
-    small = dim.count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    j = lt.join(r, cond, "left")
+    # a hot key has right rows, so copies of its left rows that met none are no rows of the plain join
+    return j.where((lt["__salts"] == 1) | r["__salt"].isNotNull()).drop("__salts").drop(lt["__salt"]).drop(r["__salt"])

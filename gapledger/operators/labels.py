@@ -74,6 +74,15 @@ def legacy_keys(opps: DataFrame, key: str, won_pred: Column, date_col: str, cuto
                 .where(F.col("first_close") < F.lit(cutoff).cast("timestamp_ntz")))
 
 
+def _spread(rows: DataFrame, key: str) -> Column:
+    """The key, with each null replaced by a text that no key equals and that
+    differs from row to row: nulls match nothing, but as they are they would
+    all be shuffled to one task."""
+    if rows.schema[key].dataType.simpleString() != "string":
+        return rows[key]
+    return F.coalesce(rows[key], F.concat(F.lit("\0"), F.xxhash64(*[rows[c] for c in rows.columns]).cast("string")))
+
+
 def key_flag(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], name: str,
              same_date: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Left-join a key table (unique on its keys) and set a boolean flag
@@ -87,7 +96,7 @@ def key_flag(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], n
     cond = None
     for i, (rc, _) in enumerate(cols):
         if i < len(on):
-            c = rows[rc] == t[f"__{name}_{i}"]
+            c = _spread(rows, rc) == t[f"__{name}_{i}"]
         else:
             c = F.datediff(rows[rc], t[f"__{name}_{i}"]) == 0
         cond = c if cond is None else cond & c
@@ -110,6 +119,6 @@ def key_flags(rows: DataFrame, row_key: str, tables: dict[str, DataFrame], key:
         part = tables[n].select(F.col(key).alias("__k"), F.lit(n).alias("__t")).where(F.col("__k").isNotNull())
         u = part if u is None else u.unionByName(part)
     flags = u.groupBy("__k").agg(*[F.max(F.col("__t") == n).alias(f"__{n}") for n in names])
-    j = rows.join(flags, rows[row_key] == flags["__k"], "left")
+    j = rows.join(flags, _spread(rows, row_key) == flags["__k"], "left")
     return j.select(*[F.col(c) for c in rows.columns],
                     *[F.coalesce(F.col(f"__{n}"), F.lit(False)).alias(n) for n in names])

@@ -63,10 +63,19 @@ def extract_failed_events(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def failed_event_keys(events: DataFrame) -> DataFrame:
-    """Event rows, distinct companies and distinct contracts; one row."""
-    return events.agg(F.count(F.lit(1)).alias("n_events"),
-                      F.count_distinct("company").alias("n_companies"),
-                      F.count_distinct("contract").alias("n_contracts"))
+    """Event rows, distinct companies and distinct contracts; one row.
+
+    Both columns become (kind, value) pairs, grouped once with partial counts;
+    two distinct counts in one aggregate would expand every row instead."""
+    pairs = events.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("company").alias("value")),
+        F.struct(F.lit(1).alias("kind"), F.col("contract").alias("value")))).alias("p"))
+    per_value = pairs.groupBy("p.kind", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("value").isNotNull()
+    return per_value.agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.lit(0)).alias("n_events"),
+        F.count_if((F.col("kind") == 0) & known).alias("n_companies"),
+        F.count_if((F.col("kind") == 1) & known).alias("n_contracts"))
 
 
 def error_rate(failures: DataFrame, agreements: DataFrame, created_col: str, id_col: str,
@@ -74,12 +83,13 @@ def error_rate(failures: DataFrame, agreements: DataFrame, created_col: str, id_
     """Distinct failing contracts / agreements created in (start, end) x 100
     (D15, F18, P10; open range as in the source).
 
-    Both inputs go through one union and one global aggregate: no join of
-    one-row frames, one pass over each side.
+    Agreements are counted by the presence of an id, whatever its type. Both
+    inputs go through one union and one global aggregate: no join of one-row
+    frames, one pass over each side.
     """
-    f = failures.select(F.col(contract_col).alias("_c"), F.lit(None).cast("long").alias("_a"))
+    f = failures.select(F.col(contract_col).alias("_c"), F.lit(None).cast("int").alias("_a"))
     a = agreements.where(open_range(created_col, start, end)).select(
-        F.lit(None).cast("string").alias("_c"), F.col(id_col).cast("long").alias("_a"))
+        F.lit(None).cast("string").alias("_c"), F.when(F.col(id_col).isNotNull(), F.lit(1)).alias("_a"))
     u = f.unionByName(a)
     agg = u.agg(F.count_distinct("_c").alias("failing_contracts"),
                 F.count("_a").alias("agreements_created"))

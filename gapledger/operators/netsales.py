@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_diff, month_diff, period, period_in_range
-from .joins import dimension_join
 
 # The selectable levels, finest first. A location column is
 # shown at its own level and every finer one, null at coarser levels.
@@ -48,10 +47,13 @@ def shown(column: str, level: str) -> bool:
     return LEVELS.index(_level(level)) <= LEVELS.index(COLUMN_GRAIN[column])
 
 
-def net_zero_transfers(facts: DataFrame, unit: str = "month", min_days: int = 27) -> DataFrame:
+def net_zero_transfers(facts: DataFrame, unit: str = "month", min_days: int = 27, start=None, end=None) -> DataFrame:
     """Reservations sold and given notice in the same period, both moves of
     transfer type, lasting at least ``min_days`` (D4c). One row per
-    (reservation, period): capacity as upgrade, and negated as downgrade."""
+    (reservation, period): capacity as upgrade, and negated as downgrade. A
+    window on the period is applied to the raw sale date, as in the ledger."""
+    if start is not None or end is not None:
+        facts = facts.where(period_in_range("sold_at", unit, start, end))
     f = facts.where(
         (period("sold_at", unit) == period("gave_notice", unit))
         & F.col("move_in_type").ilike(TRANSFER_SUFFIX)
@@ -73,9 +75,15 @@ def listagg_distinct(c, sep: str = ", ") -> F.Column:
 
 def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
                      unit: str = "month", level: str = "Global", include_jv: bool = False,
-                     start=None, end=None) -> DataFrame:
+                     start=None, end=None, transfer_lists: bool = True) -> DataFrame:
     """Per (period, account, level columns): upgrades, downgrades, new sales,
-    churn notice, last physical-move month and transfer location lists.
+    churn notice, last physical-move month and transfer location lists
+    (without the lists unless ``transfer_lists``).
+
+    The sums are one hash aggregate. The lists come from the distinct
+    (group, direction, location) rows of the transfers alone, joined back on
+    the group: a set buffer beside the sums would make the whole aggregate an
+    object aggregate.
 
     ``start``/``end`` bound the period (half open); applied on the raw
     ledger date so the reader skips row groups (R1).
@@ -86,7 +94,7 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
         v = v.where(period_in_range("date_reserved", unit, start, end))
     v = v.withColumn("period", period("date_reserved", unit)).alias("v")
     t = locations.alias("t")
-    nz = net_zero_transfers(facts, unit).alias("nz")
+    nz = net_zero_transfers(facts, unit, start=start, end=end).alias("nz")
     act = F.col("v.action_type")
     # Net-zero rows first, keyed by the reservation alone: the ledger is
     # still partitioned by it from its own join, so this join moves only the
@@ -95,7 +103,7 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
     j = v.join(nz, (F.col("v.reservation_id") == F.col("nz.reservation_id"))
                & (F.datediff(F.col("v.period"), F.col("nz.period")) == 0)
                & act.isin("Transfer In", "Transfer Out"), "left")
-    j = dimension_join(j, t, F.col("v.location_id") == F.col("t.location_id"), "left")
+    j = j.join(t, F.col("v.location_id") == F.col("t.location_id"), "left")
     if not include_jv:
         j = j.where(~F.col("t.is_joint_venture"))
 
@@ -138,11 +146,9 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
         F.sum(F.when(act == "Move Out", desks).otherwise(0)).alias("churn_notice"),
         F.trunc(F.to_date(F.max(F.when(desks > 0, F.col("date_physical_move")))), "month")
          .alias("last_date_physical_move"),
-        listagg_distinct(F.when(act == "Transfer Out", F.col("t_location_name")))
-         .alias("transfer_out_locations"),
-        listagg_distinct(F.when(act == "Transfer In", F.col("t_location_name")))
-         .alias("transfer_in_locations"),
     )
+    if transfer_lists:
+        out = _with_transfer_lists(out, j, ["period", "account_id", *shown_cols])
     sel = F.lit("Global") if lv == "Global" else F.col(SELECTION[lv])
     return out.select(
         F.lit(unit).alias("time_grouping"),
@@ -151,10 +157,24 @@ def net_sales_detail(ledger: DataFrame, locations: DataFrame, facts: DataFrame,
         "period", "account_id", sel.alias("user_selection"),
         *[(F.col(c) if c in shown_cols else F.lit(None).cast(nulls[c])).alias(c) for c in COLUMN_GRAIN],
         "upgrades", "downgrades", "new_sales", "churn_notice", "last_date_physical_move",
-        "transfer_out_locations", "transfer_in_locations",
+        *(["transfer_out_locations", "transfer_in_locations"] if transfer_lists else []),
     )
 
 
+def _with_transfer_lists(sums: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The names of the locations that each group transferred out of and into."""
+    named = (rows.where(F.col("action_type").isin("Transfer In", "Transfer Out") & F.col("t_location_name").isNotNull())
+             .select(*keys, "action_type", "t_location_name").distinct())
+    lists = named.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        *[listagg_distinct(F.when(F.col("action_type") == a, F.col("t_location_name"))).alias(n)
+          for a, n in (("Transfer Out", "transfer_out_locations"), ("Transfer In", "transfer_in_locations"))])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        cond = c if cond is None else cond & c
+    return sums.join(lists, cond, "left").drop(*[f"__{k}" for k in keys])
+
+
 def net_sales_report(detail: DataFrame, accounts: DataFrame) -> DataFrame:
     """Final report: net sales (upgrades + new sales) per account and period
     (D4). The account name comes from the dimension after aggregation, so the

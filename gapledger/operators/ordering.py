@@ -1,4 +1,4 @@
-"""Ordering, surrogate ids and first-of-group."""
+"""Ordering and surrogate ids."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
-
 
 def sort_report(df: DataFrame, *specs: tuple[str, str]) -> DataFrame:
     """ORDER BY with the warehouse's null placement: ascending puts nulls
@@ -22,29 +18,26 @@ def sort_report(df: DataFrame, *specs: tuple[str, str]) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def first_by(df: DataFrame, key: Sequence[str], value: str, order: Sequence[str], name: str) -> DataFrame:
-    """The value of the first row per key by ``order`` (O4): a deterministic
-    stand-in for "first row of an unordered result". Partial aggregate."""
-    return df.groupBy(*key).agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(name))
-
-
-def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
-    """Consecutive 1-based ids in ``order`` (W1) without a global window.
+def surrogate_id(df: DataFrame, order: Sequence[str], buckets: Sequence[Column], name: str = "id") -> DataFrame:
+    """Consecutive 1-based ids in ``order`` (W1) without a window over all rows.
 
     ``row_number() over (order by ...)`` with no partition runs in one task.
-    Here rows are range-partitioned and sorted within partitions; each row
-    gets its partition number and position from ``monotonically_increasing_id``;
-    the per-partition row counts (one row per partition, a bound known from
-    the partition count) are turned into offsets and broadcast. The ranged
-    frame is checkpointed so both uses see the same rows in the same places.
-    ``order`` should be a unique key for the ids to be reproducible.
+    Here rows fall into ``buckets``: expressions that do not decrease along
+    ``order`` (a period, and an id divided by a width, say), so a row's id is
+    its rank in its bucket plus the rows of the buckets before. The one
+    unpartitioned window is over the bucket sizes, a row per bucket; choose
+    buckets of thousands of rows. Nothing runs until an action. ``order``
+    should be a unique key for the ids to be reproducible; nulls come first.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged = cut_lineage(ranged.withColumn("__mid", F.monotonically_increasing_id()))
-    pid = F.shiftright(F.col("__mid"), _ROW_BITS)
-    counts = ranged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    low = F.col("__mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    out = ranged.join(F.broadcast(offsets), pid == F.col("__pid"))
-    return out.withColumn(name, F.col("__off") + low + 1).drop("__mid", "__pid", "__off")
+    keys = [f"__b{i}" for i in range(len(buckets))]
+    d = df.withColumns(dict(zip(keys, buckets)))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)],
+                       F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    ranked = d.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__o{i}"))
+        cond = c if cond is None else cond & c
+    return ranked.join(offsets, cond).select(*df.columns, (F.col("__off") + F.col("__rank")).alias(name))

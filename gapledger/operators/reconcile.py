@@ -154,15 +154,15 @@ def summarize(
 
 
 def enrich_gaps(gaps: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
-                salt_by: Sequence[str] | None = None, hot_rows: int = 1_000_000) -> DataFrame:
+                salt_by: Sequence[str] | None = None, rows_per_salt: int = 100_000) -> DataFrame:
     """Attach matching records to gap rows (D12, J10-J12). ``how='left'``
     keeps every gap row; the right merge of the source is the same join with
     sides swapped. With ``salt_by`` (columns of ``other`` that vary within a
-    key) a record key holding ``hot_rows`` or more records is spread over
-    many tasks (``joins.salted_left_join``)."""
+    key) the records of each key are spread over as many tasks as there are
+    ``rows_per_salt`` of them (``joins.salted_left_join``)."""
     if how == "left" and salt_by:
         from .joins import salted_left_join
-        return salted_left_join(gaps, other, on, salt_by, min_rows=hot_rows)
+        return salted_left_join(gaps, other, on, salt_by, rows_per_salt)
     cond = None
     for gcol, ocol in on:
         c = gaps[gcol] == other[ocol]

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import interval_part, month_of_year, period
 
-# Lists up to this many literals stay an IN predicate (pushed to the reader);
-# longer ones become a broadcast semi join, whose size is the list's length.
-IN_LIST_LIMIT = 1000
-
 
 def _period(ts: str, unit: str, month_only: bool) -> Column:
     return month_of_year(ts) if month_only else period(ts, unit)
@@ -77,10 +73,12 @@ def durations(df: DataFrame, start: str, end: str, keys: Sequence[str], part: st
         F.round(F.avg(interval_part(part, start, end)), 6).alias("avg_duration"))
 
 
-def segment_volumes(df: DataFrame, ts: str, segment: str, count_col: str, measure: Column,
-                    won_pred: Column, unit: str = "month") -> DataFrame:
-    """Count of deals and won measure per period and segment."""
-    return df.groupBy(period(ts, unit).alias("period"), F.col(segment).alias("segment")).agg(
+def segment_volumes(df: DataFrame, ts: str, segment: str, type_id: str, count_col: str, measure: Column,
+                    won_pred: Column, unit: str = "month", month_of_year_only: bool = False) -> DataFrame:
+    """Count of deals and won measure per period and segment (D22). Segments
+    are told apart by id and name: two types of one name stay two rows."""
+    return df.groupBy(_period(ts, unit, month_of_year_only).alias("period"), F.col(type_id).alias("type_id"),
+                      F.col(segment).alias("segment")).agg(
         F.count(count_col).alias("opps"),
         F.sum(F.when(won_pred, measure)).alias("desks_won"))
 
@@ -88,12 +86,13 @@ def segment_volumes(df: DataFrame, ts: str, segment: str, count_col: str, measur
 def reuse_conflicts(df: DataFrame, response: str = "crm_response", found: str = "opportunity_id_found") -> DataFrame:
     """Classify reuse records (D23): 1 = the CRM created a new opportunity
     where we found one; 2 = it updated one where we found none; 3 = both
-    updated, different ids. Rows in no class are dropped."""
+    updated, different ids. One row per class that holds, as three separate
+    statements gave; rows in no class are dropped."""
     r, f = F.col(response), F.col(found)
-    kind = (F.when(r.like("%New Opportunity :%") & f.isNotNull(), F.lit(1))
-             .when(r.like("%Update Opportunity :%") & f.isNull(), F.lit(2))
-             .when(r.like("%Update Opportunity :%") & f.isNotNull() & ~F.contains(r, f), F.lit(3)))
-    return df.withColumn("conflict", kind).where(F.col("conflict").isNotNull())
+    new, update = r.like("%New Opportunity :%"), r.like("%Update Opportunity :%")
+    kinds = F.array(F.when(new & f.isNotNull(), F.lit(1)), F.when(update & f.isNull(), F.lit(2)),
+                    F.when(update & f.isNotNull() & ~F.contains(r, f), F.lit(3)))
+    return df.withColumn("conflict", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
 
 
 def tag_effort(tags: DataFrame, pred: Column | None = None, tickets: DataFrame | None = None,
@@ -116,15 +115,9 @@ def tag_effort(tags: DataFrame, pred: Column | None = None, tickets: DataFrame |
 
 
 def in_list(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Rows whose ``col`` is in ``values`` (P14). Short lists are an IN
-    predicate pushed to the scan; long ones a semi join against a broadcast
-    table whose size is the list's own, known before the job starts."""
-    vals = list(dict.fromkeys(values))
-    if len(vals) <= IN_LIST_LIMIT:
-        return df.where(F.col(col).isin(vals))
-    spark = df.sparkSession
-    lookup = spark.createDataFrame([(v,) for v in vals], [f"__{col}"])
-    return df.join(F.broadcast(lookup), F.col(col) == F.col(f"__{col}"), "left_semi")
+    """Rows whose ``col`` is in ``values`` (P14): one IN predicate, pushed to
+    the scan; Spark turns a long list into a hash set."""
+    return df.where(F.col(col).isin(list(dict.fromkeys(values))))
 
 
 def flag_membership(df: DataFrame, key: str, other: DataFrame, other_key: str, name: str) -> DataFrame:

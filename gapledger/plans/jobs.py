@@ -14,6 +14,7 @@ joins run once, and a lost executor costs a re-read, not a recompute.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import open_range
 from ..operators import logs
 from ..operators import reconcile as rec
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import analogues as av
 from ..sources import sinks
 from ..sources.tables import count_lines, read_log, read_table
@@ -38,18 +39,18 @@ def aggregate_reconciliation(spark: SparkSession, base: str, out: str) -> dict[s
 
 
 def row_level_reconciliation(spark: SparkSession, base: str, out: str) -> dict[str, str]:
-    labelled = cut_lineage(recon.label_gaps(spark, base))
+    all_rows = cut_lineage(recon.reconcile_contracts(spark, base, gaps_only=False))
+    labelled = cut_lineage(recon.label_gaps(spark, base, all_rows.where(F.col("net_gap") != 0)))
     paths = {k: os.path.join(out, k) for k in ("output", "fulloutput", "summary")}
     sinks.write_csv(labelled, paths["output"])
     rr = av.reuse_records(spark, base).select("agreement_uuid", "company_id", "contract_event_type",
-                                              "crm_response")
+                                              "crm_response", "record_id")
     lineage = recon.agreement_lineage(spark, base).select(
         F.col("ma_uuid"), F.col("ma_created"), F.col("reservation_id"), F.col("reservable"))
-    full = rec.enrich_gaps(labelled, rr, [("attributed_key", "agreement_uuid"), ("account_id", "company_id")])
-    full = full.join(lineage, full["attributed_key"] == lineage["ma_uuid"], "left").drop("ma_uuid")
+    full = rec.enrich_gaps(labelled, rr, [("attributed_key", "agreement_uuid"), ("account_id", "company_id")],
+                           salt_by=["record_id"])
+    full = rec.enrich_gaps(full, lineage, [("attributed_key", "ma_uuid")], salt_by=["reservation_id"]).drop("ma_uuid")
     sinks.write_csv(full, paths["fulloutput"])
-    key, crm, led = recon.contract_sides(spark, base)
-    all_rows = rec.reconcile(crm, led, key, "crm_total", "ledger_total", gaps_only=False)
     sinks.write_report(rec.summarize(all_rows, "crm_total", "ledger_total", "account_id", "period"),
                        paths["summary"])
     return paths
@@ -86,6 +87,24 @@ def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
     return ua.unionByName(ub).agg(*[F.max(c).alias(c) for c in cols_a + cols_b])
 
 
+def log_kpi_of_events(spark: SparkSession, base: str) -> DataFrame:
+    """The log KPI job on log files made of ``events``: text scan, appended
+    and distinct CSV lists, line count and KPI (S2, S3, S6, S7, S8). Its
+    folder lies in the shared checkpoint folder."""
+    out = os.path.join(checkpoint_dir(spark), f"log-kpi-{uuid.uuid4().hex}")
+    log = write_log_lines(spark, base, out)
+    return log_kpi(spark, log, read_table(spark, base, "orders"), "o_orderdate", "o_orderkey", out)
+
+
+def gaps_through_csv(spark: SparkSession, base: str) -> DataFrame:
+    """The account gap rows as the job writes them, read from its CSV file
+    (S4, S5)."""
+    gaps = recon.reconcile_accounts(spark, base)
+    path = os.path.join(checkpoint_dir(spark), f"gaps-{uuid.uuid4().hex}")
+    sinks.write_csv(gaps, path)
+    return spark.read.schema(gaps.schema).option("header", True).csv(path)
+
+
 def write_log_lines(spark: SparkSession, base: str, out: str) -> str:
     """Materialise the analogue failed-send log lines as text files, the
     input shape of ``log_kpi`` (used by tests and demos)."""

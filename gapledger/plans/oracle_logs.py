@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.text import clean_text_sql
+from ..functions.text import clean_text_sql, strip_pattern
 
 EXC_LINES = """lines AS (
   SELECT 'ts=' || CAST(event_id AS VARCHAR) || ' exception ' || event_type
@@ -35,6 +35,16 @@ fev AS (
          END AS contract
   FROM fp WHERE contains(payload, 'event_name'))"""
 
+
+
+def extras_round_sql(e: str) -> str:
+    """One round with the pairs ee -> e, | -> nothing, the -> T."""
+    e = f"regexp_replace({e}, '{strip_pattern('.')}', '', 'g')"
+    e = f"regexp_replace(regexp_replace({e}, '[\\n\\r\\t]', ' ', 'g'), ' {{2,}}', ' ', 'g')"
+    e = f"replace(replace({e}, '\"', ''), ',', '')"
+    return f"replace(replace(regexp_replace({e}, 'e{{2,}}', 'e', 'g'), '|', ''), 'the', 'T')"
+
+
 SQL = {
     "exceptions": "WITH " + EXC_LINES + """
 SELECT count(*) AS total_exceptions, count(DISTINCT exception) AS unique_exceptions FROM excf""",
@@ -48,5 +58,16 @@ a AS (SELECT count(o_orderkey) AS agreements_created FROM orders)
 SELECT failing_contracts, agreements_created,
        round(100.0 * failing_contracts / nullif(agreements_created, 0), 6) AS error_rate_pct
 FROM f, a""",
+    "error_rate_text_ids": "WITH " + FAILED + """,
+f AS (SELECT count(DISTINCT contract) AS failing_contracts FROM fev),
+a AS (SELECT count(*) AS agreements_created FROM orders WHERE o_orderpriority <> '2-HIGH')
+SELECT failing_contracts, agreements_created,
+       round(100.0 * failing_contracts / nullif(agreements_created, 0), 6) AS error_rate_pct
+FROM f, a""",
+    "clean_text_extras": """
+WITH RECURSIVE t AS (
+  SELECT doc_id, text AS a, 0 AS n FROM documents
+  UNION ALL SELECT doc_id, """ + extras_round_sql("a") + """, n + 1 FROM t WHERE n < 6)
+SELECT doc_id, a AS clean_text FROM t WHERE n = 6""",
     "clean_text": "SELECT doc_id, " + clean_text_sql("text") + " AS clean_text FROM documents",
 }

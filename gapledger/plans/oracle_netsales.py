@@ -31,8 +31,16 @@ JOINED = """nsj AS (
 ORDER = ["Location", "City", "Market", "Territory", "Region", "Global"]
 
 
-def detail_sql(level: str) -> str:
+def detail_sql(level: str, unit: str = "month", jv: bool = False, window: tuple[str, str] | None = None) -> str:
     i = ORDER.index(level)
+    joined = JOINED.replace("date_trunc('month'", f"date_trunc('{unit}'")
+    if jv:
+        joined = joined.replace("  WHERE NOT t.is_joint_venture)", ")")
+    if window:
+        joined = joined.replace("NOT t.is_joint_venture", "NOT t.is_joint_venture "
+                                f"AND date_trunc('{unit}', v.date_reserved) >= DATE '{window[0]}' "
+                                f"AND date_trunc('{unit}', v.date_reserved) < DATE '{window[1]}'")
+    nz = NZ.replace("date_trunc('month'", f"date_trunc('{unit}'")
     month_no = ("((year(date_reserved) * 12 + month(date_reserved)) "
                 "- (year(opened_on) * 12 + month(opened_on)))")
     cols = [
@@ -54,8 +62,8 @@ def detail_sql(level: str) -> str:
     down = "SUM(COALESCE(nz_down, 0))"
     out_l = "CASE WHEN action_type = 'Transfer Out' THEN t_location_name END"
     in_l = "CASE WHEN action_type = 'Transfer In' THEN t_location_name END"
-    return (with_("led", "loc") + ", " + NZ + ", " + JOINED + f"""
-SELECT 'month' AS time_grouping, 'no' AS include_jv_markets, '{level}' AS select_grouping,
+    return (with_("led", "loc") + ", " + nz + ", " + joined + f"""
+SELECT '{unit}' AS time_grouping, '{'yes' if jv else 'no'}' AS include_jv_markets, '{level}' AS select_grouping,
        period, account_id, {sel} AS user_selection, {', '.join(shown)},
        CAST(CASE WHEN {tr} > 0 THEN {tr} + {up} ELSE {up} END AS BIGINT) AS upgrades,
        CAST(CASE WHEN {tr} < 0 THEN {tr} + {down} ELSE {down} END AS BIGINT) AS downgrades,
@@ -71,6 +79,11 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15""")
 
 SQL = {
     "net_sales_region": detail_sql("Region"),
+    "net_sales_city": detail_sql("City"),
+    "net_sales_territory": detail_sql("Territory"),
+    "net_sales_jv": detail_sql("Market", jv=True),
+    "net_sales_day": detail_sql("Global", unit="day"),
+    "net_sales_window": detail_sql("Region", window=("1995-01-10", "1996-02-10")),
     "net_sales_nation": detail_sql("Market"),
     "net_sales_location": detail_sql("Location"),
     "net_zero_transfers": with_("opp") + ", " + NZ + """

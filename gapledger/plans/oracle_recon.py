@@ -45,6 +45,8 @@ CTE = {
          CASE WHEN event_type = 'signup' THEN 'New Opportunity : OPP-' || CAST(user_id AS VARCHAR)
               WHEN event_type = 'view' THEN 'Update Opportunity : OPP-' || CAST(user_id AS VARCHAR)
               WHEN event_type = 'click' THEN 'Update Opportunity : OPP-' || CAST(user_id + 1 AS VARCHAR)
+              WHEN event_id % 2 = 0 THEN 'New Opportunity : OPP-' || CAST(user_id + 2 AS VARCHAR)
+                                         || '; Update Opportunity : OPP-' || CAST(user_id + 1 AS VARCHAR)
               ELSE 'No Action' END AS crm_response,
          CASE WHEN value >= 50 THEN 'OPP-' || CAST(user_id AS VARCHAR) END AS opportunity_id_found,
          ts AS created_at
@@ -137,6 +139,18 @@ def with_(*names: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in order) + "\n"
 
 
+def rled_sql(start: str | None = None, end: str | None = None) -> str:
+    """The resolved ledger with only the rows of a window; requests of the
+    window widened by a day on each side."""
+    sql = with_("rled")
+    if start is None:
+        return sql
+    sql = sql.replace("FROM lineitem GROUP BY 1, 2)", f"FROM lineitem WHERE l_shipdate >= DATE '{start}' - 1 "
+                      f"AND l_shipdate < DATE '{end}' + 1 GROUP BY 1, 2)")
+    return sql.replace("  FROM led v\n", f"  FROM (SELECT * FROM led WHERE date_reserved >= DATE '{start}' "
+                       f"AND date_reserved < DATE '{end}') v\n")
+
+
 def _late_sql() -> str:
     return """late AS (
   SELECT key, period FROM (
@@ -152,7 +166,7 @@ def _late_sql() -> str:
 def _same_day_sql() -> str:
     return """sameday AS (
   SELECT 'C-' || CAST(reservation_id AS VARCHAR) AS key FROM led
-  GROUP BY 1 HAVING count(*) = 2 AND min(date_reserved) = max(date_reserved))"""
+  GROUP BY 1 HAVING count(*) = 2 AND min(date_trunc('month', date_reserved)) = max(date_trunc('month', date_reserved)))"""
 
 
 def _legacy_sql() -> str:
@@ -184,6 +198,40 @@ SELECT opp_id, account_id, country, attributed_key FROM copp""",
     "resolve_contracts": with_("rled") + """
 SELECT account_id, agreement_uuid, CAST(SUM(desks_changed) AS BIGINT) AS desks_changed, count(*) AS n_rows
 FROM rled GROUP BY account_id, agreement_uuid""",
+    "resolve_contracts_window": rled_sql("1995-01-10", "1996-01-10") + """
+SELECT account_id, agreement_uuid, CAST(SUM(desks_changed) AS BIGINT) AS desks_changed, count(*) AS n_rows
+FROM rled GROUP BY account_id, agreement_uuid""",
+    "resolve_contract_choice": with_("led") + """,
+req AS (SELECT l_orderkey AS rid, l_orderkey * 10 + l_linenumber % 3 AS aid, l_shipdate AS ts,
+               l_linestatus = 'F' AS s, l_returnflag = 'R' AS e FROM lineitem),
+pick AS (
+  SELECT rid, 'in' AS side, arg_max(aid, {'a': ts, 'b': aid}) AS aid FROM req WHERE s GROUP BY rid
+  UNION ALL SELECT rid, 'out', arg_max(aid, {'a': ts, 'b': aid}) FROM req WHERE e GROUP BY rid)
+SELECT v.account_id, 'M-' || CAST(p.aid AS VARCHAR) AS agreement_uuid,
+       CAST(SUM(v.desks_changed) AS BIGINT) AS desks_changed, count(*) AS n_rows
+FROM led v LEFT JOIN pick p ON v.reservation_id = p.rid
+  AND p.side = CASE WHEN v.action_type IN ('Move In', 'Transfer In') THEN 'in' ELSE 'out' END
+GROUP BY 1, 2""",
+    "reconcile_null_keys": with_("opp", "rled") + """,
+c AS (SELECT CASE WHEN type_c <> '2-HIGH' THEN contract_key END AS key, SUM(desks) AS t FROM opp WHERE status_code = 'F' GROUP BY 1),
+l AS (SELECT agreement_uuid AS key, SUM(desks_changed) AS t FROM rled GROUP BY 1)
+SELECT COALESCE(c.key, l.key) AS key, CAST(COALESCE(c.t, 0) AS BIGINT) AS crm_total,
+       CAST(COALESCE(l.t, 0) AS BIGINT) AS ledger_total,
+       CAST(COALESCE(c.t, 0) - COALESCE(l.t, 0) AS BIGINT) AS net_gap,
+       CAST(abs(COALESCE(c.t, 0) - COALESCE(l.t, 0)) AS BIGINT) AS abs_gap
+FROM c FULL JOIN l ON c.key IS NOT DISTINCT FROM l.key WHERE COALESCE(c.t, 0) <> COALESCE(l.t, 0)""",
+    "remap_accounts": with_("led", "acc") + """
+SELECT 'ORG-' || a.country AS account_id, CAST(SUM(v.desks_changed) AS BIGINT) AS desks
+FROM led v JOIN acc a ON v.account_id = a.account_id WHERE a.segment <> 'MACHINERY' GROUP BY 1""",
+    "gaps_with_lineage": with_("cgaps") + """,
+lin AS (SELECT 'C-' || CAST(ma.o_orderkey AS VARCHAR) AS ma_uuid, r.p_partkey AS reservation_id, r.p_name AS reservable
+  FROM lineitem cr JOIN orders ma ON ma.o_orderkey = cr.l_orderkey LEFT JOIN part r ON r.p_partkey = cr.l_partkey
+  WHERE cr.l_linenumber = 1 AND ma.o_orderdate IS NOT NULL)
+SELECT g.account_id, g.attributed_key, g.period, g.net_gap, lin.reservation_id, lin.reservable
+FROM cgaps g LEFT JOIN lin ON g.attributed_key = lin.ma_uuid""",
+    "reuse_with_gaps": with_("cgaps", "reuse") + """
+SELECT r.record_id, r.agreement_uuid, r.contract_event_type, g.period, g.net_gap
+FROM reuse r LEFT JOIN cgaps g ON g.attributed_key = r.agreement_uuid""",
     "reconcile_contracts": with_("cgaps") + """
 SELECT account_id, attributed_key, period, country, crm_total, ledger_total, net_gap, abs_gap FROM cgaps""",
     "late_moveouts": with_("opp") + ", " + _late_sql() + "\nSELECT key, period FROM late",

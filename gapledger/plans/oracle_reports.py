@@ -40,17 +40,32 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON
 WHERE o.o_orderstatus = 'F'
 GROUP BY 1, 2, 3, 4""",
     "segment_volumes": with_("opp", "acc") + f"""
-SELECT {_M.format(c='opp.close_date')} AS period, acc.segment AS segment, count(opp.opp_id) AS opps,
+SELECT {_M.format(c='opp.close_date')} AS period, acc.country_key AS type_id, acc.segment AS segment, count(opp.opp_id) AS opps,
        CAST(SUM(CASE WHEN opp.status_code = 'F' THEN opp.desks END) AS BIGINT) AS desks_won
-FROM opp JOIN acc ON opp.account_id = acc.account_id GROUP BY 1, 2""",
+FROM opp JOIN acc ON opp.account_id = acc.account_id GROUP BY 1, 2, 3""",
+    "segment_volumes_month_of_year": with_("opp", "acc") + """
+SELECT CAST(month(opp.close_date) AS INTEGER) AS period, acc.country_key AS type_id, acc.segment AS segment,
+       count(opp.opp_id) AS opps, CAST(SUM(CASE WHEN opp.status_code = 'F' THEN opp.desks END) AS BIGINT) AS desks_won
+FROM opp JOIN acc ON opp.account_id = acc.account_id GROUP BY 1, 2, 3""",
+    "funnel_six_stages": """
+SELECT period, l.n AS leads, t.n AS tours, a.n AS opps_open, b.n AS won, c.n AS agreements, d.n AS signed FROM
+  (SELECT CAST(month(ts) AS INTEGER) AS period, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1) l
+  JOIN (SELECT CAST(month(ts) AS INTEGER) AS period, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1) t USING (period)
+  JOIN (SELECT CAST(month(o_orderdate) AS INTEGER) AS period, count(*) AS n FROM orders GROUP BY 1) a USING (period)
+  JOIN (SELECT CAST(month(o_orderdate) AS INTEGER) AS period, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) b USING (period)
+  JOIN (SELECT CAST(month(l_shipdate) AS INTEGER) AS period, count(*) AS n FROM lineitem GROUP BY 1) c USING (period)
+  JOIN (SELECT CAST(month(l_shipdate) AS INTEGER) AS period, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) d USING (period)""",
+    "events_in_range": """
+SELECT event_type, count(event_id) AS n FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' GROUP BY 1""",
     "reuse_conflicts": with_("reuse") + """
-SELECT record_id, company_id, crm_response, opportunity_id_found, conflict FROM (
-  SELECT *, CASE WHEN crm_response LIKE '%New Opportunity :%' AND opportunity_id_found IS NOT NULL THEN 1
-                 WHEN crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NULL THEN 2
-                 WHEN crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NOT NULL
-                      AND crm_response NOT LIKE '%' || opportunity_id_found || '%' THEN 3 END AS conflict
-  FROM reuse) t
-WHERE conflict IS NOT NULL""",
+SELECT record_id, company_id, crm_response, opportunity_id_found, 1 AS conflict FROM reuse
+WHERE crm_response LIKE '%New Opportunity :%' AND opportunity_id_found IS NOT NULL
+UNION ALL SELECT record_id, company_id, crm_response, opportunity_id_found, 2 FROM reuse
+WHERE crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NULL
+UNION ALL SELECT record_id, company_id, crm_response, opportunity_id_found, 3 FROM reuse
+WHERE crm_response LIKE '%Update Opportunity :%' AND opportunity_id_found IS NOT NULL
+  AND crm_response NOT LIKE '%' || opportunity_id_found || '%'""",
     "tag_effort": """
 SELECT event_type AS tag, count(event_id) AS n,
        round(avg(extract(hour FROM (ts - CAST(CAST(ts AS DATE) AS TIMESTAMP)))), 6) AS diff

@@ -1,7 +1,7 @@
 """Reconciliation plans over the analogue views.
 
 Each function takes (spark, base) and returns a lazy DataFrame over the whole
-tables. No action runs here.
+tables. No action runs here (only the footers of a table are read, once).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from ..functions.dates import period
 from ..operators import attribution as att
 from ..operators import labels as lab
 from ..operators import reconcile as rec
-from ..operators.joins import dimension_join
 from ..sources import analogues as av
 from ..sources.tables import read_table
 
@@ -22,6 +21,8 @@ WON_CODE, LOST_CODE = "F", "O"
 OWN_ACCOUNT_TEXT = "Customer#00000001"
 MOVEOUT_COUNTRY = "NATION_5"
 LEGACY_CUTOFF = "1995-06-01"
+NULL_KEY_PRIORITY = "2-HIGH"
+WINDOW_START, WINDOW_END = "1995-01-10", "1996-01-10"
 
 
 def _won():
@@ -75,7 +76,7 @@ def crm_contract_keys(spark: SparkSession, base: str) -> DataFrame:
     null country goes by reservation."""
     opp = av.opportunities(spark, base)
     acc = av.accounts(spark, base).select("account_id", "country", "country_key")
-    o = dimension_join(opp, acc, "account_id", "left")
+    o = opp.join(acc, "account_id", "left")
     key = att.attribution_key(F.col("type_c") == av.HOT_DESK_PRIORITY, F.col("country"),
                               av.EXCLUDED_NATIONS, F.col("reservation_key"),
                               F.col("contract_key"), null_country="a")
@@ -93,7 +94,7 @@ def resolved_ledger(spark: SparkSession, base: str, start=None, end=None) -> Dat
     v = att.resolve_contracts(av.ledger(spark, base), av.change_requests(spark, base),
                               av.agreements(spark, base), start, end)
     loc = av.locations(spark, base).select("location_id", "country", "country_key")
-    v = dimension_join(v, loc, "location_id", "left")
+    v = v.join(loc, "location_id", "left")
     key = att.attribution_key(F.col("reservable_type") == av.HOT_DESK_LEDGER, F.col("country"),
                               av.EXCLUDED_NATIONS,
                               F.concat(F.lit("R-"), F.col("account_id").cast("string")),
@@ -101,12 +102,54 @@ def resolved_ledger(spark: SparkSession, base: str, start=None, end=None) -> Dat
     return v.withColumn("attributed_key", key)
 
 
+def _per_agreement(v: DataFrame) -> DataFrame:
+    return v.groupBy("account_id", "agreement_uuid").agg(
+        F.sum("desks_changed").alias("desks_changed"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def resolve_contracts(spark: SparkSession, base: str) -> DataFrame:
     """Ledger desks per account and resolved agreement (null when the
     reservation has no qualifying request)."""
-    v = resolved_ledger(spark, base)
-    return v.groupBy("account_id", "agreement_uuid").agg(
-        F.sum("desks_changed").alias("desks_changed"), F.count(F.lit(1)).alias("n_rows"))
+    return _per_agreement(resolved_ledger(spark, base))
+
+
+def resolve_contracts_window(spark: SparkSession, base: str) -> DataFrame:
+    """D9 in a run window (P8, F14): ledger rows of the window, requests
+    executed from a day before it to a day after it."""
+    return _per_agreement(resolved_ledger(spark, base, WINDOW_START, WINDOW_END))
+
+
+def resolve_contract_choice(spark: SparkSession, base: str) -> DataFrame:
+    """D9 where a reservation has requests on several agreements: the latest
+    one counts, and no ledger row is repeated."""
+    li = read_table(spark, base, "lineitem")
+    agreement = F.col("l_orderkey") * 10 + F.col("l_linenumber") % 3
+    requests = av.change_requests(spark, base).join(
+        li.select("l_orderkey", "l_linenumber").withColumn("split_id", agreement),
+        (F.col("reservation_id") == F.col("l_orderkey")) & (F.col("line_no") == F.col("l_linenumber"))).select(
+        "reservation_id", F.col("split_id").alias("agreement_id"), "executed_at", "started_on", "ended_on")
+    agreements = li.select(agreement.alias("agreement_id")).distinct().withColumn(
+        "agreement_uuid", F.concat(F.lit("M-"), F.col("agreement_id").cast("string")))
+    return _per_agreement(att.resolve_contracts(av.ledger(spark, base), requests, agreements))
+
+
+def reconcile_null_keys(spark: SparkSession, base: str) -> DataFrame:
+    """D1 in the regime where null keys of the two sides match."""
+    crm = av.opportunities(spark, base).where(_won()).withColumn(
+        "key", F.when(F.col("type_c") != NULL_KEY_PRIORITY, F.col("contract_key")))
+    led = resolved_ledger(spark, base).withColumn("key", F.col("agreement_uuid"))
+    return rec.reconcile(rec.totals_by_key(crm, "key", "desks", "crm_total"),
+                         rec.totals_by_key(led, "key", "desks_changed", "ledger_total"),
+                         "key", "crm_total", "ledger_total", null_key="match")
+
+
+def remap_accounts(spark: SparkSession, base: str) -> DataFrame:
+    """Ledger desks per organisation; accounts of a nation form one, and
+    accounts outside the map (segment MACHINERY) drop out."""
+    key_map = av.accounts(spark, base).where(F.col("segment") != "MACHINERY").select(
+        F.col("account_id").cast("string").alias("from"), F.concat(F.lit("ORG-"), F.col("country")).alias("to"))
+    v = av.ledger(spark, base).withColumn("account_id", F.col("account_id").cast("string"))
+    return rec.totals_by_key(rec.remap_keys(v, "account_id", key_map, "from", "to"), "account_id", "desks_changed", "desks")
 
 
 def contract_sides(spark: SparkSession, base: str):
@@ -124,11 +167,12 @@ def contract_sides(spark: SparkSession, base: str):
     return key, crm, led
 
 
-def reconcile_contracts(spark: SparkSession, base: str) -> DataFrame:
+def reconcile_contracts(spark: SparkSession, base: str, gaps_only: bool = True) -> DataFrame:
     """D1 at contract grain: CRM vs resolved ledger per (account,
     attribution key, month), country from the ledger side first."""
     key, crm, led = contract_sides(spark, base)
-    g = rec.reconcile(crm, led, key, "crm_total", "ledger_total", attrs=["country_key"], prefer="right")
+    g = rec.reconcile(crm, led, key, "crm_total", "ledger_total", attrs=["country_key"], prefer="right",
+                      gaps_only=gaps_only)
     g = g.join(F.broadcast(av.countries(spark, base)), "country_key", "left")
     return g.select(*key, "country", "crm_total", "ledger_total", "net_gap", "abs_gap")
 
@@ -141,9 +185,11 @@ def late_moveouts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def same_day_pairs(spark: SparkSession, base: str) -> DataFrame:
-    """Reservations with exactly two ledger rows on one date."""
-    v = av.ledger(spark, base).withColumn(
-        "reservation_key", F.concat(F.lit("C-"), F.col("reservation_id").cast("string")))
+    """Reservations with exactly two ledger rows in one ship month (the
+    month plays the date). The two columns are the line items' own: no join."""
+    v = read_table(spark, base, "lineitem").select(
+        F.concat(F.lit("C-"), F.col("l_orderkey").cast("string")).alias("reservation_key"),
+        period("l_shipdate").alias("date_reserved"))
     return lab.same_day_pairs(v, "reservation_key", "date_reserved")
 
 
@@ -153,11 +199,12 @@ def legacy_keys(spark: SparkSession, base: str) -> DataFrame:
     return lab.legacy_keys(opp, "reservation_key", _won(), "close_date", LEGACY_CUTOFF)
 
 
-def label_gaps(spark: SparkSession, base: str) -> DataFrame:
-    """Every contract-grain gap row with its first matching reason."""
-    gaps = reconcile_contracts(spark, base)
+def label_gaps(spark: SparkSession, base: str, gaps: DataFrame | None = None) -> DataFrame:
+    """Every contract-grain gap row (``gaps``, or those of
+    ``reconcile_contracts``) with its first matching reason."""
+    gaps = reconcile_contracts(spark, base) if gaps is None else gaps
     names = av.accounts(spark, base).select("account_id", "account_name")
-    g = dimension_join(gaps, names, "account_id", "left")
+    g = gaps.join(names, "account_id", "left")
     # Both lookups are keyed by the attribution key alone (the period of the
     # late move-outs is a residual test), so the gap rows are shuffled once.
     g = lab.key_flags(g, "attributed_key", {
@@ -194,6 +241,22 @@ def enrich_gaps(spark: SparkSession, base: str) -> DataFrame:
                       "contract_event_type", "crm_response", "record_id")
 
 
+def gaps_with_lineage(spark: SparkSession, base: str) -> DataFrame:
+    """Gap rows with every primary request of their agreement."""
+    gaps = reconcile_contracts(spark, base).select("account_id", "attributed_key", "period", "net_gap")
+    lineage = agreement_lineage(spark, base).select("ma_uuid", "reservation_id", "reservable")
+    return rec.enrich_gaps(gaps, lineage, [("attributed_key", "ma_uuid")], salt_by=["reservation_id"]).drop("ma_uuid")
+
+
+def reuse_with_gaps(spark: SparkSession, base: str) -> DataFrame:
+    """The right merge: every reuse record with the gap rows of its
+    agreement."""
+    gaps = reconcile_contracts(spark, base).select("attributed_key", "period", "net_gap")
+    rr = av.reuse_records(spark, base).select("agreement_uuid", "record_id", "contract_event_type")
+    return rec.enrich_gaps(gaps, rr, [("attributed_key", "agreement_uuid")], how="right").select(
+        "record_id", "agreement_uuid", "contract_event_type", "period", "net_gap")
+
+
 def missing_keys(spark: SparkSession, base: str) -> DataFrame:
     """Order keys with no ledger line."""
     return rec.missing_keys(read_table(spark, base, "orders"), read_table(spark, base, "lineitem"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_of_year, open_range, period
+from ..functions.dates import closed_range, month_of_year, open_range
 from ..operators import ordering as od
 from ..operators import reports as rp
 from ..sources import analogues as av
@@ -14,6 +14,7 @@ from ..sources.tables import read_table
 # Analogue parameters (not reference values).
 IN_LIST_BRANDS = [f"Brand#{i}" for i in range(1, 70, 2)]  # 35 literals
 OR_CUTOFF = "2024-01-15"
+CLOSED_RANGE = ("2024-01-05", "2024-01-20")
 TAG_PATTERNS = ("%click%", "%sign%")
 NOTE_PATTERN = '%"k": 1%'
 
@@ -31,6 +32,29 @@ def funnel(spark: SparkSession, base: str) -> DataFrame:
     })
 
 
+def funnel_six_stages(spark: SparkSession, base: str) -> DataFrame:
+    """D18 with leads (views) and tours (clicks) before the four stages above,
+    by month of year: events and orders share no calendar month."""
+    e = read_table(spark, base, "events")
+    o = read_table(spark, base, "orders")
+    li = read_table(spark, base, "lineitem")
+    return rp.funnel({
+        "leads": (e.where(F.col("event_type") == "view"), "ts"),
+        "tours": (e.where(F.col("event_type") == "click"), "ts"),
+        "opps_open": (o, "o_orderdate"),
+        "won": (o.where(F.col("o_orderstatus") == "F"), "o_orderdate"),
+        "agreements": (li, "l_shipdate"),
+        "signed": (li.where(F.col("l_linestatus") == "F"), "l_shipdate"),
+    }, month_of_year_only=True)
+
+
+def events_in_range(spark: SparkSession, base: str) -> DataFrame:
+    """Events of a closed range; the midnight upper bound takes in that
+    instant and loses the day."""
+    e = read_table(spark, base, "events")
+    return e.where(closed_range("ts", *CLOSED_RANGE)).groupBy("event_type").agg(F.count("event_id").alias("n"))
+
+
 def compare_counts(spark: SparkSession, base: str) -> DataFrame:
     """Distinct accounts per month, won deals vs ledger rows adding
     desks."""
@@ -60,12 +84,23 @@ def durations(spark: SparkSession, base: str) -> DataFrame:
 
 
 def segment_volumes(spark: SparkSession, base: str) -> DataFrame:
-    """Deals and won desks per month and customer segment."""
+    """Deals and won desks per month and record type. The customer's
+    segment plays the type's name and its nation the type's id, so many types
+    bear one name."""
+    return _segment_volumes(spark, base, month_of_year_only=False)
+
+
+def segment_volumes_month_of_year(spark: SparkSession, base: str) -> DataFrame:
+    """D22 by month of year, as the source's statements grouped."""
+    return _segment_volumes(spark, base, month_of_year_only=True)
+
+
+def _segment_volumes(spark: SparkSession, base: str, month_of_year_only: bool) -> DataFrame:
     opp = av.opportunities(spark, base)
-    acc = av.accounts(spark, base).select("account_id", "segment")
+    acc = av.accounts(spark, base).select("account_id", "segment", "country_key")
     j = opp.join(acc, "account_id")
-    return rp.segment_volumes(j, "created_date", "segment", "opp_id", F.col("desks"),
-                              F.col("status_code") == "F")
+    return rp.segment_volumes(j, "created_date", "segment", "country_key", "opp_id", F.col("desks"),
+                              F.col("status_code") == "F", month_of_year_only=month_of_year_only)
 
 
 def reuse_conflicts(spark: SparkSession, base: str) -> DataFrame:

@@ -16,7 +16,6 @@ from ..operators import attribution as att
 from ..operators import labels as lab
 from ..operators import netsales as ns
 from ..operators import reconcile as rec
-from ..operators.joins import dimension_join
 
 # Fixed values of the source systems.
 EXCLUDED_COUNTRIES = ["CHN", "ARG", "COL", "PER", "IND", "RUS", "CHL", "KOR"]
@@ -74,11 +73,11 @@ def net_sales(v_transaction: DataFrame, dim_location: DataFrame, fact_reservatio
         F.col("reservation_uuid").alias("reservation_id"), F.col("sold_at_local").alias("sold_at"),
         F.col("gave_notice_local").alias("gave_notice"), "move_in_type", "move_out_type",
         "date_started", "date_ended", "real_capacity")
-    detail = ns.net_sales_detail(v, t, f, unit, level, include_jv, start, end)
+    detail = ns.net_sales_detail(v, t, f, unit, level, include_jv, start, end, transfer_lists=False)
     acc = dim_account.select(F.col("account_uuid").alias("account_id"),
                              F.col("account_uuid").alias("dim_account_uuid")).distinct()
-    # one name per account (the smallest), so the report never repeats a row
-    names = v_transaction.groupBy(F.col("account_uuid").alias("account_id")).agg(
+    # one name per account (the smallest in the window), so the report never repeats a row
+    names = v_transaction.where(period_in_range("date_reserved_local", unit, start, end)).groupBy(F.col("account_uuid").alias("account_id")).agg(
         F.min("account_name").alias("account_name"))
     rep = detail.groupBy("account_id", "period").agg(
         F.coalesce(F.sum(F.col("upgrades") + F.col("new_sales")), F.lit(0)).alias("net_sales"))
@@ -92,19 +91,19 @@ def aggregate_reconciliation(opportunity, billing_account, v_transaction, dim_lo
     """CRM vs net-sales report per account and period: (gap rows, summary)
     (D1, D11). The key includes the period (B5)."""
     crm = crm_by_account(opportunity, billing_account, unit, start, end).select(
-        "account_uuid", "period", "crm_total")
+        "account_uuid", "period", "crm_total", F.lit(None).cast("string").alias("account_name"))
     rep = net_sales(v_transaction, dim_location, fact_reservation, dim_account, unit, "Global", False, start, end)
     led = rep.select(F.col("account_uuid"), F.col("close_date").alias("period"),
                      F.col("net_sales").alias("ledger_total"), "account_name")
-    full = rec.reconcile(crm, led, ["account_uuid", "period"], "crm_total", "ledger_total", gaps_only=False)
-    full = full.join(led.select("account_uuid", "period", "account_name"), ["account_uuid", "period"], "left")
+    full = rec.reconcile(crm, led, ["account_uuid", "period"], "crm_total", "ledger_total", attrs=["account_name"],
+                         gaps_only=False)
     gaps = full.where(F.col("net_gap") != 0)
     return gaps, rec.summarize(full, "crm_total", "ledger_total", "account_uuid", "period")
 
 
 def _opp_country(opportunity: DataFrame, locations: DataFrame) -> DataFrame:
     loc = locations.select(F.col("uuid").alias("l_uuid"), F.col("country_code"))
-    return dimension_join(opportunity, loc, opportunity.building_uuid_c == F.col("l_uuid"), "left")
+    return opportunity.join(loc, opportunity.building_uuid_c == F.col("l_uuid"), "left")
 
 
 def crm_by_contract(opportunity: DataFrame, billing_account: DataFrame, locations: DataFrame,
@@ -122,10 +121,10 @@ def crm_by_contract(opportunity: DataFrame, billing_account: DataFrame, location
     kind = F.when(lost, hot_lost).otherwise(hot_won)
     key = att.attribution_key(kind, country, EXCLUDED_COUNTRIES, F.col("reservation_uuid_c"),
                               F.col("contract_uuid_c"), null_country="a")
-    o = o.withColumn("contract_uuid", key)
+    o = o.withColumns({"contract_uuid": key, "opportunity_name": F.col("name")})
     return rec.net_outcomes(o, "contract_uuid", won, lost, F.col("no_of_desks_unweighted_c"),
                             F.col("total_desks_reserved_net_c"),
-                            attrs=["account_uuid", "account_name", "country_code"],
+                            attrs=["account_uuid", "account_name", "country_code", "opportunity_name"],
                             names=("won", "lost", "crm_total"), drop_null_keys=["account_uuid", "account_name"])
 
 
@@ -143,7 +142,7 @@ def ledger_by_contract(v_transaction: DataFrame, locations: DataFrame, reservati
     ma = agreements.select(F.col("id").alias("agreement_id"), F.col("uuid").alias("agreement_uuid")).distinct()
     v = att.resolve_contracts(v, reqs, ma, start, end)
     loc = locations.select(F.col("uuid").alias("l_uuid"), "country_code")
-    v = dimension_join(v, loc, v.location_uuid == F.col("l_uuid"), "left")
+    v = v.join(loc, v.location_uuid == F.col("l_uuid"), "left")
     key = att.attribution_key(F.col("reservable_type") == HOT_DESK_RESERVABLE, F.col("country_code"),
                               EXCLUDED_COUNTRIES, F.col("reservation_uuid"), F.col("agreement_uuid"))
     v = v.withColumn("contract_uuid", key)
@@ -154,14 +153,17 @@ def ledger_by_contract(v_transaction: DataFrame, locations: DataFrame, reservati
 def row_level_reconciliation(opportunity, billing_account, locations, v_transaction, reservations,
                              change_requests, agreements, reuse_records, start, end,
                              own_company_text: str = "") -> DataFrame:
-    """Gap rows per contract with the first matching reason.
+    """Gap rows per contract with the opportunity's name (the smallest of a
+    contract; null on ledger-only rows) and the first matching reason (D1, D5-D8).
     ``own_company_text`` is matched inside account names by rule 1 (the own
     company's name; empty: the rule never holds)."""
     crm = crm_by_contract(opportunity, billing_account, locations, start, end)
     led = ledger_by_contract(v_transaction, locations, reservations, change_requests, agreements, start, end)
-    gaps = rec.reconcile(crm.select("contract_uuid", "account_uuid", "account_name", "country_code", "crm_total"),
+    led = led.withColumn("opportunity_name", F.lit(None).cast("string"))
+    gaps = rec.reconcile(crm.select("contract_uuid", "account_uuid", "account_name", "country_code",
+                                    "opportunity_name", "crm_total"),
                          led, "contract_uuid", "crm_total", "ledger_total",
-                         attrs=["account_uuid", "account_name", "country_code"], prefer="right")
+                         attrs=["account_uuid", "account_name", "country_code", "opportunity_name"], prefer="right")
     s1, e1 = shift_months(start, 1), shift_months(end, 1)
     nxt = opportunity.where(half_open("close_date", s1, e1) & (F.col("total_desks_reserved_net_c") < 0))
     late = (nxt.select(F.explode(F.array("reservation_uuid_c", "contract_uuid_c")).alias("key"),
@@ -187,3 +189,11 @@ def row_level_reconciliation(opportunity, billing_account, locations, v_transact
     ]
     return lab.label_gaps(g, rules).drop("late", "same_day", "legacy", "reused")
 
+
+def row_level_with_reuse(labelled: DataFrame, reuse_records: DataFrame, start, end) -> DataFrame:
+    """The full output of the row-level run (D12): labelled gap rows with the
+    window's reuse records of the same contract and company; gap rows without
+    one stay."""
+    rr = reuse_records.where(half_open("created_at", start, end)).withColumnRenamed("created_at", "reuse_created_at")
+    return rec.enrich_gaps(labelled, rr, [("contract_uuid", "membership_agreement_uuid"), ("account_uuid", "company_uuid")],
+                           salt_by=["reuse_created_at"])

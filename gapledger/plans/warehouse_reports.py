@@ -62,12 +62,13 @@ def durations(opportunity: DataFrame, record_type: DataFrame, after) -> DataFram
 
 
 def segment_volumes(opportunity: DataFrame, record_type: DataFrame, start, end) -> DataFrame:
-    """Deals and won desks per month and record type (statements 20-21, D22)."""
+    """Deals and won desks per month of year and record type, by its id and
+    name (statements 20-21, D22)."""
     t = record_type.select(F.col("id").alias("rt_id"), F.col("name").alias("record_type"))
     o = opportunity.where(half_open("created_date", start, end))
     j = o.join(t, o.record_type_id == F.col("rt_id"))
-    out = rp.segment_volumes(j, "created_date", "record_type", "id", F.col("no_of_desks_unweighted_c"),
-                             F.col("stage_name") == STAGE_WON)
+    out = rp.segment_volumes(j, "created_date", "record_type", "rt_id", "id", F.col("no_of_desks_unweighted_c"),
+                             F.col("stage_name") == STAGE_WON, month_of_year_only=True)
     return od.sort_report(out, ("period", "asc"))
 
 

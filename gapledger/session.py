@@ -7,6 +7,7 @@ what is missing, so the same code runs on a laptop and on a cluster.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +29,17 @@ _DEFAULTS = {
 
 
 def shuffle_sizing(input_bytes: int, total_cores: int, scan_bytes: int = 256 << 20,
-                   input_per_partition: int = 512 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+                   input_per_partition: int = 512 << 20) -> dict[str, str]:
     """Shuffle settings for a run over ``input_bytes`` of parquet on
     ``total_cores`` executor cores.
 
     One shuffle partition per ``input_per_partition`` of input: the shuffles
     here carry pruned columns and partial aggregates, a fraction of the input
     bytes, so a partition stays a few hundred MB and spills gracefully. At
-    least two waves of cores; at most ``max_partitions``, because map tasks x
-    reduce partitions is the number of shuffle blocks. AQE coalesces small
-    stages towards the advisory size and splits skewed partitions.
+    least two waves of cores. AQE coalesces small stages towards the advisory
+    size and splits skewed partitions.
     """
-    parts = min(max_partitions, max(2 * total_cores, -(-input_bytes // input_per_partition)))
+    parts = max(2 * total_cores, -(-input_bytes // input_per_partition))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(scan_bytes),
@@ -82,11 +82,14 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; a local folder is only
-    made when that setting is absent (tests, laptops).
+    The cluster names it in ``spark.checkpoint.dir``; without it a cluster job
+    fails, because its executors share no other folder. Only a one-process
+    ``local`` master (tests, laptops) gets a local folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="gapledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     # SparkContext.getCheckpointDir returns a per-application sub folder once set.

@@ -200,7 +200,8 @@ def reuse_records(spark: SparkSession, base: str) -> DataFrame:
 
     company = user, agreement = 'C-' || event id. The CRM response names a new
     opportunity for signups, an update of the user's own opportunity for
-    views, and of the next user's for clicks. An opportunity was found by us
+    views, of the next user's for clicks, and both a new and an update for
+    every second other event. An opportunity was found by us
     when the event value is at least 50.
     """
     e = read_table(spark, base, "events")
@@ -209,6 +210,9 @@ def reuse_records(spark: SparkSession, base: str) -> DataFrame:
     resp = (F.when(F.col("event_type") == "signup", F.concat(F.lit("New Opportunity : "), own))
              .when(F.col("event_type") == "view", F.concat(F.lit("Update Opportunity : "), own))
              .when(F.col("event_type") == "click", F.concat(F.lit("Update Opportunity : "), nxt))
+             .when(F.col("event_id") % 2 == 0, F.concat(
+                 F.lit("New Opportunity : OPP-"), (F.col("user_id") + 2).cast("string"),
+                 F.lit("; Update Opportunity : "), nxt))
              .otherwise(F.lit("No Action")))
     return e.select(
         F.col("event_id").alias("record_id"),

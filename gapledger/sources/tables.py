@@ -14,9 +14,16 @@ TABLES = (
 ).split()
 
 
-# path -> schema. Reading parquet without a schema runs a footer-reading job
-# per call; a plan that reads the same table many times pays it once.
-_SCHEMAS: dict[str, StructType] = {}
+# (path, modification time) -> schema. Reading parquet without a schema runs a
+# footer-reading job per call; a plan that reads the same table many times
+# pays it once, and a table that is written again is looked at again.
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
+def _version(spark: SparkSession, path: str) -> tuple[str, int]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+    return path, status.getModificationTime()
 
 
 def read_table(spark: SparkSession, base: str, name: str, schema: StructType | None = None) -> DataFrame:
@@ -27,20 +34,16 @@ def read_table(spark: SparkSession, base: str, name: str, schema: StructType | N
     schema is inferred once per path (or given) and passed explicitly after.
     """
     path = f"{base.rstrip('/')}/{name}.parquet"
-    schema = schema or _SCHEMAS.get(path)
+    if schema is None:
+        version = _version(spark, path)
+        schema = _SCHEMAS.get(version)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
+    _SCHEMAS[version] = df.schema
     return df
 
 
-def register_views(spark: SparkSession, base: str, names=TABLES) -> None:
-    """Register every table as a temp view, so ``spark.sql`` can name it."""
-    for n in names:
-        read_table(spark, base, n).createOrReplaceTempView(n)
-
-
 def normalize_column_names(df: DataFrame) -> DataFrame:
     """Dots and runs of underscores become one underscore."""
     return df.toDF(*[re.sub(r"[._]+", "_", c) for c in df.columns])

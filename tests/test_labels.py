@@ -82,3 +82,16 @@ def test_key_flags_one_join(spark):
     out = lab.key_flags(rows, "k", {"x": t1, "y": t2}).collect()
     got = sorted(((r.k or "~"), r.x, r.y) for r in out)
     assert got == [("a", True, False), ("b", False, True), ("~", False, False)]
+
+
+def test_requests_on_two_agreements_repeat_no_row(spark):
+    ledger = spark.createDataFrame([(1, "Move In", dt.datetime(2018, 8, 2)), (1, "Move Out", dt.datetime(2018, 8, 3))],
+                                   "reservation_id long, action_type string, date_reserved timestamp_ntz")
+    reqs = spark.createDataFrame([
+        (1, 10, dt.datetime(2018, 8, 1), dt.date(2018, 8, 1), dt.date(2018, 8, 3)),
+        (1, 11, dt.datetime(2018, 8, 5), dt.date(2018, 8, 1), None),
+        (1, 9, dt.datetime(2018, 8, 5), dt.date(2018, 8, 1), None)],
+        "reservation_id long, agreement_id long, executed_at timestamp_ntz, started_on date, ended_on date")
+    ags = spark.createDataFrame([(9, "A"), (10, "B"), (11, "C")], "agreement_id long, agreement_uuid string")
+    got = sorted((r.action_type, r.agreement_uuid) for r in att.resolve_contracts(ledger, reqs, ags).collect())
+    assert got == [("Move In", "C"), ("Move Out", "B")]

@@ -44,3 +44,17 @@ def test_error_rate(spark):
     assert (r.failing_contracts, r.agreements_created, r.error_rate_pct) == (2, 4, 50.0)
     z = logs.error_rate(fails, ags.where(F.lit(False)), "created", "id").first()
     assert z.error_rate_pct is None
+
+
+def test_error_rate_counts_text_ids(spark):
+    fails = spark.createDataFrame([("m1",)], "contract string")
+    ags = spark.sql("SELECT * FROM VALUES ('u-1', TIMESTAMP_NTZ'2018-03-02'), (NULL, TIMESTAMP_NTZ'2018-03-02'), "
+                    "('u-2', TIMESTAMP_NTZ'2018-03-02') AS t(uuid, created)")
+    r = logs.error_rate(fails, ags, "created", "uuid").first()
+    assert (r.failing_contracts, r.agreements_created, r.error_rate_pct) == (1, 2, 50.0)
+
+
+def test_failed_event_keys(spark):
+    e = spark.createDataFrame([("c1", "k1"), ("c1", None), (None, "k1"), (None, None), ("c2", "k2")], "company string, contract string")
+    assert tuple(logs.failed_event_keys(e).first()) == (5, 2, 2)
+    assert tuple(logs.failed_event_keys(e.limit(0)).first()) == (0, 0, 0)

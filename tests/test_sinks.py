@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from gapledger.session import checkpoint_dir, cut_lineage
 from gapledger.sources import sinks, tables
 
@@ -32,10 +34,40 @@ def test_checkpoint_uses_configured_dir(spark):
     assert df.count() == 5
 
 
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        Context.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(Session())
+
+
+def test_schema_follows_a_rewritten_table(spark, tmp_path):
+    base = str(tmp_path)
+    spark.range(3).write.parquet(f"{base}/part.parquet")
+    assert tables.read_table(spark, base, "part").columns == ["id"]
+    import time
+    time.sleep(1.1)
+    spark.range(3).selectExpr("id", "id * 2 AS twice").write.mode("overwrite").parquet(f"{base}/part.parquet")
+    assert tables.read_table(spark, base, "part").columns == ["id", "twice"]
+
+
 def test_shuffle_sizing():
     from gapledger.session import shuffle_sizing
-    big = shuffle_sizing(100 * 2**40, 8000)          # 100 TB on 8,000 cores: capped
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    big = shuffle_sizing(100 * 2**40, 8000)          # 100 TB: 512 MB of input each
+    assert big["spark.sql.shuffle.partitions"] == "204800"
     mid = shuffle_sizing(2**40, 8000)                # 1 TB: 2,048 by size, 16,000 by cores
     assert mid["spark.sql.shuffle.partitions"] == "16000"
     small = shuffle_sizing(10 << 20, 8)

@@ -90,3 +90,30 @@ def test_hot_key_join_under_aggregate_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_keys_spread_in_label_joins(spark):
+    """Rows without a key stay, unflagged, and are not shuffled to one task."""
+    table = spark.createDataFrame([("a",), (None,)], "key string")
+    rows = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.lit("a")).alias("k"), F.col("id"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = key_flags(rows, "k", {"t": table})
+        got = out.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted((r.id, r.t) for r in got) == [(i, i % 4 == 0) for i in range(4000)]
+    assert len({r.part for r in got if r.k is None}) > 1
+
+
+def test_surrogate_ids_over_buckets(spark):
+    from gapledger.operators.ordering import surrogate_id
+
+    rows = [(None, 3), ("b", None), ("a", 70), ("a", 5), ("b", 1), ("a", 6), (None, None)]
+    df = spark.createDataFrame(rows, "p string, k long")
+    got = [(r.p, r.k) for r in sorted(surrogate_id(df, ["p", "k"], [F.col("p"), F.floor(F.col("k") / 10)]).collect(), key=lambda r: r.id)]
+    assert got == [(None, None), (None, 3), ("a", 5), ("a", 6), ("a", 70), ("b", None), ("b", 1)]
+    assert surrogate_id(df.limit(0), ["p", "k"], [F.col("p")]).collect() == []

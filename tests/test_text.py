@@ -47,6 +47,29 @@ def test_documents_match_fixed_point(spark, base):
         assert got[r.doc_id] == _fixed_point(r.text), r.doc_id
 
 
+@pytest.mark.parametrize("extras", [
+    {"aa": "a"}, {"aaa": "a"}, {"aaaa": "aa"}, {"b2": "z", "1": "2"}, {"ab": ""}, {"ab": "b"}, {"one": "1", "\n": ""},
+    {"x": "yy", "yyy": "q"}, {"  ": "", "ab": "c"}])
+@pytest.mark.parametrize("text", [
+    "xaaaax", "aaa", "aaaaaaaa a aaa", "b1", "b11 bb12", "aabbab", "aaabbbab ab", "this is one test\n!\n", "xx x xxx", "a,b a\"b", ", a ,", ""])
+def test_extra_pairs_reach_the_fixed_point(spark, extras, text):
+    def loops(t):  # every pair until it is gone, all pairs until nothing changes
+        mapping, old = cleanup_map(extras), None
+        while old != t:
+            old = t = t.strip()
+            for k, v in mapping.items():
+                while k in t:
+                    t = t.replace(k, v)
+        return t.strip()
+
+    assert _one(spark, text, replace_extras=extras) == loops(text)
+
+
+def test_a_map_that_never_settles_is_an_error(spark):
+    with pytest.raises(Exception, match="not settled"):
+        _one(spark, "a", replace_extras={"a": "b", "b": "aa"})
+
+
 def test_self_containing_replacement_is_refused():
     with pytest.raises(ValueError):
         cleanup_map({"a": "aa"})

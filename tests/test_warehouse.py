@@ -101,3 +101,12 @@ def test_aggregate_report(tables):
     s = summary.first()
     assert s.net_gap_sum == s.crm_total_sum - s.ledger_total_sum
     assert {r.account_uuid for r in gaps.collect()} == {"A1", "A2", "A4", "A6"}  # A5: 1 vs 1
+
+
+def test_full_output_keeps_gaps_and_names(tables):
+    t = tables
+    labelled = _row_level(t)
+    assert {r.contract_uuid: r.opportunity_name for r in labelled.collect()}["C2"] == "n2"
+    full = {r.contract_uuid: r.reuse_created_at for r in wh.row_level_with_reuse(labelled, t["reuse"], START, END).collect()}
+    assert set(full) == {r.contract_uuid for r in labelled.collect()}
+    assert full["C10"] == D(2018, 8, 16) and full["C2"] is None
