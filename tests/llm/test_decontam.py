@@ -16,7 +16,7 @@ def test_new_numbers_and_names_are_caught_if_consistent(spark):
     clean = "A farmer who has apples and horses told us that the price of corn rose by 3 percent in the last two years"
     got = found(spark, [(1, "before it. " + QUESTION + ". After it", "a"), (2, other.replace("sells", "SELLS"), None), (3, mixed, "a"),
                         (4, clean, "a"), (5, None, None), (6, "", None), (None, QUESTION, None), (7, QUESTION + "\n" + QUESTION, "q")], min_consistent=0.9)
-    assert set(got) == {1, 2, 7, None} and got[1].n_consistent == got[1].n_slots == 5
+    assert set(got) == {1, 2, 7, None} and got[1].n_consistent == got[1].n_slots == 6
     assert got[1].item_windows == got[7].matched_windows
 
 
