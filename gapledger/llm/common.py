@@ -159,6 +159,19 @@ def smallest(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(column), column).limit(n)
 
 
+def fitted_in_task(rows: DataFrame, fit):
+    """``fit(table)`` of the whole of ``rows``, run in one task and returned to
+    the driver; None without rows. For samples of bounded size whose fitting
+    needs more memory than a driver should spend."""
+    import pickle
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table({"model": pa.array([pickle.dumps(fit(table))], pa.binary())})
+
+    got = rows.withColumn("_all", F.lit(1)).groupBy("_all").applyInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else None
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 300) -> np.ndarray:
     """Weights (last: bias) of a lightly regularised logistic regression, by Newton."""
     x = np.column_stack([x, np.ones(len(x))])

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordCache, mix64, output_columns, slices, sums, with_columns, worker_cache
+from .common import WordCache, fitted_in_task, mix64, output_columns, slices, sums, with_columns, worker_cache
 
 START, END = "\x02", "\x03"
 UNDECIDED = "und"
@@ -156,25 +156,34 @@ def fit(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "l
     ids = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(doc).alias("_doc"), F.col(lang).alias("_lang"), F.xxhash64(doc).alias("_hash"))
     ids = ids.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_language)
-    got = (docs.select(F.col(doc).alias("_doc"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-           .join(F.broadcast(ids.select("_doc", "_lang", "_rank").distinct()), ["_doc", "_lang"])  # bounded per language
-           .where(F.col("_text").isNotNull()).orderBy("_lang", "_rank", "_text").collect())
-    if not got:
-        return None
-    langs = sorted({r._lang for r in got})
-    held = [r for r in got if r._rank % 4 == 0]
+    rows = (docs.select(F.col(doc).alias("_doc"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
+            .join(F.broadcast(ids.select("_doc", "_lang", "_rank").distinct()), ["_doc", "_lang"])  # bounded per language
+            .where(F.col("_text").isNotNull()))
+
+    def run(table) -> Model:
+        table = table.sort_by([(c, "ascending") for c in ("_lang", "_rank", "_text")])
+        return fit_models(*(table.column(c).to_pylist() for c in ("_lang", "_rank", "_text")), order, reject)
+
+    return fitted_in_task(rows, run)
+
+
+def fit_models(langs_of: list[str], ranks: list[int], texts: list[str], order: int, reject: float) -> Model:
+    """One character model per language from three of four texts; temperature
+    and rejection limit from the others (every fourth rank)."""
+    langs = sorted(set(langs_of))
+    held = [i for i, r in enumerate(ranks) if r % 4 == 0]
     models = []
     for name in langs:
         counts: dict[str, int] = {}
-        for r in got:
-            if r._lang == name and (r._rank % 4 or len(held) < 2 * len(langs)):
-                for w in split(r._text):
+        for i, text in enumerate(texts):
+            if langs_of[i] == name and (ranks[i] % 4 or len(held) < 2 * len(langs)):
+                for w in split(text):
                     counts[w] = counts.get(w, 0) + 1
         counts = counts or {name: 1}
         models.append(fit_char_model(list(counts), np.array(list(counts.values())), order))
     model = Model(langs, models, order)
-    total = np.array([model.word_rows(split(r._text)).sum(axis=0) for r in held]).reshape(len(held), len(langs) + 2)
-    truth = np.array([langs.index(r._lang) for r in held])
+    total = np.array([model.word_rows(split(texts[i])).sum(axis=0) for i in held]).reshape(len(held), len(langs) + 2)
+    truth = np.array([langs.index(langs_of[i]) for i in held])
     known = total[:, -1] > 0 if len(held) else np.zeros(0, bool)
     if known.any():
         bits = total[known, :len(langs)] / total[known, -2][:, None]

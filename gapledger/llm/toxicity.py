@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WordCache, fit_logistic, mix64, output_columns, sigmoid, slices, smallest, with_columns,
+from .common import (WordCache, fit_logistic, fitted_in_task, mix64, output_columns, sigmoid, slices, smallest, with_columns,
                      word_bytes, worker_cache)
 
 #: Punctuation at the ends of a word that is not part of it.
@@ -53,9 +53,15 @@ def normal(words: list[bytes]) -> list[bytes]:
 
 def subwords(words: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each subword, first subword of each word and the end)."""
+    parts = [_subwords(words[at:at + 30_000], shape) for at in range(0, len(words), 30_000)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    return (np.concatenate([k for k, _ in parts]),
+            np.concatenate([[0], np.cumsum(np.concatenate([np.diff(s) for _, s in parts]))]))
+
+
+def _subwords(words: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     data, length = word_bytes(normal(words), b"<", b">")
-    if not len(length):
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
     starts = np.cumsum(length) - length
     word_of = np.repeat(np.arange(len(length)), length)
     left = (starts + length)[word_of] - np.arange(len(data))  # bytes from here to the word's end
@@ -76,7 +82,7 @@ def subwords(words: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     owner = np.concatenate(owners)
     key = np.concatenate([whole, *keys]) % np.uint64(shape.buckets)
     order = np.argsort(owner, kind="stable")
-    return key[order].astype(np.int64), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(length)))])
+    return key[order].astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(length)))])
 
 
 def worst_windows(score: np.ndarray, size: np.ndarray, words: np.ndarray, starts: np.ndarray, shape: Shape
@@ -195,11 +201,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
              .agg(F.max(label).alias("label")))
     chosen = smallest(known.where("label = 1"), doc, sample.toxic).unionByName(
         smallest(known.where("label = 0"), doc, sample.clean)).withColumnRenamed(doc, "_doc")
-    got = (docs.select(F.col(doc).alias("_doc"), F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
-           .join(F.broadcast(chosen), "_doc").orderBy("_doc").collect())  # bounded by sample
-    if not got:
-        return None
-    return train([bytes(r._text).lower().split() for r in got], np.array([r.label == 1 for r in got]), shape)
+    rows = (docs.select(F.col(doc).alias("_doc"), F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+            .join(F.broadcast(chosen), "_doc"))  # bounded by sample
+
+    def run(table: pa.Table) -> Model:
+        table = table.sort_by([("_doc", "ascending"), ("_text", "ascending")])
+        return train([t.lower().split() for t in table.column("_text").to_pylist()],
+                     table.column("label").to_numpy() == 1, shape)
+
+    return fitted_in_task(rows, run)
 
 
 def _scored(batches, shared, name: str, text: str):
