@@ -67,7 +67,7 @@ def _units() -> str:
 
 
 def _templates(table: str, key: str) -> str:
-    """Windows of template tokens: (key, at, g, slots); ``at`` from 1."""
+    """Windows of template tokens: (key, pos, g, slots); ``pos`` from 1."""
     return rf"""
 t_{table} AS (SELECT {key} AS k, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[.!?\n]|\p{{L}}+|[0-9]+(?:[.,][0-9]+)*') AS ts FROM {table}),
 u_{table} AS (SELECT k, r, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM t_{table}),
@@ -78,19 +78,19 @@ c_{table} AS (SELECT k, r, i, t, CASE
   ELSE lower(t) END AS c FROM p_{table} WHERE t NOT IN ('.', '!', '?', chr(10))),
 l_{table} AS (SELECT any_value(k) AS k, r, list(c ORDER BY i) AS cs,
   list(CASE c WHEN '{NUMBER}' THEN t WHEN '{UNIT}' THEN lower(t) WHEN '{NAME}' THEN lower(t) END ORDER BY i) AS vs FROM c_{table} GROUP BY r),
-w_{table} AS (SELECT k, at, cs[at:at + {WINDOW - 1}] AS g, vs[at:at + {WINDOW - 1}] AS slots FROM
-  (SELECT k, cs, vs, unnest(range(1, len(cs) - {WINDOW - 2})) AS at FROM l_{table}))"""
+w_{table} AS (SELECT k, pos, cs[pos:pos + {WINDOW - 1}] AS g, vs[pos:pos + {WINDOW - 1}] AS slots FROM
+  (SELECT k, cs, vs, unnest(range(1, len(cs) - {WINDOW - 2})) AS pos FROM l_{table}))"""
 
 
 SQL["op7_decontamination"] = f"""
 WITH {_templates('documents', 'doc_id')}, {_templates('benchmark', 'item_id')},
-items AS (SELECT DISTINCT k AS item_id, at, g, slots FROM w_benchmark
+items AS (SELECT DISTINCT k AS item_id, pos, g, slots FROM w_benchmark
   WHERE len(list_filter(slots, lambda v: v IS NOT NULL)) <= {MOST_SLOTS}),
-n AS (SELECT item_id, count(DISTINCT at) AS item_windows FROM items GROUP BY item_id),
-found AS (SELECT d.k AS doc_id, i.item_id, n.item_windows, i.at, d.slots AS ds, i.slots AS bs
+n AS (SELECT item_id, count(DISTINCT pos) AS item_windows FROM items GROUP BY item_id),
+found AS (SELECT d.k AS doc_id, i.item_id, n.item_windows, i.pos, d.slots AS ds, i.slots AS bs
   FROM w_documents d JOIN items i ON d.g = i.g JOIN n ON n.item_id = i.item_id),
-covered AS (SELECT doc_id, item_id, count(DISTINCT at) AS matched_windows, max(item_windows) AS item_windows
-  FROM found GROUP BY doc_id, item_id HAVING count(DISTINCT at) >= 0.4 * max(item_windows)),
+covered AS (SELECT doc_id, item_id, count(DISTINCT pos) AS matched_windows, max(item_windows) AS item_windows
+  FROM found GROUP BY doc_id, item_id HAVING count(DISTINCT pos) >= 0.4 * max(item_windows)),
 pairs AS (SELECT doc_id, item_id, b, min(d) = max(d) AS same FROM
   (SELECT doc_id, item_id, unnest(bs) AS b, unnest(ds) AS d FROM found) WHERE b IS NOT NULL GROUP BY doc_id, item_id, b),
 slots AS (SELECT doc_id, item_id, count(*) AS n_slots, sum(same::INT)::BIGINT AS n_consistent FROM pairs GROUP BY doc_id, item_id)
