@@ -45,7 +45,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batch in runs of rows of about ``max_bytes`` of text (one row at
     least), so that memory does not grow with the batch."""
     size = np.array([0 if x is None else x for x in _binary_length(batch, column)], np.int64)
@@ -98,7 +98,7 @@ class WordCache:
     word and kept while the Python worker lives; emptied beyond ``limit``
     words, so its memory is bounded whatever the corpus holds."""
 
-    def __init__(self, compute, limit: int = 400_000):
+    def __init__(self, compute, limit: int = 200_000):
         self.compute, self.limit = compute, limit
         self.clear()
 
@@ -123,11 +123,12 @@ class WordCache:
         return flat, starts
 
 
-_CACHES: dict[str, WordCache] = {}
+_CACHES: dict = {}
 
 
-def worker_cache(key: str, make) -> WordCache:
-    """The cache of this Python worker for a model; only the last model's stays."""
+def worker_cache(key: str, make):
+    """The cache of this Python worker for a model or tokenizer. Workers serve
+    many stages; only the last one's cache stays."""
     if key not in _CACHES:
         _CACHES.clear()
         _CACHES[key] = make()

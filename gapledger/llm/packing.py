@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import Vocabulary, slices, texts
+from .common import Vocabulary, slices, texts, worker_cache
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ class WordTokens:
     """Token ids of whole texts by a tokenizer whose tokens never span ASCII
     white space: each distinct word is tokenized once per Python worker."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -83,14 +83,8 @@ class WordTokens:
         return out
 
 
-_TOKENS: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> WordTokens:
-    if path not in _TOKENS:
-        _TOKENS.clear()
-        _TOKENS[path] = WordTokens(path)
-    return _TOKENS[path]
+    return worker_cache(f"tokens {path}", lambda: WordTokens(path))
 
 
 def cut(doc: int, n: int, loss_from: int, limits: Limits) -> Iterator[Piece]:

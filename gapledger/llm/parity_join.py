@@ -209,7 +209,7 @@ def segment_rows(docs: DataFrame, text: str, parts: int) -> DataFrame:
     Equal sets of one slice of rows are sketched once."""
     def run(batches):
         for batch in batches:
-            for _, found in slices(batch, text, 12 << 20):
+            for _, found in slices(batch, text, 4 << 20):
                 heads, keys, seen = [], [], set()
                 for s in shingle_sets(found, _cache()):
                     if len(s) and (own := digest(s)[0]) not in seen:

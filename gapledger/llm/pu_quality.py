@@ -177,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
                 [part.column("_doc").cast(pa.string()), part.column("label").cast(pa.int32()), part.column("kinds"),
                  pa.array(list(x), pa.list_(pa.float64()))], names=["doc", "label", "kinds", "x"])
 
-    got = rows.mapInArrow(run, "doc string, label int, kinds array<string>, x array<double>").orderBy("doc").collect()
+    got = rows.mapInArrow(run, "doc string, label int, kinds array<string>, x array<double>").collect()
+    got.sort(key=lambda r: (r.doc, r.x))  # the order of the rows does not depend on tasks
     x = np.array([r.x for r in got], np.float64).reshape(len(got), FEATURES)
     kind = {k: np.array([k in r.kinds for r in got], bool) for k in "pcu"}
     y = np.array([r.label if r.label is not None else -1 for r in got])
