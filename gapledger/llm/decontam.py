@@ -4,8 +4,12 @@ Numbers, units after a number, and names become typed placeholders; what is
 left are lower-case words. Windows of this template are hashed and joined
 between documents and benchmark items, so a question asked again with other
 numbers or names still meets its item. The values behind the placeholders then
-have to be consistent: across the windows of a document and an item, each
-value of the item must stand for one value of the document.
+have to be consistent: each value of the item must stand for one value of the
+document. That is judged per alignment (the distance of the document's window
+from the item's), so that an item that repeats a template, or a document that
+holds an item twice, is not compared crosswise; also over alignments a few
+tokens apart, for copies with words put in or left out, and over all windows.
+One passing alignment is enough.
 
 Only DataFrame functions. Before the join, a document's windows pass a Bloom
 filter of the benchmark's window hashes, of a fixed size (``BITS`` bits, in a
@@ -31,6 +35,8 @@ NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
 WINDOW = 8
 #: Of a window at most so many tokens may be placeholders.
 MOST_SLOTS = WINDOW // 2
+#: Alignments less than this apart are also judged together, if they share one of two shifted ranges.
+DRIFT = WINDOW
 #: 64-bit words of the filter.
 FILTER_WORDS = 4096
 BITS = 64 * FILTER_WORDS
@@ -95,16 +101,18 @@ def bloom(hashes: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> DataFrame:
-    """(doc, item, item_windows, at, slots, item_slots): windows of documents
-    whose template is an item's."""
-    d = templates(docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text")), "_text", "_tokens").drop("_text")
+    """(doc, copy, shift, item, item_windows, at, slots, item_slots): windows of
+    documents whose template is an item's. ``copy`` tells texts of one id apart,
+    ``shift`` is the window's place less its place ``at`` in the item."""
+    d = docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text"))
+    d = templates(d.withColumn("copy", F.xxhash64("_text")), "_text", "_tokens").drop("_text")
     d = d.withColumn("_hashes", windows(F.col("_tokens")))
     d = d.withColumn("_filter", bloom(items.select("hash")).scalar())
     d = d.withColumn("_found", F.filter(F.transform("_hashes", lambda h, i: F.struct(h.alias("hash"), i.alias("i"))), _passes))
-    d = d.select("doc", F.explode(F.transform("_found", lambda x: F.struct(
-        x["hash"].alias("hash"), F.slice(F.col("_tokens")["v"], x["i"] + 1, WINDOW).alias("slots")))).alias("w"))
-    return d.select("doc", F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")).join(
-        items.withColumnRenamed("slots", "item_slots"), "hash").drop("hash")
+    d = d.select("doc", "copy", F.explode(F.transform("_found", lambda x: F.struct(
+        x["hash"].alias("hash"), x["i"].alias("i"), F.slice(F.col("_tokens")["v"], x["i"] + 1, WINDOW).alias("slots")))).alias("w"))
+    d = d.select("doc", "copy", F.col("w.hash").alias("hash"), F.col("w.i").alias("i"), F.col("w.slots").alias("slots"))
+    return d.join(items.withColumnRenamed("slots", "item_slots"), "hash").withColumn("shift", F.col("i") - F.col("at")).drop("hash", "i")
 
 
 def _passes(x: Column) -> Column:
@@ -116,28 +124,45 @@ def _passes(x: Column) -> Column:
     return out
 
 
+def aligned(found: DataFrame) -> DataFrame:
+    """``found`` once for each group that a match is judged in, with ``group``:
+    its alignment, two ranges of alignments, and all matches."""
+    def group(copy: Column, kind: int, at: Column) -> Column:
+        return F.struct(copy.alias("copy"), F.lit(kind).alias("kind"), at.cast("bigint").alias("at"))
+
+    copy, shift = F.col("copy"), F.col("shift")
+    near = [F.floor((shift + k) / DRIFT) for k in (0, DRIFT // 2)]
+    return found.withColumn("group", F.explode(F.array(
+        group(F.lit(0).cast("bigint"), 0, F.lit(0)), group(copy, 1, shift), group(copy, 2, near[0]), group(copy, 3, near[1]))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",
                  item_text: str = "text", min_coverage: float = 0.4, min_consistent: float = 0.8) -> DataFrame:
     """(doc, item, matched_windows, item_windows, n_slots, n_consistent) of the
     documents that hold at least ``min_coverage`` of an item's windows, with at
     least ``min_consistent`` of the item's slot values standing for one value.
+    Of several alignments that pass, the one with the most windows is given.
 
     Null and empty texts match nothing; items with fewer than WINDOW tokens, or
     with placeholders in most of each window, cannot be told from chance and
     match nothing; repeated rows count once; other columns are left out.
     """
     items = item_windows(benchmark, item, item_text)
-    found = written(matches(docs, doc, text, items), "decontam-matches")
-    covered = (found.groupBy("doc", "item", "at").agg(F.max("item_windows").alias("item_windows"))
-               .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("matched_windows"), F.max("item_windows").alias("item_windows"))
+    found = aligned(written(matches(docs, doc, text, items), "decontam-matches"))
+    key = ["doc", "item", "group"]
+    covered = (found.groupBy(*key, "at").agg(F.max("item_windows").alias("item_windows"))
+               .groupBy(*key).agg(F.count(F.lit(1)).alias("matched_windows"), F.max("item_windows").alias("item_windows"))
                .where(F.col("matched_windows") >= min_coverage * F.col("item_windows")))
-    slots = (found.select("doc", "item", F.explode(F.arrays_zip(F.col("slots").alias("d"), F.col("item_slots").alias("b"))).alias("s"))
-             .where("s.b IS NOT NULL").groupBy("doc", "item", F.col("s.b").alias("b"))
+    slots = (found.select(*key, F.explode(F.arrays_zip(F.col("slots").alias("d"), F.col("item_slots").alias("b"))).alias("s"))
+             .where("s.b IS NOT NULL").groupBy(*key, F.col("s.b").alias("b"))
              .agg((F.min("s.d") == F.max("s.d")).cast("bigint").alias("consistent"))
-             .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n_slots"), F.sum("consistent").alias("n_consistent")))
-    joined = covered.alias("c").join(slots.alias("s"), F.col("c.doc").eqNullSafe(F.col("s.doc"))
-                                     & F.col("c.item").eqNullSafe(F.col("s.item")), "left")
+             .groupBy(*key).agg(F.count(F.lit(1)).alias("n_slots"), F.sum("consistent").alias("n_consistent")))
+    same_key = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ("doc", "item", "group")]
+    joined = covered.alias("c").join(slots.alias("s"), same_key[0] & same_key[1] & same_key[2], "left")
     n, same = F.coalesce("s.n_slots", F.lit(0)), F.coalesce("s.n_consistent", F.lit(0))
-    return joined.where(same >= min_consistent * n).select(
-        F.col("c.doc").alias(doc), F.col("c.item").alias(item), "matched_windows", "item_windows",
-        n.alias("n_slots"), same.alias("n_consistent"))
+    best = (joined.where(same >= min_consistent * n)
+            .select(F.col("c.doc").alias("doc"), F.col("c.item").alias("item"),
+                    F.struct("matched_windows", n.alias("n_slots"), same.alias("n_consistent"), "item_windows").alias("x"))
+            .groupBy("doc", "item").agg(F.max("x").alias("x")))
+    return best.select(F.col("doc").alias(doc), F.col("item").alias(item), "x.matched_windows", "x.item_windows",
+                       "x.n_slots", "x.n_consistent")

@@ -34,3 +34,23 @@ def test_planted_items_of_the_tables(spark):
              if " ".join(r.text.split()[1:-1]) in " ".join(t)}
     got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
     assert whole <= got and len(got) <= len(whole) + 2
+
+
+TWICE = ("Tom has 3 apples in the red basket today. Ann has 5 apples in the red basket today. "
+         "Who of the two has more fruit in a basket?")
+
+
+def test_an_item_that_repeats_a_template_is_found(spark):
+    other = TWICE.replace("3", "8").replace("5", "6")
+    got = found(spark, [(1, "Before it. " + TWICE + " After it", None), (2, other, None)], [(1, TWICE, "")])
+    assert set(got) == {1, 2} and all(r.matched_windows == r.item_windows for r in got.values())
+    assert got[1].n_consistent == got[1].n_slots == 2
+
+
+def test_an_item_held_twice_with_other_values_is_found(spark):
+    other = QUESTION.replace("Anna", "Maria").replace("12", "40").replace("3", "7").replace("5", "9")
+    inserted = [q.replace("apples for", "ripe apples for") for q in (QUESTION, other)]
+    mixed = other.replace("then Maria", "then Peter")
+    got = found(spark, [(1, QUESTION + ". " + other, None), (2, ". ".join(inserted), None), (None, QUESTION, None),
+                        (None, other, None), (3, mixed, None)], min_consistent=0.9)
+    assert set(got) == {1, 2, None} and got[1].matched_windows == got[1].item_windows
