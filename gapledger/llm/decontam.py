@@ -9,7 +9,10 @@ document. That is judged per alignment (the distance of the document's window
 from the item's), so that an item that repeats a template, or a document that
 holds an item twice, is not compared crosswise; also over alignments a few
 tokens apart, for copies with words put in or left out, and over all windows.
-One passing alignment is enough.
+One passing alignment is enough. So is a run of consecutive windows of a fixed
+length, whatever part of a long item it is. Items without a usable window
+(short ones, or mostly placeholders) are matched as a whole, by words and
+values.
 
 Only DataFrame functions. Before the join, a document's windows pass a Bloom
 filter of the benchmark's window hashes, of a fixed size (``BITS`` bits, in a
@@ -19,7 +22,7 @@ benchmark that fills the filter makes the join larger, not wrong.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -37,6 +40,15 @@ WINDOW = 8
 MOST_SLOTS = WINDOW // 2
 #: Alignments less than this apart are also judged together, if they share one of two shifted ranges.
 DRIFT = WINDOW
+#: A run of so many consecutive windows (13 template tokens) is a leak by itself.
+RUN = 6
+RUNS = 4
+#: Scripts without spaces; an exact match takes each of their letters as a token, of half a word's weight.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+EXACT_TOKEN = rf"[.!?\n。！？]|[{UNSPACED}]|[\p{{L}}&&[^{UNSPACED}]]+|[0-9]+(?:[.,][0-9]+)*"
+EXACT_MARKS = *MARKS, "。", "！", "？"
+#: An item matched as a whole has the least weight; below the other one, or without words, it must stand between sentence marks.
+EXACT_LEAST, EXACT_FREE = 3, 5
 #: 64-bit words of the filter.
 FILTER_WORDS = 4096
 BITS = 64 * FILTER_WORDS
@@ -73,15 +85,48 @@ def windows(tokens: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, items_windows, at, hash, slots) of the windows of all items that
-    have enough words beside their placeholders."""
+    """(item, item_windows, at, nth, hash, slots) of the windows of all items that
+    have enough words beside their placeholders; ``nth`` numbers an item's
+    windows without gaps."""
     b = templates(benchmark.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text", "_tokens").drop("_text")
     b = b.withColumn("_hashes", windows(F.col("_tokens")))
     b = b.select("item", "_tokens", F.posexplode("_hashes").alias("at", "hash"))
     b = b.select("item", "at", "hash", F.slice(F.col("_tokens")["v"], F.col("at") + 1, WINDOW).alias("slots"))
     b = b.where(F.size(F.filter("slots", lambda v: v.isNotNull())) <= MOST_SLOTS).dropDuplicates(["item", "at", "hash", "slots"])
     n = b.groupBy("item").agg(F.countDistinct("at").alias("item_windows"))
-    return b.join(n, "item")
+    return b.join(n, "item").withColumn("nth", F.dense_rank().over(Window.partitionBy("item").orderBy("at")))
+
+
+def whole_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """(item, words, free, n_slots, anchor, hash) of the items without a usable
+    window: their exact tokens, whether they are found within a sentence too,
+    and the length and hash of their first tokens."""
+    b = templates(benchmark.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text", "_tokens")
+    values = F.col("_tokens")["v"]
+    n = F.size(values) - (WINDOW - 1)
+    usable = F.when(n > 0, F.exists(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.size(
+        F.filter(F.slice(values, i + 1, WINDOW), lambda v: v.isNotNull())) <= MOST_SLOTS)).otherwise(False)
+    slots = F.size(F.array_distinct(F.filter(values, lambda v: v.isNotNull()))).cast("bigint")
+    b = exact_tokens(b.where(~usable).withColumn("n_slots", slots), "_text", "_exact").withColumn("words", F.col("_exact")["t"])
+    weight = F.size("words") - F.size(F.filter("words", lambda w: w.rlike(f"^[{UNSPACED}]"))) / 2
+    free = (weight >= EXACT_FREE) & F.exists("words", lambda w: ~w.rlike("^[0-9]"))
+    return (b.where(weight >= EXACT_LEAST).select("item", "words", free.alias("free"), "n_slots").distinct()
+            .withColumn("anchor", F.least(F.size("words"), F.lit(WINDOW)))
+            .withColumn("hash", F.xxhash64(F.slice("words", 1, F.col("anchor")))))
+
+
+def exact_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds ``out``: array<struct<t, s, e>> of the text's lower-case words,
+    letters of scripts without spaces, and numbers, and whether a sentence
+    starts and ends with each. Null: empty."""
+    df = df.withColumn("_t", F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(EXACT_TOKEN), F.lit(0)))
+    stop = F.array(F.lit("."))
+    df = df.withColumn("_z", F.filter(F.arrays_zip(
+        F.col("_t").alias("t"), F.concat(stop, F.col("_t")).alias("p"),
+        F.concat(F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))), stop).alias("q")),
+        lambda z: z["t"].isNotNull() & ~z["t"].isin(*EXACT_MARKS)))
+    return df.withColumn(out, F.transform("_z", lambda z: F.struct(
+        F.lower(z["t"]).alias("t"), z["p"].isin(*EXACT_MARKS).alias("s"), z["q"].isin(*EXACT_MARKS).alias("e")))).drop("_t", "_z")
 
 
 def _bit(hash_: Column, k: int) -> tuple[Column, Column]:
@@ -101,7 +146,7 @@ def bloom(hashes: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> DataFrame:
-    """(doc, copy, shift, item, item_windows, at, slots, item_slots): windows of
+    """(doc, copy, shift, item, item_windows, at, nth, slots, item_slots): windows of
     documents whose template is an item's. ``copy`` tells texts of one id apart,
     ``shift`` is the window's place less its place ``at`` in the item."""
     d = docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text"))
@@ -115,6 +160,25 @@ def matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> DataFrame
     return d.join(items.withColumnRenamed("slots", "item_slots"), "hash").withColumn("shift", F.col("i") - F.col("at")).drop("hash", "i")
 
 
+def whole_matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> DataFrame | None:
+    """(doc, item, n_slots): documents that hold an item's exact tokens; None if
+    there are no such items. Found by the item's first tokens, then compared."""
+    anchors = {r.anchor: r.longest for r in items.groupBy("anchor").agg(F.max(F.size("words")).alias("longest")).collect()}
+    if not anchors:
+        return None
+    d = exact_tokens(docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text")), "_text", "_tokens").drop("_text")
+    d = d.withColumn("_words", F.col("_tokens")["t"]).withColumn("_filter", bloom(items.select("hash")).scalar())
+    d = d.withColumn("_found", F.filter(F.flatten(F.transform("_words", lambda _, i: F.array(*[F.struct(
+        F.xxhash64(F.slice("_words", i + 1, k)).alias("hash"), i.alias("i")) for k in sorted(anchors)]))), _passes))
+    d = d.select("doc", F.explode(F.transform("_found", lambda x: F.struct(
+        x["hash"].alias("hash"), F.slice("_tokens", x["i"] + 1, max(anchors.values())).alias("said")))).alias("w"))
+    said, n = F.col("said"), F.size("words")
+    whole = (F.size(said) >= n) & (F.slice(said["t"], 1, n) == F.col("words"))
+    return (d.select("doc", "w.hash", "w.said").join(items, "hash")
+            .where(whole & (F.col("free") | (F.get(said["s"], F.lit(0)) & F.get(said["e"], n - 1))))
+            .select("doc", "item", "n_slots").distinct())
+
+
 def _passes(x: Column) -> Column:
     out = None
     for k in (0, 1):
@@ -126,33 +190,43 @@ def _passes(x: Column) -> Column:
 
 def aligned(found: DataFrame) -> DataFrame:
     """``found`` once for each group that a match is judged in, with ``group``:
-    its alignment, two ranges of alignments, and all matches."""
-    def group(copy: Column, kind: int, at: Column) -> Column:
-        return F.struct(copy.alias("copy"), F.lit(kind).alias("kind"), at.cast("bigint").alias("at"))
+    its alignment, two ranges of alignments, all matches, and its run, the
+    consecutive matches of an alignment."""
+    def group(copy: Column, kind: int, at: Column, run: Column) -> Column:
+        return F.struct(copy.alias("copy"), F.lit(kind).alias("kind"), at.cast("bigint").alias("at"), run.alias("run"))
 
-    copy, shift = F.col("copy"), F.col("shift")
+    copy, shift, none = F.col("copy"), F.col("shift"), F.lit(0).cast("bigint")
     near = [F.floor((shift + k) / DRIFT) for k in (0, DRIFT // 2)]
-    return found.withColumn("group", F.explode(F.array(
-        group(F.lit(0).cast("bigint"), 0, F.lit(0)), group(copy, 1, shift), group(copy, 2, near[0]), group(copy, 3, near[1]))))
+    line = Window.partitionBy("doc", "copy", "item", "shift").orderBy("at")
+    # rows of one place (items or documents that share an id) are equal in the order and share a run
+    place = F.dense_rank().over(line)
+    return found.withColumn("run", (F.col("nth") - place).cast("bigint")).withColumn("group", F.explode(F.array(
+        group(none, 0, none, none), group(copy, 1, shift, none), group(copy, 2, near[0], none), group(copy, 3, near[1], none),
+        group(copy, RUNS, shift, F.col("run")))))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",
                  item_text: str = "text", min_coverage: float = 0.4, min_consistent: float = 0.8) -> DataFrame:
     """(doc, item, matched_windows, item_windows, n_slots, n_consistent) of the
-    documents that hold at least ``min_coverage`` of an item's windows, with at
-    least ``min_consistent`` of the item's slot values standing for one value.
-    Of several alignments that pass, the one with the most windows is given.
-
-    Null and empty texts match nothing; items with fewer than WINDOW tokens, or
-    with placeholders in most of each window, cannot be told from chance and
-    match nothing; repeated rows count once; other columns are left out.
+    documents that hold at least ``min_coverage`` of an item's windows, or RUN
+    consecutive ones, with at least ``min_consistent`` of the item's slot values
+    standing for one value. Of several alignments that pass, the one with the
+    most windows is given.
+
+    Items with fewer than WINDOW tokens, or with placeholders in most of each
+    window, count as one window of exact words and values. Those of fewer than
+    EXACT_FREE words, or of numbers alone, cannot be told from chance within a
+    sentence and match only between sentence marks; below EXACT_LEAST nothing
+    matches. Null and empty texts match nothing; repeated rows count once; other
+    columns are left out.
     """
     items = item_windows(benchmark, item, item_text)
     found = aligned(written(matches(docs, doc, text, items), "decontam-matches"))
     key = ["doc", "item", "group"]
     covered = (found.groupBy(*key, "at").agg(F.max("item_windows").alias("item_windows"))
                .groupBy(*key).agg(F.count(F.lit(1)).alias("matched_windows"), F.max("item_windows").alias("item_windows"))
-               .where(F.col("matched_windows") >= min_coverage * F.col("item_windows")))
+               .where(F.when(F.col("group.kind") == RUNS, F.col("matched_windows") >= RUN)
+                   .otherwise(F.col("matched_windows") >= min_coverage * F.col("item_windows"))))
     slots = (found.select(*key, F.explode(F.arrays_zip(F.col("slots").alias("d"), F.col("item_slots").alias("b"))).alias("s"))
              .where("s.b IS NOT NULL").groupBy(*key, F.col("s.b").alias("b"))
              .agg((F.min("s.d") == F.max("s.d")).cast("bigint").alias("consistent"))
@@ -160,9 +234,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
     same_key = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ("doc", "item", "group")]
     joined = covered.alias("c").join(slots.alias("s"), same_key[0] & same_key[1] & same_key[2], "left")
     n, same = F.coalesce("s.n_slots", F.lit(0)), F.coalesce("s.n_consistent", F.lit(0))
-    best = (joined.where(same >= min_consistent * n)
-            .select(F.col("c.doc").alias("doc"), F.col("c.item").alias("item"),
-                    F.struct("matched_windows", n.alias("n_slots"), same.alias("n_consistent"), "item_windows").alias("x"))
-            .groupBy("doc", "item").agg(F.max("x").alias("x")))
+    passed = joined.where(same >= min_consistent * n).select(
+        F.col("c.doc").alias("doc"), F.col("c.item").alias("item"),
+        F.struct("matched_windows", n.alias("n_slots"), same.alias("n_consistent"), "item_windows").alias("x"))
+    whole = whole_matches(docs, doc, text, written(whole_items(benchmark, item, item_text), "decontam-whole"))
+    if whole is not None:
+        one = F.lit(1).cast("bigint")
+        passed = passed.union(whole.select("doc", "item", F.struct(one, "n_slots", "n_slots", one)))
+    best = passed.groupBy("doc", "item").agg(F.max("x").alias("x"))
     return best.select(F.col("doc").alias(doc), F.col("item").alias(item), "x.matched_windows", "x.item_windows",
                        "x.n_slots", "x.n_consistent")

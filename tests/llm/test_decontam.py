@@ -54,3 +54,25 @@ def test_an_item_held_twice_with_other_values_is_found(spark):
     got = found(spark, [(1, QUESTION + ". " + other, None), (2, ". ".join(inserted), None), (None, QUESTION, None),
                         (None, other, None), (3, mixed, None)], min_consistent=0.9)
     assert set(got) == {1, 2, None} and got[1].matched_windows == got[1].item_windows
+
+
+LONG = " ".join(f"{a}{b}" for a in ("ba", "ce", "di", "fo", "gu", "ha") for b in ("lor", "min", "nat", "pek", "ros", "sut", "tav", "vil", "wex", "zum"))
+
+
+def test_a_passage_of_a_long_item_is_found(spark):
+    w = LONG.split()
+    got = found(spark, [(1, "xx yy " + " ".join(w[20:45]) + " zz", None), (2, " ".join(w[20:33]), None), (3, " ".join(w[20:32]), None),
+                        (4, " ".join(w[20:28] + ["xx"] + w[28:36]), None), (5, " ".join([*w[40:52], "xx"] + w[10:22]), None)], [(1, LONG, "")])
+    assert {k: r.matched_windows for k, r in got.items()} == {1: 18, 2: 6}
+
+
+def test_items_without_a_window_are_found_whole(spark):
+    items = [(1, "What is the capital of Peru?", ""), (2, "Add 12 34 56 78 91 11 13 17 to 19 23 29", ""), (3, "What is 12 + 30?", ""),
+             (4, "北京是哪个国家的首都？请回答。", ""), (5, "Yes.", ""), (6, "7 8 9 10", "")]
+    docs = [(1, "They asked: what is the CAPITAL of Peru, again", None), (2, "Now add 12 34 56 78 91 11 13 17 to 19 23 29 at once", None),
+            (3, "Sums\nWhat is 12 + 30?", None), (4, "他问，北京是哪个国家的首都？请回答。好", None), (5, "Yes. No.", None), (6, "first. 7 8 9 10", None),
+            (11, "What is the capital of Chile?", None), (12, "add 12 34 56 78 91 11 13 17 to 19 23 28", None),
+            (13, "tell me what is 12 + 30 of them", None), (14, "北京是哪个国家的城市？请回答。", None), (16, "6 7 8 9 10", None), (17, None, None)]
+    got = found(spark, docs, items)
+    assert {k: r.item_id for k, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 6: 6}
+    assert all(r.matched_windows == r.item_windows and r.n_slots == r.n_consistent for r in got.values())
