@@ -12,19 +12,22 @@ The code length of a word depends on the word alone, and most tokens repeat.
 So texts become blocks of bounded size, written with each block's own words;
 words are counted and coded once over the whole corpus, and each block joins
 the figures of its words. Nothing that grows with the corpus is held in one
-place: words and n-grams are shuffled, a tree is built per last context byte,
-and the driver only sees the 256 depth-one summaries and the totals.
+place: words and n-grams are shuffled, subtrees are built below the three
+nearest context bytes, the levels above them are summed per context, and the
+driver only sees the 255 sums of the root and the totals.
 """
 
 from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Vocabulary, slices, sums, written
@@ -33,6 +36,8 @@ _U = np.uint64
 LN2 = float(np.log(2))
 #: Word that stands for the end of a text; no word holds it.
 END = b"\n"
+#: Subtrees are built below contexts of so many nearest bytes.
+NEAR = 3
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -269,38 +274,92 @@ def _sorted_grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return gram[order], n[order]
 
 
-def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
+def _nodes(levels: list[Level]) -> pa.Table:
+    """One row per node of a depth: context, decision node 1..255, counts and log probability."""
+    return pa.concat_tables(pa.table({
+        "ctx": (x.nodes >> _U(j)).view(np.int64), "node": (1 << j | (x.nodes & _U((1 << j) - 1)).astype(np.int32)).astype(np.int32),
+        "n": x.n, "n1": x.n1, "pw": x.log_pw}) for j, x in enumerate(levels))
+
+
+def parents(nodes: DataFrame) -> DataFrame:
+    """The nodes one context byte above ``nodes``, with their posterior share."""
+    def run(batches):
+        for t in batches:
+            n, n1, children = (t.column(k).to_numpy() for k in ("n", "n1", "pw"))
+            kt = log_kt(n - n1, n1)
+            pw = np.logaddexp(kt, children) - LN2
+            yield pa.RecordBatch.from_arrays(
+                [t.column("ctx"), t.column("node"), t.column("n"), t.column("n1"), pa.array(pw),
+                 pa.array(np.exp(np.minimum(kt - LN2 - pw, 0.0)))], names=["ctx", "node", "n", "n1", "pw", "own"])
+
+    above = (nodes.groupBy(F.shiftrightunsigned("ctx", 8).alias("ctx"), "node")
+             .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), F.sum("pw").alias("pw")))
+    return above.mapInArrow(run, "ctx bigint, node int, n double, n1 double, pw double, own double")
+
+
+def _above(t: pa.Table, gram: np.ndarray, depth: int, d: int) -> tuple[np.ndarray, list[Level]]:
+    """The levels of depth ``d`` from rows of ``parents``, as ``build`` gives them."""
+    t = t.filter(pa.compute.equal(t.column("d"), d))
+    ctx, node, n, n1, own = (t.column(k).to_numpy() for k in ("ctx", "node", "n", "n1", "own"))
+    out = []
+    for j in range(8):
+        here = np.flatnonzero(node >> j == 1)
+        key = ctx[here].astype(np.uint64) << _U(j) | (node[here] - (1 << j)).astype(np.uint64)
+        order = np.argsort(key)
+        key, here = key[order], here[order]
+        asked = (gram >> _U(8 * (depth + 1 - d))) << _U(j) | (gram & _U(255)) >> _U(8 - j)
+        out.append(Level(key, np.searchsorted(key, asked), n[here], n1[here], np.zeros(0), own[here]))
+    return np.arange(len(gram)), out
+
+
+def gram_scores(grams: DataFrame, depth: int, parts: int = 1) -> DataFrame:
     """(gram, log10 probability) of distinct grams with training counts ``n``.
-    Trees of one nearest byte are built in one task; their number of grams is
-    bounded by the depth, not by the corpus."""
-    near = F.shiftrightunsigned("gram", 8 * depth).alias("near")
-    rows = grams.select("gram", "n", near)
 
-    def summary(t: pa.Table) -> pa.Table:
+    Subtrees below the NEAR nearest bytes are dealt by hash to ``parts`` tasks,
+    so a task holds its share of the grams, or those of one context of NEAR
+    bytes. The few nodes above are summed per context and decision, and each
+    task gets those its own contexts lie under; the driver sees the 255 sums of
+    the root.
+    """
+    near = min(NEAR, depth)
+
+    def part(context: Column) -> Column:
+        return F.pmod(F.xxhash64(context), F.lit(parts)).alias("part")
+
+    rows = grams.select("gram", "n", part(F.shiftrightunsigned("gram", 8 * (depth + 1 - near))))
+
+    def subtrees(t: pa.Table) -> pa.Table:
         gram, n = _sorted_grams(t)
-        top = build(gram, n, depth)[-1][1]
-        pw = np.zeros(256)
-        for j, level in enumerate(top):
-            pw[1 << j | (level.nodes & _U((1 << j) - 1)).astype(np.int64)] = level.log_pw
-        symbols = np.bincount((gram & _U(255)).astype(np.int64), weights=n, minlength=256)
-        return pa.table({"symbols": pa.array([symbols.tolist()], pa.list_(pa.float64())),
-                         "pw": pa.array([pw.tolist()], pa.list_(pa.float64()))})
+        return _nodes(build(gram, n, depth, near)[-1][1])
+
+    kind = "ctx bigint, node int, n double, n1 double, pw double"
+    nodes = written(rows.groupBy("part").applyInArrow(subtrees, kind), "ctw-nodes")
+    contexts, above, top = nodes.select("ctx", part(F.col("ctx"))).distinct(), [], nodes
+    for d in range(near - 1, 0, -1):
+        top = written(parents(top), "ctw-nodes")
+        own = contexts.select("part", F.shiftrightunsigned("ctx", 8 * (near - d)).alias("ctx")).distinct()
+        above.append(own.join(top, "ctx").select(F.col("part").alias("own_part"), F.lit(d).alias("d"), "ctx", "node", "n", "n1", "own"))
 
     symbols, children = np.zeros(256), np.zeros(256)
-    for r in rows.groupBy("near").applyInArrow(summary, "symbols array<double>, pw array<double>").collect():  # 256 rows at most
-        symbols += r.symbols
-        children += r.pw
+    for r in top.groupBy("node").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), F.sum("pw").alias("pw")).collect():  # 255 rows
+        children[r.node] = r.pw
+        if r.node >= 128:  # the last decision tells two symbols apart
+            symbols[2 * (r.node - 128)], symbols[2 * (r.node - 128) + 1] = r.n - r.n1, r.n1
     root = make_root(symbols, children)
 
-    def scores(t: pa.Table) -> pa.Table:
+    def scored(t: pa.Table, up: pa.Table | None) -> pa.Table:
         gram, n = _sorted_grams(t)
-        return pa.table({"gram": gram.view(np.int64), "log_p": log10_probability(gram, build(gram, n, depth), root)})
+        levels = build(gram, n, depth, near) + [_above(up, gram, depth, d) for d in range(near - 1, 0, -1)]
+        return pa.table({"gram": gram.view(np.int64), "log_p": log10_probability(gram, levels, root)})
 
-    return rows.groupBy("near").applyInArrow(scores, "gram bigint, log_p double")
+    result = "gram bigint, log_p double"
+    if not above:
+        return rows.groupBy("part").applyInArrow(lambda t: scored(t, None), result)
+    return rows.groupBy("part").cogroup(reduce(DataFrame.union, above).groupBy("own_part")).applyInArrow(scored, result)
 
 
 def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id", text: str = "text", depth: int = 7,
-                block_bytes: int = 48 << 20, cell_words: int = 250_000) -> DataFrame:
+                block_bytes: int = 48 << 20, cell_words: int = 250_000, part_grams: int = 1 << 17) -> DataFrame:
     """Per document: doc, training, n_tokens, n_known, train_tokens, base_score
     and score, learned from the rows where ``training`` holds.
 
@@ -316,10 +375,11 @@ def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id"
     counted = written(cells(vocabulary, depth, cell_words), "ctw-cells")
     words = counted.where("word IS NOT NULL").select("cell", "word", "c")
     in_cells = counted.where("word IS NULL").select("cell", "gram", "n")
-    total = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    total = counted.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), F.count("gram").alias("grams")).first()
     n, v = int(total.n or 0), int(total.v)
 
-    scored = gram_scores(in_cells.groupBy("gram").agg(F.sum("n").alias("n")), depth)
+    scored = gram_scores(in_cells.groupBy("gram").agg(F.sum("n").alias("n")), depth,
+                         int(total.grams) // part_grams + 1)
     by_cell = in_cells.select(F.col("cell").alias("own_cell"), "gram").join(scored, "gram").groupBy("own_cell")
 
     def word_scores(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -101,3 +101,23 @@ def test_odd_inputs(spark, odd, empty):
     one = next(r for r in got if r.doc_id == 2)
     assert one.n_tokens == 1 and one.score == pytest.approx(8 * math.log10(0.5))
     assert ctw.score_texts(empty.withColumn("training", F.lit(True))).collect() == []
+
+
+def test_grams_of_one_nearest_byte_are_dealt_to_several_tasks(spark, docs):
+    from pyspark.sql import functions as F
+
+    grams, n = np.unique(ctw.word_grams(list({w for _, t in docs for w in helpers.words(t)}), 7)[0], return_counts=True)
+    df = spark.createDataFrame([(int(g), int(c)) for g, c in zip(grams.view(np.int64), n)], "gram bigint, n bigint")
+    levels, children = ctw.build(grams, n, 7), np.zeros(256)
+    for j, x in enumerate(levels[-1][1]):
+        np.add.at(children, 1 << j | (x.nodes & np.uint64((1 << j) - 1)).astype(int), x.log_pw)
+    root = ctw.make_root(np.bincount((grams & np.uint64(255)).astype(int), weights=n, minlength=256), children)
+    want = dict(zip(grams.view(np.int64).tolist(), ctw.log10_probability(grams, levels, root)))
+    key, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(key, "false")
+    try:
+        got = ctw.gram_scores(df, 7, 12).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {r.gram: r.log_p for r in got} == pytest.approx(want, rel=1e-9) and len(got) == len(want)
+    assert len({r.task for r in got if r.gram >> 56 == ord("e")}) > 1
