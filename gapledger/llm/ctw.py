@@ -2,16 +2,23 @@
 
 A text is its words (A-Z lower-cased), each followed by a space, and a line
 end. A byte is coded as eight binary decisions; for each decision, a context
-tree over the bytes before it in its word (spaces before the word's start)
-holds zero and one counts. A node's weighted probability is the mean of its
+tree over the bytes before it (spaces before the text's start) holds zero and
+one counts. A node's weighted probability is the mean of its
 Krichevsky-Trofimov estimate and the product of its children's; so all depths
 are mixed, and the tree's posterior gives the share of each depth when a text
 is coded. A context without training counts uses the deepest one that has some.
 
-The code length of a word depends on the word alone, and most tokens repeat.
-So texts become blocks of bounded size, written with each block's own words;
-words are counted and coded once over the whole corpus, and each block joins
-the figures of its words. Nothing that grows with the corpus is held in one
+``score_streams`` codes the whole text, so contexts reach across spaces into the
+words before. Texts become blocks of bounded size, written with each block's
+distinct (context, byte) grams and words; both are counted over the corpus, and
+each block joins the figures of its grams and words.
+
+``score_texts`` cuts contexts at the word's start (spaces before it). The code
+length of a word then depends on the word alone: words are counted and coded
+once over the whole corpus, and each block joins the figures of its words. It
+is cheaper, and a model of isolated words only.
+
+Nothing that grows with the corpus is held in one
 place: words and n-grams are shuffled, subtrees are built below the three
 nearest context bytes, the levels above them are summed per context, and the
 driver only sees the 255 sums of the root and the totals.
@@ -412,3 +419,115 @@ def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id"
             .applyInArrow(document_scores, f"doc {kind}, training boolean, n_tokens bigint, n_known bigint, "
                                            "train_tokens bigint, base_score double, score double")
             .withColumnRenamed("doc", doc).withColumnRenamed("training", training))
+
+
+def stream_grams(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_grams``, of whole texts: only a text's start is padded."""
+    pad = b" " * depth
+    data = np.frombuffer(b"".join([pad + x for x in streams]), np.uint8)
+    coded = np.fromiter(map(len, streams), np.int64, len(streams))
+    starts = np.concatenate([[0], np.cumsum(coded)])
+    at = np.arange(starts[-1]) + np.repeat(np.arange(1, len(streams) + 1) * depth, coded)
+    gram = np.zeros(len(at), np.uint64)
+    for back in range(1, depth + 1):
+        gram <<= _U(8)
+        gram |= data[at - back]
+    return gram << _U(8) | data[at], starts
+
+
+def stream_blocks(docs: DataFrame, doc: str, text: str, training: str, depth: int, block_bytes: int) -> DataFrame:
+    """Rows of three kinds: a document (doc, training, stream), a distinct gram
+    of a block and a distinct word of a block, with their training counts n. A
+    block is at most ``block_bytes`` of one task's texts, or one text."""
+    kind = docs.schema[doc].dataType.simpleString()
+    schema = f"block bigint, doc {kind}, training boolean, stream binary, gram bigint, word binary, n bigint"
+    names = ["block", "doc", "training", "stream", "gram", "word", "n"]
+
+    def run(batches):
+        seq, size, held, kept_type = TaskContext.get().partitionId() << 24, 0, [], None
+
+        def rows(size, **columns):
+            types = [pa.int64(), kept_type, pa.bool_(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, seq)) if k == "block" else pa.array(columns[k], t) if k in columns else pa.nulls(size, t)
+                 for k, t in zip(names, types)], names=names)
+
+        def flush():
+            for at in range(0, len(held), 500):
+                part = held[at:at + 500]
+                yield rows(len(part), doc=[d for d, _, _ in part], training=[t for _, t, _ in part], stream=[x for _, _, x in part])
+            learned, other = ([x for _, t, x in held if t == keep] for keep in (True, False))
+            gram, n = np.unique(stream_grams(learned, depth)[0], return_counts=True)
+            unseen = np.setdiff1d(stream_grams(other, depth)[0], gram)
+            gram, n = np.concatenate([gram, unseen]).view(np.int64), np.concatenate([n, np.zeros(len(unseen), np.int64)])
+            for at in range(0, len(gram), 200_000):
+                yield rows(len(gram[at:at + 200_000]), gram=gram[at:at + 200_000], n=n[at:at + 200_000])
+            counts: dict[bytes, int] = {}
+            for _, t, x in held:
+                for w in x.split(b" "):
+                    counts[w] = counts.get(w, 0) + t
+            words = list(counts)
+            for at in range(0, len(words), 100_000):
+                part = words[at:at + 100_000]
+                yield rows(len(part), word=part, n=[counts[w] for w in part])
+
+        for batch in batches:
+            kept_type = batch.schema.field(doc).type
+            for part, found in slices(batch, text):
+                for d, t, x in zip(part.column(doc).to_pylist(), part.column(training).to_pylist(), found, strict=True):
+                    if held and size + len(x) > block_bytes:
+                        yield from flush()
+                        seq, size, held = seq + 1, 0, []
+                    words = x.lower().split()
+                    words.append(END)
+                    held.append((d, bool(t), b" ".join(words)))
+                    size += len(x)
+        if held:
+            yield from flush()
+
+    return docs.select(doc, text, training).mapInArrow(run, schema)
+
+
+def score_streams(docs: DataFrame, training: str = "training", doc: str = "doc_id", text: str = "text", depth: int = 7,
+                  block_bytes: int = 8 << 20, part_grams: int = 1 << 17) -> DataFrame:
+    """Per document the columns of ``score_texts``, the score from contexts that
+    reach across words, and ``bits_per_byte``: the code length of the stream by
+    its bytes, the line end included. Odd rows as for ``score_texts``."""
+    made = written(stream_blocks(docs, doc, text, training, depth, block_bytes), "ctw-streams")
+    grams = made.where("gram IS NOT NULL").select("block", "gram", "n")
+    in_blocks = made.where("word IS NOT NULL").select("block", "word", "n")
+    counted = in_blocks.groupBy("word").agg(F.sum("n").alias("c"))
+    total = counted.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    n, v = int(total.n or 0), int(total.v)
+    log_all = float(np.log10(n + 0.5 * (v + 1)))
+
+    scored = gram_scores(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth, grams.count() // part_grams + 1)
+    none = F.lit(None)
+    figures = (grams.select("block", "gram").join(scored, "gram")
+               .select(F.col("block").alias("own_block"), "gram", "log_p", none.cast("binary").alias("word"), none.cast("bigint").alias("c"))
+               .union(in_blocks.select("block", "word").join(counted, "word")
+                      .select("block", none.cast("bigint"), none.cast("double"), "word", "c")))
+    kind = docs.schema[doc].dataType.simpleString()
+
+    def document_scores(left: pa.Table, right: pa.Table) -> pa.Table:
+        of_gram = right.filter(pa.compute.is_valid(right.column("gram")))
+        gram, log_p = of_gram.column("gram").to_numpy().view(np.uint64), of_gram.column("log_p").to_numpy()
+        order = np.argsort(gram)
+        gram, log_p = gram[order], log_p[order]
+        of_word = right.filter(pa.compute.is_valid(right.column("word")))
+        counts = dict(zip(of_word.column("word").to_pylist(), of_word.column("c").to_pylist()))
+        rows = np.zeros((left.num_rows, 5))
+        for i, x in enumerate(left.column("stream").to_pylist()):
+            c = np.fromiter(map(counts.__getitem__, x.split(b" ")), np.float64)
+            p = log_p[np.searchsorted(gram, stream_grams([x], depth)[0])].sum()
+            rows[i] = len(c), np.count_nonzero(c), np.log10(c + 0.5).sum() - len(c) * log_all, p, -p * np.log2(10) / len(x)
+        return pa.table({"doc": left.column("doc"), "training": left.column("training"),
+                         "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64),
+                         "train_tokens": np.full(left.num_rows, n), "base_score": rows[:, 2], "score": rows[:, 3],
+                         "bits_per_byte": rows[:, 4]})
+
+    return (made.where("stream IS NOT NULL").select("block", "doc", "training", "stream").groupBy("block")
+            .cogroup(figures.groupBy("own_block"))
+            .applyInArrow(document_scores, f"doc {kind}, training boolean, n_tokens bigint, n_known bigint, "
+                                           "train_tokens bigint, base_score double, score double, bits_per_byte double")
+            .withColumnRenamed("doc", doc).withColumnRenamed("training", training))

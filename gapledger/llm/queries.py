@@ -75,8 +75,8 @@ def op9_url_rules(spark: SparkSession, base: str) -> DataFrame:
 def op10_ctw(spark: SparkSession, base: str) -> DataFrame:
     held_out = crc_remainder("doc_id", 5) == 1
     docs = table(spark, base, "documents").select("doc_id", "text", (~held_out).alias("training"))
-    return ctw.score_texts(docs).select(
-        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return ctw.score_streams(docs).select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 QUERIES = {

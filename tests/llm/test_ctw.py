@@ -121,3 +121,61 @@ def test_grams_of_one_nearest_byte_are_dealt_to_several_tasks(spark, docs):
         spark.conf.set(key, before)
     assert {r.gram: r.log_p for r in got} == pytest.approx(want, rel=1e-9) and len(got) == len(want)
     assert len({r.task for r in got if r.gram >> 56 == ord("e")}) > 1
+
+
+def brute_stream(trained, text, depth):
+    """Log10 probability of a stream under the tree of the trained streams, by the sequential definition."""
+    counts, children = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(set)
+    for s in trained:
+        data = b" " * depth + s
+        for at in range(depth, len(data)):
+            for d in range(depth + 1):
+                for j in range(8):
+                    counts[(data[at - d:at], f"{data[at]:08b}"[:j])][data[at] >> (7 - j) & 1] += 1
+    for context, bits in counts:
+        if context:
+            children[(context[1:], bits)].add((context, bits))
+
+    def log_kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def log_pw(node):
+        kt = log_kt(*counts[node])
+        return kt if len(node[0]) == depth else np.logaddexp(kt, sum(log_pw(k) for k in children[node])) - math.log(2)
+
+    total, data = 0.0, b" " * depth + text
+    for at in range(depth, len(data)):
+        for j in range(8):
+            bits, b = f"{data[at]:08b}"[:j], data[at] >> (7 - j) & 1
+            path = list(itertools.takewhile(lambda x: x in counts, [(data[at - d:at], bits) for d in range(depth + 1)]))
+            p = None if path else 0.5
+            for node in reversed(path):
+                kt = (counts[node][b] + 0.5) / (sum(counts[node]) + 1)
+                own = math.exp(log_kt(*counts[node]) - math.log(2) - log_pw(node))
+                p = kt if p is None else own * kt + (1 - own) * p
+            total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("depth", [1, 3, 7])
+def test_contexts_reach_across_words(spark, depth):
+    rows = [(0, "the cat the Cat sat", True), (1, "a cat é", True), (2, "the dog  catx\n", False), (3, None, None),
+            (4, "", True), (5, "cat the sat Cat the", False)]
+    streams = {i: b" ".join([*helpers.words(t), ctw.END]) for i, t, _ in rows}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, training boolean")
+    got = {r.doc_id: r for r in ctw.score_streams(df, depth=depth, block_bytes=20).collect()}
+    old = {r.doc_id: r for r in ctw.score_texts(df, depth=depth).collect()}
+    for i, s in streams.items():
+        want = brute_stream([streams[k] for k, _, t in rows if t], s, depth)
+        assert got[i].score == pytest.approx(want, rel=1e-9)
+        assert got[i].bits_per_byte == pytest.approx(-want * math.log2(10) / len(s), rel=1e-9)
+        assert got[i][:5] == old[i][:5] and got[i].base_score == pytest.approx(old[i].base_score, rel=1e-12)
+    assert depth == 1 or got[0].score > got[5].score + 0.1  # the same words, shuffled
+
+
+def test_streams_of_odd_inputs(spark, odd, empty):
+    from pyspark.sql import functions as F
+
+    got = ctw.score_streams(odd.withColumn("training", F.lit(False)).withColumnRenamed("lang", "score")).collect()
+    assert len(got) == odd.count() and all(r.n_known == 0 and r.bits_per_byte == pytest.approx(8) for r in got)
+    assert ctw.score_streams(empty.withColumn("training", F.lit(True))).collect() == []
