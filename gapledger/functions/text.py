@@ -7,7 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# With extra pairs: rounds over all pairs, and steps of one pair in a round.
+# With extra pairs: rounds over all pairs, and steps of one pair in a round, that
+# every text gets; a text that needs more gets as many as its length allows.
 MOST_ROUNDS = 8
 MOST_STEPS = 64
 
@@ -99,25 +100,51 @@ def _gone(e: Column, k: str, v: str) -> Column:
     once = F.replace(e, F.lit(k), F.lit(v))
     if len(k) == 1 or (v and not set(k) & set(v)):  # no new one can arise
         return once
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), e, lambda t, _: F.replace(t, F.lit(k), F.lit(v)))
-    return F.when(F.contains(done, F.lit(k)), F.raise_error(F.lit(f"clean_text: {k!r} is still there after {MOST_STEPS} steps"))
-                  ).otherwise(done)
+    def steps(t: Column, n: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), n), t, lambda t, _: F.replace(t, F.lit(k), F.lit(v)))
+
+    def rest(t: Column) -> Column:
+        # each step shortens a text that still holds k; a pair that does not shorten moves across it in about twice its length
+        bound = F.floor(F.length(t) / (len(k) - len(v))) if len(k) > len(v) else 2 * F.length(t)
+        more = _let(steps(t, bound.cast("int") + 1), lambda d: F.when(F.contains(d, F.lit(k)), F.raise_error(F.concat(
+            F.lit(f"clean_text: {k!r} is still there after so many steps: "), (bound + MOST_STEPS).cast("string")))).otherwise(d))
+        return F.when(F.contains(t, F.lit(k)), more).otherwise(t)
+
+    return _let(steps(e, F.lit(MOST_STEPS)), rest)
+
+
+def _let(x: Column, f) -> Column:
+    """``f`` of ``x``, with ``x`` computed once."""
+    return F.element_at(F.transform(F.array(x), f), 1)
 
 
 def _until_settled(e: Column, m: dict[str, str], strip_chars: str) -> Column:
     """Rounds of trimming and of all pairs in map order, until a round changes
-    nothing. A text that has not settled after MOST_ROUNDS raises an error; it
-    is never returned half done."""
+    nothing. MOST_ROUNDS are made of every text; one that has not settled by
+    then gets as many more as its length and the pairs allow, if no pair
+    lengthens a text. A text that has still not settled raises an error; it is
+    never returned half done."""
     def one_round(t: Column) -> Column:
         t = _strip_ends(t, strip_chars)
         for k, v in m.items():
             t = _gone(t, k, v)
         return t
 
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_ROUNDS)), e, lambda t, _: one_round(t))
-    settled = F.transform(F.array(done), lambda t: F.when(t.isNull() | (one_round(t) == t), _strip_ends(t, "")).otherwise(
-        F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds"))))
-    return F.element_at(settled, 1)
+    def rounds(t: Column, n: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), n), t, lambda t, _: one_round(t))
+
+    def settled(t: Column, otherwise: Column) -> Column:
+        return F.when(t.isNull() | (one_round(t) == t), _strip_ends(t, "")).otherwise(otherwise)
+
+    def rest(t: Column) -> Column:
+        never = F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds"))
+        if any(len(v) > len(k) for k, v in m.items()):
+            return settled(t, never)
+        more = (len(m) + 1) * (F.length(t) + 1)
+        never = F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds and as many as the text's length allows"))
+        return settled(t, _let(rounds(t, more), lambda d: settled(d, never)))
+
+    return _let(rounds(e, F.lit(MOST_ROUNDS)), rest)
 
 
 def clean_text_sql(expr: str) -> str:

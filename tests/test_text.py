@@ -92,3 +92,17 @@ def test_value_after_by_pattern(spark):
     out = df.select(value_after("v", "event_name").alias("e")).collect()
     assert out[0].e == "a_very_long_event_name_over_19"
     assert out[1].e is None
+
+
+@pytest.mark.parametrize("extras, text, want", [
+    ({"ab": ""}, "a" * 70 + "b" * 70, ""), ({"ab": "", "cd": "a"}, "x" + "ab" * 3 + "c" * 90 + "d" * 90, "x" + "c" * 89 + "a" + "d" * 89),
+    ({"bb": "a", "aa": "b"}, "a" * 4099, None), ({"ab": "ba"}, "a" * 90 + "b" * 90, "b" * 90 + "a" * 90)])
+def test_long_chains_of_extra_pairs_settle(spark, extras, text, want):
+    t, old = text, None
+    while old != t:
+        old = t
+        for k, v in cleanup_map(extras).items():
+            while k in t:
+                t = t.replace(k, v)
+    assert want is None or want == t
+    assert _one(spark, text, replace_extras=extras) == t
