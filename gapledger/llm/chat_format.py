@@ -4,7 +4,10 @@ heterogeneous records into canonical turns; a template renders the turns.
 A record is a Variant. ``schema_of_variant`` gives its structure; with the
 scalar types taken out, what is left is its nested field paths, and their hash
 is the record's fingerprint. A mapping names, for one layout, the paths where
-the turns are. Records of a layout that no mapping describes get null turns.
+the turns are. It applies to records with the fingerprint of its bare example;
+any other record goes to the mapping with the most paths of those whose paths it
+has, whatever else it holds. Records of a layout that no mapping describes get
+null turns and are marked ``rejected`` when they are rendered.
 
 Template: each turn is ``<s>`` role ``<sep>`` text ``</s>``. Inside roles and
 texts a backslash is doubled and a control string gets a backslash after its
@@ -26,6 +29,11 @@ CONTROL = (OPEN, SEP, CLOSE, "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_s
 TURNS = "array<struct<role:string,text:string>>"
 
 
+def _scalar(record: Column, path: str) -> Column:
+    """Whether the path is there and is no list or object; a JSON null is a scalar."""
+    return F.coalesce(field_paths(F.try_variant_get(record, f"$.{path}", "variant")) == "", F.lit(False))
+
+
 @dataclass(frozen=True)
 class Messages:
     """A list of objects, one per turn."""
@@ -38,6 +46,19 @@ class Messages:
     def example(self) -> str:
         return f"named_struct('{self.path}', array(named_struct('{self.role}', '', '{self.text}', '')))"
 
+    def size(self) -> int:
+        return 1 << 30  # a list of turns goes before scalar fields
+
+    def holds(self, record: Column) -> Column:
+        """A list of objects in which both paths are, as scalars wherever they are."""
+        items = F.try_variant_get(record, f"$.{self.path}", "array<variant>")
+        objects = F.forall(items, lambda x: field_paths(x).startswith("OBJECT<"))
+
+        def all_scalar(path: str) -> Column:
+            return F.exists(items, lambda x: _scalar(x, path)) & F.forall(
+                items, lambda x: _scalar(x, path) | F.try_variant_get(x, f"$.{path}", "variant").isNull())
+        return objects & all_scalar(self.role) & all_scalar(self.text)
+
     def turns(self, record: Column) -> Column:
         items = F.try_variant_get(record, f"$.{self.path}", f"array<struct<`{self.role}`:string,`{self.text}`:string>>")
 
@@ -58,6 +79,12 @@ class Fields:
     def example(self) -> str:
         return "named_struct(" + ", ".join(f"'{p}', ''" for _, ps in self.parts for p in ps) + ")"
 
+    def size(self) -> int:
+        return sum(len(paths) for _, paths in self.parts)
+
+    def holds(self, record: Column) -> Column:
+        return reduce(lambda a, b: a & b, [_scalar(record, p) for _, paths in self.parts for p in paths])
+
     def turns(self, record: Column) -> Column:
         made = []
         for role, paths in self.parts:
@@ -94,9 +121,11 @@ def fingerprint(record: Column) -> Column:
 
 def canonical_turns(record: Column, mappings: tuple = MAPPINGS) -> Column:
     """array<struct<role, text>> by the first mapping whose fingerprint is the
-    record's; null where none is."""
+    record's, else the largest one whose paths the record has; null where none is."""
     seen = fingerprint(record)
     out = F.lit(None).cast(TURNS)
+    for m in reversed(sorted(mappings, key=lambda m: -m.size())):
+        out = F.when(m.holds(record), m.turns(record)).otherwise(out)
     for m in reversed(mappings):
         out = F.when(seen == fingerprint(F.to_variant_object(F.expr(m.example()))), m.turns(record)).otherwise(out)
     return out
@@ -114,7 +143,7 @@ def unescape(c: Column) -> Column:
 def format_turns(df: DataFrame, turns: str = "turns", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """Adds ``formatted`` and ``loss_spans``: (turn, start, length), in code
     points within the rendered turn, of the text that bears loss. Null or no
-    turns: an empty string and no span."""
+    turns: an empty string and no span. ``rejected`` marks null turns."""
     t = F.coalesce(F.col(turns), F.array().cast(TURNS))
     rendered = F.transform(t, lambda x: F.concat(
         F.lit(OPEN), escape(F.coalesce(x["role"], F.lit(""))), F.lit(SEP),
@@ -125,6 +154,7 @@ def format_turns(df: DataFrame, turns: str = "turns", loss_roles: tuple[str, ...
     spans = F.filter(spans, lambda s: s["role"].isin(*loss_roles))
     return df.withColumns({
         "formatted": F.array_join(rendered, ""),
+        "rejected": F.col(turns).isNull(),
         "loss_spans": F.transform(spans, lambda s: F.struct(s["turn"], s["start"], s["length"]))})
 
 

@@ -49,3 +49,18 @@ def test_layouts_are_chosen_by_fingerprint(spark, record, turns):
     df = spark.createDataFrame([(record,)], "j string").select(F.parse_json("j").alias("r"))
     got = df.select(cf.canonical_turns(F.col("r")).alias("t")).first().t
     assert (None if got is None else [tuple(t) for t in got]) == turns
+
+
+@pytest.mark.parametrize("record, turns", [
+    ('{"id": 7, "messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": null, "tool_calls": [{"f": 1}]}]}',
+     [("user", "a"), ("assistant", "")]),
+    ('{"metadata": {"prompt": "x"}, "prompt": "p", "response": "r", "system": "s", "id": 1}', [("system", "s"), ("user", "p"), ("assistant", "r")]),
+    ('{"prompt": "p", "response": "r", "score": 0.5}', [("user", "p"), ("assistant", "r")]),
+    ('{"messages": [{"role": "user", "content": "a"}], "prompt": "p", "completion": "c"}', [("user", "a")]),
+    ('{"metadata": {"prompt": "p", "response": "r"}}', None), ('{"prompt": ["p"], "response": "r"}', None),
+    ('{"messages": [{"role": "user", "content": [{"type": "text"}]}]}', None), ('{"messages": []}', None)])
+def test_more_fields_do_not_hide_a_layout(spark, record, turns):
+    df = spark.createDataFrame([(record,)], "j string").select(F.parse_json("j").alias("r"))
+    got = cf.format_turns(df.select(cf.canonical_turns(F.col("r")).alias("turns"))).first()
+    assert (None if got.turns is None else [tuple(t) for t in got.turns]) == turns
+    assert got.rejected == (turns is None) and (got.formatted == "") == (turns is None)
