@@ -97,3 +97,38 @@ slots AS (SELECT doc_id, item_id, count(*) AS n_slots, sum(same::INT)::BIGINT AS
 SELECT c.doc_id, c.item_id, matched_windows, item_windows, coalesce(n_slots, 0) AS n_slots, coalesce(n_consistent, 0) AS n_consistent
 FROM covered c LEFT JOIN slots s ON c.doc_id = s.doc_id AND c.item_id = s.item_id
 WHERE coalesce(n_consistent, 0) >= 0.8 * coalesce(n_slots, 0)"""
+
+
+# crc32 in SQL: the table of its polynomial, and one step per byte (UTF-8 of code points below 256)
+_CRC_TABLE = """crc_table AS (SELECT list(list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t FROM range(256) r(i))"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of ``text`` of code points below 256; ``t`` is the column of crc_table."""
+    code = "unicode(c)::UBIGINT"
+    units = f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN {code} < 128 THEN [{code}] ELSE [192 + ({code} >> 6), 128 + ({code} & 63)] END))"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {units}), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255)::BIGINT + 1])), 4294967295)"
+
+
+SQL["op11_prefix_trie"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS r
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(x ORDER BY r) AS xs, {_crc("conv_id::VARCHAR")} % 4 AS h FROM turns, crc_table GROUP BY conv_id, t),
+built AS (SELECT o.conv_id AS c, list_concat(coalesce(b.xs, [])[1:o.h::BIGINT], o.xs[o.h::BIGINT + 1:]) AS xs
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+rows AS (SELECT c, d, xs[1:d] AS p, CASE WHEN d > 0 THEN xs[1:d - 1] END AS above, d = len(xs) AS ends,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(xs[d].text, '[^ 	-]+')) ELSE 0 END AS words
+  FROM (SELECT c, xs, unnest(range(0, len(xs) + 1)) AS d FROM built)),
+nodes AS (SELECT p, d, min(c) AS conv, count(*) AS n_convs, any_value(above) AS above, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM rows GROUP BY p, d),
+linked AS (SELECT n.*, q.conv AS parent FROM nodes n LEFT JOIN nodes q ON n.d > 0 AND q.d = n.d - 1 AND q.p = n.above),
+kids AS (SELECT n.*, (SELECT count(*) FROM linked k WHERE k.parent = n.conv AND k.d = n.d + 1) AS n_children FROM linked n),
+up AS (SELECT conv AS leaf, d AS leaf_d, conv, d FROM kids
+  UNION ALL SELECT leaf, leaf_d, k.parent, k.d - 1 FROM up JOIN kids k ON k.conv = up.conv AND k.d = up.d WHERE k.d > 0),
+sums AS (SELECT up.conv, up.d, sum((k.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((k.n_convs - 1) * k.words)::BIGINT AS saved_tokens
+  FROM up JOIN kids k ON k.conv = up.leaf AND k.d = up.leaf_d GROUP BY up.conv, up.d)
+SELECT k.conv AS conv_id, k.d AS depth, k.parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM kids k JOIN sums s ON k.conv = s.conv AND k.d = s.d"""

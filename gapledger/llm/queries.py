@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, ctw, decontam, language, line_quality, packing, parity_join, pu_quality, toxicity, url_rules
+from . import (chat_format, ctw, decontam, language, line_quality, packing, parity_join, prefix_trie, pu_quality, toxicity,
+               url_rules)
 from .common import crc_remainder, table
 from .oracle import SQL
 
@@ -79,6 +80,10 @@ def op10_ctw(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op11_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, base, "conversations"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_parity_join": op8_parity_join,
     "op9_url_rules": op9_url_rules,
     "op10_ctw": op10_ctw,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
