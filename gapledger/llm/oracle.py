@@ -120,7 +120,8 @@ own AS (SELECT conv_id, list(x ORDER BY r) AS xs, {_crc("conv_id::VARCHAR")} % 4
 built AS (SELECT o.conv_id AS c, list_concat(coalesce(b.xs, [])[1:o.h::BIGINT], o.xs[o.h::BIGINT + 1:]) AS xs
   FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
 rows AS (SELECT c, d, xs[1:d] AS p, CASE WHEN d > 0 THEN xs[1:d - 1] END AS above, d = len(xs) AS ends,
-    CASE WHEN d > 0 THEN len(regexp_extract_all(xs[d].text, '[^ 	-]+')) ELSE 0 END AS words
+    CASE WHEN d > 0 THEN len(regexp_extract_all(xs[d].text, '[^ 	-
+]+')) ELSE 0 END AS words
   FROM (SELECT c, xs, unnest(range(0, len(xs) + 1)) AS d FROM built)),
 nodes AS (SELECT p, d, min(c) AS conv, count(*) AS n_convs, any_value(above) AS above, any_value(words) AS words,
     sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM rows GROUP BY p, d),
@@ -132,3 +133,36 @@ sums AS (SELECT up.conv, up.d, sum((k.n_children = 0)::BIGINT)::BIGINT AS n_leav
   FROM up JOIN kids k ON k.conv = up.leaf AND k.d = up.leaf_d GROUP BY up.conv, up.d)
 SELECT k.conv AS conv_id, k.d AS depth, k.parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
 FROM kids k JOIN sums s ON k.conv = s.conv AND k.d = s.d"""
+
+SQL["op13_multi_index"] = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, CASE WHEN label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0 THEN embedding::DOUBLE[] END AS e FROM embeddings),
+links AS (SELECT a.r AS x, b.r AS y, a.vec_id AS x_id, b.vec_id AS y_id FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r != b.r
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT r AS x, r AS y FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+low AS (SELECT reach.x, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.y GROUP BY reach.x),
+n AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN low ON low.x = v.r LEFT JOIN n ON n.x = v.r"""
+
+
+SQL["op12_spelling"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+low AS (SELECT id, {_LOW.format("run")} AS run FROM runs WHERE length(run) >= 7),
+times AS (SELECT id, run, count(*) AS n FROM low GROUP BY id, run),
+hashed AS (SELECT run, n, {_crc("id || ':' || run")} AS h FROM times, crc_table),
+lost AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM lost WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word != b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM cut a JOIN w ON w.word = a.rest
+  UNION SELECT w.word, w.n, a.word, a.n FROM cut a JOIN w ON w.word = a.rest),
+best AS (SELECT word, n, count(*) AS n_near, min((-other_n, other)) AS b FROM near GROUP BY word, n),
+known AS (SELECT word, n_near, CASE WHEN -b[1] >= 10 * n THEN b[2] END AS form, CASE WHEN -b[1] >= 10 * n THEN -b[1] END AS form_n FROM best),
+follow AS (SELECT word, form AS root, 1 AS step FROM known WHERE form IS NOT NULL
+  UNION ALL SELECT f.word, k.form, step + 1 FROM follow f JOIN known k ON k.word = f.root WHERE k.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, step) AS root FROM follow GROUP BY word)
+SELECT w.word, k.form, coalesce(l.root, w.word) AS root, w.n, coalesce(k.n_near, 0)::BIGINT AS n_near, k.form_n::BIGINT AS form_n
+FROM w LEFT JOIN known k ON k.word = w.word LEFT JOIN last l ON l.word = w.word"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, ctw, decontam, language, line_quality, packing, parity_join, prefix_trie, pu_quality, toxicity,
-               url_rules)
+from . import (chat_format, ctw, decontam, language, line_quality, multi_index, packing, parity_join, prefix_trie, pu_quality, spelling,
+               toxicity, url_rules)
 from .common import crc_remainder, table
 from .oracle import SQL
 
@@ -84,6 +84,14 @@ def op11_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, base, "conversations"))
 
 
+def op12_spelling(spark: SparkSession, base: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, base, "documents"))
+
+
+def op13_multi_index(spark: SparkSession, base: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, base, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -96,6 +104,8 @@ QUERIES = {
     "op9_url_rules": op9_url_rules,
     "op10_ctw": op10_ctw,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling": op12_spelling,
+    "op13_multi_index": op13_multi_index,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

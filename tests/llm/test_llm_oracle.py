@@ -21,4 +21,4 @@ def test_query_matches_sql(spark, base, name):
 
 
 def test_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
