@@ -50,6 +50,19 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def among(rows: DataFrame, column: str, ids: DataFrame, bits: int = 1 << 25) -> DataFrame:
+    """The rows whose ``column`` may be among the only column of ``ids``, by one
+    bitmap of ``bits`` bits that is broadcast (4 MB): what surely is not is
+    left out before a join has to shuffle it. An exact join must follow."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    maps = ids.select(place(ids.columns[0]).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    at = F.bitmap_bit_position(place(column))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("_bucket", F.bitmap_bucket_number(place(column))).join(F.broadcast(maps), "_bucket")
+            .where(F.getbit(byte, (at % 8).cast("int")) == 1).select(rows.columns))
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -17,8 +17,12 @@ over all documents; keep each document's ``d + 1`` rarest; form candidate pairs
 per shared content; compare sizes and bit sketches; verify on whole texts.
 Small buckets give all pairs. A larger one first pairs all members with one of
 them; after the links so far have merged, the members that are still in
-different components are compared, block by block, so that no link between
-them is lost and no task holds a bucket. Segment contents travel as packed arrays, many per row.
+different components, and did not meet in an earlier bucket, are compared by
+sizes and bit sketches, block by block, and only those that may be linked fetch
+their texts, so that no link between them is lost and no task holds a bucket.
+Segment contents travel as packed arrays, many per row. A verification is dealt
+by the one text of a pair that more pairs have; that text travels once for all
+of them, and texts that no pair has are left out before the shuffle.
 
 A doubly hashed shingle, or a document whose shingles fill no more than ``d``
 segments (chance below 1e-12), could be missed; otherwise the join is exact.
@@ -34,14 +38,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, mix64, slices, worker_cache, written
+from .common import WordCache, among, discard, mix64, slices, worker_cache, written
 
 SHINGLE = 5
 #: Linked when PERCENT * union <= 100 * intersection.
 PERCENT = 80
 #: Buckets up to this size give all pairs.
 SMALL = 8
-BLOCK = 256
+BLOCK = 2048
+#: Pairs of one text that one task verifies.
+SHARE = 256
 #: Segment contents in one task of a shuffle, about.
 PART = 3_000_000
 
@@ -290,10 +296,11 @@ def rarest(shared: DataFrame) -> DataFrame:
 
 
 def buckets(rare: DataFrame) -> DataFrame:
-    """(a, b, bucket, size): candidate pairs of sets, with a null bucket, and
-    members a of buckets above SMALL, with the bucket's identity (a hash of its
-    members, so that equal buckets are one) and size; b is then the set that
-    all members are paired with."""
+    """(a, b, bucket, size, before): candidate pairs of sets, with a null bucket,
+    and members a of buckets above SMALL, with a name and the size of the
+    bucket and a hash of the content before this one in the member's order; b
+    is the set that all members are paired with. Two members with one content
+    before met in its bucket, so a bucket of such members alone is left out."""
     def run(table: pa.Table) -> pa.Table:
         heads, keys, before, head = _unpacked(table.column("blob").to_pylist(), True)
         sets, band_of = heads["set"][head], heads["band"][head].astype(np.uint64)
@@ -312,22 +319,21 @@ def buckets(rare: DataFrame) -> DataFrame:
                     rights.append(sets[at + j][fresh])
         pair = np.column_stack([np.concatenate(lefts), np.concatenate(rights)])
         pair = np.unique(pair, axis=0) if len(pair) else pair
-        big = size > SMALL
+        changes = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])]) if len(before) else np.zeros(0, np.int64)
+        big = (size > SMALL) & (changes[first + size - 1] > changes[first])
         a, n = first[big], size[big]
-        members = np.zeros(len(sets) + 1, np.uint64)
-        np.cumsum(mix64(sets), out=members[1:])
-        name = mix64((members[a + n] - members[a]) ^ n.astype(np.uint64) * _STEP)
-        name, once = np.unique(name, return_index=True)
-        a, n = a[once], n[once]
+        name = mix64(full[a] * _STEP + _U(table.column("part")[0].as_py()))
         place = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        alone = np.arange(len(pair) + len(place)) < len(pair)
+        none = np.zeros(len(pair), np.int64)
         return pa.table({
             "a": pa.array(np.concatenate([pair[:, 0], sets[place]]).view(np.int64)),
             "b": pa.array(np.concatenate([pair[:, 1], np.repeat(sets[a], n)]).view(np.int64)),
-            "bucket": pa.array(np.concatenate([np.zeros(len(pair), np.uint64), np.repeat(name, n)]).view(np.int64),
-                               mask=np.arange(len(pair) + len(place)) < len(pair)),
-            "size": pa.array(np.concatenate([np.full(len(pair), 2), np.repeat(n, n)]), pa.int64())})
+            "bucket": pa.array(np.concatenate([none, np.repeat(name, n).view(np.int64)]), mask=alone),
+            "size": pa.array(np.concatenate([none + 2, np.repeat(n, n)]), pa.int64()),
+            "before": pa.array(np.concatenate([none, before[place].astype(np.int64)]), mask=alone)})
 
-    return rare.groupBy("part").applyInArrow(run, "a bigint, b bigint, bucket bigint, size bigint")
+    return rare.groupBy("part").applyInArrow(run, "a bigint, b bigint, bucket bigint, size bigint, before bigint")
 
 
 # -- links ---------------------------------------------------------------------
@@ -351,23 +357,44 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """The pairs (x, y) whose whole texts are linked."""
+    """The pairs (x, y) whose whole texts are linked. Pairs are dealt by the end
+    that more of them have, SHARE to a group; its text leads the group."""
     kind = docs.schema[doc].dataType.simpleString()
-    wanted = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-    found = written(docs.select(F.col(doc).alias("id"), text).join(wanted, "id", "left_semi").distinct(), "parity-texts")
-    both = (pairs.join(found.select(F.col("id").alias("x"), F.col(text).alias("s")), "x")
-            .join(found.select(F.col("id").alias("y"), F.col(text).alias("t")), "y"))
+    pairs = written(pairs, "parity-candidates")
+    degree = pairs.select(F.explode(F.array("x", "y")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    both = (pairs.join(degree.select(F.col("id").alias("x"), F.col("n").alias("p")), "x")
+            .join(degree.select(F.col("id").alias("y"), F.col("n").alias("q")), "y"))
+    hub = F.when(F.col("q") >= F.col("p"), F.col("y")).otherwise(F.col("x"))
+    other = F.when(F.col("q") >= F.col("p"), F.col("x")).otherwise(F.col("y"))
+    share = F.pmod(F.xxhash64(other, F.lit(3)), F.ceil(F.greatest("p", "q") / SHARE))
+    dealt = both.select(hub.alias("hub"), share.alias("share"), other.alias("id"))
+    roles = dealt.withColumn("leads", F.lit(False)).unionByName(
+        dealt.select("hub", "share", F.col("hub").alias("id"), F.lit(True).alias("leads")).distinct())
+    roles = written(roles, "parity-roles")
+    discard(pairs)
+    found = among(docs.select(F.col(doc).alias("id"), F.col(text).alias("text")), "id", roles.select("id"))
+    rows = (found.join(roles, "id").repartition("hub", "share").sortWithinPartitions("hub", "share", F.desc("leads"))
+            .select("hub", "share", "leads", "id", "text"))
 
     def run(batches):
+        now, lead = None, {}
         for batch in batches:
-            for part, left in slices(batch, "s", 4 << 20):
-                left = shingle_sets(left, _cache())
-                right = shingle_sets([x or b"" for x in part.column("t").cast(pa.binary()).to_pylist()], _cache())
-                ok = pa.array([linked(a, b) for a, b in zip(left, right, strict=True)], pa.bool_())
-                part = part.filter(ok)
-                yield pa.RecordBatch.from_arrays([part.column("x"), part.column("y")], names=["x", "y"])
-
-    return both.select("x", "y", "s", "t").mapInArrow(run, f"x {kind}, y {kind}").distinct()
+            for part, found in slices(batch, "text", 4 << 20):
+                x, y = [], []
+                for hub, share, leads, own, s in zip(*[part.column(c).to_pylist() for c in ("hub", "share", "leads", "id")],
+                                                     shingle_sets(found, _cache()), strict=True):
+                    if (hub, share) != now:
+                        now, lead = (hub, share), {}
+                    if leads:  # rows that repeat an id may bear several texts
+                        lead[digest(s)] = s
+                    elif any(linked(s, t) for t in lead.values()):
+                        x.append(own)
+                        y.append(hub)
+                yield pa.RecordBatch.from_arrays([pa.array(c, part.schema.field("id").type) for c in (x, y)], names=["x", "y"])
+
+    out = written(rows.mapInArrow(run, f"x {kind}, y {kind}").distinct(), "parity-links")
+    discard(roles)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -383,7 +410,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = (large.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
                  .union(least.select("x", F.col("m").alias("y"))).where("x != y").distinct())
-        e = written(small, "links")
+        old, e = e, written(small, "links")
+        discard(old)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
         if now == state:
             return e.select(F.col("x").alias("node"), F.col("y").alias("component")).union(
@@ -394,46 +422,72 @@ def components(edges: DataFrame) -> DataFrame:
 def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame:
     """Links (x, y) within large buckets between members that lie in different
     components so far. Buckets are compared in blocks of about BLOCK x BLOCK
-    members, by sizes, bit sketches and then whole sets. Within a block a link
-    between components that an earlier one has joined is left out, so a task
-    gives fewer links than it has members."""
+    members: first by sizes and bit sketches; members with a partner that may be
+    linked are compared again with their texts. Within a block a link between
+    components that an earlier one has joined is left out, so a task gives
+    fewer links than it has members."""
+    kind = classes.schema["doc"].dataType.simpleString()
     own = classes.select(F.col("set").alias("a"), F.col("doc").alias("x"))
     rows = (members.join(own, "a").join(labels.withColumnRenamed("node", "x"), "x", "left")
             .withColumn("component", F.coalesce("component", "x")))
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p != q").select("bucket")
+    rows = written(rows.select("bucket", "size", "before", "x", "component"), "parity-members")
+    mixed = (rows.groupBy("bucket").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("component", "before")])
+             .where("min_component != max_component AND min_before != max_before").select("bucket"))
     blocks = F.floor((F.col("size") + BLOCK - 1) / BLOCK)
-    rows = written(rows.join(mixed, "bucket").withColumn("blocks", blocks)
-                   .withColumn("block", F.pmod(F.xxhash64("a"), "blocks"))
-                   .select("bucket", "blocks", "block", "x", "component"), "parity-mixed")
-    found = docs.select(F.col(doc).alias("x"), F.col(text).alias("text")).join(rows.select("x").distinct(), "x", "left_semi")
-    found = found.groupBy("x").agg(F.min("text").alias("text"))
-    rows = (rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-            .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "x", "component").join(found, "x"))
-    kind = classes.schema["doc"].dataType.simpleString()
-
-    def run(table: pa.Table) -> pa.Table:
+    sketches = classes.select(F.col("doc").alias("x"), "n", "sketch").groupBy("x", "n").agg(F.collect_set("sketch").alias("sketches"))
+    mixed = written(rows.join(mixed, "bucket").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("x"), "blocks"))
+                    .join(sketches, "x"), "parity-mixed")
+    discard(rows)
+    dealt = (mixed.withColumn("sketch", F.explode("sketches"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+             .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "before", "x", "component", "n", "sketch"))
+
+    def pairs_of(table: pa.Table, n: np.ndarray, sketches: list[bytes]):
+        """Row pairs of the block that may be linked; the caller may merge the labels."""
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        block = table.column("block").to_numpy()
-        sets = shingle_sets([t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()], _cache())
-        n = np.array([len(s) for s in sets])
-        size = min(sketch_bits(int(k)) // 8 for k in set(n.tolist()))
-        bits = np.array([folded(np.frombuffer(bit_sketch(s), np.uint8), size) for s in sets]).view(np.uint64)
+        block, before = table.column("block").to_numpy(), table.column("before").to_numpy()
+        size = min(map(len, sketches))
+        bits = np.array([folded(np.frombuffer(b, np.uint8), size) for b in sketches]).view(np.uint64)
         _, label = np.unique(np.array(table.column("component").to_pylist()), return_inverse=True)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = []
         for a in left:
             b = right[(right > a) | (i != j)]
-            b = b[(label[b] != label[a]) & (100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a]))]
+            b = b[(label[b] != label[a]) & (before[b] != before[a])
+                  & (100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a]))]
             apart = np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1, dtype=np.int64)
-            for c in b[apart <= np.minimum(n[b], n[a]) // 4]:
+            b = b[apart <= np.minimum(n[b], n[a]) // 4]
+            if len(b):
+                yield a, b, label
+
+    def may(table: pa.Table) -> pa.Table:
+        near = np.zeros(table.num_rows, bool)
+        for a, b, _ in pairs_of(table, table.column("n").to_numpy(), table.column("sketch").to_pylist()):
+            near[a] = near[b] = True
+        return table.select(["bucket", "i", "j", "block", "before", "x", "component"]).filter(pa.array(near))
+
+    key = f"bucket bigint, i bigint, j bigint, block bigint, before bigint, x {kind}, component {kind}"
+    near = written(dealt.groupBy("bucket", "i", "j").applyInArrow(may, key).distinct(), "parity-near")
+    discard(mixed)
+    found = among(docs.select(F.col(doc).alias("x"), F.col(text).alias("text")), "x", near.select("x"))
+    found = found.join(near.select("x").distinct(), "x", "left_semi").groupBy("x").agg(F.collect_set("text").alias("texts"))
+    dealt = near.join(found.select("x", F.explode("texts").alias("text")), "x")
+
+    def run(table: pa.Table) -> pa.Table:
+        sets = shingle_sets([t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()], _cache())
+        n = np.array([len(s) for s in sets])
+        out = []
+        for a, b, label in pairs_of(table, n, [bit_sketch(s) if len(s) else bytes(8) for s in sets]):
+            for c in b:
                 if label[c] != label[a] and linked(sets[a], sets[c]):
                     label[label == label[c]] = label[a]
                     out.append((a, c))
         x, pairs = table.column("x"), np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"x": x.take(pa.array(pairs[:, 0])), "y": x.take(pa.array(pairs[:, 1]))})
 
-    return rows.groupBy("bucket", "i", "j").applyInArrow(run, f"x {kind}, y {kind}").where("x != y").distinct()
+    out = written(dealt.groupBy("bucket", "i", "j").applyInArrow(run, f"x {kind}, y {kind}").where("x != y").distinct(), "parity-rest")
+    discard(near)
+    return out
 
 
 def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -452,10 +506,11 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
                       .agg(F.min(F.struct("doc", "n", "sketch")).alias("first")).select("set", "check", "first.*"), "parity-classes")
     known = docs.where(F.col(doc).isNotNull())
     rows = written(buckets(rarest(shared_contents(segment_rows(known, text, parts), parts))), "parity-pairs")
-    links = written(verified(similar(rows.select("a", "b"), classes), known, doc, text), "parity-links")
+    links = verified(similar(rows.select("a", "b"), classes), known, doc, text)
     first = components(links)
-    large = rows.where("bucket IS NOT NULL").select("bucket", "a", "size").dropDuplicates(["bucket", "a"])
-    rest = written(residual(large, classes, first, known, doc, text), "parity-rest")
+    large = rows.where("bucket IS NOT NULL").select("bucket", "a", "size", "before")
+    rest = residual(large, classes, first, known, doc, text)
+    discard(rows, links)
     if not rest.isEmpty():
         first = components(first.select(F.col("node").alias("x"), F.col("component").alias("y")).union(rest))
     by_class = (classes.select("set", "check", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left")
