@@ -43,9 +43,10 @@ class Piece:
 
 class WordTokens:
     """Token ids of whole texts by a tokenizer whose tokens never span ASCII
-    white space: each distinct word is tokenized once per Python worker."""
+    white space: each distinct word is tokenized once per Python worker, which
+    keeps up to ``limit`` words (some 150 MB)."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -61,13 +62,18 @@ class WordTokens:
         if not words:
             return
         ids, counts = [self.ids], []
-        for at in range(0, len(words), 4000):
-            part = words[at:at + 4000]
+        for at in range(0, len(words), 256):
+            part = words[at:at + 256]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            own = found.ids
             starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
-            place = np.searchsorted(starts, np.array([a for a, _ in found.offsets], np.int64), "right") - 1
-            ids.append(np.array(found.ids, np.uint32))
-            counts.append(np.bincount(place, minlength=len(part)))
+            first = [found.char_to_token(x) for x in starts.tolist()]
+            if None in first:  # a word that begins with a character without a token
+                place = np.searchsorted(starts, np.array([a for a, _ in found.offsets], np.int64), "right") - 1
+                counts.append(np.bincount(place, minlength=len(part)))
+            else:
+                counts.append(np.diff(np.array([*first, len(own)])))
+            ids.append(np.array(own, np.uint32))
         self.ids = np.concatenate(ids)
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts))])
 
