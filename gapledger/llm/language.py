@@ -149,16 +149,17 @@ def split(text: str) -> list[str]:
 def fit(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 600,
         order: int = 4, reject: float = 0.001) -> Model | None:
     """Fits on at most ``per_language`` documents of each language of ``docs``
-    (training rows only), those with the smallest hashes of ``doc``; a quarter
+    (training rows only), those with the smallest hashes of ``doc``, one text
+    (the smallest) of those that repeat an id; a quarter
     of them is held back for the temperature and the rejection limit. Rows
     whose text or language is null are left out; None if none is left."""
-    rank = Window.partitionBy("_lang").orderBy("_hash", "_doc")
     ids = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(doc).alias("_doc"), F.col(lang).alias("_lang"), F.xxhash64(doc).alias("_hash"))
-    ids = ids.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_language)
+        F.col(doc).alias("_doc"), F.col(lang).alias("_lang")).distinct().withColumn("_hash", F.xxhash64("_doc"))
+    for spread in (["_lang", F.pmod("_hash", F.lit(64))], ["_lang"]):  # a language may hold most rows: first the smallest of each share
+        ids = ids.withColumn("_rank", F.row_number().over(Window.partitionBy(*spread).orderBy("_hash", "_doc"))).where(F.col("_rank") <= per_language)
     rows = (docs.select(F.col(doc).alias("_doc"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-            .join(F.broadcast(ids.select("_doc", "_lang", "_rank").distinct()), ["_doc", "_lang"])  # bounded per language
-            .where(F.col("_text").isNotNull()))
+            .join(F.broadcast(ids.select("_doc", "_lang", "_rank")), ["_doc", "_lang"])  # bounded per language
+            .groupBy("_doc", "_lang", "_rank").agg(F.min("_text").alias("_text")).where(F.col("_text").isNotNull()))
 
     def run(table) -> Model:
         table = table.sort_by([(c, "ascending") for c in ("_lang", "_rank", "_text")])

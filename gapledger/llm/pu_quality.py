@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, fit_logistic, output_columns, sigmoid, slices, smallest, sums, with_columns, worker_cache
+from .common import WordCache, fit_logistic, fitted_in_task, output_columns, sigmoid, slices, smallest, sums, with_columns, worker_cache
 
 FEATURES = 20
 
@@ -148,6 +148,29 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden:
     return layers
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.2) -> float:
+    """Share of positives among the unlabelled rows, from these two samples
+    alone: a logistic model tells them apart, and of the rows beyond a score the
+    unlabelled sample holds at least the prior times what the positive one
+    holds. The smallest such ratio, over scores that a share ``least`` of the
+    positives or more are beyond, bounds the prior, and meets it where hardly
+    any negative scores so high. Each half of the rows is rated by a model of
+    the other half."""
+    scores: dict[str, list] = {"p": [], "u": []}
+    for half in (0, 1):
+        p, u = positive[1 - half::2], unlabelled[1 - half::2]
+        if not len(p) or not len(u):
+            return float(np.clip(len(positive) / max(1, len(unlabelled)), 0.01, 0.99))
+        w = fit_logistic(np.concatenate([p, u]), np.repeat([1.0, 0.0], [len(p), len(u)]))
+        for name, rows in (("p", positive[half::2]), ("u", unlabelled[half::2])):
+            scores[name].append(rows @ w[:-1] + w[-1])
+    p, u = (np.sort(np.concatenate(scores[k])) for k in "pu")
+    cuts = p[np.unique((np.linspace(0, 1 - least, 41) * (len(p) - 1)).astype(int))]
+    beyond = [1 - np.searchsorted(s, cuts) / len(s) for s in (p, u)]
+    noise = np.sqrt(beyond[1] * (1 - beyond[1]) / len(u)) + np.sqrt(beyond[0] * (1 - beyond[0]) / len(p))
+    return float(np.clip(((beyond[1] + noise) / beyond[0]).min(), 0.01, 0.99))
+
+
 def _feature_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     cache = worker_cache("pu_quality", lambda: WordCache(word_flags))
     for batch in batches:
@@ -159,7 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
         sample: Sample = Sample()) -> Model | None:
     """Fits on ``docs`` (training rows only, labelled or not) and ``labels``
     (doc, label 0 or 1; nulls are left out; of several labels of a document the
-    largest counts). None if there is no positive or no document."""
+    largest counts, of rows that repeat an id the smallest text). None if there
+    is no positive or no document."""
     known = (labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull()).groupBy(doc)
              .agg(F.max(label).alias("label")))
     positives = smallest(known.where("label = 1"), doc, sample.positives).withColumn("kind", F.lit("p"))
@@ -170,6 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
               .agg(F.max("label").alias("label"), F.collect_set("kind").alias("kinds")))
     rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).join(
         F.broadcast(chosen.withColumnRenamed(doc, "_doc")), "_doc")  # bounded by sample
+    rows = rows.groupBy("_doc").agg(F.min("_text").alias("_text"), F.first("label").alias("label"), F.first("kinds").alias("kinds"))
 
     def run(batches):
         for part, x in _feature_batches(batches, "_text"):
@@ -177,17 +202,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
                 [part.column("_doc").cast(pa.string()), part.column("label").cast(pa.int32()), part.column("kinds"),
                  pa.array(list(x), pa.list_(pa.float64()))], names=["doc", "label", "kinds", "x"])
 
-    got = rows.mapInArrow(run, "doc string, label int, kinds array<string>, x array<double>").collect()
-    got.sort(key=lambda r: (r.doc, r.x))  # the order of the rows does not depend on tasks
-    x = np.array([r.x for r in got], np.float64).reshape(len(got), FEATURES)
-    kind = {k: np.array([k in r.kinds for r in got], bool) for k in "pcu"}
-    y = np.array([r.label if r.label is not None else -1 for r in got])
+    made = rows.mapInArrow(run, "doc string, label int, kinds array<string>, x array<double>")
+    return fitted_in_task(made, train)
+
+
+def train(table: pa.Table) -> Model | None:
+    """The model of a table (doc, label, kinds, x); its rows may come in any order."""
+    table = table.sort_by("doc")
+    kinds, y = table.column("kinds").to_pylist(), np.array([-1 if v is None else v for v in table.column("label").to_pylist()])
+    x = np.array(table.column("x").to_pylist(), np.float64).reshape(table.num_rows, FEATURES)
+    kind = {k: np.array([k in r for r in kinds], bool) for k in "pcu"}
     if not kind["p"].any() or not kind["u"].any():
         return None
     mean, scale = x[kind["u"]].mean(0), x[kind["u"]].std(0) + 1e-6
     z = np.clip((x - mean) / scale, -6, 6)
-    rate = known.agg(F.avg("label")).first()[0]
-    layers = fit_nnpu(z[kind["p"]], z[kind["u"]], float(np.clip(rate, 0.01, 0.99)))
+    layers = fit_nnpu(z[kind["p"]], z[kind["u"]], class_prior(z[kind["p"]], z[kind["u"]]))
     rated_rows = kind["c"] & (y >= 0)
     out = forward(layers, z)[1]
     slope = fit_logistic(out[rated_rows, None], (y[rated_rows] == 1).astype(float)) if len(set(y[rated_rows])) > 1 else np.array([1.0, 0.0])

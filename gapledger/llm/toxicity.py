@@ -195,14 +195,16 @@ def train(documents: list[list[bytes]], toxic: np.ndarray, shape: Shape = Shape(
 def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic",
         sample: Sample = Sample(), shape: Shape = Shape()) -> Model | None:
     """Fits on the labelled rows among ``docs`` (training rows only); null
-    labels are left out; of several labels of a document the largest counts.
-    None if no labelled document is found."""
+    labels are left out; of several labels of a document the largest counts, of
+    rows that repeat an id the smallest text. None if no labelled document is
+    found."""
     known = (labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull()).groupBy(doc)
              .agg(F.max(label).alias("label")))
     chosen = smallest(known.where("label = 1"), doc, sample.toxic).unionByName(
         smallest(known.where("label = 0"), doc, sample.clean)).withColumnRenamed(doc, "_doc")
     rows = (docs.select(F.col(doc).alias("_doc"), F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
-            .join(F.broadcast(chosen), "_doc"))  # bounded by sample
+            .join(F.broadcast(chosen), "_doc")  # bounded by sample
+            .groupBy("_doc", "label").agg(F.min("_text").alias("_text")))
 
     def run(table: pa.Table) -> Model:
         table = table.sort_by([("_doc", "ascending"), ("_text", "ascending")])

@@ -65,3 +65,23 @@ def test_non_negative_risk_learns_from_positives_and_unlabelled():
     layers = pu_quality.fit_nnpu(good[:1000], np.concatenate([good[1000:2000], junk[:600]]), 1000 / 1600, steps=300)
     out = pu_quality.forward(layers, np.concatenate([good[2000:], junk[2000:]]))[1]
     assert ((out > 0) == (np.arange(2000) < 1000)).mean() > 0.93
+
+
+def test_class_prior_from_positives_and_unlabelled_rows():
+    """The estimate does not see labelled negatives, so a biased choice of rated
+    rows cannot move it."""
+    rng = np.random.default_rng(3)
+    for share in (0.15, 0.5, 0.85):
+        n = int(6000 * share)
+        good, junk = rng.normal(1.5, 1, (4000 + n, 4)), rng.normal(-1.5, 1, (6000 - n, 4))
+        found = pu_quality.class_prior(good[:4000], rng.permutation(np.concatenate([good[4000:], junk])))
+        assert abs(found - share) < 0.08
+
+
+@pytest.mark.parametrize("module, column", [(toxicity, "toxic"), (pu_quality, "quality")])
+def test_many_rows_of_one_id_are_one_row_of_the_fit(spark, monkeypatch, module, column):
+    seen = []
+    monkeypatch.setattr(module, "fitted_in_task", lambda rows, fit: seen.append(rows.count()))
+    many = spark.range(10_000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text")
+    module.fit(many, spark.createDataFrame([(0, 0), (1, 1)], f"doc_id bigint, {column} int"))
+    assert seen == [2]

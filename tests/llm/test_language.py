@@ -35,3 +35,10 @@ def test_held_out_accuracy_and_und(spark, base, odd, empty):
     assert language.identify(empty, model).collect() == []
     assert language.fit(empty) is None
     assert {r.lang_pred for r in language.identify(odd, None).collect()} == {"und"}
+
+
+def test_many_rows_of_one_id_are_one_row_of_the_fit(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fitted_in_task", lambda rows, fit: seen.append(rows.count()))
+    language.fit(spark.range(10_000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text", "'en' AS lang"))
+    assert seen == [2]
