@@ -15,6 +15,7 @@ sample is bounded; every text is scored whole, in tasks.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WordCache, fit_logistic, fitted_in_task, mix64, output_columns, sigmoid, slices, smallest, with_columns,
+from .common import (Vocabulary, WordCache, fit_logistic, fitted_in_task, mix64, output_columns, sigmoid, slices, smallest, with_columns,
                      word_bytes, worker_cache)
 
 #: Punctuation at the ends of a word that is not part of it.
@@ -133,13 +134,14 @@ def _word_rows(values: np.ndarray, key: np.ndarray, starts: np.ndarray) -> np.nd
     return np.column_stack([total[starts[1:]] - total[starts[:-1]], np.diff(starts)])
 
 
-def train(documents: list[list[bytes]], toxic: np.ndarray, shape: Shape = Shape(), warm: int = 6, rounds: int = 12,
+def train(documents: Iterable[list[bytes]], toxic: np.ndarray, shape: Shape = Shape(), warm: int = 6, rounds: int = 12,
           rate: float = 0.05, seed: int = 11) -> Model:
     """Joint training of embeddings and softmax by Adagrad on the logistic loss."""
     rng = np.random.default_rng(seed)
-    vocab: dict[bytes, int] = {}
-    flat = np.array([vocab.setdefault(w, len(vocab)) for d in documents for w in d], np.int64)
-    n = np.array([len(d) for d in documents], np.int64)
+    vocab = Vocabulary()
+    ids = [vocab.ids(d) for d in documents]  # one document's words at a time
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+    n = np.array([len(i) for i in ids], np.int64)
     starts = np.concatenate([[0], np.cumsum(n)])
     key, sub_starts = subwords(list(vocab), shape)
     sub_n = np.diff(sub_starts)
@@ -208,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
 
     def run(table: pa.Table) -> Model:
         table = table.sort_by([("_doc", "ascending"), ("_text", "ascending")])
-        return train([t.lower().split() for t in table.column("_text").to_pylist()],
+        return train((t.as_py().lower().split() for t in table.column("_text")),
                      table.column("label").to_numpy() == 1, shape)
 
     return fitted_in_task(rows, run)
