@@ -7,10 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# With extra pairs: rounds over all pairs, and steps of one pair in a round, that
-# every text gets; a text that needs more gets as many as its length allows.
+# Rounds over all pairs after which a map that may run for ever is an error.
 MOST_ROUNDS = 8
-MOST_STEPS = 64
 
 # The characters Python's str.strip() treats as whitespace.
 # clean_text trims exactly these, so results equal a Python strip().
@@ -96,21 +94,23 @@ def _gone(e: Column, k: str, v: str) -> Column:
     """``k`` replaced by ``v`` until the text holds no ``k``."""
     if len(set(k)) == 1 and v == k[0] * len(v) and len(k) > 1:  # a run shrinks, by the same steps whatever its place
         c, step = re.escape(k[0]), len(k) - len(v)
+        if step == 1 and v:
+            return F.regexp_replace(e, f"{c}{{{len(k)},}}", v)
         return F.regexp_replace(e, f"(?<!{c})({c}{{{len(v)},{len(k) - 1}}}?)(?:{c}{{{step}}})+(?!{c})", "$1")
-    once = F.replace(e, F.lit(k), F.lit(v))
     if len(k) == 1 or (v and not set(k) & set(v)):  # no new one can arise
-        return once
-    def steps(t: Column, n: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), n), t, lambda t, _: F.replace(t, F.lit(k), F.lit(v)))
+        return F.replace(e, F.lit(k), F.lit(v))
 
-    def rest(t: Column) -> Column:
+    def step_(t: Column) -> Column:
+        return F.replace(t, F.lit(k), F.lit(v))
+
+    def more(t: Column) -> Column:
         # each step shortens a text that still holds k; a pair that does not shorten moves across it in about twice its length
-        bound = F.floor(F.length(t) / (len(k) - len(v))) if len(k) > len(v) else 2 * F.length(t)
-        more = _let(steps(t, bound.cast("int") + 1), lambda d: F.when(F.contains(d, F.lit(k)), F.raise_error(F.concat(
-            F.lit(f"clean_text: {k!r} is still there after so many steps: "), (bound + MOST_STEPS).cast("string")))).otherwise(d))
-        return F.when(F.contains(t, F.lit(k)), more).otherwise(t)
+        bound = (F.floor(F.length(t) / (len(k) - len(v))) if len(k) > len(v) else 2 * F.length(t)).cast("int") + 1
+        done = F.aggregate(F.sequence(F.lit(1), bound), t, lambda x, _: step_(x))
+        return _let(done, lambda d: F.when(F.contains(d, F.lit(k)), F.raise_error(F.concat(
+            F.lit(f"clean_text: {k!r} is still there after so many steps: "), bound.cast("string")))).otherwise(d))
 
-    return _let(steps(e, F.lit(MOST_STEPS)), rest)
+    return _let(step_(e), lambda t: F.when(F.contains(t, F.lit(k)), more(t)).otherwise(t))
 
 
 def _let(x: Column, f) -> Column:
@@ -118,33 +118,68 @@ def _let(x: Column, f) -> Column:
     return F.element_at(F.transform(F.array(x), f), 1)
 
 
+def most_rounds(m: dict[str, str]) -> int | None:
+    """Rounds over all pairs, in map order, that settle any text; None if the
+    pairs may feed each other in a circle. One pair can feed another if its
+    replacement holds, lies in, or borders on a part of the other's key; a
+    deletion can feed every key of two letters or more. Without a circle, a
+    round at least exhausts the pairs that nothing feeds, the next one those
+    that only these feed, and so on."""
+    def feeds(v: str, k: str) -> bool:
+        if not v:
+            return len(k) > 1
+        ends = any(v.endswith(k[:i]) or v.startswith(k[-i:]) for i in range(1, min(len(k), len(v)) + 1))
+        return k in v or v in k or ends
+
+    fed = {k: {j for j, v in m.items() if j != k and feeds(v, k)} for k in m}
+    rounds, left = 0, set(m)
+    while left:
+        free = {k for k in left if not fed[k] & left}
+        if not free:
+            return None
+        left -= free
+        rounds += 1
+    return rounds + 1  # trimming may have more to do after the last pair
+
+
 def _until_settled(e: Column, m: dict[str, str], strip_chars: str) -> Column:
     """Rounds of trimming and of all pairs in map order, until a round changes
-    nothing. MOST_ROUNDS are made of every text; one that has not settled by
-    then gets as many more as its length and the pairs allow, if no pair
-    lengthens a text. A text that has still not settled raises an error; it is
-    never returned half done."""
+    nothing; a settled text gets no further round. Most texts settle in the
+    first three, which are spelled out; the others go on in a fold that carries
+    whether they have settled, for as many rounds as the pairs (``most_rounds``)
+    or the text's length allow. Only where pairs feed each other in a circle
+    and one lengthens the text is a text that has not settled after MOST_ROUNDS
+    an error; it is never returned half done."""
+    known = most_rounds(m)
+    spaces = list(m.items())[:4] == list(DEFAULT_CLEANUP.items())[:4]
+
     def one_round(t: Column) -> Column:
         t = _strip_ends(t, strip_chars)
-        for k, v in m.items():
+        if spaces:  # the first four pairs make one space of any run
+            t = F.regexp_replace(t, "[\\n\\r\\t ]{2,}|[\\n\\r\\t]", " ")
+        for k, v in list(m.items())[4 * spaces:]:
             t = _gone(t, k, v)
         return t
 
-    def rounds(t: Column, n: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), n), t, lambda t, _: one_round(t))
-
-    def settled(t: Column, otherwise: Column) -> Column:
-        return F.when(t.isNull() | (one_round(t) == t), _strip_ends(t, "")).otherwise(otherwise)
-
-    def rest(t: Column) -> Column:
-        never = F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds"))
-        if any(len(v) > len(k) for k, v in m.items()):
-            return settled(t, never)
-        more = (len(m) + 1) * (F.length(t) + 1)
-        never = F.raise_error(F.lit(f"clean_text: not settled after {MOST_ROUNDS} rounds and as many as the text's length allows"))
-        return settled(t, _let(rounds(t, more), lambda d: settled(d, never)))
-
-    return _let(rounds(e, F.lit(MOST_ROUNDS)), rest)
+    def fold(t: Column) -> Column:
+        if known is not None:
+            bound = F.lit(known + 1)
+        elif any(len(v) > len(k) for k, v in m.items()):
+            bound = F.lit(MOST_ROUNDS)
+        else:
+            bound = (len(m) + 1) * (F.length(t) + 1)
+        start = F.struct(t.alias("t"), F.lit(False).alias("settled"))
+        ends = F.aggregate(F.sequence(F.lit(1), bound), start, lambda s, _: F.when(s["settled"], s).otherwise(
+            _let(one_round(s["t"]), lambda d: F.struct(d.alias("t"), (d == s["t"]).alias("settled")))))
+        return _let(ends, lambda s: F.when(s["settled"], s["t"]).otherwise(
+            F.raise_error(F.concat(F.lit("clean_text: not settled after so many rounds: "), bound.cast("string")))))
+
+    def go_on(t: Column, rounds: int) -> Column:
+        if not rounds:
+            return fold(t)
+        return _let(one_round(t), lambda d: F.when(d == t, d).otherwise(go_on(d, rounds - 1)))
+
+    return _strip_ends(_let(one_round(e), lambda t: F.when(t.isNotNull(), go_on(t, 2))), "")
 
 
 def clean_text_sql(expr: str) -> str:

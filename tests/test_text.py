@@ -1,9 +1,11 @@
 """F6 clean-up and the log slicing helpers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from gapledger.functions.text import clean_text, cleanup_map, find_pos, slice_between, value_after
+from gapledger.functions.text import clean_text, cleanup_map, find_pos, most_rounds, slice_between, value_after
 
 
 def _fixed_point(text, strip_chars=(), extras=None):
@@ -106,3 +108,44 @@ def test_long_chains_of_extra_pairs_settle(spark, extras, text, want):
                 t = t.replace(k, v)
     assert want is None or want == t
     assert _one(spark, text, replace_extras=extras) == t
+
+
+def test_chains_that_lengthen_the_text_settle(spark):
+    """Each pair feeds the next one: no circle, so every text settles, in any map order."""
+    letters = "abcdefghijkl"
+    chain = {a: 2 * b for a, b in zip(letters, letters[1:])}
+    for extras in (chain, dict(reversed(chain.items()))):
+        assert _one(spark, "a", replace_extras=extras) == "l" * 2048
+        assert _one(spark, "xaxbx", replace_extras=extras) == _loops("xaxbx", extras)
+
+
+def _loops(t, extras):
+    mapping, old = cleanup_map(extras), None
+    while old != t:
+        old = t = t.strip()
+        for k, v in mapping.items():
+            while k in t:
+                t = t.replace(k, v)
+    return t.strip()
+
+
+def test_rounds_that_a_map_needs():
+    assert most_rounds({"a": "bb", "b": "cc"}) == 3 and most_rounds({"a": "b"}) == 2
+    assert most_rounds({"a": "b", "b": "aa"}) is None and most_rounds({"xx": "", "ab": "c"}) == 3
+    assert most_rounds({"": "x"} | {"ab": "b", "bc": "a"}) is None
+
+
+def test_random_maps_reach_the_fixed_point(spark):
+    """Maps that cannot run for ever, on texts of their letters."""
+    rng = random.Random(8)
+    for _ in range(8):
+        extras = {}
+        while len(extras) < 3:
+            k = "".join(rng.choice("abc|") for _ in range(rng.randrange(1, 4)))
+            v = "".join(rng.choice("abcT") for _ in range(rng.randrange(0, len(k))))
+            if k not in v:
+                extras[k] = v
+        texts = ["".join(rng.choice("aabbc| ,") for _ in range(rng.randrange(40))) for _ in range(12)]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r.c for r in df.select("t", clean_text("t", replace_extras=extras).alias("c")).collect()]
+        assert got == [_loops(t, extras) for t in texts], extras
