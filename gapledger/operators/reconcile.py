@@ -156,13 +156,17 @@ def summarize(
 def enrich_gaps(gaps: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
                 salt_by: Sequence[str] | None = None, rows_per_salt: int = 100_000) -> DataFrame:
     """Attach matching records to gap rows (D12, J10-J12). ``how='left'``
-    keeps every gap row; the right merge of the source is the same join with
-    sides swapped. With ``salt_by`` (columns of ``other`` that vary within a
-    key) the records of each key are spread over as many tasks as there are
-    ``rows_per_salt`` of them (``joins.salted_left_join``)."""
-    if how == "left" and salt_by:
+    keeps every gap row, ``how='right'`` every record: the same join with
+    sides swapped. With ``salt_by`` (columns of the side that is attached, that
+    vary within a key) the rows of each of its keys are spread over as many
+    tasks as there are ``rows_per_salt`` of them, and rows without a key over
+    all tasks (``joins.salted_left_join``)."""
+    if salt_by:
         from .joins import salted_left_join
-        return salted_left_join(gaps, other, on, salt_by, rows_per_salt)
+        if how == "left":
+            return salted_left_join(gaps, other, on, salt_by, rows_per_salt)
+        if how == "right":
+            return salted_left_join(other, gaps, [(o, g) for g, o in on], salt_by, rows_per_salt)
     cond = None
     for gcol, ocol in on:
         c = gaps[gcol] == other[ocol]
@@ -196,3 +200,25 @@ def completeness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in cols],
     )
+
+
+def reconcile_changed(left: DataFrame, right: DataFrame, key: Sequence[str], left_total: str, right_total: str,
+                      buckets: int = 65_536, **options) -> DataFrame:
+    """The gap rows of ``reconcile`` by a checksum tree: keys are dealt into
+    buckets; each side gives one order-free checksum and count per bucket (XOR
+    of a hash of key and total), and only buckets that differ are joined row by
+    row. Both sides hold one row per key. For two systems that mostly agree,
+    equal buckets cost one pass of hashes and no shuffle of rows. Equal buckets
+    could hide a gap only by a collision of 64-bit checksums and counts."""
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
+
+    def sums(df: DataFrame, total: str, side: str) -> DataFrame:
+        return df.groupBy(bucket.alias("_bucket")).agg(
+            F.bit_xor(F.xxhash64(*key, F.col(total).cast("decimal(38,6)"))).alias(f"_{side}"), F.count(F.lit(1)).alias(f"_n{side}"))
+
+    both = sums(left, left_total, "l").join(sums(right, right_total, "r"), "_bucket", "full")
+    differ = both.where(~(F.col("_l").eqNullSafe(F.col("_r")) & F.col("_nl").eqNullSafe(F.col("_nr")))).select("_bucket")
+    lacks = " OR ".join(f"`{k}` IS NULL" for k in key)  # such rows are gaps by themselves unless null keys match
+    left, right = (df.withColumn("_bucket", bucket).where(f"NOT ({lacks})").join(differ, "_bucket", "left_semi").drop("_bucket")
+                   .unionByName(df.where(lacks)) for df in (left, right))
+    return reconcile(left, right, key, left_total, right_total, gaps_only=True, **options)

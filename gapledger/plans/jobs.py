@@ -13,6 +13,7 @@ joins run once, and a lost executor costs a re-read, not a recompute.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
@@ -57,14 +58,17 @@ def row_level_reconciliation(spark: SparkSession, base: str, out: str) -> dict[s
 
 
 def log_kpi(spark: SparkSession, log_path: str, agreements: DataFrame, created_col: str, id_col: str,
-            out: str, start=None, end=None) -> DataFrame:
+            out: str, start=None, end=None, run: str | None = None) -> DataFrame:
     """Extract failed sends from the log files at ``log_path`` (a folder of
-    text files, read in parallel), append them, write the distinct lists,
-    then the KPI from the written contract list, as the source's second
-    script did. Returns the one-row KPI frame (also written)."""
-    events = cut_lineage(logs.extract_failed_events(read_log(spark, log_path)))
+    text files, read in parallel), append them as one run, write the distinct
+    lists of all runs, then the KPI from the written contract list, as the
+    source's second script did. ``run`` names the run (a digest of the path if
+    not given); a run that is repeated replaces its own rows. Returns the
+    one-row KPI frame (also written)."""
+    new = logs.extract_failed_events(read_log(spark, log_path))
     paths = {k: os.path.join(out, k) for k in ("logfile", "unique_companies", "unique_contracts", "kpi")}
-    sinks.append_csv(events, paths["logfile"])
+    sinks.write_run(new, paths["logfile"], run or hashlib.sha256(log_path.encode()).hexdigest()[:16])
+    events = sinks.read_runs(spark, paths["logfile"], new.schema)
     sinks.write_distinct_values(events, "company", paths["unique_companies"])
     sinks.write_distinct_values(events, "contract", paths["unique_contracts"])
     failing = count_lines(spark, paths["unique_contracts"])
@@ -96,6 +100,29 @@ def log_kpi_of_events(spark: SparkSession, base: str) -> DataFrame:
     return log_kpi(spark, log, read_table(spark, base, "orders"), "o_orderdate", "o_orderkey", out)
 
 
+def log_runs(spark: SparkSession, base: str) -> DataFrame:
+    """Two runs of the log job, the first of them repeated, on two
+    folders of log lines of ``events``; the appended rows as read back."""
+    out = os.path.join(checkpoint_dir(spark), f"log-runs-{uuid.uuid4().hex}")
+    lines = av.failed_event_log_lines(spark, base)
+    agreements = read_table(spark, base, "orders")
+    for run in ("0", "1", "0"):
+        log = os.path.join(out, "log", run)
+        lines.where(F.length("value") % 2 == int(run)).write.mode("overwrite").text(log)
+        log_kpi(spark, log, agreements, "o_orderdate", "o_orderkey", out, run=f"r{run}")
+    schema = logs.extract_failed_events(lines).schema
+    return sinks.read_runs(spark, os.path.join(out, "logfile"), schema).select("run", *schema.names)
+
+
+def summary_through_json(spark: SparkSession, base: str) -> DataFrame:
+    """The totals of the account reconciliation, as the job writes them,
+    read from its report file."""
+    totals = recon.reconcile_summary(spark, base)
+    path = os.path.join(checkpoint_dir(spark), f"summary-{uuid.uuid4().hex}")
+    sinks.write_report(totals, path)
+    return spark.read.schema(totals.schema).json(path)
+
+
 def gaps_through_csv(spark: SparkSession, base: str) -> DataFrame:
     """The account gap rows as the job writes them, read from its CSV file
     (S4, S5)."""

@@ -50,6 +50,8 @@ SQL = {
 SELECT count(*) AS total_exceptions, count(DISTINCT exception) AS unique_exceptions FROM excf""",
     "exception_texts": "WITH " + EXC_LINES + "\nSELECT exception FROM excf",
     "failed_events": "WITH " + FAILED + "\nSELECT event, exception, company, contract FROM fev",
+    "log_runs": "WITH " + FAILED.replace("SELECT value AS line,", "SELECT value AS line, 'r' || length(value) % 2 AS run,").replace(
+        "fev AS (\n  SELECT ", "fev AS (\n  SELECT run, ") + "\nSELECT run, event, exception, company, contract FROM fev",
     "failed_event_keys": "WITH " + FAILED + """
 SELECT count(*) AS n_events, count(DISTINCT company) AS n_companies, count(DISTINCT contract) AS n_contracts FROM fev""",
     "error_rate": "WITH " + FAILED + """,

@@ -292,3 +292,11 @@ FULL JOIN orders ma ON ma.o_orderkey = cr.l_orderkey
 FULL JOIN part r ON r.p_partkey = cr.l_partkey
 WHERE ma.o_orderdate IS NOT NULL AND cr.l_linenumber = 1""",
 }
+
+SQL["distinct_accounts"] = f"""
+WITH {CTE["opp"]}, {CTE["led"]},
+rows AS (SELECT 'crm' AS "group", account_id, close_date AS day FROM opp UNION ALL SELECT 'ledger', account_id, date_reserved FROM led),
+each AS (SELECT * FROM rows UNION ALL SELECT 'all', account_id, day FROM rows),
+units AS (SELECT unnest(['month', 'quarter', 'year']) AS unit)
+SELECT "group", unit, CAST(date_trunc(unit, day) AS DATE) AS period, count(DISTINCT account_id) AS n_distinct
+FROM each, units GROUP BY ALL"""

@@ -13,6 +13,7 @@ from ..functions.dates import period
 from ..operators import attribution as att
 from ..operators import labels as lab
 from ..operators import reconcile as rec
+from ..operators import rollup
 from ..sources import analogues as av
 from ..sources.tables import read_table
 
@@ -54,6 +55,21 @@ def reconcile_accounts(spark: SparkSession, base: str, gaps_only: bool = True) -
                          gaps_only=gaps_only)
 
 
+def reconcile_changed(spark: SparkSession, base: str) -> DataFrame:
+    """D1 by checksums: the flagship's gap rows, joining only the buckets of
+    (account, month) in which the two systems differ."""
+    crm = crm_by_account(spark, base).select("account_id", "period", "crm_total")
+    return rec.reconcile_changed(crm, ledger_by_account(spark, base), ["account_id", "period"], "crm_total", "ledger_total")
+
+
+def distinct_accounts(spark: SparkSession, base: str) -> DataFrame:
+    """A3 at every level: distinct accounts per month, quarter and year, of each
+    system and of both together, from one table of bitmaps."""
+    rows = av.opportunities(spark, base).select(F.lit("crm").alias("system"), "account_id", F.col("close_date").alias("day")).unionByName(
+        av.ledger(spark, base).select(F.lit("ledger").alias("system"), "account_id", F.col("date_reserved").alias("day")))
+    return rollup.distinct_by_period(rows, "system", "account_id", "day", ["month", "quarter", "year"])
+
+
 def reconcile_summary(spark: SparkSession, base: str) -> DataFrame:
     """D11 over the full (not gap-only) reconciliation."""
     full = reconcile_accounts(spark, base, gaps_only=False)
@@ -253,7 +269,7 @@ def reuse_with_gaps(spark: SparkSession, base: str) -> DataFrame:
     agreement."""
     gaps = reconcile_contracts(spark, base).select("attributed_key", "period", "net_gap")
     rr = av.reuse_records(spark, base).select("agreement_uuid", "record_id", "contract_event_type")
-    return rec.enrich_gaps(gaps, rr, [("attributed_key", "agreement_uuid")], how="right").select(
+    return rec.enrich_gaps(gaps, rr, [("attributed_key", "agreement_uuid")], how="right", salt_by=["period"]).select(
         "record_id", "agreement_uuid", "contract_event_type", "period", "net_gap")
 
 

@@ -49,6 +49,10 @@ QUERIES = {
     "error_rate": logs.error_rate,
     "error_rate_text_ids": logs.error_rate_text_ids,
     "log_kpi": jobs.log_kpi_of_events,
+    "log_runs": jobs.log_runs,
+    "summary_json": jobs.summary_through_json,
+    "reconcile_changed": recon.reconcile_changed,
+    "distinct_accounts": recon.distinct_accounts,
     "gaps_csv": jobs.gaps_through_csv,
     "clean_text_extras": logs.clean_text_extras,
     "clean_text": logs.clean_text,
@@ -78,4 +82,5 @@ QUERIES = {
 }
 
 ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL, **REPORTS_SQL,
-          "log_kpi": LOGS_SQL["error_rate"], "gaps_csv": RECON_SQL["reconcile_accounts"]}
+          "log_kpi": LOGS_SQL["error_rate"], "gaps_csv": RECON_SQL["reconcile_accounts"],
+          "reconcile_changed": RECON_SQL["reconcile_accounts"], "summary_json": RECON_SQL["reconcile_summary"]}

@@ -6,7 +6,8 @@ collect. Paths should be on shared storage on a cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
@@ -21,6 +22,19 @@ def append_csv(df: DataFrame, path: str) -> None:
     write_csv(df, path, mode="append", header=True)
 
 
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """One run's rows of an appended CSV table (S6), as the partition
+    ``run=...``: a repeated or retried run replaces its own rows, even by none,
+    and leaves those of all other runs."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path.rstrip('/')}/run={run}")
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all runs that ``write_run`` wrote, with their ``run``."""
+    return (spark.read.schema(StructType([*schema.fields, StructField("run", StringType())]))
+            .option("header", True).option("escape", '"').csv(path))
+
+
 def write_distinct_values(df: DataFrame, column: str, path: str) -> None:
     """One-column CSV of distinct, non-null values, no header."""
     (df.select(column).where(df[column].isNotNull()).distinct()

@@ -34,3 +34,27 @@ def test_many_hot_keys(spark):
     plain = left.join(right, left.k == right.rk, "left")
     salted = salted_left_join(left, right, [("k", "rk")], ["rid"], rows_per_salt=3)
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.select(*plain.columns).collect()))
+
+
+def test_a_key_hot_on_both_sides_and_left_rows_without_a_key(spark):
+    """A grid of left and right shares: same rows as the plain join, and rows
+    without a key lie in many tasks."""
+    left = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.when(F.col("id") % 8 == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 40).cast("string")))).alias("k"), F.col("id").alias("lid"))
+    right = spark.range(900).select(F.when(F.col("id") < 300, F.lit("hot")).when(F.col("id") < 800, F.concat(F.lit("k"), (F.col("id") % 13).cast("string")))
+                                    .alias("rk"), F.col("id").alias("rid"))
+    plain = left.join(right, left.k == right.rk, "left")
+    for left_by in (None, ["lid"]):
+        grid = salted_left_join(left, right, [("k", "rk")], ["rid"], rows_per_salt=50, left_salt_by=left_by)
+        assert grid.columns == plain.columns
+        assert sorted(map(str, plain.collect())) == sorted(map(str, grid.collect()))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = salted_left_join(left, right, [("k", "rk")], ["rid"]).select("k", F.spark_partition_id().alias("p"))
+        per_task = [r["count"] for r in joined.groupBy("p", "k").count().where("k IS NULL").collect()]
+        assert sum(per_task) == 2000 and len(per_task) > 1 and max(per_task) < 1200
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

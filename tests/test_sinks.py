@@ -72,3 +72,15 @@ def test_shuffle_sizing():
     assert mid["spark.sql.shuffle.partitions"] == "16000"
     small = shuffle_sizing(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_a_repeated_run_replaces_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    one = spark.createDataFrame([("a", 'say "x", then'), (None, "b")], "k string, v string")
+    two = spark.createDataFrame([("c", "d")], "k string, v string")
+    for df, run in ((one, "r1"), (two, "r2"), (one, "r1")):
+        sinks.write_run(df, path, run)
+    got = sorted(map(tuple, sinks.read_runs(spark, path, one.schema).collect()), key=str)
+    assert got == sorted([("a", 'say "x", then', "r1"), (None, "b", "r1"), ("c", "d", "r2")], key=str)
+    sinks.write_run(one.limit(0), path, "r1")
+    assert [r.run for r in sinks.read_runs(spark, path, one.schema).collect()] == ["r2"]
