@@ -49,7 +49,7 @@ BLOCK = 2048
 #: Pairs of one text that one task verifies.
 SHARE = 256
 #: Segment contents in one task of a shuffle, about.
-PART = 3_000_000
+PART = 1_500_000
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -147,7 +147,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _cache() -> WordCache:
-    return worker_cache("parity_join", lambda: WordCache(word_hashes, 250_000))
+    return worker_cache("parity_join", lambda: WordCache(word_hashes, 150_000))
 
 
 def sets_of(docs: DataFrame, doc: str, text: str) -> DataFrame:
