@@ -44,9 +44,9 @@ class Piece:
 class WordTokens:
     """Token ids of whole texts by a tokenizer whose tokens never span ASCII
     white space: each distinct word is tokenized once per Python worker, which
-    keeps up to ``limit`` words (some 40 MB)."""
+    keeps up to ``limit`` words (some 80 MB)."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
