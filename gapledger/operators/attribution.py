@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import half_open, period_in_range
+from ..functions.dates import half_open, period, period_in_range
 
 IN_ACTIONS = ("Move In", "Transfer In")
 OUT_ACTIONS = ("Move Out", "Transfer Out")
@@ -45,14 +45,31 @@ def request_choices(requests: DataFrame, start=None, end=None) -> DataFrame:
         r = r.where(F.col("executed_at") >= lo.cast("timestamp_ntz"))
     if hi is not None:
         r = r.where(F.col("executed_at") < hi.cast("timestamp_ntz"))
+    return _latest(r, ["reservation_id"])
+
+
+def _latest(requests: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, side, agreement_id) of the latest request of each side."""
     latest = F.struct("executed_at", "agreement_id")
-    per = r.groupBy("reservation_id").agg(
+    per = requests.groupBy(*keys).agg(
         F.max(F.when(F.col("started_on").isNotNull(), latest)).alias("in"),
         F.max(F.when(F.col("ended_on").isNotNull(), latest)).alias("out"))
     sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}.agreement_id").alias("agreement_id"))
                                 for s in ("in", "out")]))
-    return per.select("reservation_id", sides.alias("c")).select(
-        "reservation_id", "c.side", "c.agreement_id").where(F.col("agreement_id").isNotNull())
+    return per.select(*keys, sides.alias("c")).select(
+        *keys, "c.side", "c.agreement_id").where(F.col("agreement_id").isNotNull())
+
+
+def request_choices_per_period(requests: DataFrame, unit: str = "month") -> DataFrame:
+    """(reservation_id, period, side, agreement_id): ``request_choices`` for the
+    window of every period at once. A window is a day wider than its period on
+    both sides, so windows overlap: a request is placed in the periods of its
+    day, of the day before and of the day after, at most three rows."""
+    day = F.expr("INTERVAL '1' DAY")
+    at = F.col("executed_at")
+    periods = F.array_distinct(F.array(*[period(t, unit) for t in (at - day, at, at + day)]))
+    placed = requests.where(at.isNotNull()).withColumn("period", F.explode(periods))
+    return _latest(placed, ["reservation_id", "period"])
 
 
 def resolve_contracts(ledger: DataFrame, requests: DataFrame, agreements: DataFrame,
@@ -85,6 +102,25 @@ def resolve_contracts(ledger: DataFrame, requests: DataFrame, agreements: DataFr
     return v.join(choices, cond, "left").select("v.*", F.col("cr.agreement_uuid"))
 
 
+def resolve_contracts_per_period(ledger: DataFrame, requests: DataFrame, agreements: DataFrame,
+                                 unit: str = "month") -> DataFrame:
+    """``resolve_contracts`` run for every period as its window, in one pass:
+    each ledger row with its period and the agreement that the run for that
+    period would give it (D9, F14).
+
+    The choices are unique per reservation, period and side, so no row is
+    repeated and a hot reservation's rows can be split on the ledger side.
+    Rows without a reservation or date are kept and resolve to nothing.
+    """
+    ma = agreements.select("agreement_id", "agreement_uuid")
+    choices = request_choices_per_period(requests, unit).join(ma, "agreement_id", "left").drop("agreement_id").alias("cr")
+    side = F.when(F.col("action_type").isin(*IN_ACTIONS), "in").when(F.col("action_type").isin(*OUT_ACTIONS), "out")
+    v = ledger.withColumns({"period": period("date_reserved", unit), "__side": side}).alias("v")
+    cond = ((F.col("v.reservation_id") == F.col("cr.reservation_id")) & (F.col("v.period") == F.col("cr.period"))
+            & (F.col("v.__side") == F.col("cr.side")))
+    return v.join(choices, cond, "left").select("v.*", F.col("cr.agreement_uuid")).drop("__side")
+
+
 def agreement_lineage(requests: DataFrame, agreements: DataFrame, reservations: DataFrame,
                       unit: str = "month", start=None, end=None,
                       reservation_type: str = "PrimaryReservation") -> DataFrame:

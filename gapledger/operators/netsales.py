@@ -11,7 +11,7 @@ the location scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_diff, month_diff, period, period_in_range
@@ -47,6 +47,14 @@ def shown(column: str, level: str) -> bool:
     return LEVELS.index(_level(level)) <= LEVELS.index(COLUMN_GRAIN[column])
 
 
+def net_zero(unit: str = "month", min_days: int = 27) -> Column:
+    """Is a fact row a net-zero transfer?"""
+    return ((period("sold_at", unit) == period("gave_notice", unit))
+            & F.col("move_in_type").ilike(TRANSFER_SUFFIX)
+            & F.col("move_out_type").ilike(TRANSFER_SUFFIX)
+            & (day_diff("date_started", "date_ended") >= min_days))
+
+
 def net_zero_transfers(facts: DataFrame, unit: str = "month", min_days: int = 27, start=None, end=None) -> DataFrame:
     """Reservations sold and given notice in the same period, both moves of
     transfer type, lasting at least ``min_days`` (D4c). One row per
@@ -54,12 +62,7 @@ def net_zero_transfers(facts: DataFrame, unit: str = "month", min_days: int = 27
     window on the period is applied to the raw sale date, as in the ledger."""
     if start is not None or end is not None:
         facts = facts.where(period_in_range("sold_at", unit, start, end))
-    f = facts.where(
-        (period("sold_at", unit) == period("gave_notice", unit))
-        & F.col("move_in_type").ilike(TRANSFER_SUFFIX)
-        & F.col("move_out_type").ilike(TRANSFER_SUFFIX)
-        & (day_diff("date_started", "date_ended") >= min_days))
-    return f.groupBy(F.col("reservation_id"), period("sold_at", unit).alias("period")).agg(
+    return facts.where(net_zero(unit, min_days)).groupBy(F.col("reservation_id"), period("sold_at", unit).alias("period")).agg(
         F.sum("real_capacity").alias("net_zero_upgrades"),
         (-F.sum("real_capacity")).alias("net_zero_downgrades"))
 
@@ -184,3 +187,110 @@ def net_sales_report(detail: DataFrame, accounts: DataFrame) -> DataFrame:
     names = accounts.select("account_id", "account_name")
     return rep.join(names, "account_id", "left").select(
         "account_name", "account_id", F.col("period").alias("close_date"), "net_sales")
+
+
+def ledger_moves(ledger: DataFrame, facts: DataFrame, unit: str = "month") -> DataFrame:
+    """Ledger rows and net-zero facts in one set of rows, for
+    ``net_sales_levels``, where the two are tables of their own."""
+    return ledger.select(*ledger_move()).unionByName(
+        facts.where(net_zero(unit)).select(*net_zero_move()))
+
+
+def ledger_move() -> list[Column]:
+    """A ledger row as a move."""
+    return [F.col("reservation_id"), F.col("account_id"), F.col("location_id"), F.col("date_reserved").alias("moved_at"),
+            F.col("action_type"), F.col("transfer_type"), F.col("desks_changed"), F.col("date_physical_move"),
+            F.lit(None).cast("bigint").alias("net_zero_capacity")]
+
+
+def net_zero_move() -> list[Column]:
+    """A fact row that ``net_zero`` accepts as a move: its capacity alone."""
+    return [F.col("reservation_id"), F.lit(None).cast("bigint").alias("account_id"),
+            F.lit(None).cast("bigint").alias("location_id"), F.col("sold_at").alias("moved_at"),
+            F.lit(None).cast("string").alias("action_type"), F.lit(None).cast("string").alias("transfer_type"),
+            F.lit(None).cast("bigint").alias("desks_changed"), F.lit(None).cast("timestamp_ntz").alias("date_physical_move"),
+            F.coalesce(F.col("real_capacity"), F.lit(0)).alias("net_zero_capacity")]
+
+
+def net_sales_levels(moves: DataFrame, locations: DataFrame, unit: str = "month", include_jv: bool = False,
+                     start=None, end=None) -> DataFrame:
+    """``net_sales_detail`` at all six levels at once, in one reading of the
+    ledger; ``moves`` comes from ``ledger_moves`` or a view that builds it from
+    one table.
+
+    Three steps, each on fewer rows than the one before. Moves are summed per
+    reservation, period, account and location, where a reservation's net-zero
+    capacity meets its transfers: a window over these sums, whose groups are
+    bounded by a reservation's accounts and locations however many moves it has.
+    They are summed again without the reservation and meet their location.
+    Grouping sets climb the hierarchy. What depends on a sum's sign is decided
+    last, at each level for itself, as a level's sum may have another sign than
+    its parts.
+
+    Rows of no account or location are ledger rows like any other; a null
+    reservation has no net-zero capacity.
+    """
+    v = moves
+    if start is not None or end is not None:
+        v = v.where(period_in_range("moved_at", unit, start, end))
+    act, desks = F.col("action_type"), F.col("desks_changed")
+
+    def total(cond, value):
+        return F.sum(F.when(cond, value).otherwise(0))
+
+    grain = ["period", "move_month", "account_id", "location_id"]
+    is_fact = F.col("net_zero_capacity").isNotNull()
+    sums = v.withColumns({"period": period("moved_at", unit), "move_month": period("moved_at", "month")}).groupBy(
+        "reservation_id", *grain, is_fact.alias("is_fact")).agg(
+        total(F.col("transfer_type").isNotNull(), desks).alias("transfer"),
+        total(act == "Transfer In", F.lit(1)).alias("n_in"),
+        total(act == "Transfer Out", F.lit(1)).alias("n_out"),
+        total(act == "Move In", desks).alias("new_sales"),
+        total(act == "Move Out", desks).alias("churn_notice"),
+        F.max(F.when(desks > 0, F.col("date_physical_move"))).alias("last_move"),
+        F.sum("net_zero_capacity").alias("capacity"))
+    # Moves without a reservation are spread by their own keys: as one group of
+    # nulls they would meet in one task.
+    alone = F.when(F.col("reservation_id").isNull(), F.xxhash64(*grain))
+    capacity = F.sum("capacity").over(Window.partitionBy("reservation_id", "period", alone))
+    sums = sums.withColumn("capacity", F.when(F.col("reservation_id").isNotNull(), F.coalesce(capacity, F.lit(0))).otherwise(0))
+    at_location = sums.where(~F.col("is_fact")).groupBy(*grain).agg(
+        *[F.sum(c).alias(c) for c in ("transfer", "n_in", "n_out", "new_sales", "churn_notice")],
+        F.max("last_move").alias("last_move"),
+        F.sum(F.col("n_in") * F.col("capacity")).alias("nz_up"),
+        F.sum(-F.col("n_out") * F.col("capacity")).alias("nz_down"))
+
+    t = locations.select("location_id", "location_name", "opened_on", F.col("code").alias("building_short_code"),
+                         "city", "market", "territory", "region", "is_joint_venture").withColumnRenamed("location_id", "t_id")
+    j = at_location.join(t, F.col("location_id") == F.col("t_id"), "left")
+    if not include_jv:
+        j = j.where(~F.col("is_joint_venture"))
+    j = j.select("period", "account_id", "location_name", F.col("t_id").alias("location_id"), "opened_on",
+                 month_diff("opened_on", "move_month").cast("bigint").alias("month_no"), "building_short_code",
+                 "city", "market", "territory", "region", "transfer", "n_in", "n_out", "new_sales", "churn_notice",
+                 "last_move", "nz_up", "nz_down", F.col("location_name").alias("moved_at_location"))
+    keys = ["period", "account_id"]
+    columns = [*keys, *COLUMN_GRAIN]
+    sets = [[F.col(c) for c in [*keys, *[c for c in COLUMN_GRAIN if shown(c, lv)]]] for lv in LEVELS]
+    # The coarsest column that a set hides names its level.
+    level = F.lit("Location")
+    for hidden, lv in (("location_name", "City"), ("city", "Market"), ("market", "Territory"),
+                       ("territory", "Region"), ("region", "Global")):
+        level = F.when(F.grouping(hidden) == 1, F.lit(lv)).otherwise(level)
+    transfer, up, down = F.sum("transfer"), F.sum("nz_up"), F.sum("nz_down")
+    out = j.groupingSets(sets, *[F.col(c) for c in columns]).agg(
+        level.alias("select_grouping"),
+        F.when(transfer > 0, transfer + up).otherwise(up).alias("upgrades"),
+        F.when(transfer < 0, transfer + down).otherwise(down).alias("downgrades"),
+        F.sum("new_sales").alias("new_sales"), F.sum("churn_notice").alias("churn_notice"),
+        F.trunc(F.to_date(F.max("last_move")), "month").alias("last_date_physical_move"),
+        listagg_distinct(F.when(F.col("n_out") > 0, F.col("moved_at_location"))).alias("transfer_out_locations"),
+        listagg_distinct(F.when(F.col("n_in") > 0, F.col("moved_at_location"))).alias("transfer_in_locations"))
+    selection = F.lit("Global")
+    for lv, c in SELECTION.items():
+        selection = F.when(F.col("select_grouping") == lv, F.col(c)).otherwise(selection)
+    return out.select(
+        F.lit(unit).alias("time_grouping"), F.lit("yes" if include_jv else "no").alias("include_jv_markets"),
+        "select_grouping", "period", "account_id", selection.alias("user_selection"), *COLUMN_GRAIN,
+        "upgrades", "downgrades", "new_sales", "churn_notice", "last_date_physical_move",
+        "transfer_out_locations", "transfer_in_locations")

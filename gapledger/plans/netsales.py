@@ -72,6 +72,11 @@ def net_sales_window(spark: SparkSession, base: str) -> DataFrame:
     return detail(spark, base, "Region", start=WINDOW_START, end=WINDOW_END)
 
 
+def net_sales_levels(spark: SparkSession, base: str) -> DataFrame:
+    """All six levels from one reading of the ledger."""
+    return ns.net_sales_levels(av.moves(spark, base), av.locations(spark, base))
+
+
 def net_zero_transfers(spark: SparkSession, base: str) -> DataFrame:
     return ns.net_zero_transfers(av.reservation_facts(spark, base))
 

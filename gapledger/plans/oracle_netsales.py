@@ -12,7 +12,7 @@ NZ = """nzf AS (
   WHERE date_trunc('month', o.o_orderdate) = date_trunc('month', l.l_shipdate)
     AND (CASE WHEN l.l_returnflag = 'A' THEN 'Desk Transfer' ELSE 'New' END) ILIKE '%transfer'
     AND (CASE WHEN l.l_linestatus = 'O' THEN 'Office TRANSFER' ELSE 'Churn' END) ILIKE '%transfer'
-    AND datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) >= 27
+    AND datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) + l.l_partkey % 60 >= 27
   GROUP BY 1, 2)"""
 
 JOINED = """nsj AS (
@@ -78,6 +78,7 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15""")
 
 
 SQL = {
+    "net_sales_levels": "\nUNION ALL\n".join(f"SELECT * FROM ({detail_sql(level)})" for level in ORDER),
     "net_sales_region": detail_sql("Region"),
     "net_sales_city": detail_sql("City"),
     "net_sales_territory": detail_sql("Territory"),

@@ -29,8 +29,8 @@ CTE = {
          CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'HotDesk' ELSE 'Office' END AS reservable_type
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)""",
     "loc": """loc AS (
-  SELECT s.s_suppkey AS location_id, s.s_name AS location_name, n.n_name AS city, n.n_name AS market,
-         r.r_name AS territory, r.r_name AS region, n.n_name AS country, n.n_nationkey AS country_key,
+  SELECT s.s_suppkey AS location_id, s.s_name AS location_name, n.n_name || '/' || CAST(s.s_suppkey % 3 AS VARCHAR) AS city, n.n_name AS market,
+         r.r_name || '/' || CAST(n.n_nationkey % 2 AS VARCHAR) AS territory, r.r_name AS region, n.n_name AS country, n.n_nationkey AS country_key,
          'L' || CAST(s.s_suppkey AS VARCHAR) AS code,
          CAST(DATE '1994-01-01' + to_months(n.n_nationkey) AS DATE) AS opened_on,
          s.s_acctbal < 0 AS is_joint_venture
@@ -212,6 +212,20 @@ SELECT v.account_id, 'M-' || CAST(p.aid AS VARCHAR) AS agreement_uuid,
 FROM led v LEFT JOIN pick p ON v.reservation_id = p.rid
   AND p.side = CASE WHEN v.action_type IN ('Move In', 'Transfer In') THEN 'in' ELSE 'out' END
 GROUP BY 1, 2""",
+    "resolve_contracts_monthly": with_("led") + """,
+req AS (SELECT l_orderkey AS rid, l_orderkey * 10 + l_linenumber % 3 AS aid, l_shipdate AS ts,
+               l_linestatus = 'F' AS s, l_returnflag = 'R' AS e FROM lineitem),
+months AS (SELECT DISTINCT CAST(date_trunc('month', date_reserved) AS DATE) AS m FROM led),
+near AS (SELECT * FROM req JOIN months ON ts >= m - INTERVAL 1 DAY AND ts < m + INTERVAL 1 MONTH + INTERVAL 1 DAY),
+pick AS (
+  SELECT rid, m, 'in' AS side, arg_max(aid, {'a': ts, 'b': aid}) AS aid FROM near WHERE s GROUP BY rid, m
+  UNION ALL SELECT rid, m, 'out', arg_max(aid, {'a': ts, 'b': aid}) FROM near WHERE e GROUP BY rid, m)
+SELECT CAST(date_trunc('month', v.date_reserved) AS DATE) AS period, v.account_id,
+       'M-' || CAST(p.aid AS VARCHAR) AS agreement_uuid,
+       CAST(SUM(v.desks_changed) AS BIGINT) AS desks_changed, count(*) AS n_rows
+FROM led v LEFT JOIN pick p ON v.reservation_id = p.rid AND p.m = date_trunc('month', v.date_reserved)
+  AND p.side = CASE WHEN v.action_type IN ('Move In', 'Transfer In') THEN 'in' ELSE 'out' END
+GROUP BY 1, 2, 3""",
     "reconcile_null_keys": with_("opp", "rled") + """,
 c AS (SELECT CASE WHEN type_c <> '2-HIGH' THEN contract_key END AS key, SUM(desks) AS t FROM opp WHERE status_code = 'F' GROUP BY 1),
 l AS (SELECT agreement_uuid AS key, SUM(desks_changed) AS t FROM rled GROUP BY 1)

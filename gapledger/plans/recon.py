@@ -138,6 +138,19 @@ def resolve_contracts_window(spark: SparkSession, base: str) -> DataFrame:
 def resolve_contract_choice(spark: SparkSession, base: str) -> DataFrame:
     """D9 where a reservation has requests on several agreements: the latest
     one counts, and no ledger row is repeated."""
+    return _per_agreement(att.resolve_contracts(av.ledger(spark, base), *split_agreements(spark, base)))
+
+
+def resolve_contracts_monthly(spark: SparkSession, base: str) -> DataFrame:
+    """D9 for every month's run window at once (P8, F14): ledger desks per
+    month, account and agreement."""
+    v = att.resolve_contracts_per_period(av.ledger(spark, base), *split_agreements(spark, base))
+    return v.groupBy("period", "account_id", "agreement_uuid").agg(
+        F.sum("desks_changed").alias("desks_changed"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def split_agreements(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Requests and agreements where a reservation has up to three agreements."""
     li = read_table(spark, base, "lineitem")
     agreement = F.col("l_orderkey") * 10 + F.col("l_linenumber") % 3
     requests = av.change_requests(spark, base).join(
@@ -146,7 +159,7 @@ def resolve_contract_choice(spark: SparkSession, base: str) -> DataFrame:
         "reservation_id", F.col("split_id").alias("agreement_id"), "executed_at", "started_on", "ended_on")
     agreements = li.select(agreement.alias("agreement_id")).distinct().withColumn(
         "agreement_uuid", F.concat(F.lit("M-"), F.col("agreement_id").cast("string")))
-    return _per_agreement(att.resolve_contracts(av.ledger(spark, base), requests, agreements))
+    return requests, agreements
 
 
 def reconcile_null_keys(spark: SparkSession, base: str) -> DataFrame:

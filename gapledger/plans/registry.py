@@ -15,6 +15,7 @@ QUERIES = {
     "attribution_key": recon.attribution_key,
     "resolve_contracts": recon.resolve_contracts,
     "resolve_contracts_window": recon.resolve_contracts_window,
+    "resolve_contracts_monthly": recon.resolve_contracts_monthly,
     "resolve_contract_choice": recon.resolve_contract_choice,
     "reconcile_null_keys": recon.reconcile_null_keys,
     "remap_accounts": recon.remap_accounts,
@@ -30,6 +31,7 @@ QUERIES = {
     "completeness": recon.completeness,
     "incomplete_rows": recon.incomplete_rows,
     "agreement_lineage": recon.agreement_lineage,
+    "net_sales_levels": netsales.net_sales_levels,
     "net_sales_global": netsales.net_sales_global,
     "net_sales_region": netsales.net_sales_region,
     "net_sales_nation": netsales.net_sales_nation,

@@ -8,9 +8,10 @@ everything else is left to Catalyst and AQE to plan by measured size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import netsales as ns
 from .tables import read_table
 
 # Stage names and ledger action names as the source systems
@@ -69,28 +70,29 @@ def ledger(spark: SparkSession, base: str) -> DataFrame:
     li = read_table(spark, base, "lineitem")
     o = read_table(spark, base, "orders").select(
         F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority"))
+    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(*_ledger_columns())
+
+
+def _ledger_columns() -> list[Column]:
     q = F.col("l_quantity").cast("bigint")
     action = (F.when(F.col("l_returnflag") == "N", F.lit(MOVE_IN))
                .when(F.col("l_returnflag") == "R", F.lit(MOVE_OUT))
                .when(F.col("l_linestatus") == "F", F.lit(TRANSFER_IN))
                .otherwise(F.lit(TRANSFER_OUT)))
     sign = F.when(action.isin(MOVE_IN, TRANSFER_IN), F.lit(1)).otherwise(F.lit(-1))
-    return (
-        li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-        .select(
-            F.col("o_custkey").alias("account_id"),
-            F.col("l_orderkey").alias("reservation_id"),
-            F.col("l_linenumber").alias("line_no"),
-            F.col("l_suppkey").alias("location_id"),
-            action.alias("action_type"),
-            F.when(F.col("l_returnflag") == "A", F.lit("Transfer")).alias("transfer_type"),
-            (q * sign).cast("bigint").alias("desks_changed"),
-            F.col("l_shipdate").alias("date_reserved"),
-            F.col("l_shipdate").alias("date_physical_move"),
-            F.when(F.col("o_orderpriority") == HOT_DESK_PRIORITY, F.lit(HOT_DESK_LEDGER))
-             .otherwise(F.lit("Office")).alias("reservable_type"),
-        )
-    )
+    return [
+        F.col("o_custkey").alias("account_id"),
+        F.col("l_orderkey").alias("reservation_id"),
+        F.col("l_linenumber").alias("line_no"),
+        F.col("l_suppkey").alias("location_id"),
+        action.alias("action_type"),
+        F.when(F.col("l_returnflag") == "A", F.lit("Transfer")).alias("transfer_type"),
+        (q * sign).cast("bigint").alias("desks_changed"),
+        F.col("l_shipdate").alias("date_reserved"),
+        F.col("l_shipdate").alias("date_physical_move"),
+        F.when(F.col("o_orderpriority") == HOT_DESK_PRIORITY, F.lit(HOT_DESK_LEDGER))
+         .otherwise(F.lit("Office")).alias("reservable_type"),
+    ]
 
 
 def nations(spark: SparkSession, base: str) -> DataFrame:
@@ -110,8 +112,9 @@ def countries(spark: SparkSession, base: str) -> DataFrame:
 def locations(spark: SparkSession, base: str) -> DataFrame:
     """Location dimension: supplier x nation x region.
 
-    Location = supplier, city and market = nation, territory and region =
-    region. Joint venture = supplier with a negative balance. A location
+    Location = supplier, market = nation, region = region; a market has three
+    cities, by the supplier's key, and a region two territories, by the nation's.
+    Joint venture = supplier with a negative balance. A location
     opens on the first of (1994-01 + nation key) months.
     """
     s = read_table(spark, base, "supplier")
@@ -119,9 +122,9 @@ def locations(spark: SparkSession, base: str) -> DataFrame:
     return s.join(F.broadcast(nr), s.s_nationkey == nr.n_nationkey).select(
         F.col("s_suppkey").alias("location_id"),
         F.col("s_name").alias("location_name"),
-        F.col("n_name").alias("city"),
+        F.concat(F.col("n_name"), F.lit("/"), (F.col("s_suppkey") % 3).cast("string")).alias("city"),
         F.col("n_name").alias("market"),
-        F.col("r_name").alias("territory"),
+        F.concat(F.col("r_name"), F.lit("/"), (F.col("n_nationkey") % 2).cast("string")).alias("territory"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("country"),
         F.col("n_nationkey").alias("country_key"),
@@ -147,21 +150,36 @@ def accounts(spark: SparkSession, base: str) -> DataFrame:
 def reservation_facts(spark: SparkSession, base: str) -> DataFrame:
     """One fact row per line item of an order (several per reservation).
 
-    Sold on the order date, notice given on the ship date; move-in type is a
-    transfer for returnflag A, move-out type a transfer for line status O.
+    Sold on the order date, notice given on the ship date, ended up to 59 days
+    after it (by the part's key); move-in type is a transfer for returnflag A,
+    move-out type a transfer for line status O.
     """
     li = read_table(spark, base, "lineitem")
     o = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("l_orderkey").alias("reservation_id"),
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("l_orderkey").alias("reservation_id"), *_fact_columns())
+
+
+def _fact_columns() -> list[Column]:
+    return [
         F.col("o_orderdate").alias("sold_at"),
         F.col("l_shipdate").alias("gave_notice"),
         F.when(F.col("l_returnflag") == "A", F.lit("Desk Transfer")).otherwise(F.lit("New")).alias("move_in_type"),
         F.when(F.col("l_linestatus") == "O", F.lit("Office TRANSFER")).otherwise(F.lit("Churn")).alias("move_out_type"),
         F.to_date("o_orderdate").alias("date_started"),
-        F.to_date("l_shipdate").alias("date_ended"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 60).cast("int")).alias("date_ended"),
         F.col("l_quantity").cast("bigint").alias("real_capacity"),
-    )
+    ]
+
+
+def moves(spark: SparkSession, base: str, unit: str = "month") -> DataFrame:
+    """Ledger rows and net-zero facts as moves (``netsales.ledger_moves``). Both
+    roles are played by lineitem, so one reading serves them: each line becomes
+    its ledger row and, where it is a net-zero transfer, its fact row."""
+    li = read_table(spark, base, "lineitem")
+    o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    both = li.join(o, li.l_orderkey == o.o_orderkey).select(*_ledger_columns(), *_fact_columns())
+    roles = F.array(F.struct(*ns.ledger_move()), F.when(ns.net_zero(unit), F.struct(*ns.net_zero_move())))
+    return both.select(F.explode(roles).alias("move")).where(F.col("move").isNotNull()).select("move.*")
 
 
 def change_requests(spark: SparkSession, base: str) -> DataFrame:

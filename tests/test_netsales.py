@@ -62,3 +62,81 @@ def test_detail_levels_and_signs(spark):
     jv = ns.net_sales_detail(ledger, locs, _facts(spark), level="Global", include_jv=True)
     # including JV markets keeps every row, unknown locations too (the filter is just True)
     assert jv.where("account_id = 300").count() == 1 and jv.where("account_id = 400").count() == 1
+
+
+MOVES = ("account_id long, reservation_id long, location_id long, action_type string, transfer_type string, "
+         "desks_changed long, date_reserved timestamp_ntz, date_physical_move timestamp_ntz")
+PLACES = ("location_id long, location_name string, city string, market string, territory string, region string, "
+          "code string, opened_on date, is_joint_venture boolean")
+
+
+def _movements(spark):
+    """Sums whose sign changes with the level, transfers of one reservation at
+    several locations, nulls in every key."""
+    return spark.createDataFrame([
+        (100, 2, 1, "Transfer In", "Transfer", 5, D(2018, 8, 10), D(2018, 8, 10)),
+        (100, 2, 2, "Transfer In", "Transfer", 1, D(2018, 8, 31), D(2018, 9, 2)),
+        (100, 3, 2, "Transfer Out", "Transfer", -9, D(2018, 8, 11), D(2018, 8, 11)),
+        (100, 3, 2, "Transfer Out", "Transfer", -9, D(2018, 8, 11), D(2018, 8, 11)),
+        (100, 3, 4, "Transfer In", "Transfer", 30, D(2018, 7, 11), D(2018, 8, 11)),
+        (100, 9, 1, "Move In", None, 4, D(2018, 8, 12), D(2018, 8, 12)),
+        (200, 3, 2, "Transfer Out", "Transfer", -6, D(2018, 8, 12), None),
+        (200, None, 2, "Transfer Out", "Transfer", -6, D(2018, 8, 12), D(2018, 8, 12)),
+        (None, 2, 4, "Transfer In", "Transfer", 2, D(2018, 8, 12), D(2018, 8, 12)),
+        (300, 9, 3, "Move In", None, 1, D(2018, 8, 12), D(2018, 8, 12)),
+        (400, 9, 9, "Move Out", None, -1, D(2018, 8, 12), D(2018, 8, 12)),
+        (400, 9, None, "Move In", None, None, D(2018, 8, 12), D(2018, 8, 12)),
+        (500, 2, 1, "Transfer In", "Transfer", 2, None, D(2018, 8, 12)),
+    ], MOVES)
+
+
+def _places(spark):
+    return spark.createDataFrame([
+        (1, "L-one", "C1", "M1", "T1", "R1", "L1", dt.date(2018, 1, 1), False),
+        (2, "L-two", "C2", "M1", "T1", "R1", "L2", dt.date(2017, 12, 15), False),
+        (3, "L-jv", "C3", "M3", "T2", "R2", "L3", dt.date(2018, 1, 1), True),
+        (4, None, None, "M3", "T3", "R2", "L4", None, False),
+    ], PLACES)
+
+
+def _facts_with_nulls(spark):
+    f = _facts(spark)
+    return f.unionByName(spark.createDataFrame([
+        (None, D(2018, 8, 1), D(2018, 8, 29), "Desk Transfer", "Office transfer", dt.date(2018, 8, 1), dt.date(2018, 8, 29), 50),
+        (2, D(2018, 8, 1), D(2018, 8, 29), "Desk Transfer", "Office transfer", dt.date(2018, 8, 1), dt.date(2018, 8, 29), None),
+    ], f.schema))
+
+
+def _sorted(df, columns):
+    return sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+
+
+def test_all_levels_equal_the_six_reports(spark):
+    ledger, places, facts = _movements(spark), _places(spark), _facts_with_nulls(spark)
+    for unit, jv, window in (("month", False, {}), ("month", True, {}), ("quarter", True, {}),
+                             ("day", False, {}), ("month", True, {"start": "2018-08-01", "end": "2018-09-01"})):
+        got = ns.net_sales_levels(ns.ledger_moves(ledger, facts, unit), places, unit, jv, **window)
+        want = None
+        for level in ns.LEVELS:
+            one = ns.net_sales_detail(ledger, places, facts, unit, level, jv, **window)
+            want = one if want is None else want.unionByName(one)
+        assert _sorted(got, want.columns) == _sorted(want, want.columns)
+    signs = {r.select_grouping: (r.upgrades, r.downgrades) for r in ns.net_sales_levels(
+        ns.ledger_moves(ledger, facts), places).where(
+        "account_id = 100 and period = '2018-08-01' and (region = 'R1' or region is null) and coalesce(city, 'C2') = 'C2'").collect()}
+    # location two: 1 - 18 < 0 beside net-zero ins of 4 and outs of 2 x 11; region: 6 - 18 < 0 too
+    assert signs["Location"] == (4, -39) and signs["Region"] == (8, -34)
+
+
+def test_all_levels_of_empty_tables(spark):
+    none = ns.ledger_moves(spark.createDataFrame([], MOVES), _facts(spark).limit(0))
+    assert ns.net_sales_levels(none, _places(spark)).collect() == []
+    one = ns.ledger_moves(_movements(spark), _facts(spark).limit(0))
+    assert ns.net_sales_levels(one, spark.createDataFrame([], PLACES)).collect() == []
+
+
+def test_all_levels_read_the_ledger_once(spark, base):
+    from gapledger.plans.netsales import net_sales_levels
+
+    plan = net_sales_levels(spark, base)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") and sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 1

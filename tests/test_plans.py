@@ -39,7 +39,7 @@ def test_window_filter_pushed(spark, base):
 
 
 #: Queries that write their input or output files before they return.
-WRITERS = {"log_kpi", "gaps_csv"}
+WRITERS = {"log_kpi", "log_runs", "gaps_csv", "summary_json"}
 
 
 def test_building_a_query_starts_no_job(spark, base):
