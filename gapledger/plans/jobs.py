@@ -25,9 +25,9 @@ from ..operators import logs
 from ..operators import reconcile as rec
 from ..session import checkpoint_dir, cut_lineage
 from ..sources import analogues as av
-from ..sources import sinks
+from ..sources import sinks, stored, tables
 from ..sources.tables import count_lines, read_log, read_table
-from . import recon
+from . import netsales, recon
 
 
 def aggregate_reconciliation(spark: SparkSession, base: str, out: str) -> dict[str, str]:
@@ -114,6 +114,30 @@ def log_runs(spark: SparkSession, base: str) -> DataFrame:
     return sinks.read_runs(spark, os.path.join(out, "logfile"), schema).select("run", *schema.names)
 
 
+def _on_stored_ledger(spark: SparkSession, base: str, plan) -> DataFrame:
+    """``plan`` over the ledger's tables as stored by order key."""
+    folder = os.path.join(checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex}")
+    stored.store_tables(spark, base, folder)
+    with tables.reading_stored(base, stored.open_tables(spark, folder)):
+        return plan(spark, base)
+
+
+def resolve_contracts_stored(spark: SparkSession, base: str) -> DataFrame:
+    """D9 over the stored ledger: no shuffle below its joins."""
+    return _on_stored_ledger(spark, base, recon.resolve_contracts)
+
+
+def label_gaps_stored(spark: SparkSession, base: str) -> DataFrame:
+    """D5 over the stored ledger."""
+    return _on_stored_ledger(spark, base, recon.label_gaps)
+
+
+def net_sales_levels_stored(spark: SparkSession, base: str) -> DataFrame:
+    """D4 at all levels over the stored ledger: the first shuffle is that of
+    the sums per location (J6)."""
+    return _on_stored_ledger(spark, base, netsales.net_sales_levels)
+
+
 def summary_through_json(spark: SparkSession, base: str) -> DataFrame:
     """The totals of the account reconciliation, as the job writes them,
     read from its report file."""

@@ -53,6 +53,9 @@ QUERIES = {
     "log_kpi": jobs.log_kpi_of_events,
     "log_runs": jobs.log_runs,
     "summary_json": jobs.summary_through_json,
+    "resolve_contracts_stored": jobs.resolve_contracts_stored,
+    "label_gaps_stored": jobs.label_gaps_stored,
+    "net_sales_levels_stored": jobs.net_sales_levels_stored,
     "reconcile_changed": recon.reconcile_changed,
     "distinct_accounts": recon.distinct_accounts,
     "gaps_csv": jobs.gaps_through_csv,
@@ -85,4 +88,5 @@ QUERIES = {
 
 ORACLE = {**RECON_SQL, **NETSALES_SQL, **LOGS_SQL, **REPORTS_SQL,
           "log_kpi": LOGS_SQL["error_rate"], "gaps_csv": RECON_SQL["reconcile_accounts"],
-          "reconcile_changed": RECON_SQL["reconcile_accounts"], "summary_json": RECON_SQL["reconcile_summary"]}
+          "reconcile_changed": RECON_SQL["reconcile_accounts"], "summary_json": RECON_SQL["reconcile_summary"],
+          **{f"{q}_stored": (RECON_SQL | NETSALES_SQL)[q] for q in ("resolve_contracts", "label_gaps", "net_sales_levels")}}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,23 @@ TABLES = (
 _SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
+# base -> its tables that are read from a store (``stored.store_tables``).
+_STORED: dict[str, dict[str, Callable[[], DataFrame]]] = {}
+
+
+@contextmanager
+def reading_stored(base: str, tables: dict[str, Callable[[], DataFrame]]):
+    """Plans built inside read these tables of ``base`` as given."""
+    before = _STORED.get(base)
+    _STORED[base] = tables
+    try:
+        yield
+    finally:
+        _STORED.pop(base)
+        if before is not None:
+            _STORED[base] = before
+
+
 def _version(spark: SparkSession, path: str) -> tuple[str, int]:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
@@ -33,6 +52,8 @@ def read_table(spark: SparkSession, base: str, name: str, schema: StructType | N
     prunes the read schema and pushes their filters into the reader. The
     schema is inferred once per path (or given) and passed explicitly after.
     """
+    if name in _STORED.get(base, {}):
+        return _STORED[base][name]()
     path = f"{base.rstrip('/')}/{name}.parquet"
     if schema is None:
         version = _version(spark, path)
