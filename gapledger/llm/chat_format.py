@@ -41,7 +41,7 @@ class Messages:
     path: str  # of the list, like "messages"
     role: str = "role"
     text: str = "content"
-    roles: tuple[tuple[str, str], ...] = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))
+    roles: tuple[tuple[str, str], ...] = ()  # names of this layout -> canonical roles
 
     def example(self) -> str:
         return f"named_struct('{self.path}', array(named_struct('{self.role}', '', '{self.text}', '')))"
@@ -94,9 +94,11 @@ class Fields:
         return F.filter(F.array(*made), lambda t: t["text"] != "")
 
 
+#: Roles of the from/value layout. In the other layouts a role stands for itself.
+ALIASES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))
 MAPPINGS: tuple[Messages | Fields, ...] = (
     Messages("messages"),
-    Messages("conversations", role="from", text="value"),
+    Messages("conversations", role="from", text="value", roles=ALIASES),
     Messages("turns", role="speaker", text="text"),
     Fields((("user", ("prompt",)), ("assistant", ("completion",)))),
     Fields((("user", ("prompt",)), ("assistant", ("response",)))),
@@ -176,15 +178,51 @@ def read_back(df: DataFrame) -> DataFrame:
 
 def conversation_records(rows: DataFrame) -> DataFrame:
     """(conv_id, record): rows (conv_id, turn, role, text) gathered into one
-    record of the ``messages`` layout. Turns are in order of turn, then role
-    and text, nulls first; repeated rows stay; null role or text is empty; a
-    null conv_id is one conversation. A conversation is one output record, so
-    its rows meet in one task however many they are."""
+    record each, in the layout that its shape suggests. Turns are in order of
+    turn, then role and text, nulls first; repeated rows stay; null role or text
+    is empty; a null conv_id is one conversation. A conversation is one output
+    record, so its rows meet in one task however many they are.
+
+    One question and its answer become fields, and so do a system text, a
+    question and its answer, if no text is empty (fields without text are no
+    turns); which fields, the number of characters of the question decides, as
+    the sources of such records differ. Longer ones of the canonical roles alone
+    become a from/value list, with that layout's names; of any other roles, a
+    list of speakers if the first role is none of the canonical ones, else of
+    messages.
+    """
     item = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
-    return (rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
-            .select("conv_id", F.to_variant_object(F.struct(F.transform(
-                "items", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-                .alias("messages"))).alias("record")))
+    gathered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    items = F.col("items")
+    roles = F.transform(items, lambda x: x["role"])
+    full = F.forall(items, lambda x: x["content"] != "")
+
+    def are(*names: str) -> Column:
+        return full & (roles == F.array(*[F.lit(x) for x in names]))
+
+    def text(i: int) -> Column:
+        return F.get(items, F.lit(i))["content"]
+
+    def fields(**parts: Column) -> Column:
+        return F.to_variant_object(F.struct(*[c.alias(k) for k, c in parts.items()]))
+
+    def listed(path: str, role: str, content: str, aliases: tuple = ()) -> Column:
+        def named(x: Column) -> Column:
+            name = reduce(lambda c, ab: F.when(x["role"] == ab[1], ab[0]).otherwise(c), aliases, x["role"])
+            return F.struct(name.alias(role), x["content"].alias(content))
+        return F.to_variant_object(F.struct(F.transform(items, named).alias(path)))
+
+    pairs = (("prompt", "completion"), ("prompt", "response"), ("instruction", "output"), ("question", "answer"))
+    pair = fields(**dict(zip(pairs[0], (text(0), text(1)))))
+    for k, names in enumerate(pairs[1:], 1):
+        pair = F.when(F.length(text(0)) % len(pairs) == k, fields(**dict(zip(names, (text(0), text(1)))))).otherwise(pair)
+    canonical = ("system", "user", "assistant")
+    record = (F.when(are("user", "assistant"), pair)
+              .when(are(*canonical), fields(system=text(0), prompt=text(1), response=text(2)))
+              .when(F.forall(roles, lambda r: r.isin(*canonical)), listed("conversations", "from", "value", ALIASES[:2]))
+              .when(~F.get(roles, F.lit(0)).isin(*canonical), listed("turns", "speaker", "text"))
+              .otherwise(listed("messages", "role", "content")))
+    return gathered.select("conv_id", record.alias("record"))
 
 
 def format_conversations(spark: SparkSession, rows: DataFrame) -> DataFrame:

@@ -64,3 +64,22 @@ def test_more_fields_do_not_hide_a_layout(spark, record, turns):
     got = cf.format_turns(df.select(cf.canonical_turns(F.col("r")).alias("turns"))).first()
     assert (None if got.turns is None else [tuple(t) for t in got.turns]) == turns
     assert got.rejected == (turns is None) and (got.formatted == "") == (turns is None)
+
+
+def test_conversations_come_in_several_layouts_and_keep_their_roles(spark):
+    turns = {
+        1: [("user", "abcd"), ("assistant", "b")], 2: [("user", "a"), ("assistant", "b")],
+        3: [("user", "ab"), ("assistant", "b")], 4: [("user", "abc"), ("assistant", "b")],
+        5: [("system", "s"), ("user", "a"), ("assistant", "b")],
+        6: [("user", "a"), ("assistant", "b"), ("user", "c")], 7: [("user", ""), ("assistant", "b")],
+        8: [("human", "a"), ("gpt", "b")], 9: [("user", "a"), ("gpt", "b"), ("bot", "c")], 10: [("", "")],
+        11: [("system", "s"), ("user", ""), ("assistant", "b")], 12: [("assistant", "a")]}
+    rows = spark.createDataFrame([(c, i, r, t) for c, ts in turns.items() for i, (r, t) in enumerate(ts)], ROWS)
+    records = cf.conversation_records(rows).select("conv_id", cf.field_paths(F.col("record")).alias("paths"),
+                                                   cf.canonical_turns(F.col("record")).alias("turns")).collect()
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in records} == turns
+    paths = {r.conv_id: r.paths for r in records}
+    assert len({paths[c] for c in (1, 2, 3, 4, 5, 6, 8, 9)}) == 8
+    assert paths[6] == paths[7] == paths[11] == paths[12] and paths[8] == paths[10]
+    got = formatted(spark, [(8, 0, "human", "a"), (8, 1, "gpt", "b")])[8]
+    assert got.turns_sha256 == hashlib.sha256(b"human\na\ngpt\nb\n").hexdigest() and got.loss_chars == 0
