@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import CLOSE, CONTROL, OPEN, SEP
-from .decontam import MOST_SLOTS, NAME, NUMBER, UNIT, UNITS, WINDOW
+from .decontam import DRIFT, EXACT_FREE, EXACT_LEAST, MOST_SLOTS, NAME, NUMBER, RUN, RUNS, UNIT, UNITS, WINDOW
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -67,36 +67,77 @@ def _units() -> str:
 
 
 def _templates(table: str, key: str) -> str:
-    """Windows of template tokens: (key, pos, g, slots); ``pos`` from 1."""
+    """Windows of template tokens: (key, row, copy, pos, g, slots); ``pos`` from 1."""
     return rf"""
-t_{table} AS (SELECT {key} AS k, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[.!?\n]|\p{{L}}+|[0-9]+(?:[.,][0-9]+)*') AS ts FROM {table}),
-u_{table} AS (SELECT k, r, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM t_{table}),
+t_{table} AS (SELECT {key} AS k, row_number() OVER () AS r, md5(coalesce(text, '')) AS copy, text, regexp_extract_all(coalesce(text, ''), '[.!?\n]|\p{{L}}+|[0-9]+(?:[.,][0-9]+)*') AS ts FROM {table}),
+u_{table} AS (SELECT k, r, copy, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM t_{table}),
 p_{table} AS (SELECT *, lag(t) OVER (PARTITION BY r ORDER BY i) AS p FROM u_{table}),
-c_{table} AS (SELECT k, r, i, t, CASE
+c_{table} AS (SELECT k, r, copy, i, t, CASE
   WHEN t >= '0' AND t < ':' THEN '{NUMBER}' WHEN p >= '0' AND p < ':' AND lower(t) IN ({_units()}) THEN '{UNIT}'
   WHEN t != lower(t) AND length(t) > 1 AND t[1] || lower(t)[2:] = t AND p NOT IN ('.', '!', '?', chr(10)) THEN '{NAME}'
   ELSE lower(t) END AS c FROM p_{table} WHERE t NOT IN ('.', '!', '?', chr(10))),
-l_{table} AS (SELECT any_value(k) AS k, r, list(c ORDER BY i) AS cs,
+l_{table} AS (SELECT any_value(k) AS k, r, any_value(copy) AS copy, list(c ORDER BY i) AS cs,
   list(CASE c WHEN '{NUMBER}' THEN t WHEN '{UNIT}' THEN lower(t) WHEN '{NAME}' THEN lower(t) END ORDER BY i) AS vs FROM c_{table} GROUP BY r),
-w_{table} AS (SELECT k, pos, cs[pos:pos + {WINDOW - 1}] AS g, vs[pos:pos + {WINDOW - 1}] AS slots FROM
-  (SELECT k, cs, vs, unnest(range(1, len(cs) - {WINDOW - 2})) AS pos FROM l_{table}))"""
+w_{table} AS (SELECT k, r, copy, pos, cs[pos:pos + {WINDOW - 1}] AS g, vs[pos:pos + {WINDOW - 1}] AS slots FROM
+  (SELECT k, r, copy, cs, vs, unnest(range(1, len(cs) - {WINDOW - 2})) AS pos FROM l_{table}))"""
 
 
-SQL["op7_decontamination"] = f"""
-WITH {_templates('documents', 'doc_id')}, {_templates('benchmark', 'item_id')},
-items AS (SELECT DISTINCT k AS item_id, pos, g, slots FROM w_benchmark
-  WHERE len(list_filter(slots, lambda v: v IS NOT NULL)) <= {MOST_SLOTS}),
+#: Scripts without spaces, as DuckDB's patterns name them.
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_ENDS = "('.', '!', '?', chr(10), '。', '！', '？')"
+
+
+def _exact(table: str) -> str:
+    """Exact tokens of a text: (k, r, words, s, e), whether a sentence starts and
+    ends with each. Letters of scripts without spaces are set apart first."""
+    return rf"""
+a_{table} AS (SELECT k, r, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM (SELECT k, r, regexp_extract_all(
+  regexp_replace(coalesce(text, ''), '([{_UNSPACED}])', chr(1) || '\1' || chr(1), 'g'),
+  '[.!?\n。！？]|[{_UNSPACED}]|\p{{L}}+|[0-9]+(?:[.,][0-9]+)*') AS ts FROM t_{table})),
+b_{table} AS (SELECT *, coalesce(lag(t) OVER o, '.') IN {_ENDS} AS s, coalesce(lead(t) OVER o, '.') IN {_ENDS} AS e
+  FROM a_{table} WINDOW o AS (PARTITION BY r ORDER BY i)),
+x_{table} AS (SELECT any_value(k) AS k, r, list(lower(t) ORDER BY i) AS words, list(s ORDER BY i) AS s, list(e ORDER BY i) AS e
+  FROM b_{table} WHERE t NOT IN {_ENDS} GROUP BY r)"""
+
+
+SQL["op7_decontamination"] = rf"""
+WITH {_templates('documents', 'doc_id')}, {_templates('benchmark', 'item_id')}, {_exact('documents')}, {_exact('benchmark')},
+usable AS (SELECT * FROM w_benchmark WHERE len(list_filter(slots, lambda v: v IS NOT NULL)) <= {MOST_SLOTS}),
+items AS (SELECT *, dense_rank() OVER (PARTITION BY item_id ORDER BY pos) AS nth FROM
+  (SELECT DISTINCT k AS item_id, pos, g, slots FROM usable)),
 n AS (SELECT item_id, count(DISTINCT pos) AS item_windows FROM items GROUP BY item_id),
-found AS (SELECT d.k AS doc_id, i.item_id, n.item_windows, i.pos, d.slots AS ds, i.slots AS bs
+found AS (SELECT d.k AS doc_id, d.copy, i.item_id, n.item_windows, i.pos, i.nth, d.pos - i.pos AS shift, d.slots AS ds, i.slots AS bs
   FROM w_documents d JOIN items i ON d.g = i.g JOIN n ON n.item_id = i.item_id),
-covered AS (SELECT doc_id, item_id, count(DISTINCT pos) AS matched_windows, max(item_windows) AS item_windows
-  FROM found GROUP BY doc_id, item_id HAVING count(DISTINCT pos) >= 0.4 * max(item_windows)),
-pairs AS (SELECT doc_id, item_id, b, min(d) = max(d) AS same FROM
-  (SELECT doc_id, item_id, unnest(bs) AS b, unnest(ds) AS d FROM found) WHERE b IS NOT NULL GROUP BY doc_id, item_id, b),
-slots AS (SELECT doc_id, item_id, count(*) AS n_slots, sum(same::INT)::BIGINT AS n_consistent FROM pairs GROUP BY doc_id, item_id)
-SELECT c.doc_id, c.item_id, matched_windows, item_windows, coalesce(n_slots, 0) AS n_slots, coalesce(n_consistent, 0) AS n_consistent
-FROM covered c LEFT JOIN slots s ON c.doc_id = s.doc_id AND c.item_id = s.item_id
-WHERE coalesce(n_consistent, 0) >= 0.8 * coalesce(n_slots, 0)"""
+lined AS (SELECT *, nth - dense_rank() OVER (PARTITION BY doc_id, copy, item_id, shift ORDER BY pos) AS run FROM found),
+judged AS (
+  SELECT *, 0 AS kind, '' AS part, 0 AS place, 0 AS streak FROM lined
+  UNION ALL SELECT *, 1, copy, shift, 0 FROM lined
+  UNION ALL SELECT *, 2, copy, floor(shift / {DRIFT})::BIGINT, 0 FROM lined
+  UNION ALL SELECT *, 3, copy, floor((shift + {DRIFT // 2}) / {DRIFT})::BIGINT, 0 FROM lined
+  UNION ALL SELECT *, {RUNS}, copy, shift, run FROM lined),
+covered AS (SELECT doc_id, item_id, kind, part, place, streak, count(DISTINCT pos) AS matched_windows, max(item_windows) AS item_windows
+  FROM judged GROUP BY ALL
+  HAVING CASE WHEN kind = {RUNS} THEN count(DISTINCT pos) >= {RUN} ELSE count(DISTINCT pos) >= 0.4 * max(item_windows) END),
+pairs AS (SELECT doc_id, item_id, kind, part, place, streak, b, min(d) = max(d) AS same FROM
+  (SELECT doc_id, item_id, kind, part, place, streak, unnest(bs) AS b, unnest(ds) AS d FROM judged) WHERE b IS NOT NULL GROUP BY ALL),
+slots AS (SELECT doc_id, item_id, kind, part, place, streak, count(*) AS n_slots, sum(same::INT)::BIGINT AS n_consistent
+  FROM pairs GROUP BY ALL),
+short AS (SELECT x.k AS item_id, x.words, len(list_distinct(list_filter(l.vs, lambda v: v IS NOT NULL)))::BIGINT AS n_slots,
+  len(x.words) - len(list_filter(x.words, lambda w: regexp_matches(w, '^[{_UNSPACED}]'))) / 2 AS weight
+  FROM x_benchmark x LEFT JOIN l_benchmark l ON l.r = x.r WHERE x.r NOT IN (SELECT r FROM usable)),
+whole AS (SELECT DISTINCT *, weight >= {EXACT_FREE} AND len(list_filter(words, lambda w: NOT regexp_matches(w, '^[0-9]'))) > 0 AS free
+  FROM short WHERE weight >= {EXACT_LEAST}),
+said AS (SELECT x.*, unnest(range(1, len(words) + 1)) AS i FROM x_documents x),
+passed AS (
+  SELECT c.doc_id, c.item_id, matched_windows, coalesce(n_slots, 0) AS n_slots, coalesce(n_consistent, 0) AS n_consistent, item_windows
+  FROM covered c LEFT JOIN slots s ON c.doc_id IS NOT DISTINCT FROM s.doc_id AND c.item_id IS NOT DISTINCT FROM s.item_id
+    AND c.kind = s.kind AND c.part = s.part AND c.place = s.place AND c.streak = s.streak
+  WHERE coalesce(n_consistent, 0) >= 0.8 * coalesce(n_slots, 0)
+  UNION ALL SELECT d.k, w.item_id, 1, coalesce(w.n_slots, 0), coalesce(w.n_slots, 0), 1
+  FROM said d JOIN whole w ON d.words[d.i] = w.words[1] AND d.words[d.i:d.i + len(w.words) - 1] = w.words
+  WHERE w.free OR (d.s[d.i] AND d.e[d.i + len(w.words) - 1])),
+best AS (SELECT doc_id, item_id, max({{'a': matched_windows, 'b': n_slots, 'c': n_consistent, 'd': item_windows}}) AS x FROM passed GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, x.a::BIGINT AS matched_windows, x.d::BIGINT AS item_windows, x.b::BIGINT AS n_slots, x.c::BIGINT AS n_consistent FROM best"""
 
 
 # crc32 in SQL: the table of its polynomial, and one step per byte (UTF-8 of code points below 256)
