@@ -33,6 +33,14 @@ def period(c, unit: str = "month") -> Column:
     return d if u == "day" else F.trunc(d, PERIODS[u])
 
 
+def previous_period(start, unit: str = "month") -> Column:
+    """Start of the period before the one that starts on ``start``."""
+    u = _unit(unit)
+    if u in ("day", "week"):
+        return F.date_sub(_col(start), 1 if u == "day" else 7)
+    return F.add_months(_col(start), {"month": -1, "quarter": -3, "year": -12}[u])
+
+
 def month_of_year(c) -> Column:
     """``date_part(month, ts)``: months of different years fall together."""
     return F.month(_col(c))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import period
+from ..functions.dates import period, previous_period
 
 # The labels, in rule order.
 LABEL_OWN_ACCOUNT = "own account"
@@ -46,9 +46,7 @@ def late_moveouts(opps: DataFrame, key_cols: Sequence[str], measure: str, date_c
     turns the OR lookup into an equi join (R2); ``min_by`` is a partial
     aggregate, so a hot key is reduced on the map side.
     """
-    p = F.add_months(period(date_col, unit), -1) if unit == "month" else None
-    if p is None:
-        raise ValueError("late_moveouts is defined for monthly periods")
+    p = previous_period(period(date_col, unit), unit)
     order = F.struct(*[F.col(c) for c in order_cols])
     rows = (opps.where(F.col(measure) < 0)
                 .select(F.explode(F.array(*[F.col(k) for k in key_cols])).alias("key"),

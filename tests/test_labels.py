@@ -95,3 +95,12 @@ def test_requests_on_two_agreements_repeat_no_row(spark):
     ags = spark.createDataFrame([(9, "A"), (10, "B"), (11, "C")], "agreement_id long, agreement_uuid string")
     got = sorted((r.action_type, r.agreement_uuid) for r in att.resolve_contracts(ledger, reqs, ags).collect())
     assert got == [("Move In", "C"), ("Move Out", "B")]
+
+
+def test_late_moveouts_of_every_period(spark):
+    opps = spark.createDataFrame([(1, "R-1", "C-1", -1, dt.datetime(2018, 1, 1)), (2, "R-2", None, -2, dt.datetime(2018, 1, 1))],
+                                 "id long, rk string, ck string, m long, close timestamp_ntz")
+    for unit, before in (("day", dt.date(2017, 12, 31)), ("week", dt.date(2017, 12, 25)), ("month", dt.date(2017, 12, 1)),
+                         ("quarter", dt.date(2017, 10, 1)), ("year", dt.date(2017, 1, 1))):
+        out = lab.late_moveouts(opps, ["rk", "ck"], "m", "close", ["close", "id"], unit=unit)
+        assert sorted(map(tuple, out.collect())) == [("C-1", before), ("R-1", before)]
