@@ -64,59 +64,65 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]+", "0"), SPACE, " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(lower_ascii(line), r"[0-9]+", "0"), SPACE, " "))
 
 
-def text_lines(docs: DataFrame, host: str, text: str) -> DataFrame:
-    """(host, text_hash, line, n_words, times): each distinct normalised line of
-    each distinct text of a host, with its words and how often it occurs. Host,
-    text and line are hashes; copies fold into one text."""
-    rows = docs.select(F.xxhash64(host).alias("host"), F.xxhash64(text).alias("text_hash"),
-                       F.explode(F.split(text, "\n")).alias("raw"))
+def document_key(doc: str, text: str, fold_copies: bool) -> Column:
+    """Hash that tells documents of a host apart: of id and text, or of the text alone."""
+    return F.xxhash64(text) if fold_copies else F.xxhash64(doc, text)
+
+
+def text_lines(docs: DataFrame, host: str, text: str, key: Column) -> DataFrame:
+    """(host, key, line, n_words, times): each distinct normalised line of each
+    distinct document of a host, with its words and how often it occurs. Host,
+    document and line are hashes; rows of one document fold into one."""
+    rows = docs.select(F.xxhash64(host).alias("host"), key.alias("key"), F.explode(F.split(text, "\n")).alias("raw"))
     rows = (rows.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
-            .select("host", "text_hash", normalised(F.col("raw")).alias("raw")))
-    return (rows.select("host", "text_hash", F.xxhash64("raw").alias("line"),
+            .select("host", "key", normalised(F.col("raw")).alias("raw")))
+    return (rows.select("host", "key", F.xxhash64("raw").alias("line"),
                         (F.length("raw") - F.length(F.replace("raw", F.lit(" "), F.lit(""))) + 1).alias("n_words"))
-            .groupBy("host", "text_hash", "line")
+            .groupBy("host", "key", "line")
             .agg(F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("times")))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line): lines that more than ``max_docs`` distinct texts of the
-    host hold. It reads all columns of ``lines``, so that its shuffle is the one
-    that the words are joined from, and the texts are split into lines once."""
+    """(host, line): lines that more than ``max_docs`` distinct documents of
+    the host hold. It reads all columns of ``lines``, so that its shuffle is the
+    one that the words are joined from, and the texts are split into lines once."""
     return (lines.groupBy("host", "line").agg(F.sum(F.least(F.col("times"), F.col("n_words"), F.lit(1))).alias("docs"))
             .where(F.col("docs") > max_docs).select("host", "line"))
 
 
-def line_verdicts(docs: DataFrame, host: str, text: str, max_docs: int) -> DataFrame:
-    """(host, text_hash, removed, total): words on removed lines and on all
-    lines, of each text of a host that has a removed line."""
-    lines = text_lines(docs, host, text)
+def line_verdicts(docs: DataFrame, host: str, text: str, key: Column, max_docs: int) -> DataFrame:
+    """(host, key, removed, total): words on removed lines and on all lines, of
+    each document of a host that has a removed line."""
+    lines = text_lines(docs, host, text, key)
     frequent = frequent_lines(lines, max_docs).withColumn("frequent", F.lit(True))
     size = F.col("times") * F.col("n_words")
-    return (lines.join(frequent, ["host", "line"], "left").groupBy("host", "text_hash")
+    return (lines.join(frequent, ["host", "line"], "left").groupBy("host", "key")
             .agg(F.sum(F.when(F.col("frequent"), size).otherwise(0)).alias("removed"), F.sum(size).alias("total"))
             .where("removed > 0"))
 
 
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text",
                   max_docs: int = 200, max_removed_percent: int = 50, min_words: int = 10,
-                  max_repeat_percent: int = 20) -> DataFrame:
+                  max_repeat_percent: int = 20, doc: str = "doc_id", fold_copies: bool = False) -> DataFrame:
     """``docs`` with base counts, base_failed, removed_words and kept.
 
     A document is depleted if its removed lines hold more than
     ``max_removed_percent`` of its words. A null text is empty (no words, so
-    base_failed); null hosts form one host; rows that repeat host and text get
-    the same verdict and stay repeated; other columns of ``docs`` stay
-    unless they bear a result's name.
+    base_failed); null hosts form one host. Rows that repeat host, id and text are
+    one document, get the same verdict and stay repeated; rows that repeat an id
+    with another text, or a text with another id (null is one id), are further
+    documents. Other columns of ``docs`` stay unless they bear a result's name.
     """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "kept")
     keep = [c for c in docs.columns if c not in made]
     whole = docs.select(*keep).withColumn(text, F.coalesce(text, F.lit("")))
-    verdicts = line_verdicts(whole, host, text, max_docs).withColumnsRenamed({"host": "_host", "text_hash": "_hash"})
-    counted = base_counts(whole.withColumns({"_host": F.xxhash64(host), "_hash": F.xxhash64(text)}), text)
-    joined = counted.join(verdicts, ["_host", "_hash"], "left")
+    key = document_key(doc, text, fold_copies)
+    verdicts = line_verdicts(whole, host, text, key, max_docs).withColumnsRenamed({"host": "_host", "key": "_key"})
+    counted = base_counts(whole.withColumns({"_host": F.xxhash64(host), "_key": key}), text)
+    joined = counted.join(verdicts, ["_host", "_key"], "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     removed = F.coalesce(F.col("removed"), F.lit(0))
     depleted = 100 * removed > max_removed_percent * F.coalesce(F.col("total"), F.lit(0))

@@ -35,9 +35,9 @@ grams AS (SELECT doc_id, i, ws[i:i+4] AS g FROM (SELECT doc_id, ws, unnest(range
 twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 cover AS (SELECT doc_id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n FROM
   (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM twice) GROUP BY doc_id),
-lines AS (SELECT doc_id, source, text, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+lines AS (SELECT doc_id, source, text, trim(regexp_replace(regexp_replace({_LOW.format('l')}, '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS l FROM d)),
-hot AS (SELECT source, line FROM lines WHERE line != '' GROUP BY source, line HAVING count(DISTINCT text) > 200),
+hot AS (SELECT source, line FROM lines WHERE line != '' GROUP BY source, line HAVING count(DISTINCT (coalesce(doc_id::VARCHAR, '') || ':' || text)) > 200),
 gone AS (SELECT l.doc_id, sum(CASE WHEN h.line IS NULL THEN 0 ELSE len(string_split(l.line, ' ')) END) AS removed,
   sum(len(string_split(l.line, ' '))) AS total
   FROM lines l LEFT JOIN hot h ON l.source IS NOT DISTINCT FROM h.source AND l.line = h.line WHERE l.line != '' GROUP BY l.doc_id),

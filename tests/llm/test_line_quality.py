@@ -1,4 +1,5 @@
 import collections
+import re
 
 import helpers
 import pytest
@@ -35,11 +36,31 @@ def test_frequent_lines_deplete_documents(spark):
     rows = [(i, f"SHARED  line 7 of the site with many more words in it to remove now\nonly {own(i)[23:40]}", None, "hot", 0)
             for i in range(30)]
     rows += [(100 + i, own(i), None, "hot", 0) for i in range(30)]  # clean
-    rows += [(200 + i, "copies of one text count as one document and stay with all their words here", None, "hot", 0) for i in range(30)]
+    rows += [(200 + i, "copies of one text count one by one unless they are folded into one document of the host", None, "hot", 0) for i in range(30)]
+    rows += [(400, "rows that repeat an id and its text are one document and stay with all their words", None, "hot", 0)] * 30
     rows += [(300, "shared line 9 of the site with many more words in it to remove now\n", None, "other", 0)]
-    got = {r.doc_id: r for r in lq.quality_rules(spark.createDataFrame(rows, helpers.ODD_SCHEMA), max_docs=20).collect()}
-    assert all(not got[i].kept and got[i].removed_words == 15 for i in range(30))
-    assert all(got[i].kept for i in [*range(100, 130), *range(200, 230), 300])
+    df = spark.createDataFrame(rows, helpers.ODD_SCHEMA)
+    for fold in (False, True):
+        got = {r.doc_id: r for r in lq.quality_rules(df, max_docs=20, fold_copies=fold).collect()}
+        assert all(not got[i].kept and got[i].removed_words == 15 for i in range(30))
+        assert all(got[i].kept for i in [*range(100, 130), 300, 400])
+        assert all(got[i].kept == fold for i in range(200, 230))
+
+
+def test_lines_of_documents_against_brute_force(spark, base):
+    """The given documents three times under other ids, limit of two documents."""
+    docs = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", "source", "text")
+    rows = [(r.doc_id * 3 + k, r.source, r.text) for r in docs.collect() for k in range(3 if r.doc_id % 2 else 1)]
+    df = spark.createDataFrame(rows, docs.schema)
+
+    def norm(line):
+        return " ".join(w.decode() for w in re.sub(rb"[0-9]+", b"0", line.encode().lower()).split())
+
+    lines = {(d, s): [x for x in map(norm, (t or "").split("\n")) if x] for d, s, t in rows}
+    holders = collections.Counter((s, x) for (_, s), held in lines.items() for x in set(held))
+    for r in lq.quality_rules(df, max_docs=2).collect():
+        held = [(len(x.split(" ")), holders[(r.source, x)] > 2) for x in lines[(r.doc_id, r.source)]]
+        assert r.kept == (not r.base_failed and 100 * sum(n for n, hot in held if hot) <= 50 * sum(n for n, _ in held)), r.doc_id
 
 
 def test_empty_table_and_repeated_rows(spark, odd, empty):
