@@ -9,9 +9,11 @@ sorted by path; as the sweep passes a rule it carries the rule's stack (the
 rule and those that enclose it), and at a url the active rule is the deepest
 of the last stack whose path still begins the url's path.
 
-Only DataFrame functions. Distinct (host, path) pairs are judged once. A host
-with many urls is spread over groups of about ``rows_per_group`` urls, and its
-rules are copied to each of those groups.
+Only DataFrame functions. Distinct (host, path) pairs are judged once, on no
+more suffixes than the longest rule has labels. Urls are counted per suffix with
+partial sums; they meet those counts by suffix and a share of ``SPREAD``, so that
+no suffix is one task's. A host with many urls is spread over groups of about
+``rows_per_group`` urls, and its rules are copied to each of those groups.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii
 
-#: A DNS name has at most 127 labels, and so no rule fits a longer suffix.
-MAX_LABELS = 127
+#: Shares of a suffix's urls in the join with the suffix's count; skewed shares are split by Spark.
+SPREAD = 64
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -47,8 +49,7 @@ def rule_stacks(rules: DataFrame) -> DataFrame:
     host = lower_ascii(F.coalesce("host", F.lit("")))
     r = (rules.select(host.alias("host"), F.coalesce("path", F.lit("")).alias("path"), "action")
          .groupBy("host", "path").agg(F.min("action").alias("action"))
-         .where(F.col("action").isNotNull() & (F.col("host") != "")
-                & (F.size(F.split("host", r"\.")) <= MAX_LABELS)))
+         .where(F.col("action").isNotNull() & (F.col("host") != "")))
     r = r.select(reversed_host(F.col("host")).alias("key"), "path",
                  F.struct("path", F.concat("host", "path").alias("rule"), "action").alias("item"))
     begun = r.select("key", F.col("path").alias("full"), F.explode(F.transform(
@@ -70,18 +71,21 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     parsed = pages.withColumns({"host": host, "path": path}).select(*keep, "host", "path")
     targets = parsed.select("host", "path").distinct()
 
-    labels = F.split("host", r"\.")
-    levels = F.when(F.col("host") == "", F.array().cast("array<int>")).otherwise(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LABELS))))
     stacks = rule_stacks(rules)
+    longest = stacks.agg(F.max(F.size(F.split("key", r"\.")))).first()[0] or 0
+    labels = F.split("host", r"\.")
+    levels = F.when((F.col("host") == "") | F.lit(longest == 0), F.array().cast("array<int>")).otherwise(
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(longest))))
     keyed = (targets.withColumn("labels", labels)
              .select("host", "path", "labels", F.explode(levels).alias("n"))
              .withColumn("key", F.array_join(F.reverse(F.slice("labels", -F.col("n"), F.col("n"))), "."))
-             .drop("labels", "n")
-             .join(stacks.select("key").distinct(), "key", "left_semi"))
+             .select("key", "host", "path"))
 
-    groups = keyed.groupBy("key").agg((F.floor(F.count(F.lit(1)) / rows_per_group) + 1).alias("groups"))
-    salted = (keyed.join(groups, "key")
+    groups = (keyed.groupBy("key").agg((F.floor(F.count(F.lit(1)) / rows_per_group) + 1).alias("groups"))
+              .join(stacks.select("key").distinct(), "key"))
+    shares = groups.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    salted = (keyed.withColumn("share", F.pmod(F.xxhash64("path", "host"), F.lit(SPREAD)).cast("int"))
+              .join(shares, ["key", "share"])
               .select("key", F.pmod(F.xxhash64("host", "path"), "groups").alias("salt"), "host", "path",
                       F.lit(1).alias("kind"), F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")))
     starts = (stacks.join(groups, "key")

@@ -44,3 +44,14 @@ def test_very_long_hosts(spark):
     pages = spark.createDataFrame([(1, "http://" + "a." * 5000 + "com/en", None), (2, "http://x.com/" + "y" * 100_000, None)], PAGES)
     got = url_rules.judge(pages, spark.createDataFrame([("block", "com", "/")], RULES)).collect()
     assert {r.verdict for r in got} == {"block"}
+    rules = [("block", "com", "/"), ("allow", "a." * 300 + "com", "/en")]
+    got = url_rules.judge(pages, spark.createDataFrame(rules, RULES)).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "allow", 2: "block"}
+
+
+def test_urls_of_one_suffix_are_dealt_to_many_tasks(spark):
+    pages = spark.range(20_000).selectExpr("id AS page_id", "concat('http://h', id % 7, '.com/', id) AS url", "'' AS verdict")
+    judged = url_rules.judge(pages, spark.createDataFrame([("block", "com", "/1"), ("block", "h3.com", "/")], RULES))
+    assert judged.where("verdict = 'block'").count() == sum(str(i)[0] == "1" or i % 7 == 3 for i in range(20_000))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in plan and "hashpartitioning(key#" in plan and ", share#" in plan
