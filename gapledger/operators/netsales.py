@@ -223,9 +223,10 @@ def net_sales_levels(moves: DataFrame, locations: DataFrame, unit: str = "month"
     capacity meets its transfers: a window over these sums, whose groups are
     bounded by a reservation's accounts and locations however many moves it has.
     They are summed again without the reservation and meet their location.
-    Grouping sets climb the hierarchy. What depends on a sum's sign is decided
-    last, at each level for itself, as a level's sum may have another sign than
-    its parts.
+    These sums are dealt by account and period, which all levels share, and each
+    task sums its own at every level: nothing is shuffled once per level. What
+    depends on a sum's sign is decided last, at each level for itself, as a
+    level's sum may have another sign than its parts.
 
     Rows of no account or location are ledger rows like any other; a null
     reservation has no net-zero capacity.
@@ -268,24 +269,24 @@ def net_sales_levels(moves: DataFrame, locations: DataFrame, unit: str = "month"
     j = j.select("period", "account_id", "location_name", F.col("t_id").alias("location_id"), "opened_on",
                  month_diff("opened_on", "move_month").cast("bigint").alias("month_no"), "building_short_code",
                  "city", "market", "territory", "region", "transfer", "n_in", "n_out", "new_sales", "churn_notice",
-                 "last_move", "nz_up", "nz_down", F.col("location_name").alias("moved_at_location"))
+                 "last_move", "nz_up", "nz_down")
     keys = ["period", "account_id"]
-    columns = [*keys, *COLUMN_GRAIN]
-    sets = [[F.col(c) for c in [*keys, *[c for c in COLUMN_GRAIN if shown(c, lv)]]] for lv in LEVELS]
-    # The coarsest column that a set hides names its level.
-    level = F.lit("Location")
-    for hidden, lv in (("location_name", "City"), ("city", "Market"), ("market", "Territory"),
-                       ("territory", "Region"), ("region", "Global")):
-        level = F.when(F.grouping(hidden) == 1, F.lit(lv)).otherwise(level)
+    # All levels of an account and period lie in one partition: the rows are
+    # dealt once, with their finest columns, and repeated per level after it.
+    # A partition grows by the levels there, so there are as many times more.
+    parts = len(LEVELS) * int(moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    j = (j.repartition(parts, *keys).withColumn("moved_at_location", F.col("location_name"))
+         .withColumn("level", F.explode(F.array(*map(F.lit, range(len(LEVELS)))))))
+    j = j.withColumns({c: F.when(F.col("level") <= LEVELS.index(grain), F.col(c)) for c, grain in COLUMN_GRAIN.items()})
     transfer, up, down = F.sum("transfer"), F.sum("nz_up"), F.sum("nz_down")
-    out = j.groupingSets(sets, *[F.col(c) for c in columns]).agg(
-        level.alias("select_grouping"),
+    out = j.groupBy(*keys, "level", *COLUMN_GRAIN).agg(
         F.when(transfer > 0, transfer + up).otherwise(up).alias("upgrades"),
         F.when(transfer < 0, transfer + down).otherwise(down).alias("downgrades"),
         F.sum("new_sales").alias("new_sales"), F.sum("churn_notice").alias("churn_notice"),
         F.trunc(F.to_date(F.max("last_move")), "month").alias("last_date_physical_move"),
         listagg_distinct(F.when(F.col("n_out") > 0, F.col("moved_at_location"))).alias("transfer_out_locations"),
         listagg_distinct(F.when(F.col("n_in") > 0, F.col("moved_at_location"))).alias("transfer_in_locations"))
+    out = out.withColumn("select_grouping", F.element_at(F.array(*map(F.lit, LEVELS)), F.col("level") + 1))
     selection = F.lit("Global")
     for lv, c in SELECTION.items():
         selection = F.when(F.col("select_grouping") == lv, F.col(c)).otherwise(selection)

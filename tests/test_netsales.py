@@ -140,3 +140,44 @@ def test_all_levels_read_the_ledger_once(spark, base):
 
     plan = net_sales_levels(spark, base)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey#") and sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 1
+
+
+def test_levels_are_summed_where_the_rows_are(spark, base):
+    """No level's rows are shuffled: the last exchange deals rows that are not
+    yet repeated per level, into as many times more partitions as there are levels."""
+    from gapledger.plans.netsales import net_sales_levels
+
+    plan = net_sales_levels(spark, base)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("== Initial Plan ==")[-1].splitlines()
+    repeated = next(i for i, line in enumerate(lines) if "Generate explode" in line and "level" in line)
+    assert "Expand" not in plan and not any("Exchange" in line for line in lines[:repeated])
+    dealt = next(line for line in lines[repeated:] if "Exchange" in line)
+    assert "hashpartitioning(period#" in dealt and ", 24)" in dealt and "REPARTITION_BY_NUM" in dealt
+
+
+def test_all_levels_of_one_account_at_many_locations(spark):
+    """An account's month at 300 locations, each with both transfers, and the same moves without an account."""
+    n = 300
+    places = spark.range(n).selectExpr(
+        "id location_id", "concat('L', id) location_name", "concat('C', id % 30) city", "concat('M', id % 10) market",
+        "concat('T', id % 5) territory", "concat('R', id % 5) region", "concat('c', id) code", "date'2018-01-01' opened_on",
+        "false is_joint_venture")
+    rows = []
+    for i in range(n):
+        for account in (1, None):
+            at = D(2018, 8, 1 + i % 28)
+            rows += [(i, account, i, at, at, action, "Transfer", by) for action, by in (("Transfer In", 3), ("Transfer Out", -2))]
+    ledger = spark.createDataFrame(rows, "reservation_id long, account_id long, location_id long, date_reserved timestamp_ntz, "
+                                         "date_physical_move timestamp_ntz, action_type string, transfer_type string, desks_changed long")
+    got = ns.net_sales_levels(ns.ledger_moves(ledger, _facts(spark).limit(0)), places)
+    by_level = {}
+    for r in got.collect():
+        by_level.setdefault((r.select_grouping, r.account_id), []).append(r)
+    for account in (1, None):
+        assert [len(by_level[lv, account]) for lv in ns.LEVELS] == [300, 30, 10, 5, 5, 1]
+        for lv in ns.LEVELS:
+            found = by_level[lv, account]
+            assert sum(r.upgrades for r in found) == n
+            for side in ("transfer_in_locations", "transfer_out_locations"):
+                assert sorted(x for r in found for x in r[side].split(", ")) == sorted(f"L{i}" for i in range(n))
+                assert all(r[side].split(", ") == sorted(r[side].split(", ")) for r in found)
