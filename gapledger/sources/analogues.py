@@ -178,8 +178,12 @@ def moves(spark: SparkSession, base: str, unit: str = "month") -> DataFrame:
     li = read_table(spark, base, "lineitem")
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     both = li.join(o, li.l_orderkey == o.o_orderkey).select(*_ledger_columns(), *_fact_columns())
-    roles = F.array(F.struct(*ns.ledger_move()), F.when(ns.net_zero(unit), F.struct(*ns.net_zero_move())))
-    return both.select(F.explode(roles).alias("move")).where(F.col("move").isNotNull()).select("move.*")
+    # The reservation stays a column of its own, beside the roles: the rows are
+    # still known to be dealt by it, so what is summed by it needs no shuffle.
+    ledger_row, fact_row = (F.struct(*columns[1:]) for columns in (ns.ledger_move(), ns.net_zero_move()))
+    roles = F.array(ledger_row, F.when(ns.net_zero(unit), fact_row))
+    return (both.select("reservation_id", F.explode(roles).alias("move")).where(F.col("move").isNotNull())
+            .select("reservation_id", "move.*"))
 
 
 def change_requests(spark: SparkSession, base: str) -> DataFrame:

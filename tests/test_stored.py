@@ -83,3 +83,11 @@ def test_empty_table_and_null_keys(spark, tmp_path):
     stored.store_tables(spark, base, out, {"part": "k", "orders": "k"}, 3)
     got = stored.open_tables(spark, out)
     assert sorted(r.v for r in got["part"]().collect()) == [1, 2, 3] and got["orders"]().count() == 0
+
+
+def test_stored_levels_are_first_shuffled_by_account_and_location(spark, base, folder, no_broadcast):
+    """The sums per reservation and the window over them follow the ledger's join where its rows lie."""
+    with tables.reading_stored(base, stored.open_tables(spark, folder)):
+        df = netsales.net_sales_levels(spark, base)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Window" in plan and not any("Exchange hashpartitioning(reservation_id#" in line for line in plan.splitlines())
