@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,37 @@ class WordCache:
         return flat, starts
 
 
+def release() -> None:
+    """Give memory that this Python worker no longer uses back to the system.
+    Workers serve many stages: what one stage's arrays took and the allocators
+    keep would stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that releases memory when its task is done."""
+    def batches_of(batches):
+        yield from run(batches)
+        release()
+
+    return batches_of
+
+
+def tidy_group(run: Callable, large: int = 1 << 20) -> Callable:
+    """A function for ``applyInArrow`` that releases memory after each group of
+    over ``large`` bytes."""
+    def group_of(table: pa.Table) -> pa.Table:
+        size, out = table.nbytes, run(table)
+        if size > large:
+            release()
+        return out
+
+    return group_of
+
+
 _CACHES: dict = {}
 
 
@@ -153,7 +185,9 @@ def worker_cache(key: str, make):
     """The cache of this Python worker for a model or tokenizer. Workers serve
     many stages; only the last one's cache stays."""
     if key not in _CACHES:
-        _CACHES.clear()
+        if _CACHES:
+            _CACHES.clear()
+            release()
         _CACHES[key] = make()
     return _CACHES[key]
 

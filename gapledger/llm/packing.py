@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import Vocabulary, slices, texts, worker_cache
+from .common import Vocabulary, slices, texts, tidy, worker_cache
 
 
 @dataclass(frozen=True)
@@ -245,4 +245,4 @@ def pack_texts(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str =
             yield from flush(True)
 
     columns = [doc, text] + ([prompt] if prompt else [])
-    return docs.select(*dict.fromkeys(columns)).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys(columns)).mapInArrow(tidy(run), schema)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, among, discard, mix64, slices, worker_cache, written
+from .common import WordCache, among, discard, mix64, slices, tidy, tidy_group, worker_cache, written
 
 SHINGLE = 5
 #: Linked when PERCENT * union <= 100 * intersection.
@@ -164,7 +164,7 @@ def sets_of(docs: DataFrame, doc: str, text: str) -> DataFrame:
                      pa.array([bit_sketch(s) if len(s) else b"" for s in sets], pa.binary())],
                     names=["doc", "n", "set", "check", "sketch"])
 
-    return docs.select(doc, text).mapInArrow(run, f"doc {kind}, n bigint, set bigint, check bigint, sketch binary")
+    return docs.select(doc, text).mapInArrow(tidy(run), f"doc {kind}, n bigint, set bigint, check bigint, sketch binary")
 
 
 # -- rare segment contents -----------------------------------------------------
@@ -232,7 +232,7 @@ def segment_rows(docs: DataFrame, text: str, parts: int) -> DataFrame:
                                    None, h, part))
                 yield _rows([p for p, _ in made], [b for _, b in made])
 
-    return docs.select(text).mapInArrow(run, "part int, blob binary")
+    return docs.select(text).mapInArrow(tidy(run), "part int, blob binary")
 
 
 def _distinct(keys: np.ndarray, sets: np.ndarray) -> np.ndarray:
@@ -261,7 +261,7 @@ def shared_contents(rows: DataFrame, parts: int) -> DataFrame:
         return pa.table({"part": pa.array([p for p, _ in made], pa.int32()), "source": pa.array([here] * len(made), pa.int32()),
                          "blob": pa.array([b for _, b in made], pa.binary())})
 
-    return rows.groupBy("part").applyInArrow(run, "part int, source int, blob binary")
+    return rows.groupBy("part").applyInArrow(tidy_group(run), "part int, source int, blob binary")
 
 
 def rarest(shared: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def rarest(shared: DataFrame) -> DataFrame:
         made = list(_dealt(head[keep], keys[keep], before[keep].astype(np.uint32), heads, origin[keep]))
         return pa.table({"part": pa.array([p for p, _ in made], pa.int32()), "blob": pa.array([b for _, b in made], pa.binary())})
 
-    return shared.groupBy("part").applyInArrow(run, "part int, blob binary")
+    return shared.groupBy("part").applyInArrow(tidy_group(run), "part int, blob binary")
 
 
 def buckets(rare: DataFrame) -> DataFrame:
@@ -333,7 +333,7 @@ def buckets(rare: DataFrame) -> DataFrame:
             "size": pa.array(np.concatenate([none + 2, np.repeat(n, n)]), pa.int64()),
             "before": pa.array(np.concatenate([none, before[place].astype(np.int64)]), mask=alone)})
 
-    return rare.groupBy("part").applyInArrow(run, "a bigint, b bigint, bucket bigint, size bigint, before bigint")
+    return rare.groupBy("part").applyInArrow(tidy_group(run), "a bigint, b bigint, bucket bigint, size bigint, before bigint")
 
 
 # -- links ---------------------------------------------------------------------
@@ -353,7 +353,7 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("set").alias("b"), F.col("doc").alias("y"), F.col("n").alias("m"), F.col("sketch").alias("other"))
     return (pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             .join(left, "a").join(right, "b").select("x", "y", "n", "sketch", "m", "other")
-            .mapInArrow(run, f"x {kind}, y {kind}").where("x != y"))
+            .mapInArrow(tidy(run), f"x {kind}, y {kind}").where("x != y"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -392,7 +392,7 @@ def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFram
                         y.append(hub)
                 yield pa.RecordBatch.from_arrays([pa.array(c, part.schema.field("id").type) for c in (x, y)], names=["x", "y"])
 
-    out = written(rows.mapInArrow(run, f"x {kind}, y {kind}").distinct(), "parity-links")
+    out = written(rows.mapInArrow(tidy(run), f"x {kind}, y {kind}").distinct(), "parity-links")
     discard(roles)
     return out
 
@@ -467,7 +467,7 @@ def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
         return table.select(["bucket", "i", "j", "block", "before", "x", "component"]).filter(pa.array(near))
 
     key = f"bucket bigint, i bigint, j bigint, block bigint, before bigint, x {kind}, component {kind}"
-    near = written(dealt.groupBy("bucket", "i", "j").applyInArrow(may, key).distinct(), "parity-near")
+    near = written(dealt.groupBy("bucket", "i", "j").applyInArrow(tidy_group(may), key).distinct(), "parity-near")
     discard(mixed)
     found = among(docs.select(F.col(doc).alias("x"), F.col(text).alias("text")), "x", near.select("x"))
     found = found.join(near.select("x").distinct(), "x", "left_semi").groupBy("x").agg(F.collect_set("text").alias("texts"))
@@ -485,7 +485,7 @@ def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
         x, pairs = table.column("x"), np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"x": x.take(pa.array(pairs[:, 0])), "y": x.take(pa.array(pairs[:, 1]))})
 
-    out = written(dealt.groupBy("bucket", "i", "j").applyInArrow(run, f"x {kind}, y {kind}").where("x != y").distinct(), "parity-rest")
+    out = written(dealt.groupBy("bucket", "i", "j").applyInArrow(tidy_group(run), f"x {kind}, y {kind}").where("x != y").distinct(), "parity-rest")
     discard(near)
     return out
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, fit_logistic, fitted_in_task, output_columns, sigmoid, slices, smallest, sums, with_columns, worker_cache
+from .common import WordCache, fit_logistic, fitted_in_task, output_columns, sigmoid, slices, smallest, sums, tidy, with_columns, worker_cache
 
 FEATURES = 20
 
@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
                 [part.column("_doc").cast(pa.string()), part.column("label").cast(pa.int32()), part.column("kinds"),
                  pa.array(list(x), pa.list_(pa.float64()))], names=["doc", "label", "kinds", "x"])
 
-    made = rows.mapInArrow(run, "doc string, label int, kinds array<string>, x array<double>")
+    made = rows.mapInArrow(tidy(run), "doc string, label int, kinds array<string>, x array<double>")
     return fitted_in_task(made, train)
 
 
@@ -234,7 +234,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
             s = model.score(x) if model else np.full(len(x), 0.5)
             yield with_columns(part, {"score": s, "predicted": (s >= threshold).astype(np.int32)}, (text,))
 
-    return docs.mapInArrow(run, output_columns(docs, made, (text,)))
+    return docs.mapInArrow(tidy(run), output_columns(docs, made, (text,)))
 
 
 def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -248,4 +248,4 @@ def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold
         for part, x in _feature_batches(batches, text):
             yield part.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(tidy(run), columns)

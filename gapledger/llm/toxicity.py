@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (Vocabulary, WordCache, fit_logistic, fitted_in_task, mix64, output_columns, sigmoid, slices, smallest, with_columns,
-                     word_bytes, worker_cache)
+from .common import (Vocabulary, WordCache, fit_logistic, fitted_in_task, mix64, output_columns, sigmoid, slices, smallest, tidy,
+                     with_columns, word_bytes, worker_cache)
 
 #: Punctuation at the ends of a word that is not part of it.
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
@@ -239,7 +239,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
         for part, s in _scored(batches, shared, name, text):
             yield with_columns(part, {"score": s, "predicted": (s >= threshold).astype(np.int32)}, (text,))
 
-    return docs.mapInArrow(run, output_columns(docs, made, (text,)))
+    return docs.mapInArrow(tidy(run), output_columns(docs, made, (text,)))
 
 
 def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -251,4 +251,4 @@ def accepted(docs: DataFrame, model: Model | None, text: str = "text", threshold
         for part, s in _scored(batches, shared, name, text):
             yield part.filter(pa.array(s < threshold))
 
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(tidy(run), columns)
