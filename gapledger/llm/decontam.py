@@ -60,7 +60,7 @@ def templates(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn("_t", F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)))
     df = df.withColumn("_z", F.filter(F.arrays_zip(
         F.col("_t").alias("t"), F.concat(F.array(F.lit(".")), F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0)))).alias("p"),
-        F.transform("_t", F.lower).alias("l")), lambda z: z["t"].isNotNull() & ~z["t"].isin(*MARKS)))
+        F.transform("_t", F.lower).alias("l")), lambda z: (z["t"] >= "A") | _numeric(z["t"])))  # letters sort after all marks
 
     def one(z: Column) -> Column:
         def slot(kind: str, value: Column) -> Column:
@@ -68,20 +68,27 @@ def templates(df: DataFrame, text: str, out: str) -> DataFrame:
 
         t, before, low = z["t"], z["p"], z["l"]
         titled = (t != low) & (F.length(t) > 1) & (F.concat(F.substring(t, 1, 1), F.substring(low, 2, 1 << 30)) == t)
-        return (F.when((t >= "0") & (t < ":"), slot(NUMBER, t))
-                .when((before >= "0") & (before < ":") & low.isin(*UNITS), slot(UNIT, low))
+        return (F.when(_numeric(t), slot(NUMBER, t))
+                .when(_numeric(before) & low.isin(*UNITS), slot(UNIT, low))
                 .when(titled & ~before.isin(*MARKS), slot(NAME, low))
                 .otherwise(F.struct(low.alias("c"), F.lit(None).cast("string").alias("v"))))
 
     return df.withColumn(out, F.transform("_z", one)).drop("_t", "_z")
 
 
-def windows(tokens: Column) -> Column:
-    """array<bigint>: the hash of each window of WINDOW template tokens."""
-    n = F.size(tokens) - (WINDOW - 1)
-    words = tokens["c"]
-    shifted = [F.slice(words, k + 1, F.greatest(n, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)]
-    return F.transform(F.arrays_zip(*shifted), lambda w: F.xxhash64(w))
+def _numeric(token: Column) -> Column:
+    return (token < ":") & (token >= "0")
+
+
+def windows(df: DataFrame, tokens: str, at: str, out: str) -> DataFrame:
+    """One row per window of WINDOW template tokens: its place ``at`` and its
+    hash ``out``. Words are hashed once each, not once per window; windows are
+    rows before they are hashed, so Spark compiles what is done for each."""
+    df = df.withColumn("_words", F.transform(tokens, lambda t: F.xxhash64(t["c"])))
+    last = F.size("_words") - WINDOW
+    places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
+    df = df.select("*", F.explode(places).alias(at))
+    return df.withColumn(out, F.xxhash64(F.slice("_words", F.col(at) + 1, WINDOW))).drop("_words")
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -89,8 +96,7 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     have enough words beside their placeholders; ``nth`` numbers an item's
     windows without gaps."""
     b = templates(benchmark.select(F.col(item).alias("item"), F.col(text).alias("_text")), "_text", "_tokens").drop("_text")
-    b = b.withColumn("_hashes", windows(F.col("_tokens")))
-    b = b.select("item", "_tokens", F.posexplode("_hashes").alias("at", "hash"))
+    b = windows(b, "_tokens", "at", "hash")
     b = b.select("item", "at", "hash", F.slice(F.col("_tokens")["v"], F.col("at") + 1, WINDOW).alias("slots"))
     b = b.where(F.size(F.filter("slots", lambda v: v.isNotNull())) <= MOST_SLOTS).dropDuplicates(["item", "at", "hash", "slots"])
     n = b.groupBy("item").agg(F.countDistinct("at").alias("item_windows"))
@@ -151,12 +157,9 @@ def matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> DataFrame
     ``shift`` is the window's place less its place ``at`` in the item."""
     d = docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text"))
     d = templates(d.withColumn("copy", F.xxhash64("_text")), "_text", "_tokens").drop("_text")
-    d = d.withColumn("_hashes", windows(F.col("_tokens")))
-    d = d.withColumn("_filter", bloom(items.select("hash")).scalar())
-    d = d.withColumn("_found", F.filter(F.transform("_hashes", lambda h, i: F.struct(h.alias("hash"), i.alias("i"))), _passes))
-    d = d.select("doc", "copy", F.explode(F.transform("_found", lambda x: F.struct(
-        x["hash"].alias("hash"), x["i"].alias("i"), F.slice(F.col("_tokens")["v"], x["i"] + 1, WINDOW).alias("slots")))).alias("w"))
-    d = d.select("doc", "copy", F.col("w.hash").alias("hash"), F.col("w.i").alias("i"), F.col("w.slots").alias("slots"))
+    d = windows(d, "_tokens", "i", "hash")
+    d = d.withColumn("_filter", bloom(items.select("hash")).scalar()).where(_passes(F.col("hash")))
+    d = d.select("doc", "copy", "hash", "i", F.slice(F.col("_tokens")["v"], F.col("i") + 1, WINDOW).alias("slots"))
     return d.join(items.withColumnRenamed("slots", "item_slots"), "hash").withColumn("shift", F.col("i") - F.col("at")).drop("hash", "i")
 
 
@@ -169,7 +172,7 @@ def whole_matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> Dat
     d = exact_tokens(docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text")), "_text", "_tokens").drop("_text")
     d = d.withColumn("_words", F.col("_tokens")["t"]).withColumn("_filter", bloom(items.select("hash")).scalar())
     d = d.withColumn("_found", F.filter(F.flatten(F.transform("_words", lambda _, i: F.array(*[F.struct(
-        F.xxhash64(F.slice("_words", i + 1, k)).alias("hash"), i.alias("i")) for k in sorted(anchors)]))), _passes))
+        F.xxhash64(F.slice("_words", i + 1, k)).alias("hash"), i.alias("i")) for k in sorted(anchors)]))), lambda x: _passes(x["hash"])))
     d = d.select("doc", F.explode(F.transform("_found", lambda x: F.struct(
         x["hash"].alias("hash"), F.slice("_tokens", x["i"] + 1, max(anchors.values())).alias("said")))).alias("w"))
     said, n = F.col("said"), F.size("words")
@@ -179,10 +182,10 @@ def whole_matches(docs: DataFrame, doc: str, text: str, items: DataFrame) -> Dat
             .select("doc", "item", "n_slots").distinct())
 
 
-def _passes(x: Column) -> Column:
+def _passes(hash_: Column) -> Column:
     out = None
     for k in (0, 1):
-        word, bit = _bit(x["hash"], k)
+        word, bit = _bit(hash_, k)
         test = F.getbit(F.element_at(F.col("_filter"), word + 1), bit) == 1
         out = test if out is None else out & test
     return out

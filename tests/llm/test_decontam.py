@@ -76,3 +76,14 @@ def test_items_without_a_window_are_found_whole(spark):
     got = found(spark, docs, items)
     assert {k: r.item_id for k, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 6: 6}
     assert all(r.matched_windows == r.item_windows and r.n_slots == r.n_consistent for r in got.values())
+
+
+def test_windows_are_rows_with_the_place_and_hash_of_their_words(spark):
+    texts = ["a b c d e f g h i", "x a b c d e f g h", "a b c d e f g", "", None, "a b c d e f g 7 9"]
+    d = decontam.templates(spark.createDataFrame(list(enumerate(texts)), "id bigint, t string"), "t", "tokens")
+    got = {(r.id, r.at): r.hash for r in decontam.windows(d, "tokens", "at", "hash").collect()}
+    assert set(got) == {(0, 0), (0, 1), (1, 0), (1, 1), (5, 0), (5, 1)}
+    assert got[0, 0] == got[1, 1] and len(set(got.values())) == 5
+    plan = d.sparkSession._jvm.PythonSQLUtils.explainString(decontam.windows(d, "tokens", "at", "hash")._jdf.queryExecution(), "simple")
+    hashed = [x for x in plan.split("\n") if "xxhash64(slice(" in x]
+    assert hashed and all("*(" in x and "lambda" not in x.split("xxhash64(slice(")[1] for x in hashed)  # compiled, not a lambda
