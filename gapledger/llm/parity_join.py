@@ -362,8 +362,8 @@ def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFram
     kind = docs.schema[doc].dataType.simpleString()
     pairs = written(pairs, "parity-candidates")
     degree = pairs.select(F.explode(F.array("x", "y")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    both = (pairs.join(degree.select(F.col("id").alias("x"), F.col("n").alias("p")), "x")
-            .join(degree.select(F.col("id").alias("y"), F.col("n").alias("q")), "y"))
+    both = (pairs.join(degree.select(F.col("id").alias("x"), F.col("n").alias("p")).hint("merge"), "x")
+            .join(degree.select(F.col("id").alias("y"), F.col("n").alias("q")).hint("merge"), "y"))
     hub = F.when(F.col("q") >= F.col("p"), F.col("y")).otherwise(F.col("x"))
     other = F.when(F.col("q") >= F.col("p"), F.col("x")).otherwise(F.col("y"))
     share = F.pmod(F.xxhash64(other, F.lit(3)), F.ceil(F.greatest("p", "q") / SHARE))
@@ -400,15 +400,17 @@ def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFram
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (x, y): the smallest node
     reachable. Alternates large and small stars until no edge changes; only
-    per-node minima are shuffled, no group is gathered."""
+    per-node minima are shuffled, no group is gathered. The joins follow the
+    shuffles of their sums; none is broadcast, for the driver would collect and
+    keep one side of each join of each round."""
     e = written(edges.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "links")
     state = None
     while True:
         both = e.union(e.select("y", "x")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).where("x != y").distinct()
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).where("x != y").distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = (large.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        small = (large.join(least.hint("merge"), "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
                  .union(least.select("x", F.col("m").alias("y"))).where("x != y").distinct())
         old, e = e, written(small, "links")
         discard(old)
@@ -428,7 +430,7 @@ def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
     fewer links than it has members."""
     kind = classes.schema["doc"].dataType.simpleString()
     own = classes.select(F.col("set").alias("a"), F.col("doc").alias("x"))
-    rows = (members.join(own, "a").join(labels.withColumnRenamed("node", "x"), "x", "left")
+    rows = (members.join(own, "a").join(labels.withColumnRenamed("node", "x").hint("merge"), "x", "left")
             .withColumn("component", F.coalesce("component", "x")))
     rows = written(rows.select("bucket", "size", "before", "x", "component"), "parity-members")
     mixed = (rows.groupBy("bucket").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("component", "before")])

@@ -74,3 +74,17 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 100), (150, 100)]
     got = {r.node: r.component for r in pj.components(spark.createDataFrame(edges, "x bigint, y bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 150: 100, 200: 100}
+
+
+def test_the_driver_collects_no_side_of_the_joins_of_components(spark, monkeypatch):
+    plans, written = [], pj.written
+
+    def seen(df, name):
+        plans.append(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple"))
+        return written(df, name)
+
+    monkeypatch.setattr(pj, "written", seen)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(8)] + [(20, 21), (30, 30)], "x bigint, y bigint")
+    got = {r.node: r.component for r in pj.components(edges).collect()}
+    assert got == {i: 0 for i in range(9)} | {20: 20, 21: 20}
+    assert len(plans) > 1 and any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
