@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import WordCache, among, discard, mix64, slices, tidy, tidy_group, worker_cache, written
@@ -56,6 +56,19 @@ _STEP = _U(0x9E3779B97F4A7C15)
 HEAD = np.dtype([("set", "<u8"), ("band", "<u4"), ("n", "<u4"), ("filled", "<u4"), ("count", "<u4")])
 
 
+def watched(df: DataFrame, name: str, *figures: Column) -> tuple[DataFrame, tuple]:
+    """``df`` as ``written``, and aggregates over its rows that are taken while
+    they are written: no query reads them again for that."""
+    seen = Observation()
+    out = written(df.observe(seen, *[f.alias(f"f{i}") for i, f in enumerate(figures)]), name)
+    return out, tuple(seen.get[f"f{i}"] for i in range(len(figures)))
+
+
+def twofold(first: dict, second: dict) -> Column:
+    """Two rows for each, with columns of the same names."""
+    return F.inline(F.array(*[F.struct(*[c.alias(k) for k, c in row.items()]) for row in (first, second)]))
+
+
 # -- shingles and sketches -----------------------------------------------------
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -367,10 +380,9 @@ def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFram
     hub = F.when(F.col("q") >= F.col("p"), F.col("y")).otherwise(F.col("x"))
     other = F.when(F.col("q") >= F.col("p"), F.col("x")).otherwise(F.col("y"))
     share = F.pmod(F.xxhash64(other, F.lit(3)), F.ceil(F.greatest("p", "q") / SHARE))
-    dealt = both.select(hub.alias("hub"), share.alias("share"), other.alias("id"))
-    roles = dealt.withColumn("leads", F.lit(False)).unionByName(
-        dealt.select("hub", "share", F.col("hub").alias("id"), F.lit(True).alias("leads")).distinct())
-    roles = written(roles, "parity-roles")
+    dealt = both.select(hub.alias("hub"), share.alias("share"), other.alias("other"))
+    roles = written(dealt.select("hub", "share", twofold({"id": F.col("other"), "leads": F.lit(False)}, {"id": F.col("hub"), "leads": F.lit(True)})).distinct(),
+                    "parity-roles")
     discard(pairs)
     found = among(docs.select(F.col(doc).alias("id"), F.col(text).alias("text")), "id", roles.select("id"))
     rows = (found.join(roles, "id").repartition("hub", "share").sortWithinPartitions("hub", "share", F.desc("leads"))
@@ -400,30 +412,30 @@ def verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFram
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (x, y): the smallest node
     reachable. Alternates large and small stars until no edge changes; only
-    per-node minima are shuffled, no group is gathered. The joins follow the
+    edges and per-node minima are shuffled, no group is gathered. The joins follow the
     shuffles of their sums; none is broadcast, for the driver would collect and
     keep one side of each join of each round."""
-    e = written(edges.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "links")
-    state = None
+    figures = [F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))]
+    e, state = watched(edges.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(),
+                       "links", *figures)
     while True:
-        both = e.union(e.select("y", "x")).toDF("u", "v")
+        both = e.select(twofold({"u": F.col("x"), "v": F.col("y")}, {"u": F.col("y"), "v": F.col("x")}))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).where("x != y").distinct()
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).where("x != y")
         least = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = (large.join(least.hint("merge"), "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
-                 .union(least.select("x", F.col("m").alias("y"))).where("x != y").distinct())
-        old, e = e, written(small, "links")
+        # the row of the minimum itself gives the node's own edge
+        small = (large.join(least.hint("merge"), "x")
+                 .select(F.when(F.col("y") == F.col("m"), F.col("x")).otherwise(F.col("y")).alias("x"), F.col("m").alias("y")).distinct())
+        old, before = e, state
+        e, state = watched(small, "links", *figures)
         discard(old)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == state:
-            return e.select(F.col("x").alias("node"), F.col("y").alias("component")).union(
-                e.select(F.col("y").alias("node"), F.col("y").alias("component"))).distinct()
-        state = now
+        if state == before:
+            return e.select(twofold({"node": F.col("x"), "component": F.col("y")}, {"node": F.col("y"), "component": F.col("y")})).distinct()
 
 
-def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame:
+def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, doc: str, text: str) -> DataFrame | None:
     """Links (x, y) within large buckets between members that lie in different
-    components so far. Buckets are compared in blocks of about BLOCK x BLOCK
+    components so far; None if there are none. Buckets are compared in blocks of about BLOCK x BLOCK
     members: first by sizes and bit sketches; members with a partner that may be
     linked are compared again with their texts. Within a block a link between
     components that an earlier one has joined is left out, so a task gives
@@ -487,9 +499,10 @@ def residual(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
         x, pairs = table.column("x"), np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"x": x.take(pa.array(pairs[:, 0])), "y": x.take(pa.array(pairs[:, 1]))})
 
-    out = written(dealt.groupBy("bucket", "i", "j").applyInArrow(tidy_group(run), f"x {kind}, y {kind}").where("x != y").distinct(), "parity-rest")
+    out, (n,) = watched(dealt.groupBy("bucket", "i", "j").applyInArrow(tidy_group(run), f"x {kind}, y {kind}").where("x != y").distinct(),
+                        "parity-rest", F.count(F.lit(1)))
     discard(near)
-    return out
+    return out if n else None
 
 
 def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -501,9 +514,8 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     of its text. Other columns of ``docs`` are left out.
     """
     docs = docs.select(doc, text)
-    sets = written(sets_of(docs, doc, text), "parity-sets")
-    total = int(sets.agg(F.sum("n")).first()[0] or 0)
-    parts = total // PART + 1
+    sets, (total,) = watched(sets_of(docs, doc, text), "parity-sets", F.sum("n"))
+    parts = int(total or 0) // PART + 1
     classes = written(sets.where("n > 0 AND doc IS NOT NULL").groupBy("set", "check")
                       .agg(F.min(F.struct("doc", "n", "sketch")).alias("first")).select("set", "check", "first.*"), "parity-classes")
     known = docs.where(F.col(doc).isNotNull())
@@ -513,7 +525,7 @@ def jaccard_components(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     large = rows.where("bucket IS NOT NULL").select("bucket", "a", "size", "before")
     rest = residual(large, classes, first, known, doc, text)
     discard(rows, links)
-    if not rest.isEmpty():
+    if rest is not None:
         first = components(first.select(F.col("node").alias("x"), F.col("component").alias("y")).union(rest))
     by_class = (classes.select("set", "check", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left")
                 .select("set", "check", F.coalesce("component", "doc").alias("component")))

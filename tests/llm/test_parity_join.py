@@ -88,3 +88,31 @@ def test_the_driver_collects_no_side_of_the_joins_of_components(spark, monkeypat
     got = {r.node: r.component for r in pj.components(edges).collect()}
     assert got == {i: 0 for i in range(9)} | {20: 20, 21: 20}
     assert len(plans) > 1 and any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_a_round_of_stars_is_one_query_of_five_shuffles(spark, monkeypatch):
+    plans, written = [], pj.written
+
+    def seen(df, name):
+        plans.append(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple"))
+        return written(df, name)
+
+    monkeypatch.setattr(pj, "written", seen)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(8)] + [(20, 21), (30, 30)], "x bigint, y bigint")
+    status = spark._jsparkSession.sharedState().statusStore()
+    before = status.executionsCount()
+    out = pj.components(edges)
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert status.executionsCount() - before == len(plans)
+    assert all("Union" not in p for p in plans) and max(p.count("Exchange") for p in plans) <= 7
+    assert {r.node: r.component for r in out.collect()} == {i: 0 for i in range(9)} | {20: 20, 21: 20}
+
+
+def test_figures_of_written_rows(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 5):
+        out, got = pj.watched(spark.range(n).where("id >= 0").distinct(), "figures", F.count(F.lit(1)), F.sum("id"))
+        assert out.count() == n and got == ((5, 10) if n else (0, None))
+    none = spark.createDataFrame([], "x bigint, y bigint")
+    assert pj.components(none).collect() == []
