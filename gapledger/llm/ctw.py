@@ -9,9 +9,10 @@ are mixed, and the tree's posterior gives the share of each depth when a text
 is coded. A context without training counts uses the deepest one that has some.
 
 ``score_streams`` codes the whole text, so contexts reach across spaces into the
-words before. Texts become blocks of bounded size, written with each block's
-distinct (context, byte) grams and words; both are counted over the corpus, and
-each block joins the figures of its grams and words.
+words before. Texts become blocks of bounded size. The distinct (context, byte)
+grams and words of a block are dealt to parts as sorted, compressed arrays and
+counted there over all blocks; each part notes which of its grams a block has and
+sends the figures back in that order, so no gram travels twice.
 
 ``score_texts`` cuts contexts at the word's start (spaces before it). The code
 length of a word then depends on the word alone: words are counted and coded
@@ -27,6 +28,7 @@ driver only sees the 255 sums of the root and the totals.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Vocabulary, slices, sums, written
+from .common import Vocabulary, mix64, slices, sums, tidy, tidy_group, written
 
 _U = np.uint64
 LN2 = float(np.log(2))
@@ -45,6 +47,8 @@ LN2 = float(np.log(2))
 END = b"\n"
 #: Subtrees are built below contexts of so many nearest bytes.
 NEAR = 3
+#: What stands before a stream.
+PAD = b" " * 7
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -61,7 +65,20 @@ def lgamma(x: np.ndarray) -> np.ndarray:
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of any sequence with these counts."""
-    return lgamma(n0 + 0.5) + lgamma(n1 + 0.5) - lgamma(n0 + n1 + 1.0) - np.log(np.pi)
+    return _lgamma_of(n0, 0.5) + _lgamma_of(n1, 0.5) - _lgamma_of(n0 + n1, 1.0) - np.log(np.pi)
+
+
+#: log Gamma of small counts, plus a half and plus one.
+_SMALL = {shift: lgamma(np.arange(1 << 12) + shift) for shift in (0.5, 1.0)}
+
+
+def _lgamma_of(n: np.ndarray, shift: float) -> np.ndarray:
+    """log Gamma(n + shift) of whole numbers n."""
+    small = _SMALL[shift]
+    out = small.take(np.minimum(n, len(small) - 1).astype(np.int64))
+    large = np.flatnonzero(n >= len(small))
+    out[large] = lgamma(n[large] + shift)
+    return out
 
 
 def word_grams(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -283,9 +300,10 @@ def _sorted_grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _nodes(levels: list[Level]) -> pa.Table:
     """One row per node of a depth: context, decision node 1..255, counts and log probability."""
+    none = pa.schema([("ctx", pa.int64()), ("node", pa.int32()), ("n", pa.float64()), ("n1", pa.float64()), ("pw", pa.float64())])
     return pa.concat_tables(pa.table({
         "ctx": (x.nodes >> _U(j)).view(np.int64), "node": (1 << j | (x.nodes & _U((1 << j) - 1)).astype(np.int32)).astype(np.int32),
-        "n": x.n, "n1": x.n1, "pw": x.log_pw}) for j, x in enumerate(levels))
+        "n": x.n, "n1": x.n1, "pw": x.log_pw}) for j, x in enumerate(levels)) if levels else none.empty_table()
 
 
 def parents(nodes: DataFrame) -> DataFrame:
@@ -319,6 +337,23 @@ def _above(t: pa.Table, gram: np.ndarray, depth: int, d: int) -> tuple[np.ndarra
     return np.arange(len(gram)), out
 
 
+def _upper(nodes: DataFrame, near: int) -> tuple[DataFrame | None, Root]:
+    """From the nodes of the ``near`` nearest bytes with their part: the levels
+    above them that each part's contexts lie under, and the root."""
+    contexts, above, top = nodes.select("ctx", "part").distinct(), [], nodes.drop("part")
+    for d in range(near - 1, 0, -1):
+        top = written(parents(top), "ctw-nodes")
+        own = contexts.select("part", F.shiftrightunsigned("ctx", 8 * (near - d)).alias("ctx")).distinct()
+        above.append(own.join(top, "ctx").select(F.col("part").alias("own_part"), F.lit(d).alias("d"), "ctx", "node", "n", "n1", "own"))
+
+    symbols, children = np.zeros(256), np.zeros(256)
+    for r in top.groupBy("node").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), F.sum("pw").alias("pw")).collect():  # 255 rows
+        children[r.node] = r.pw
+        if r.node >= 128:  # the last decision tells two symbols apart
+            symbols[2 * (r.node - 128)], symbols[2 * (r.node - 128) + 1] = r.n - r.n1, r.n1
+    return reduce(DataFrame.union, above) if above else None, make_root(symbols, children)
+
+
 def gram_scores(grams: DataFrame, depth: int, parts: int = 1) -> DataFrame:
     """(gram, log10 probability) of distinct grams with training counts ``n``.
 
@@ -341,18 +376,7 @@ def gram_scores(grams: DataFrame, depth: int, parts: int = 1) -> DataFrame:
 
     kind = "ctx bigint, node int, n double, n1 double, pw double"
     nodes = written(rows.groupBy("part").applyInArrow(subtrees, kind), "ctw-nodes")
-    contexts, above, top = nodes.select("ctx", part(F.col("ctx"))).distinct(), [], nodes
-    for d in range(near - 1, 0, -1):
-        top = written(parents(top), "ctw-nodes")
-        own = contexts.select("part", F.shiftrightunsigned("ctx", 8 * (near - d)).alias("ctx")).distinct()
-        above.append(own.join(top, "ctx").select(F.col("part").alias("own_part"), F.lit(d).alias("d"), "ctx", "node", "n", "n1", "own"))
-
-    symbols, children = np.zeros(256), np.zeros(256)
-    for r in top.groupBy("node").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), F.sum("pw").alias("pw")).collect():  # 255 rows
-        children[r.node] = r.pw
-        if r.node >= 128:  # the last decision tells two symbols apart
-            symbols[2 * (r.node - 128)], symbols[2 * (r.node - 128) + 1] = r.n - r.n1, r.n1
-    root = make_root(symbols, children)
+    above, root = _upper(nodes.withColumn("part", part(F.col("ctx"))), near)
 
     def scored(t: pa.Table, up: pa.Table | None) -> pa.Table:
         gram, n = _sorted_grams(t)
@@ -360,9 +384,9 @@ def gram_scores(grams: DataFrame, depth: int, parts: int = 1) -> DataFrame:
         return pa.table({"gram": gram.view(np.int64), "log_p": log10_probability(gram, levels, root)})
 
     result = "gram bigint, log_p double"
-    if not above:
+    if above is None:
         return rows.groupBy("part").applyInArrow(lambda t: scored(t, None), result)
-    return rows.groupBy("part").cogroup(reduce(DataFrame.union, above).groupBy("own_part")).applyInArrow(scored, result)
+    return rows.groupBy("part").cogroup(above.groupBy("own_part")).applyInArrow(scored, result)
 
 
 def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id", text: str = "text", depth: int = 7,
@@ -421,113 +445,266 @@ def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id"
             .withColumnRenamed("doc", doc).withColumnRenamed("training", training))
 
 
-def stream_grams(streams: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``word_grams``, of whole texts: only a text's start is padded."""
-    pad = b" " * depth
-    data = np.frombuffer(b"".join([pad + x for x in streams]), np.uint8)
-    coded = np.fromiter(map(len, streams), np.int64, len(streams))
-    starts = np.concatenate([[0], np.cumsum(coded)])
-    at = np.arange(starts[-1]) + np.repeat(np.arange(1, len(streams) + 1) * depth, coded)
-    gram = np.zeros(len(at), np.uint64)
-    for back in range(1, depth + 1):
-        gram <<= _U(8)
-        gram |= data[at - back]
-    return gram << _U(8) | data[at], starts
+#: Positions of a block are sorted in so many lots, so that memory stays a share of the block's.
+LOTS = 8
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    n, kind = int.from_bytes(data[:8], "little"), np.dtype(kind)
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], n * kind.itemsize, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind).ravel()
+
+
+def pack_grams(grams: np.ndarray) -> bytes:
+    """Of sorted grams: contexts repeat, so their differences and the coded bytes are packed apart."""
+    context = grams >> _U(8)
+    return pack(np.diff(context, prepend=_U(0))) + (grams & _U(255)).astype(np.uint8).tobytes()
+
 
+def unpack_grams(data: bytes, n: int) -> np.ndarray:
+    coded = np.frombuffer(data, np.uint8)[len(data) - n:]
+    return np.cumsum(unpack(data[:len(data) - n], np.uint64), dtype=np.uint64) << _U(8) | coded
 
-def stream_blocks(docs: DataFrame, doc: str, text: str, training: str, depth: int, block_bytes: int) -> DataFrame:
-    """Rows of three kinds: a document (doc, training, stream), a distinct gram
-    of a block and a distinct word of a block, with their training counts n. A
-    block is at most ``block_bytes`` of one task's texts, or one text."""
+
+def stream_blocks(docs: DataFrame, doc: str, text: str, training: str, block_bytes: int) -> DataFrame:
+    """One row per block: its documents, whether they train, the bytes of their
+    streams and the streams, each after spaces, compressed. A block is at most
+    ``block_bytes`` of one task's texts, or one text."""
     kind = docs.schema[doc].dataType.simpleString()
-    schema = f"block bigint, doc {kind}, training boolean, stream binary, gram bigint, word binary, n bigint"
-    names = ["block", "doc", "training", "stream", "gram", "word", "n"]
 
     def run(batches):
         seq, size, held, kept_type = TaskContext.get().partitionId() << 24, 0, [], None
 
-        def rows(size, **columns):
-            types = [pa.int64(), kept_type, pa.bool_(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, seq)) if k == "block" else pa.array(columns[k], t) if k in columns else pa.nulls(size, t)
-                 for k, t in zip(names, types)], names=names)
-
         def flush():
-            for at in range(0, len(held), 500):
-                part = held[at:at + 500]
-                yield rows(len(part), doc=[d for d, _, _ in part], training=[t for _, t, _ in part], stream=[x for _, _, x in part])
-            learned, other = ([x for _, t, x in held if t == keep] for keep in (True, False))
-            gram, n = np.unique(stream_grams(learned, depth)[0], return_counts=True)
-            unseen = np.setdiff1d(stream_grams(other, depth)[0], gram)
-            gram, n = np.concatenate([gram, unseen]).view(np.int64), np.concatenate([n, np.zeros(len(unseen), np.int64)])
-            for at in range(0, len(gram), 200_000):
-                yield rows(len(gram[at:at + 200_000]), gram=gram[at:at + 200_000], n=n[at:at + 200_000])
-            counts: dict[bytes, int] = {}
-            for _, t, x in held:
-                for w in x.split(b" "):
-                    counts[w] = counts.get(w, 0) + t
-            words = list(counts)
-            for at in range(0, len(words), 100_000):
-                part = words[at:at + 100_000]
-                yield rows(len(part), word=part, n=[counts[w] for w in part])
+            sizes = [len(x) for _, _, x in held]
+            stream = pa.compress(b"".join(PAD + x for _, _, x in held), "zstd", asbytes=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([seq], pa.int64()), pa.array([[d for d, _, _ in held]], pa.list_(kept_type)),
+                 pa.array([[t for _, t, _ in held]], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int64())),
+                 pa.array([stream], pa.binary())], names=["block", "doc", "training", "size", "stream"])
 
         for batch in batches:
             kept_type = batch.schema.field(doc).type
             for part, found in slices(batch, text):
                 for d, t, x in zip(part.column(doc).to_pylist(), part.column(training).to_pylist(), found, strict=True):
                     if held and size + len(x) > block_bytes:
-                        yield from flush()
+                        yield flush()
                         seq, size, held = seq + 1, 0, []
                     words = x.lower().split()
                     words.append(END)
                     held.append((d, bool(t), b" ".join(words)))
                     size += len(x)
         if held:
-            yield from flush()
+            yield flush()
+
+    return docs.select(doc, text, training).mapInArrow(
+        tidy(run), f"block bigint, doc array<{kind}>, training array<boolean>, size array<bigint>, stream binary")
+
+
+class Block:
+    """The streams of one block, read from its row."""
+
+    def __init__(self, row: pa.Table | pa.RecordBatch, i: int = 0):
+        self.doc = row.column("doc")[i].values
+        self.training = np.array(row.column("training")[i].values.to_pylist(), bool)
+        self.size = row.column("size")[i].values.to_numpy()
+        self.ends = np.cumsum(self.size + len(PAD))
+        self.streams = pa.decompress(row.column("stream")[i].as_py(), int(self.ends[-1]), "zstd", asbytes=True)
+
+    def words(self, i: int) -> list[bytes]:
+        return self.streams[self.ends[i] - self.size[i]:self.ends[i]].split(b" ")
+
+    def grams(self, lot: int, depth: int, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the lot's positions: the gram, and the label of the document."""
+        pad, ends = len(PAD), self.ends
+        data = np.frombuffer(self.streams, np.uint8)
+        grams, labels, at = [], [], 0
+        while at < len(ends):
+            low = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, low + (1 << 20), "right")))
+            high = int(ends[to - 1])
+            near = data[low + pad - 1:high - 1] + (data[low + pad - 2:high - 2] if depth > 1 else np.uint8(0))
+            mine = near % LOTS == lot
+            mine[(ends[at:to - 1, None] - low - pad + np.arange(pad)).ravel()] = False  # spaces before a stream
+            here = np.flatnonzero(mine)
+            # the eight bytes that end at each position, the coded one highest
+            eight = np.ndarray((high - low - pad,), "<u8", self.streams, low, (1,))[here]
+            grams.append((eight << _U(8) >> _U(8 * (8 - depth))) << _U(8) | eight >> _U(56))
+            labels.append(np.repeat(label[at:to], self.size[at:to] + pad)[pad:][here])
+            at = to
+        return np.concatenate(grams), np.concatenate(labels)
+
+
+def gram_parts(grams: np.ndarray, depth: int, per_lot: int) -> list[np.ndarray]:
+    """Where the grams of each of a lot's parts lie; a part has whole contexts of the nearest bytes."""
+    of = (mix64(grams >> _U(8 * (depth + 1 - min(NEAR, depth)))) % _U(per_lot)).astype(np.uint32)
+    order = np.argsort(of, kind="stable")
+    return np.split(order, np.searchsorted(of[order], np.arange(1, per_lot)))
+
+
+def word_parts(words: list[bytes], parts: int) -> list[list[bytes]]:
+    out: list[list[bytes]] = [[] for _ in range(parts)]
+    for w in words:
+        out[zlib.crc32(w) % parts].append(w)
+    return out
 
-    return docs.select(doc, text, training).mapInArrow(run, schema)
+
+def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of sorted grams and how often each comes."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(grams)), bool), grams[1:] != grams[:-1]]))
+    return grams[first], np.diff(first, append=len(grams))
+
+
+def block_parts(made: DataFrame, depth: int, per_lot: int) -> DataFrame:
+    """Rows (part, block): the block's distinct grams and words that belong to
+    the part, with training counts."""
+    names = ["part", "block", "n", "gram", "gram_n", "word", "word_bytes", "word_n"]
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = Block(batch, i)
+                known, seen = Counter(), set()
+                for k, t in enumerate(block.training):
+                    known.update(block.words(k)) if t else seen.update(block.words(k))
+                words = word_parts(sorted(seen.union(known)), LOTS * per_lot)
+                for lot in range(LOTS):
+                    gram, learned = block.grams(lot, depth, block.training)
+                    trained, n = _distinct(np.sort(gram[learned]))
+                    other, _ = _distinct(np.sort(gram[~learned]))
+                    del gram, learned
+                    gram = np.union1d(trained, other)
+                    count = np.zeros(len(gram), np.int64)
+                    count[np.searchsorted(gram, trained)] = n
+                    rows = []
+                    for p, of in enumerate(gram_parts(gram, depth, per_lot), lot * per_lot):
+                        if len(of) or words[p]:
+                            rows.append((p, batch.column("block")[i].as_py(), len(of), pack_grams(gram[of]), pack(count[of]),
+                                         pa.compress(b" ".join(words[p]), "zstd", asbytes=True) if words[p] else b"",
+                                         len(b" ".join(words[p])), pack(np.fromiter((known[w] for w in words[p]), np.int64, len(words[p])))))
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(),
+                                                                         pa.binary(), pa.int64(), pa.binary()))],
+                            names=names)
+
+    return made.mapInArrow(tidy(run), "part int, block bigint, n bigint, gram binary, gram_n binary, word binary, "
+                                      "word_bytes bigint, word_n binary")
+
+
+def merge_part(t: pa.Table, depth: int) -> pa.Table:
+    """A part's grams and words counted over its blocks. Rows of three kinds:
+    the part's grams with the words' totals; per block, which of these grams it
+    has and the counts of its words; the nodes of the nearest bytes' contexts."""
+    part = t.column("part")[0].as_py()
+    own = [unpack_grams(g, n) for g, n in zip(t.column("gram").to_pylist(), t.column("n").to_pylist())]
+    gram = np.unique(np.concatenate(own))
+    count, member = np.zeros(len(gram), np.int64), []
+    for g, n in zip(own, t.column("gram_n").to_pylist()):
+        at = np.searchsorted(gram, g)
+        count[at] += unpack(n, np.int64)
+        has = np.zeros(len(gram), bool)
+        has[at] = True
+        member.append(pa.compress(np.packbits(has).tobytes(), "zstd", asbytes=True))
+    known, words = Counter(), []
+    for w, size, n in zip(t.column("word").to_pylist(), t.column("word_bytes").to_pylist(), t.column("word_n").to_pylist()):
+        words.append(pa.decompress(w, size, "zstd", asbytes=True).split(b" ") if w else [])
+        for x, c in zip(words[-1], unpack(n, np.int64).tolist()):
+            known[x] += c
+    tokens, distinct = sum(known.values()), sum(c > 0 for c in known.values())
+    word_n = [pack(np.fromiter(map(known.__getitem__, w), np.int64, len(w))) for w in words]
+    nodes = _nodes(build(gram, count, depth, min(NEAR, depth))[-1][1] if len(gram) else [])
+    rows = [pa.table({"part": pa.array([part], pa.int32()), "size": [len(gram)], "gram": pa.array([pack_grams(gram)], pa.binary()),
+                      "gram_n": pa.array([pack(count)], pa.binary()), "tokens": [tokens], "words": [distinct]}),
+            pa.table({"part": pa.array([part] * t.num_rows, pa.int32()), "block": t.column("block"),
+                      "member": pa.array(member, pa.binary()), "word_n": pa.array(word_n, pa.binary())}),
+            nodes.append_column("part", pa.array(np.full(len(nodes), part, np.int32)))]
+    return pa.concat_tables(rows, promote_options="default").select(PART_COLUMNS)
+
+
+PART_ROWS = ("part int, size bigint, gram binary, gram_n binary, tokens bigint, words bigint, block bigint, member binary, word_n binary, "
+             "ctx bigint, node int, n double, n1 double, pw double")
+PART_COLUMNS = [x.split()[0] for x in PART_ROWS.split(", ")]
 
 
 def score_streams(docs: DataFrame, training: str = "training", doc: str = "doc_id", text: str = "text", depth: int = 7,
-                  block_bytes: int = 8 << 20, part_grams: int = 1 << 17) -> DataFrame:
+                  block_bytes: int = 64 << 20, part_bytes: int = 32 << 20) -> DataFrame:
     """Per document the columns of ``score_texts``, the score from contexts that
     reach across words, and ``bits_per_byte``: the code length of the stream by
     its bytes, the line end included. Odd rows as for ``score_texts``."""
-    made = written(stream_blocks(docs, doc, text, training, depth, block_bytes), "ctw-streams")
-    grams = made.where("gram IS NOT NULL").select("block", "gram", "n")
-    in_blocks = made.where("word IS NOT NULL").select("block", "word", "n")
-    counted = in_blocks.groupBy("word").agg(F.sum("n").alias("c"))
-    total = counted.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    n, v = int(total.n or 0), int(total.v)
+    size = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
+    per_lot = size // part_bytes + 1
+    # tasks of nearly a whole block: fuller blocks repeat fewer grams
+    made = written(stream_blocks(docs.coalesce(size * 8 // (7 * block_bytes) + 1), doc, text, training, block_bytes), "ctw-streams")
+    parts = written(block_parts(made, depth, per_lot).groupBy("part").applyInArrow(
+        tidy_group(lambda t: merge_part(t, depth)), PART_ROWS), "ctw-parts")
+    total = parts.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
+    n, v = int(total.n or 0), int(total.v or 0)
     log_all = float(np.log10(n + 0.5 * (v + 1)))
+    above, root = _upper(parts.where("ctx IS NOT NULL").select("ctx", "node", "n", "n1", "pw", "part"), min(NEAR, depth))
 
-    scored = gram_scores(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth, grams.count() // part_grams + 1)
-    none = F.lit(None)
-    figures = (grams.select("block", "gram").join(scored, "gram")
-               .select(F.col("block").alias("own_block"), "gram", "log_p", none.cast("binary").alias("word"), none.cast("bigint").alias("c"))
-               .union(in_blocks.select("block", "word").join(counted, "word")
-                      .select("block", none.cast("bigint"), none.cast("double"), "word", "c")))
-    kind = docs.schema[doc].dataType.simpleString()
+    def scored(t: pa.Table, up: pa.Table | None) -> pa.Table:
+        whole = t.filter(pa.compute.is_valid(t.column("gram")))
+        of_block = t.filter(pa.compute.is_valid(t.column("block")))
+        gram, log_p = unpack_grams(whole.column("gram")[0].as_py(), whole.column("size")[0].as_py()), np.zeros(0)
+        if len(gram):
+            levels = build(gram, unpack(whole.column("gram_n")[0].as_py(), np.int64), depth, min(NEAR, depth))
+            levels += [_above(up, gram, depth, d) for d in range(min(NEAR, depth) - 1, 0, -1)]
+            log_p = log10_probability(gram, levels, root)
+            del levels
+        out = []
+        for x in of_block.column("member").to_pylist():
+            bits = np.frombuffer(pa.decompress(x, (len(gram) + 7) // 8, "zstd", asbytes=True) if len(gram) else b"", np.uint8)
+            out.append(pack(log_p[np.unpackbits(bits, count=len(gram)).view(bool)]))
+        return pa.table({"own_block": of_block.column("block"), "part": of_block.column("part"),
+                         "log_p": pa.array(out, pa.binary()), "word_n": of_block.column("word_n")})
+
+    rows = parts.where("ctx IS NULL").select("part", "size", "gram", "gram_n", "block", "member", "word_n").groupBy("part")
+    kind = "own_block bigint, part int, log_p binary, word_n binary"
+    figures = (rows.cogroup(above.groupBy("own_part")).applyInArrow(scored, kind) if above is not None
+               else rows.applyInArrow(lambda t: scored(t, None), kind))
 
     def document_scores(left: pa.Table, right: pa.Table) -> pa.Table:
-        of_gram = right.filter(pa.compute.is_valid(right.column("gram")))
-        gram, log_p = of_gram.column("gram").to_numpy().view(np.uint64), of_gram.column("log_p").to_numpy()
-        order = np.argsort(gram)
-        gram, log_p = gram[order], log_p[order]
-        of_word = right.filter(pa.compute.is_valid(right.column("word")))
-        counts = dict(zip(of_word.column("word").to_pylist(), of_word.column("c").to_pylist()))
-        rows = np.zeros((left.num_rows, 5))
-        for i, x in enumerate(left.column("stream").to_pylist()):
-            c = np.fromiter(map(counts.__getitem__, x.split(b" ")), np.float64)
-            p = log_p[np.searchsorted(gram, stream_grams([x], depth)[0])].sum()
-            rows[i] = len(c), np.count_nonzero(c), np.log10(c + 0.5).sum() - len(c) * log_all, p, -p * np.log2(10) / len(x)
-        return pa.table({"doc": left.column("doc"), "training": left.column("training"),
+        block = Block(left.combine_chunks())
+        own = {p: i for i, p in enumerate(right.column("part").to_pylist())}
+        score = np.zeros(len(block.size))
+        for lot in range(LOTS):
+            gram, of = block.grams(lot, depth, np.arange(len(score), dtype=np.int32))
+            order = np.argsort(gram)
+            gram, of = gram[order], of[order]
+            del order
+            gram, n_gram = _distinct(gram)
+            log_p = np.zeros(len(gram))
+            for p, at in enumerate(gram_parts(gram, depth, per_lot), lot * per_lot):
+                if len(at):
+                    log_p[at] = unpack(right.column("log_p")[own[p]].as_py(), np.float64)
+            score += np.bincount(of, weights=np.repeat(log_p, n_gram), minlength=len(score))
+        counts, distinct = {}, set()
+        for i in range(len(score)):
+            distinct.update(block.words(i))
+        for p, w in enumerate(word_parts(sorted(distinct), LOTS * per_lot)):
+            if w:
+                counts.update(zip(w, unpack(right.column("word_n")[own[p]].as_py(), np.int64).tolist()))
+        rows = np.zeros((len(score), 3))
+        for i in range(len(score)):
+            words = block.words(i)
+            c = np.fromiter(map(counts.__getitem__, words), np.float64, len(words))
+            rows[i] = len(c), np.count_nonzero(c), np.log10(c + 0.5).sum() - len(c) * log_all
+        return pa.table({"doc": block.doc, "training": block.training,
                          "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64),
-                         "train_tokens": np.full(left.num_rows, n), "base_score": rows[:, 2], "score": rows[:, 3],
-                         "bits_per_byte": rows[:, 4]})
+                         "train_tokens": np.full(len(score), n), "base_score": rows[:, 2], "score": score,
+                         "bits_per_byte": -score * np.log2(10) / block.size})
 
-    return (made.where("stream IS NOT NULL").select("block", "doc", "training", "stream").groupBy("block")
-            .cogroup(figures.groupBy("own_block"))
+    kind = docs.schema[doc].dataType.simpleString()
+    return (made.groupBy("block").cogroup(figures.groupBy("own_block"))
             .applyInArrow(document_scores, f"doc {kind}, training boolean, n_tokens bigint, n_known bigint, "
                                            "train_tokens bigint, base_score double, score double, bits_per_byte double")
             .withColumnRenamed("doc", doc).withColumnRenamed("training", training))
