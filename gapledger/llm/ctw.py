@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Vocabulary, mix64, slices, sums, tidy, tidy_group, written
+from .common import Vocabulary, mix64, release, slices, sums, tidy, tidy_group, written
 
 _U = np.uint64
 LN2 = float(np.log(2))
@@ -446,7 +446,7 @@ def score_texts(docs: DataFrame, training: str = "training", doc: str = "doc_id"
 
 
 #: Positions of a block are sorted in so many lots, so that memory stays a share of the block's.
-LOTS = 8
+LOTS = 8  # a power of two
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -519,8 +519,12 @@ class Block:
         self.ends = np.cumsum(self.size + len(PAD))
         self.streams = pa.decompress(row.column("stream")[i].as_py(), int(self.ends[-1]), "zstd", asbytes=True)
 
-    def words(self, i: int) -> list[bytes]:
-        return self.streams[self.ends[i] - self.size[i]:self.ends[i]].split(b" ")
+    def words(self) -> tuple[list[bytes], list[np.ndarray]]:
+        """The distinct words, in order of first use, and those of each document."""
+        vocabulary = Vocabulary()
+        ids = [vocabulary.ids(self.streams[to - n:to].split(b" ")).astype(np.int32)
+               for n, to in zip(self.size.tolist(), self.ends.tolist())]
+        return list(vocabulary), ids
 
     def grams(self, lot: int, depth: int, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the lot's positions: the gram, and the label of the document."""
@@ -532,11 +536,11 @@ class Block:
             to = max(at + 1, int(np.searchsorted(ends, low + (1 << 20), "right")))
             high = int(ends[to - 1])
             near = data[low + pad - 1:high - 1] + (data[low + pad - 2:high - 2] if depth > 1 else np.uint8(0))
-            mine = near % LOTS == lot
+            mine = near & np.uint8(LOTS - 1) == lot
             mine[(ends[at:to - 1, None] - low - pad + np.arange(pad)).ravel()] = False  # spaces before a stream
             here = np.flatnonzero(mine)
             # the eight bytes that end at each position, the coded one highest
-            eight = np.ndarray((high - low - pad,), "<u8", self.streams, low, (1,))[here]
+            eight = np.ndarray((high - low - pad,), "<u8", self.streams, low, (1,)).copy()[here]
             grams.append((eight << _U(8) >> _U(8 * (8 - depth))) << _U(8) | eight >> _U(56))
             labels.append(np.repeat(label[at:to], self.size[at:to] + pad)[pad:][here])
             at = to
@@ -550,11 +554,11 @@ def gram_parts(grams: np.ndarray, depth: int, per_lot: int) -> list[np.ndarray]:
     return np.split(order, np.searchsorted(of[order], np.arange(1, per_lot)))
 
 
-def word_parts(words: list[bytes], parts: int) -> list[list[bytes]]:
-    out: list[list[bytes]] = [[] for _ in range(parts)]
-    for w in words:
-        out[zlib.crc32(w) % parts].append(w)
-    return out
+def word_parts(words: list[bytes], parts: int) -> list[np.ndarray]:
+    """Where the words of each part lie."""
+    of = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(parts)
+    order = np.argsort(of, kind="stable")
+    return np.split(order, np.searchsorted(of[order], np.arange(1, parts)))
 
 
 def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -572,24 +576,26 @@ def block_parts(made: DataFrame, depth: int, per_lot: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(batch, i)
-                known, seen = Counter(), set()
-                for k, t in enumerate(block.training):
-                    known.update(block.words(k)) if t else seen.update(block.words(k))
-                words = word_parts(sorted(seen.union(known)), LOTS * per_lot)
+                words, ids = block.words()
+                known = np.bincount(np.concatenate([x for x, t in zip(ids, block.training) if t] + [np.zeros(0, np.int32)]),
+                                    minlength=len(words))
+                del ids
+                words_of = word_parts(words, LOTS * per_lot)
                 for lot in range(LOTS):
                     gram, learned = block.grams(lot, depth, block.training)
                     trained, n = _distinct(np.sort(gram[learned]))
                     other, _ = _distinct(np.sort(gram[~learned]))
                     del gram, learned
-                    gram = np.union1d(trained, other)
+                    gram, _ = _distinct(np.sort(np.concatenate([trained, other])))
                     count = np.zeros(len(gram), np.int64)
                     count[np.searchsorted(gram, trained)] = n
                     rows = []
                     for p, of in enumerate(gram_parts(gram, depth, per_lot), lot * per_lot):
-                        if len(of) or words[p]:
+                        here = words_of[p]
+                        if len(of) or len(here):
+                            joined = b" ".join(words[k] for k in here.tolist())
                             rows.append((p, batch.column("block")[i].as_py(), len(of), pack_grams(gram[of]), pack(count[of]),
-                                         pa.compress(b" ".join(words[p]), "zstd", asbytes=True) if words[p] else b"",
-                                         len(b" ".join(words[p])), pack(np.fromiter((known[w] for w in words[p]), np.int64, len(words[p])))))
+                                         pa.compress(joined, "zstd", asbytes=True) if len(here) else b"", len(joined), pack(known[here])))
                     if rows:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(),
@@ -606,7 +612,7 @@ def merge_part(t: pa.Table, depth: int) -> pa.Table:
     has and the counts of its words; the nodes of the nearest bytes' contexts."""
     part = t.column("part")[0].as_py()
     own = [unpack_grams(g, n) for g, n in zip(t.column("gram").to_pylist(), t.column("n").to_pylist())]
-    gram = np.unique(np.concatenate(own))
+    gram, _ = _distinct(np.sort(np.concatenate(own)))
     count, member = np.zeros(len(gram), np.int64), []
     for g, n in zip(own, t.column("gram_n").to_pylist()):
         at = np.searchsorted(gram, g)
@@ -643,7 +649,7 @@ def score_streams(docs: DataFrame, training: str = "training", doc: str = "doc_i
     size = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     per_lot = size // part_bytes + 1
     # tasks of nearly a whole block: fuller blocks repeat fewer grams
-    made = written(stream_blocks(docs.coalesce(size * 8 // (7 * block_bytes) + 1), doc, text, training, block_bytes), "ctw-streams")
+    made = written(stream_blocks(docs.coalesce(size * 4 // (3 * block_bytes) + 1), doc, text, training, block_bytes), "ctw-streams")
     parts = written(block_parts(made, depth, per_lot).groupBy("part").applyInArrow(
         tidy_group(lambda t: merge_part(t, depth)), PART_ROWS), "ctw-parts")
     total = parts.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
@@ -687,17 +693,18 @@ def score_streams(docs: DataFrame, training: str = "training", doc: str = "doc_i
                 if len(at):
                     log_p[at] = unpack(right.column("log_p")[own[p]].as_py(), np.float64)
             score += np.bincount(of, weights=np.repeat(log_p, n_gram), minlength=len(score))
-        counts, distinct = {}, set()
-        for i in range(len(score)):
-            distinct.update(block.words(i))
-        for p, w in enumerate(word_parts(sorted(distinct), LOTS * per_lot)):
-            if w:
-                counts.update(zip(w, unpack(right.column("word_n")[own[p]].as_py(), np.int64).tolist()))
+            del gram, of, log_p
+        words, ids = block.words()
+        counts = np.zeros(len(words), np.int64)
+        for p, at in enumerate(word_parts(words, LOTS * per_lot)):
+            if len(at):
+                counts[at] = unpack(right.column("word_n")[own[p]].as_py(), np.int64)
+        log_c = np.log10(counts + 0.5)
         rows = np.zeros((len(score), 3))
-        for i in range(len(score)):
-            words = block.words(i)
-            c = np.fromiter(map(counts.__getitem__, words), np.float64, len(words))
-            rows[i] = len(c), np.count_nonzero(c), np.log10(c + 0.5).sum() - len(c) * log_all
+        for i, x in enumerate(ids):
+            rows[i] = len(x), np.count_nonzero(counts[x]), log_c[x].sum() - len(x) * log_all
+        del words, ids
+        release()
         return pa.table({"doc": block.doc, "training": block.training,
                          "n_tokens": rows[:, 0].astype(np.int64), "n_known": rows[:, 1].astype(np.int64),
                          "train_tokens": np.full(len(score), n), "base_score": rows[:, 2], "score": score,

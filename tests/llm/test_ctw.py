@@ -179,3 +179,29 @@ def test_streams_of_odd_inputs(spark, odd, empty):
     got = ctw.score_streams(odd.withColumn("training", F.lit(False)).withColumnRenamed("lang", "score")).collect()
     assert len(got) == odd.count() and all(r.n_known == 0 and r.bits_per_byte == pytest.approx(8) for r in got)
     assert ctw.score_streams(empty.withColumn("training", F.lit(True))).collect() == []
+
+
+def test_grams_of_streams_travel_packed(spark, docs, monkeypatch):
+    """Rows grow with blocks and parts, not with grams; how texts are dealt changes no score."""
+    tables = {}
+    made = ctw.written
+
+    def kept(df, name):
+        tables[name] = made(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(ctw, "written", kept)
+    df = spark.createDataFrame([(i, t, i % 3 > 0) for i, t in docs], "doc_id bigint, text string, training boolean")
+    one = {r.doc_id: r for r in ctw.score_streams(df).collect()}
+    assert tables["ctw-streams"].count() <= len(docs)
+    monkeypatch.setattr(ctw, "written", made)
+    size = sum(len((t or "").encode()) for _, t in docs)
+    two = {r.doc_id: r for r in ctw.score_streams(df.repartition(3), block_bytes=size // 5, part_bytes=size // 3).collect()}
+    assert one.keys() == two.keys()
+    for k, a in one.items():
+        assert a[:5] == two[k][:5] and list(a[5:]) == pytest.approx(list(two[k][5:]), rel=1e-9)
+
+
+def test_packed_grams_are_read_back():
+    for grams in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.array([3, 3 << 8, 2**63 + 5, 2**64 - 1], np.uint64)):
+        assert ctw.unpack_grams(ctw.pack_grams(grams), len(grams)).tolist() == grams.tolist()
